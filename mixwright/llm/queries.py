@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mixwright.llm import chat_format, mixing, quality_rules, secrets, url_filter
+from mixwright.llm import chat_format, decontamination, html_text, mixing, near_dedup, pii, quality_rules, secrets, toxicity, url_filter
 from mixwright.llm.common import table
 
 
@@ -13,6 +13,21 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    # Base spans come by kind, then start; added ones, of kinds old and new, are set among them.
+    rank = lambda k: F.coalesce(F.array_position(F.array(*map(F.lit, pii.KINDS + pii.FURTHER)), k), F.lit(99))
+    ordered = F.array_sort(F.transform(F.concat("base", "added"), lambda s: F.struct(rank(s["kind"]).alias("rank"), s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"))))
+    return found.select(
+        "doc_id", *map(count, pii.KINDS), F.sha2(_joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), _joined(ordered).alias("spans"), F.size("added").cast("long").alias("n_added"),
+    )
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"))
     rank = lambda k: F.array_position(F.array(*map(F.lit, (*secrets.KINDS, "random"))), k)
@@ -35,6 +50,16 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(table(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), F.size("passages").cast("long").alias("n_passages"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -90,5 +115,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op3_secret_scan, op4_chat_format, op7_mixing, op8_url_filter, op9_quality_rules)}
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_decontamination, op2_pii, op3_secret_scan, op4_chat_format, op5_near_dedup, op6_toxicity, op7_mixing, op8_url_filter, op9_quality_rules, op10_html_text)
+}
 ORACLE = {"op7_mixing": OP7_SQL, "op8_url_filter": _op8_sql()}
