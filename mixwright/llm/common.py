@@ -17,14 +17,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and cut its lineage, so that a lost executor costs a reread and not a
-    recomputation. The folder is spark.checkpoint.dir; only where that is unset (tests on one machine) a temporary one is set."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that all executors share: spark.checkpoint.dir; only where that is unset (tests on one machine) a
+    temporary one is set."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         shared = context.getConf().get("spark.checkpoint.dir")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoints_"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and cut its lineage, so that a lost executor costs a reread and not a recomputation."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

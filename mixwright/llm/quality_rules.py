@@ -23,15 +23,19 @@ SYMBOLS = r"[#*$%&|<>]"
 FEATURES = ("n_words", "symbol_share", "dup_line_share", "repeat_share", "upper_share", "bang_share", "mean_word", "digit_share")
 
 
-def statistics(docs: DataFrame) -> DataFrame:
+def statistics(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """``docs`` (doc_id, text) -> doc_id, counts and shares, a row for each row of ``docs``.
 
     Null text counts as empty: every count is 0 and every share 0.0. Texts of any length are measured whole. Rows that repeat
-    are measured each by itself; columns other than doc_id and text are ignored.
+    are measured each by itself; columns other than doc_id and text are ignored, unless ``keep`` names them: they come along
+    in one column, kept.
     """
-    base = docs.select(F.col("doc_id"), text_or_empty().alias("_t"))
+    along = [F.struct(*(F.col(f"`{c}`") for c in keep)).alias("_along")] if keep else []
+    base = docs.select(F.col("doc_id"), text_or_empty().alias("_t"), *along)
+    along = ["_along"] if keep else []
     words = base.select(
         "doc_id",
+        *along,
         F.array_remove(F.split("_t", BLANKS), "").alias("_w"),
         F.regexp_count("_t", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         F.filter(F.split("_t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("_l"),
@@ -40,7 +44,7 @@ def statistics(docs: DataFrame) -> DataFrame:
         F.regexp_count("_t", F.lit("[0-9]+")).cast("long").alias("n_numbers"),
     )
     counted = words.select(
-        "doc_id", "n_symbols", "n_upper", "n_bang", "n_numbers", "_w",
+        "doc_id", *along, "n_symbols", "n_upper", "n_bang", "n_numbers", "_w",
         F.size("_w").cast("long").alias("n_words"),
         F.length(F.array_join("_w", "")).cast("long").alias("word_chars"),
         F.size("_l").cast("long").alias("n_lines"),
@@ -206,11 +210,16 @@ def judge(docs: DataFrame, labels: DataFrame, min_words: int = 50, repeat_percen
     A text fails the base rules with fewer than ``min_words`` words or with more than ``repeat_percent`` percent of them in
     repeated windows; empty and null texts fail. Otherwise the learned list decides; without labels it rejects nothing.
     """
-    rules = learn(sample(docs, labels))
+    judged = _judged(statistics(docs), learn(sample(docs, labels)), min_words, repeat_percent)
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def _judged(measured: DataFrame, rules: list[Rule], min_words: int, repeat_percent: int) -> DataFrame:
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words"))
-    return (
-        statistics(docs)
-        .withColumn("base_failed", failed)
-        .withColumn("kept", ~F.col("base_failed") & verdict(rules))
-        .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
-    )
+    return measured.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & verdict(rules))
+
+
+def kept(docs: DataFrame, labels: DataFrame, min_words: int = 50, repeat_percent: int = 50) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with their columns as they are, in one pass without a join."""
+    judged = _judged(statistics(docs, keep=tuple(docs.columns)), learn(sample(docs, labels)), min_words, repeat_percent)
+    return judged.where("kept").select("_along.*")

@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 
 #: Labelled rows of each class to learn from, and tokens the model keeps: bounds on the model, not on the rows scored.
 SAMPLE_PER_CLASS, MODEL_TOKENS = 8000, 20000
-#: Pseudo-tokens of the prior, least z-score of a token that counts, letters of a stem and least forms of it.
-PRIOR, LEAST_Z, STEM, FORMS = 500.0, 4.0, 4, 3
+#: Texts that the prior lends a token, least z-score of a token that counts, least forms of a stem; letters of a stem, of
+#: which the longest known counts.
+PRIOR, LEAST_Z, FORMS = 1.0, 3.0, 3
+STEMS = (8, 7, 6, 5, 4)
 #: What a token without evidence costs a segment.
 DRIFT = -1.0
 SIGNIFICANT, THRESHOLD = 0.01, 0.3
@@ -79,27 +81,30 @@ class _Scores(dict):
         m = self.model
         value = m.words.get(word)
         if value is None:
-            value = m.stems.get(word[:STEM], DRIFT) if len(word) > STEM else DRIFT
+            value = next((m.stems[word[:n]] for n in STEMS if len(word) > n and word[:n] in m.stems), DRIFT)
         self[word] = value
         return value
 
 
-def passages(text: str | None, model: Model, scores: _Scores | None = None) -> tuple[list[tuple[int, int, float]], int]:
-    """Significant segments (first word, stop, bits above chance) and the number of words."""
+def weighed(text: str | None, model: Model, scores: _Scores | None = None) -> list[tuple[int, int, float]]:
+    """All maximal segments (first word, stop, bits): how many bits each lies above the best that clean text of as many words
+    is to be expected to hold."""
     scores = scores if scores is not None else _Scores(model)
-    found = tokens(text)
-    values = list(map(scores.__getitem__, found))
+    values = list(map(scores.__getitem__, tokens(text)))
     if not any(v > 0 for v in values):
-        return [], len(found)
-    chance = math.log(max(model.scale * len(found), 1e-9))
-    out = [(a, b, (model.decay * s - chance) / math.log(2)) for a, b, s in segments(values)]
-    return [(a, b, bits) for a, b, bits in out if bits > -math.log2(SIGNIFICANT)], len(found)
+        return []
+    chance = math.log(max(model.scale * len(values), 1e-9))
+    return [(a, b, (model.decay * s - chance) / math.log(2)) for a, b, s in segments(values)]
 
 
-def signals(text: str | None, model: Model, scores: _Scores | None = None) -> tuple[float, float]:
-    """What the calibration weighs: the strongest passage and all of them, damped."""
-    found, _ = passages(text, model, scores)
-    return (math.log1p(max(b for *_, b in found)), math.log1p(len(found))) if found else (0.0, 0.0)
+def significant(found: list[tuple[int, int, float]]) -> list[tuple[int, int, float]]:
+    return [x for x in found if x[2] > -math.log2(SIGNIFICANT)]
+
+
+def signals(found: list[tuple[int, int, float]]) -> tuple[float, float]:
+    """What the calibration weighs: the strongest segment, and the sum over all that are above chance."""
+    bits = [b for *_, b in found if b > 0]
+    return (math.log1p(max(bits)), math.log1p(sum(bits))) if bits else (0.0, 0.0)
 
 
 def probability(x: tuple[float, float], weights: tuple[float, float, float]) -> float:
@@ -119,42 +124,44 @@ def held_out(doc_id):
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of each class that hold a word: a word said over and over counts once a text."""
     for batch in batches:
-        total: dict[int, Counter] = {0: Counter(), 1: Counter()}
         texts: dict[int, Counter] = {0: Counter(), 1: Counter()}
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-            found = tokens(text)
-            total[toxic].update(found)
-            texts[toxic].update(set(found))
-        words = list(total[0].keys() | total[1].keys())
-        columns = [pa.array([c[w] for w in words], pa.int64()) for c in (total[0], total[1], texts[0], texts[1])]
-        yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), *columns], names=["word", "clean", "toxic", "clean_texts", "toxic_texts"])
+            texts[toxic].update(set(tokens(text)))
+        words = list(texts[0].keys() | texts[1].keys())
+        yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), *(pa.array([texts[c][w] for w in words], pa.int64()) for c in (0, 1))], names=["word", "clean", "toxic"])
 
 
 def log_odds(toxic: float, clean: float, all_toxic: float, all_clean: float, prior: float = PRIOR) -> tuple[float, float]:
-    """Log-odds and their z-score under a Dirichlet prior in proportion to the token's overall frequency."""
-    a = prior * (toxic + clean) / max(all_toxic + all_clean, 1.0)
-    value = math.log((toxic + a) / (all_toxic + prior - toxic - a)) - math.log((clean + a) / (all_clean + prior - clean - a))
-    return value, value / math.sqrt(1 / (toxic + a) + 1 / (clean + a))
+    """Log-odds under a Dirichlet prior that gives each class ``prior`` texts in proportion to the class's share, and their
+    z-score."""
+    share = all_toxic / (all_toxic + all_clean)
+    value = math.log((toxic + prior * share) / all_toxic) - math.log((clean + prior * (1 - share)) / all_clean)
+    return value, value / math.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, model_tokens: int = MODEL_TOKENS) -> Model:
     """Learn from the labelled rows that aren't held out. Without toxic or without clean rows the model scores all low."""
-    rows = training_rows(docs, labels, per_class)
-    counts = rows.mapInArrow(_counted, "word string, clean long, toxic long, clean_texts long, toxic_texts long").groupBy("word").agg(*(F.sum(c).alias(c) for c in ("clean", "toxic", "clean_texts", "toxic_texts")))
+    every = training_rows(docs, labels, per_class)
+    # One row in three calibrates what the others teach, else chance finds would look certain.
+    apart = F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(3)) == 0
+    counts = every.where(~apart).select("text", "toxic").mapInArrow(_counted, "word string, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     counts = counts.persist()
     try:
         size = counts.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).first()
         if not size.clean or not size.toxic:
             return Model()
-        top = lambda d: d.where("toxic_texts >= 2 and toxic * {:f} > clean * {:f}".format(size.clean, size.toxic)).orderBy(F.desc("toxic_texts"), "clean", "word").limit(model_tokens).collect()
+        top = lambda d: d.where("toxic >= 2 and toxic * {:f} > clean * {:f}".format(size.clean, size.toxic)).orderBy(F.desc("toxic"), "clean", "word").limit(model_tokens).collect()
         words = {r.word: log_odds(r.toxic, r.clean, size.toxic, size.clean) for r in top(counts)}
-        stems = counts.where(F.length("word") > STEM).groupBy(F.substring("word", 1, STEM).alias("word")).agg(*(F.sum(c).alias(c) for c in ("clean", "toxic", "toxic_texts")), F.count_if(F.col("toxic") > 0).alias("forms"))
+        cut = F.explode(F.filter(F.array(*map(F.lit, STEMS)), lambda n: F.length("word") > n))
+        stems = counts.select("*", cut.alias("letters")).groupBy(F.expr("substring(word, 1, letters)").alias("word")).agg(*(F.sum(c).alias(c) for c in ("clean", "toxic")), F.count_if(F.col("toxic") > 0).alias("forms"))
         beginnings = {r.word: log_odds(r.toxic, r.clean, size.toxic, size.clean) for r in top(stems.where(F.col("forms") >= FORMS))}
     finally:
         counts.unpersist()
     good = lambda d: {w: min(v, 12.0) for w, (v, z) in d.items() if z >= LEAST_Z and v > 2.0}
     model = Model(words=good(words), stems=good(beginnings))
+    rows = every.where(apart)
     sampled = rows.select("text", "toxic").mapInArrow(_peaks(model), "toxic int, words long, peak double")
     peaks = sampled.collect()  # 2 * per_class rows of three numbers
     model = _with_extremes(model, [(r.words, r.peak) for r in peaks if r.toxic == 0])
@@ -179,7 +186,7 @@ def _signals(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = _Scores(model)
         for batch in batches:
-            x = [signals(t, model, scores) for t in batch.column("text").to_pylist()]
+            x = [signals(weighed(t, model, scores)) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(batch.column("toxic").to_pylist(), pa.int32()), pa.array([a for a, _ in x], pa.float64()), pa.array([b for _, b in x], pa.float64())], names=["toxic", "first", "second"])
 
     return run
@@ -231,10 +238,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 part = batch.slice(at, 256)
                 values, found = [], []
                 for text in part.column("text").to_pylist():
-                    segs, _ = passages(text, model, scores)
-                    x = (math.log1p(max(b for *_, b in segs)), math.log1p(len(segs))) if segs else (0.0, 0.0)
-                    values.append(probability(x, model.weights))
-                    found.append([dict(zip(names, s, strict=True)) for s in segs])
+                    every = weighed(text, model, scores)
+                    values.append(probability(signals(every), model.weights))
+                    found.append([dict(zip(names, s, strict=True)) for s in significant(every)])
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(values, pa.float64()), pa.array(found, kind)], names=["doc_id", "score", "passages"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double, passages array<struct<start:int,stop:int,bits:double>>")
