@@ -222,4 +222,5 @@ def _judged(measured: DataFrame, rules: list[Rule], min_words: int, repeat_perce
 def kept(docs: DataFrame, labels: DataFrame, min_words: int = 50, repeat_percent: int = 50) -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, with their columns as they are, in one pass without a join."""
     judged = _judged(statistics(docs, keep=tuple(docs.columns)), learn(sample(docs, labels)), min_words, repeat_percent)
-    return judged.where("kept").select("_along.*")
+    # The row number keeps the filter above the statistics: pushed below them, it would hold their expressions many times over.
+    return judged.withColumn("_row", F.monotonically_increasing_id()).where("kept and _row >= 0").select("_along.*")
