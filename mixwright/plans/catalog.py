@@ -1,4 +1,9 @@
-"""Named queries and the same as SQL."""
+"""Named queries and the same as SQL, gathered from the modules of this folder."""
 
-QUERIES = {}
-ORACLE = {}
+from mixwright.plans import media_queries, table_queries
+from mixwright.plans.media_queries import flagship
+
+QUERIES = media_queries.QUERIES | table_queries.QUERIES
+ORACLE = media_queries.ORACLE | table_queries.ORACLE
+
+__all__ = ["QUERIES", "ORACLE", "flagship"]
