@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,9 +29,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and cut its lineage, so that a lost executor costs a reread and not a recomputation."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as Parquet to the shared folder and read it again: a lost executor costs a reread and not a recomputation.
+
+    A table has no more than its schema and size; DataFrame.checkpoint() also keeps the constraints that the optimizer infers,
+    which grow with every round of a loop until planning takes most of the time and of the driver's memory.
+    """
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
