@@ -11,22 +11,26 @@ from mixwright.llm.common import checkpoint
 def components(edges: DataFrame) -> DataFrame:
     """``edges`` (a, b) -> node, component, a row for each node that has an edge; component is the least node of its component.
 
-    Every round each node takes the least label among its own, its neighbours' and its label's label, so that chains shorten
-    by half. Rounds are written to the checkpoint folder; the number of rounds grows with the logarithm of a chain's length.
+    Every round contracts: each node moves to the neighbour that a hash, another one each round, ranks least, if that is below
+    its own; edges move with their ends, and loops and repeats go. Edges fall by a constant factor a round, so all rounds
+    together read little more than the first. The moves are then composed from the last round back.
     Edges with a null end and loops are left out; repeated edges count once.
     """
-    clean = edges.where("a is not null and b is not null and a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = checkpoint(clean.select("a", "b").unionByName(clean.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-    labels = links.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("label")).withColumnRenamed("a", "node")
-    if links.isEmpty():
-        return labels.select("node", F.col("label").alias("component"))
-    labels = checkpoint(labels)
-    while True:
-        seen = links.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        nearer = labels.join(seen, "node").select("node", "label", F.least("label", "near").alias("next"))
-        # Pointer jumping: the label of the new label.
-        jump = labels.select(F.col("node").alias("next"), F.col("label").alias("far"))
-        step = checkpoint(nearer.join(jump, "next").select("node", "label", F.least("next", "far").alias("next")))
-        if step.where("label <> next").isEmpty():
-            return step.select("node", F.col("next").alias("component"))
-        labels = step.select("node", F.col("next").alias("label"))
+    tidy = lambda pairs: pairs.where("a is not null and b is not null and a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    left, moves = checkpoint(tidy(edges)), []
+    while not left.isEmpty():
+        rank = lambda node, turn=len(moves): F.struct(F.xxhash64(F.lit(turn), F.col(node)).alias("hash"), F.col(node).alias("node"))
+        sides = left.select(F.col("a").alias("node"), rank("b").alias("near")).unionByName(left.select(F.col("b").alias("node"), rank("a").alias("near")))
+        nearest = sides.groupBy("node").agg(F.min("near").alias("near"))
+        moved = checkpoint(nearest.select("node", F.when(F.col("near") < rank("node"), F.col("near.node")).otherwise(F.col("node")).alias("goal")))
+        moves.append(moved)
+        ends = left.join(moved.select(F.col("node").alias("a"), F.col("goal").alias("to_a")), "a").join(moved.select(F.col("node").alias("b"), F.col("goal").alias("to_b")), "b")
+        left = checkpoint(tidy(ends.select(F.col("to_a").alias("a"), F.col("to_b").alias("b"))))
+    if not moves:
+        return left.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    last = moves.pop()
+    while moves:
+        further = last.select(F.col("node").alias("goal"), F.col("goal").alias("end"))
+        last = moves.pop().join(further, "goal", "left").select("node", F.coalesce("end", "goal").alias("goal"))
+    last = checkpoint(last)
+    return last.join(last.groupBy("goal").agg(F.min("node").alias("component")), "goal").select("node", "component")
