@@ -3,7 +3,7 @@
 A lenient pass turns each page into blocks of text with the hashes of the element subtrees they stand in. Spark counts on how
 many pages of its host every subtree stands; subtrees on many pages are the site's template and are deleted. Elements whose
 role is plain from their tag or class (menus, footers, adverts, comments, scripts) go too, and where a page marks its article,
-that is the text.
+that is the text, without the boxes that recur in most articles of the host.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mixwright.llm.common import checkpoint, salted_join
@@ -22,6 +22,8 @@ from mixwright.llm.url_filter import host
 
 #: A subtree is template on this many pages of a host at least, and on this share of them.
 LEAST_PAGES, LEAST_SHARE = 5, 0.02
+#: A box inside marked articles is template on LEAST_PAGES different articles of a host at least, and on this share of them.
+ARTICLE_SHARE = 0.5
 #: Elements that hold no running text, by tag; and elements without content.
 SKIPPED = frozenset("script style noscript template nav header footer aside form button select textarea option label fieldset svg math iframe object embed canvas audio video map dialog menu head title figure-caption".split())
 RAW = frozenset(("script", "style", "textarea", "title", "noscript", "iframe", "xmp"))
@@ -31,6 +33,8 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 CLOSES = {"p": frozenset(("p",)), "li": frozenset(("li", "p")), "dt": frozenset(("dt", "dd", "p")), "dd": frozenset(("dt", "dd", "p")), "tr": frozenset(("tr", "td", "th", "p")), "td": frozenset(("td", "th", "p")), "th": frozenset(("td", "th", "p")), "option": frozenset(("option",))}
 #: A block's start tag ends an open paragraph.
 ENDS_P = frozenset("address article aside blockquote center details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol pre section table ul".split())
+#: Running text: inside an article these are no boxes, so that a paragraph that articles share (a licence) stays.
+RUNNING = INLINE | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr td th thead tbody tfoot caption figcaption blockquote pre article main".split())
 #: Words of class, id and role that say an element isn't article text.
 NOISE = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|newsletter|subscribe|signup|login|comments?|commentlist|disqus|replies|respond|"
@@ -68,7 +72,8 @@ def _is_noise(tag: str, attributes: dict[str, str]) -> bool:
 
 def blocks(page: str | None) -> list[tuple[str, bool, bool, list[int]]]:
     """The blocks of a page in order: text, whether it stands in an element of a noise role, whether in the marked article,
-    and the hashes of the subtrees it stands in, the innermost first. Tags may be unclosed, cut off or out of order."""
+    and the hashes of the subtrees it stands in, the innermost first: all of them, or inside the marked article its boxes.
+    Tags may be unclosed, cut off or out of order."""
     page = page or ""
     stack = [_Element("", False, False)]
     out: list[tuple[str, bool, bool, list[_Element]]] = []
@@ -147,45 +152,59 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool, list[int]]]:
             at = end.end() if end else size
     flush()
     close(1)
-    return [(text, noise, main, [int.from_bytes(e.digest, "little", signed=True) for e in reversed(chain)]) for text, noise, main, chain in out]
+    return [(text, noise, main, [int.from_bytes(e.digest, "little", signed=True) for e in reversed(_boxes(chain) if main else chain)]) for text, noise, main, chain in out]
 
 
-_SEGMENTS = pa.list_(pa.struct([("text", pa.string()), ("noise", pa.bool_()), ("main", pa.bool_()), ("trees", pa.list_(pa.int64()))]))
-_SEGMENTS_SQL = "array<struct<text:string,noise:boolean,main:boolean,trees:array<bigint>>>"
+def _boxes(chain: list[_Element]) -> list[_Element]:
+    """The elements of a block's chain inside its marked article that aren't running text."""
+    first = next(i for i, e in enumerate(chain) if e.main)
+    return [e for e in chain[first + 1 :] if e.tag not in RUNNING]
 
 
-def _parsed(whole: bool):
-    """Blocks of pages. Without ``whole`` only the trees that may be template: those outside a marked article."""
+_SEGMENTS = pa.list_(pa.struct([("text", pa.string()), ("trees", pa.list_(pa.int64()))]))
+_SEGMENTS_SQL = "array<struct<text:string,trees:array<bigint>>>"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                pages = [blocks(h) for h in part.column("html").to_pylist()]
-                if whole:
-                    values = pa.array([_wanted(p) for p in pages], _SEGMENTS)
-                    yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("page_id", "url", "host")), values], names=["page_id", "url", "host", "blocks"])
-                else:
-                    trees = [sorted({t for _, _, main, chain in p if not main for t in chain[:-2] or chain[:1]}) for p in pages]
-                    yield pa.RecordBatch.from_arrays([part.column("host"), pa.array(trees, pa.list_(pa.int64()))], names=["host", "trees"])
 
-    return run
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            pages = [blocks(h) for h in part.column("html").to_pylist()]
+            wanted = [_wanted(p) for p in pages]
+            outside = [sorted({t for _, _, main, chain in p if not main for t in chain[:-2] or chain[:1]}) for p in pages]
+            yield pa.RecordBatch.from_arrays(
+                [*(part.column(c) for c in ("page_id", "url", "host")), pa.array([w for w, _ in wanted], _SEGMENTS), pa.array([a for _, a in wanted], pa.int64()), pa.array(outside, pa.list_(pa.int64()))],
+                names=["page_id", "url", "host", "blocks", "article", "outside"],
+            )
 
 
-def _wanted(page: list[tuple[str, bool, bool, list[int]]]) -> list[dict]:
-    """The blocks that can be text of the page: those in its marked article, whose trees no template takes, or, without
-    one, all of no noise role with their trees (the page and its body apart)."""
+def _wanted(page: list[tuple[str, bool, bool, list[int]]]) -> tuple[list[dict], int | None]:
+    """The blocks that can be text of the page: those in its marked article with its boxes, or, without one, all of no noise
+    role with their trees (the page and its body apart); and a hash of the marked article's text, None without one."""
     marked = any(main and not noise for _, noise, main, _ in page)
-    return [{"text": text, "noise": noise, "main": main, "trees": [] if marked else (trees[:-2] or trees[:1])} for text, noise, main, trees in page if not noise and main == marked]
+    kept = [{"text": text, "trees": trees if marked else (trees[:-2] or trees[:1])} for text, noise, main, trees in page if not noise and main == marked]
+    if not marked:
+        return kept, None
+    digest = hashlib.blake2b("\0".join(b["text"] for b in kept).encode("utf-8", "surrogatepass"), digest_size=8).digest()
+    return kept, int.from_bytes(digest, "little", signed=True)
 
 
-def templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """(host, tree): subtrees outside marked articles that stand on at least ``least_pages`` pages of a host and on
-    ``least_share`` of its pages. A tree counts once a page."""
-    trees = pages.select("host", "html").mapInArrow(_parsed(False), "host string, trees array<long>")
-    counted = trees.select("host", F.explode("trees").alias("tree")).groupBy("host", "tree").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages)
-    sizes = pages.groupBy("host").agg(F.count("*").alias("pages"))
-    return counted.join(sizes, "host").where(F.col("n") >= least_share * F.col("pages")).select("host", "tree")
+def templates(parsed: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE, article_share: float = ARTICLE_SHARE) -> DataFrame:
+    """(host, inside, tree): subtrees outside marked articles that stand on at least ``least_pages`` pages of a host and on
+    ``least_share`` of its pages; and boxes inside them that stand in at least ``least_pages`` different articles of a host
+    and in ``article_share`` of these. A tree counts once a page, copies of an article count once."""
+    counted = parsed.select("host", F.explode("outside").alias("tree")).groupBy("host", "tree").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages)
+    sizes = parsed.groupBy("host").agg(F.count("*").alias("pages"))
+    outside = counted.join(sizes, "host").where(F.col("n") >= least_share * F.col("pages")).select("host", F.lit(False).alias("inside"), "tree")
+    articles = parsed.where("article is not null")
+    boxes = articles.select("host", "article", F.explode(_trees()).alias("tree")).distinct().groupBy("host", "tree").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages)
+    different = articles.select("host", "article").distinct().groupBy("host").agg(F.count("*").alias("articles"))
+    inside = boxes.join(different, "host").where(F.col("n") >= article_share * F.col("articles")).select("host", F.lit(True).alias("inside"), "tree")
+    return outside.unionByName(inside)
+
+
+def _trees() -> Column:
+    return F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["trees"])))
 
 
 def extract(pages: DataFrame, salts: int = 32, **settings) -> DataFrame:
@@ -196,17 +215,16 @@ def extract(pages: DataFrame, salts: int = 32, **settings) -> DataFrame:
     and count each towards a template. Whole pages are read; extra columns are ignored; an empty table gives no rows.
     """
     base = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"), host(F.col("url")).alias("host"))
-    schema = f"page_id {dict(pages.dtypes)['page_id']}, url string, host string, blocks {_SEGMENTS_SQL}"
-    found = base.mapInArrow(_parsed(True), schema)
+    schema = f"page_id {dict(pages.dtypes)['page_id']}, url string, host string, blocks {_SEGMENTS_SQL}, article long, outside array<bigint>"
+    # Pages are parsed once: what they hold of text and trees is kept.
+    parsed = checkpoint(base.mapInArrow(_parsed, schema).withColumn("row", F.monotonically_increasing_id()))
+    # Each tree is looked up among the host's template. Hosts may be large, so a host's trees are dealt over tasks with the
+    # template repeated as often. Pages whose text stands in no tree have nothing to look up.
     open_ = F.exists("blocks", lambda b: F.size(b["trees"]) > 0)
-    text = lambda parts: F.array_join(F.transform(parts, lambda b: b["text"]), " ")
-    done = found.where(~open_).select("page_id", "url", text("blocks").alias("text"))
-    # Pages without a marked article: each tree of theirs is looked up among the host's template. Hosts may be large, so a
-    # host's trees are dealt over tasks with the template repeated as often.
-    rest = found.where(open_).select(F.monotonically_increasing_id().alias("row"), "page_id", "url", "host", "blocks")
-    rest = checkpoint(rest)
-    asked = rest.select("row", "host", F.explode(F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["trees"])))).alias("tree"))
-    hits = salted_join(asked, templates(base, **settings), ["host", "tree"], F.col("row"), salts).groupBy("row").agg(F.collect_set("tree").alias("gone"))
+    rest = parsed.where(open_)
+    asked = rest.select("row", "host", F.col("article").isNotNull().alias("inside"), F.explode(_trees()).alias("tree"))
+    hits = salted_join(asked, templates(parsed, **settings), ["host", "inside", "tree"], F.col("row"), salts).groupBy("row").agg(F.collect_set("tree").alias("gone"))
     kept = F.filter("blocks", lambda b: F.col("gone").isNull() | ~F.arrays_overlap(b["trees"], F.col("gone")))
+    text = lambda parts: F.array_join(F.transform(parts, lambda b: b["text"]), " ")
     cleared = rest.join(hits, "row", "left").select("page_id", "url", text(kept).alias("text"))
-    return done.unionByName(cleared).withColumn("n_chars", F.length("text").cast("long"))
+    return parsed.where(~open_).select("page_id", "url", text("blocks").alias("text")).unionByName(cleared).withColumn("n_chars", F.length("text").cast("long"))

@@ -77,6 +77,16 @@ def test_article_text_that_recurs_stays(spark):
     assert {r.text for r in html_text.extract(_pages(spark, rows)).collect()} == {f"The same licence text. No {i}" for i in range(20)}
 
 
+def test_boxes_that_recur_in_articles_go(spark):
+    page = lambda i, story: (i, f"http://h.org/{i}", f"<body><article><div class=c><p>{story}</p><p>Shared licence.</p><div class=k1>Join <b>our</b> list</div></div><section class=k2><p>Open all week</p></section></article></body>")
+    copies = [(100 + i, f"http://copies.org/{i}", "<body><article><div class=c>Copy</div></article></body>") for i in range(20)]
+    rare = [(200 + i, f"http://rare.org/{i}", f"<body><article><p>No {i}</p>{'<div>Box of some</div>' if i < 6 else ''}</article></body>") for i in range(20)]
+    got = {r.page_id: r.text for r in html_text.extract(_pages(spark, [page(i, f"Story {i}") for i in range(20)] + copies + rare)).collect()}
+    assert all(got[i] == f"Story {i} Shared licence." for i in range(20))
+    assert all(got[100 + i] == "Copy" for i in range(20))
+    assert all(got[200 + i] == f"No {i}" + (" Box of some" if i < 6 else "") for i in range(20))
+
+
 def test_query_takes_the_article_of_every_page(spark, sf_dir):
     import re
     from html import unescape
