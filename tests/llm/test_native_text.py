@@ -106,5 +106,20 @@ def test_random_tokens_are_found_and_words_are_not(spark):
     assert not any(got[i] for i in range(100, 200))
 
 
+def test_random_values_right_behind_an_equals_sign_are_found(spark):
+    import random
+
+    rng = random.Random(2)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    forms = ["aws_secret_access_key={}", "AUTH={}", "https://a.example/get?sig={}&x=1", "client_key={}=="]
+    rows = [(i, "export " + forms[i % 4].format("".join(rng.choice(alphabet) for _ in range(40)))) for i in range(40)]
+    rows += [(100 + i, f"see page?title={w}&x=1") for i, w in enumerate(["internationalisierungsbestrebungen", "a-rather-long-hyphenated-slug-in-a-link"] * 20)]
+    got = {r.doc_id: r.found for r in secrets.scan(docs(spark, rows)).collect()}
+    for form in range(4):
+        hits = [i for i in range(form, 40, 4) if any(m["value"].rstrip("=") in rows[i][1] and len(m["value"].rstrip("=")) == 40 for m in got[i])]
+        assert len(hits) >= 7, (form, hits)
+    assert not any(got[i] for i in range(100, 140))
+
+
 def test_scan_of_an_empty_table(spark):
     assert secrets.scan(docs(spark, [])).count() == 0
