@@ -41,6 +41,11 @@ NOISE = re.compile(
     r"sidebar|widget|related|recommended|share|sharing|social|breadcrumbs?|pagination|pager|menu|navbar|nav|navigation|toolbar|masthead|header|footer|copyright|skip-link|search)(?:$|[\s_-])",
     re.I,
 )
+#: Of these, what holds articles of others (comments, teasers); and tags and roles that do. Any other noise around a marked
+#: article (class="has-sidebar", a form around the page) is a wrapper.
+APART = re.compile(r"(?:^|\s)(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo|comments?|commentlist|disqus|replies|respond|related|recommended|sidebar|widget|newsletter|popup|modal|footer)(?=$|[\s_-])(?!-(?:open|closed|enabled|disabled|layout|page)\b)", re.I)
+APART_TAGS = SKIPPED - frozenset(("form", "fieldset", "header", "label"))
+APART_ROLES = frozenset(("complementary", "contentinfo", "navigation", "dialog", "alert"))
 NOISE_ROLES = frozenset(("navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu", "menubar", "toolbar"))
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]*)))?")
@@ -48,10 +53,10 @@ _SPACE = re.compile(r"\s+")
 
 
 class _Element:
-    __slots__ = ("tag", "noise", "main", "parts", "blocks", "digest")
+    __slots__ = ("tag", "noise", "apart", "main", "parts", "blocks", "digest")
 
-    def __init__(self, tag: str, noise: bool, main: bool):
-        self.tag, self.noise, self.main = tag, noise, main
+    def __init__(self, tag: str, noise: bool, apart: bool, main: bool):
+        self.tag, self.noise, self.apart, self.main = tag, noise, apart, main
         self.parts: list[bytes] = []
         self.digest = b""
 
@@ -70,12 +75,26 @@ def _is_noise(tag: str, attributes: dict[str, str]) -> bool:
     return any(NOISE.search(attributes[k]) for k in ("class", "id") if attributes.get(k))
 
 
+def _is_apart(tag: str, attributes: dict[str, str]) -> bool:
+    """Whether an element of a noise role keeps that role for an article inside it."""
+    if tag in APART_TAGS or "hidden" in attributes or attributes.get("aria-hidden") == "true" or attributes.get("role", "").lower() in APART_ROLES:
+        return True
+    return any(APART.search(attributes[k]) for k in ("class", "id") if attributes.get(k))
+
+
+def _in_noise(stack: list[_Element]) -> bool:
+    """Whether the innermost element stands in noise. Inside a marked article only what is in it counts, and what around it
+    holds articles of others."""
+    inner = max((i for i, e in enumerate(stack) if e.main), default=-1)
+    return any(e.noise and (i > inner or e.apart) for i, e in enumerate(stack))
+
+
 def blocks(page: str | None) -> list[tuple[str, bool, bool, list[int]]]:
     """The blocks of a page in order: text, whether it stands in an element of a noise role, whether in the marked article,
     and the hashes of the subtrees it stands in, the innermost first: all of them, or inside the marked article its boxes.
     Tags may be unclosed, cut off or out of order."""
     page = page or ""
-    stack = [_Element("", False, False)]
+    stack = [_Element("", False, False, False)]
     out: list[tuple[str, bool, bool, list[_Element]]] = []
     piece: list[str] = []
 
@@ -84,7 +103,7 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool, list[int]]]:
             text = _SPACE.sub(" ", "".join(piece)).strip()
             piece.clear()
             if text:
-                out.append((text, any(e.noise for e in stack), any(e.main for e in stack), stack[1:]))
+                out.append((text, _in_noise(stack), any(e.main for e in stack), stack[1:]))
                 stack[-1].parts.append(text.encode("utf-8", "surrogatepass"))
 
     def close(depth: int) -> None:
@@ -142,7 +161,7 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool, list[int]]]:
         if noisy and tag in INLINE:
             flush()
         main = tag in ("article", "main") or attributes.get("role", "").lower() == "main" or attributes.get("itemprop", "") == "articleBody"
-        stack.append(_Element(tag, noisy, main))
+        stack.append(_Element(tag, noisy, noisy and _is_apart(tag, attributes), main))
         if m[3].rstrip().endswith("/") and tag not in INLINE and tag in ("svg", "path"):
             close(len(stack) - 1)
         elif tag in RAW:

@@ -87,6 +87,15 @@ def test_boxes_that_recur_in_articles_go(spark):
     assert all(got[200 + i] == f"No {i}" + (" Box of some" if i < 6 else "") for i in range(20))
 
 
+def test_wrappers_of_an_article_are_no_noise(spark):
+    article = '<article><p>Main text</p><div class="share">Tell all</div></article>'
+    wraps = ['<div class="site has-sidebar">{}</div>', '<main><h1>Top</h1><div class="layout-sidebar-right">{}</div></main>', "<form>{}</form>", '<div id="search-page"><div class="single header-fixed">{}</div></div>']
+    others = '<div class="comments"><article>me too</article></div><aside><article>teaser</article></aside><div class="related-posts"><article>more</article></div>'
+    rows = [(i, f"http://h{i}.org/", f"<body>{w.format(article + others)}</body>") for i, w in enumerate(wraps)]
+    got = {r.page_id: r.text for r in html_text.extract(_pages(spark, rows)).collect()}
+    assert got == {0: "Main text", 1: "Top Main text", 2: "Main text", 3: "Main text"}
+
+
 def test_query_takes_the_article_of_every_page(spark, sf_dir):
     import re
     from html import unescape
