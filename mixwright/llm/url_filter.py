@@ -53,11 +53,23 @@ def alias_key(url: Column) -> Column:
     return F.when(bare != "", F.concat(bare, F.lit("/"), F.regexp_replace(short, r"^/+", "")))
 
 
+def resolved(target: Column, base: Column) -> Column:
+    """``target`` of a link in the page at url ``base`` as a url with a scheme: //host/path, /path, and paths from the page's
+    folder with . and .. in them. Targets of the page itself (query or fragment only) give the page. A <base> tag isn't read."""
+    inside = F.regexp_extract(target, "(?s)^[^?#]*", 0)
+    folder = F.regexp_extract(path(base), "(?s)^.*/", 0)
+    joined = F.when(inside == "", path(base)).when(inside.startswith("/"), inside).otherwise(F.concat(F.when(folder == "", "/").otherwise(folder), inside))
+    step = lambda a, p: F.when(p == "..", F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.lit(0)))).when(p == ".", a).otherwise(F.concat(a, F.array(p)))
+    walked = F.array_join(F.aggregate(F.split(F.regexp_replace(joined, "^/", ""), "/"), F.array().cast("array<string>"), step), "/")
+    return F.when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), target).when(target.startswith("//"), F.concat(F.lit("http:"), target)).otherwise(F.concat(F.lit("http://"), host(base), F.lit("/"), walked))
+
+
 def edges(pages: DataFrame) -> DataFrame:
-    """(a, b): alias keys that a canonical link or a refresh redirect in a page's html joins. Relative targets join nothing new."""
+    """(a, b): alias keys that a canonical link or a refresh redirect in a page's html joins. Relative targets are resolved
+    against the page's url."""
     targets = F.concat(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(CANONICAL), F.lit(1)), F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(REFRESH), F.lit(1)))
-    found = pages.where(F.col("html").contains("<link") | F.col("html").contains("<meta")).select(alias_key(F.col("url")).alias("a"), F.explode(targets).alias("to"))
-    return found.select("a", alias_key(F.col("to")).alias("b")).where("a is not null and b is not null and a <> b").distinct()
+    found = pages.where(F.col("html").rlike("(?i)<(?:link|meta)")).select("url", alias_key(F.col("url")).alias("a"), F.explode(targets).alias("to"))
+    return found.select("a", alias_key(resolved(F.col("to"), F.col("url"))).alias("b")).where("a is not null and b is not null and a <> b").distinct()
 
 
 def judge(pages: DataFrame, links: DataFrame | None = None, rules: tuple[UrlRule, ...] = RULES) -> DataFrame:

@@ -109,5 +109,15 @@ def test_url_rules_and_aliases(spark):
     assert said[14] == (None, "allow") and said[15] == ("net/", "block") and said[16] == ("org/fr/", "allow")
 
 
+def test_relative_targets_and_capital_tags_join(spark):
+    forms = [
+        '<link rel=canonical href="/de/x">', '<link rel=canonical href="//example.com/de/x">', '<link rel=canonical href="../de/./x.html?q=1">', '<LINK REL=canonical HREF="http://www.example.com/de/x">',
+        '<META HTTP-EQUIV=refresh CONTENT="0; URL=/de/x#y">', '<link rel=canonical href="/go?to=http://example.com/de/x">', '<link rel=canonical href="?page=2">', '<link rel=canonical href="mailto:a@b.c">',
+    ]
+    rows = [(i, f"http://example.com/old{i}/x", f) for i, f in enumerate(forms)] + [(100, "http://example.com/de/x", ""), (101, "http://example.com", "<link rel=canonical href=de/x>")]
+    got = {r.page_id: r.verdict for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {**{i: "block" if i < 5 else "allow" for i in range(8)}, 100: "block", 101: "block"}
+
+
 def test_url_filter_of_an_empty_table(spark):
     assert url_filter.judge(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
