@@ -2,15 +2,14 @@
 
 Exact copies are put together first. Each different text is sketched: of its occurrence-labelled five-word shingles every
 sketch takes the ``ELL`` with the least hash and keeps them in text order. Texts that agree in a sketch meet in a bucket; the
-first of a bucket is aligned with the others (word edit distance in a band), and those it doesn't reach go on to a new bucket
-of their own. Links between texts are closed to classes by connected components.
+first of a bucket is aligned with the others (word edit distance in a band), and where it doesn't reach them all, every text of
+the bucket is compared with every other. Links between texts are closed to classes by connected components.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,11 +21,8 @@ from mixwright.llm.common import checkpoint
 from mixwright.llm.components import components
 
 SHINGLE, ELL, SKETCHES, SIMILARITY = 5, 2, 16, 0.8
-#: From this round on, texts that no bucket's first reached are sketched anew without the shingles that at least COMMON of
-#: them hold (passages that unlike texts share), unless under LEFT of a text would stay.
-REFINE, COMMON, LEFT = 3, 12, 0.2
-#: From then on, buckets of so few texts and bytes are used up in one task instead of a round for each first.
-FEW, FEW_BYTES = 32, 4_000_000
+#: Buckets are compared in blocks of about so many texts and bytes, each pair of blocks in one task; so many words at once.
+BLOCK, BLOCK_BYTES, COLUMNS = 512, 1_000_000, 2048
 #: Pairs that one text takes part in as the first are dealt over tasks in lots of this many.
 LOT = 64
 
@@ -194,83 +190,93 @@ def _first(buckets: DataFrame) -> DataFrame:
     return buckets.join(heads, "key").where("doc_id > a").select("key", "a", F.col("doc_id").alias("b"))
 
 
-def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
-            found = [shingles(np.frombuffer(w, np.uint32).astype(np.uint64)).view(np.int64) for w in part.column("words").to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "shingles"])
-
-
-def _resketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [sketch(np.array(s, np.int64).view(np.uint64)) for s in batch.column("shingles").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "sketches"])
-
-
-def _anew(ids: DataFrame, tokens: DataFrame) -> DataFrame:
-    """(key, doc_id) of the texts ``ids`` by their less common shingles."""
-    held = checkpoint(tokens.join(ids, "doc_id").mapInArrow(_shingled, "doc_id long, shingles array<long>"))
-    each = held.select("doc_id", F.posexplode("shingles").alias("at", "shingle"))
-    common = each.groupBy("shingle").count().where(F.col("count") >= COMMON).select("shingle", F.lit(True).alias("common"))
-    rare = each.join(common, "shingle", "left").where("common is null").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("at", "shingle"))).alias("rare"))
-    enough = F.size("rare") >= F.greatest(LEFT * F.size("shingles"), F.lit(1.0))
-    chosen = held.join(rare, "doc_id", "left").select("doc_id", F.when(F.col("rare").isNotNull() & enough, F.transform("rare", lambda x: x["shingle"])).otherwise(F.col("shingles")).alias("shingles"))
-    return chosen.mapInArrow(_resketched, "doc_id long, sketches array<long>").select("doc_id", F.explode("sketches").alias("key"))
+def shared(texts: list[np.ndarray], n_left: int) -> np.ndarray:
+    """For each of the first ``n_left`` texts and each of the rest (of all, where there is no rest) the number of words that
+    both have, repeated words as often as in both."""
+    labelled = []
+    for w in texts:
+        w = np.sort(w).astype(np.uint64)
+        at = np.arange(w.size)
+        again = np.concatenate([[False], w[1:] == w[:-1]]) if w.size else np.zeros(0, bool)
+        labelled.append((w << np.uint64(32)) | (at - np.maximum.accumulate(np.where(again, 0, at))).astype(np.uint64) if w.size else w)
+    rows = np.repeat(np.arange(len(texts)), [w.size for w in labelled])
+    _, cols, counts = np.unique(np.concatenate(labelled), return_inverse=True, return_counts=True)
+    held = counts[cols] > 1
+    rows, cols = rows[held], cols[held]
+    _, cols = np.unique(cols, return_inverse=True)
+    order = np.argsort(cols, kind="stable")
+    rows, cols = rows[order], cols[order]
+    right = n_left if n_left < len(texts) else 0
+    out = np.zeros((n_left, len(texts) - right), np.float32)
+    for a in range(0, int(cols[-1]) + 1 if cols.size else 0, COLUMNS):
+        part = slice(*np.searchsorted(cols, [a, a + COLUMNS]))
+        has = np.zeros((len(texts), COLUMNS), np.float32)
+        has[rows[part], cols[part] - a] = 1
+        out += has[:n_left] @ has[right:].T
+    return out
 
 
-def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _linked(left: list[dict], right: list[dict]) -> list[tuple[int, int]]:
+    """Links between ``left`` and ``right`` (within ``left``, where ``right`` is empty) that join all that are similar. Pairs
+    that share too few words for it, or that links join already, aren't aligned."""
+    texts = left + right
+    found, parent = [], list(range(len(texts)))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    words_ = [np.frombuffer(t["words"], np.uint32) for t in texts]
+    sizes = np.array([w.size for w in words_])
+    start = len(left) if right else 0
+    longer = np.maximum(sizes[: len(left), None], sizes[None, start:])
+    near = shared(words_, len(left)) >= longer - ((1 - SIMILARITY) * longer + 1e-9).astype(np.int64)
+    for i, j in np.argwhere(near).tolist():
+        j += start
+        if i < j and root(i) != root(j) and similar(texts[i]["words"], texts[j]["words"]):
+            parent[root(j)] = root(i)
+            found.append((texts[i]["doc_id"], texts[j]["doc_id"]))
+    return found
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(batch.num_rows):
-            left, found = batch.slice(at, 1).column("texts").to_pylist()[0], []
-            while left:
-                first, *rest = left
-                left = []
-                for text in rest:
-                    if similar(first["words"], text["words"]):
-                        found.append((first["doc_id"], text["doc_id"]))
-                    else:
-                        left.append(text)
+            row = batch.slice(at, 1)
+            first, texts = row.column("i")[0].as_py(), row.column("texts").to_pylist()[0]
+            left, right = [t for t in texts if t["block"] == first], [t for t in texts if t["block"] != first]
+            found = _linked(left, right) if left and (right or row.column("j")[0].as_py() == first) else []
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
 
-def _settled(buckets: DataFrame, tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(key, doc_id) -> the links (a, b) of the buckets with at most FEW texts and FEW_BYTES, each used up from first to first;
-    and the rest of the buckets. Buckets of the same texts count once."""
+def _within(buckets: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(key, doc_id) -> links (a, b) that join all similar texts of each bucket, whatever its size. Buckets are dealt in
+    blocks, and every block meets every other of its bucket. Buckets of the same texts count once."""
     sized = buckets.join(tokens.select("doc_id", "bytes"), "doc_id")
-    sums = checkpoint(sized.groupBy("key").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).where("n > 1"))
-    small = (F.col("n") <= FEW) & (F.col("bytes") <= FEW_BYTES)
-    sets = buckets.join(sums.where(small).select("key"), "key").groupBy("key").agg(F.sort_array(F.collect_list("doc_id")).alias("ids")).select("ids").distinct()
-    texts = sets.select("ids", F.explode("ids").alias("doc_id")).join(tokens.select("doc_id", "words"), "doc_id")
-    grouped = texts.groupBy("ids").agg(F.sort_array(F.collect_list(F.struct("doc_id", "words"))).alias("texts"))
-    return checkpoint(grouped.select("texts").mapInArrow(_within, "a long, b long")), buckets.join(sums.where(~small).select("key"), "key")
+    mark = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), F.col("doc_id")))
+    sums = sized.groupBy("key").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"), mark(1).alias("x"), mark(2).alias("y"))
+    sets = checkpoint(sums.groupBy("n", "bytes", "x", "y").agg(F.min("key").alias("key")).select("key", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("bytes") / BLOCK_BYTES)).cast("int").alias("blocks")))
+    dealt = buckets.join(sets, "key").withColumn("block", F.pmod(F.xxhash64("doc_id", "key"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    texts = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id").join(tokens.select("doc_id", "words"), "doc_id")
+    grouped = texts.groupBy("key", "i", "j").agg(F.collect_list(F.struct("block", "doc_id", "words")).alias("texts"))
+    return checkpoint(grouped.select("i", "j", "texts").mapInArrow(_compared, "a long, b long"))
 
 
 def links(texts: DataFrame, docs: DataFrame) -> DataFrame:
     """``texts`` (doc_id, sketches): one row a different text -> (a, b), the verified links.
 
-    Rounds go on until every bucket is used up: a bucket's first text is aligned with the rest, and those that it doesn't
-    reach make the next round's bucket. Unlike texts that share a passage would make long rounds of it; from round ``REFINE``
-    on they are sketched by what they don't share with many, and small buckets are used up at once.
+    A bucket's first text is aligned with the rest, which ends most buckets: all are copies of it. In the others each text is
+    compared with each, those that the first has reached among them.
     """
     buckets = texts.select("doc_id", F.explode("sketches").alias("key"))
     pairs = checkpoint(_first(buckets))
     members = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
     tokens = checkpoint(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(members, "doc_id").mapInArrow(_tokens, "doc_id long, words binary").dropDuplicates(["doc_id"]).withColumn("bytes", F.length("words")))
-    found, turn = [], 1
-    while not pairs.isEmpty():
-        judged = checkpoint(_verified(pairs.select("a", "b").distinct(), tokens))
-        found.append(judged.where("near").select("a", "b"))
-        # Those that a bucket's first didn't reach stay in it without the first and the reached.
-        left = pairs.join(judged.where("not near").select("a", "b"), ["a", "b"]).select("key", F.col("b").alias("doc_id"))
-        turn += 1
-        if turn == REFINE:
-            left = checkpoint(_anew(left.select("doc_id").distinct(), tokens))
-        if turn >= REFINE:
-            settled, left = _settled(left, tokens)
-            found.append(settled)
-        pairs = checkpoint(_first(left))
-    return reduce(DataFrame.unionByName, found) if found else pairs.select("a", "b")
+    judged = checkpoint(_verified(pairs.select("a", "b").distinct(), tokens))
+    unlike = pairs.join(judged.where("not near").select("a", "b"), ["a", "b"]).select("key").distinct()
+    return judged.where("near").select("a", "b").unionByName(_within(checkpoint(buckets.join(unlike, "key")), tokens))
 
 
 def classes(docs: DataFrame) -> DataFrame:

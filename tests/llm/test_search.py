@@ -159,6 +159,40 @@ def test_a_large_bucket_of_unlike_texts_ends(spark):
     assert len({r.class_id for r in out}) == 63
 
 
+def test_pairs_in_buckets_of_a_shared_passage_are_found(spark):
+    rng = random.Random(11)
+    shared = _prose(rng, 150)
+    rows, pairs = [(i, f"{shared} {_prose(rng, 60)}") for i in range(40)], []
+    for g in range(20):
+        own = _prose(rng, 60).split()
+        copy = own[:]
+        for at in rng.sample(range(60), 24):  # similarity 0.886
+            copy[at] = f"zz{at}x{g}"
+        pairs.append((1000 + 2 * g, 1001 + 2 * g))
+        rows += [(pairs[-1][0], f"{shared} {' '.join(own)}"), (pairs[-1][1], f"{shared} {' '.join(copy)}")]
+    got = {r.doc_id: r.class_id for r in near_dedup.classes(docs(spark, rows)).collect()}
+    assert all(got[a] == got[b] == a for a, b in pairs)
+    assert all(got[i] == i for i in range(40))
+
+
+def test_texts_of_a_bucket_are_compared_with_those_its_first_reached():
+    rng = random.Random(12)
+    first = _prose(rng, 100).split()
+    second, third = first[:], first[:]
+    second[:18] = [f"y{i}" for i in range(18)]
+    third[:36] = second[:18] + [f"z{i}" for i in range(18)]
+    texts = [{"doc_id": i, "words": (near_dedup.words(" ".join(t)) >> np.uint64(32)).astype(np.uint32).tobytes()} for i, t in enumerate((first, second, third))]
+    assert not near_dedup.similar(texts[0]["words"], texts[2]["words"])
+    assert sorted(near_dedup._linked(texts, [])) == [(0, 1), (1, 2)]
+    assert near_dedup._linked(texts[:1], texts[1:]) == [(0, 1)] and near_dedup._linked(texts[:1], texts[2:]) == []
+
+
+def test_shared_words_count_repeats():
+    bags = [np.array(x, np.uint32) for x in ([1, 1, 2, 5], [1, 1, 1, 2], [7], [2, 5, 5, 1])]
+    assert near_dedup.shared(bags, 4)[0, 1:].tolist() == [3, 0, 3] and near_dedup.shared(bags, 4)[1, 2:].tolist() == [0, 2]
+    assert near_dedup.shared(bags, 2).tolist() == [[0, 3], [0, 2]]
+
+
 def test_near_duplicates_of_empty_tables(spark):
     assert near_dedup.classes(docs(spark, [])).count() == 0
     assert near_dedup.deduplicated(docs(spark, [])).count() == 0
