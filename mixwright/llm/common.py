@@ -19,12 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder that all executors share: spark.checkpoint.dir; only where that is unset (tests on one machine) a
-    temporary one is set."""
+    """The checkpoint folder that all executors share: spark.checkpoint.dir, or what the session has set."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         shared = context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoints_"))
+        if not shared and context.master.startswith("local["):  # one machine, as in tests
+            shared = tempfile.mkdtemp(prefix="checkpoints_")
+        if not shared:
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(shared)
     return context._jsc.sc().getCheckpointDir().get()
 
 
@@ -36,7 +39,22 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete what ``checkpoint`` has written of ``tables``, when all that is computed from them is written itself."""
+    for table_ in tables:
+        if path := getattr(table_, "written_to", None):
+            remove(table_.sparkSession, path)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

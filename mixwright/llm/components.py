@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mixwright.llm.common import checkpoint
+from mixwright.llm.common import checkpoint, forget
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -24,13 +24,18 @@ def components(edges: DataFrame) -> DataFrame:
         nearest = sides.groupBy("node").agg(F.min("near").alias("near"))
         moved = checkpoint(nearest.select("node", F.when(F.col("near") < rank("node"), F.col("near.node")).otherwise(F.col("node")).alias("goal")))
         moves.append(moved)
+        previous = left
         ends = left.join(moved.select(F.col("node").alias("a"), F.col("goal").alias("to_a")), "a").join(moved.select(F.col("node").alias("b"), F.col("goal").alias("to_b")), "b")
         left = checkpoint(tidy(ends.select(F.col("to_a").alias("a"), F.col("to_b").alias("b"))))
+        forget(previous)
     if not moves:
         return left.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    last = moves.pop()
+    forget(left)
+    used, last = list(moves), moves.pop()
     while moves:
         further = last.select(F.col("node").alias("goal"), F.col("goal").alias("end"))
         last = moves.pop().join(further, "goal", "left").select("node", F.coalesce("end", "goal").alias("goal"))
     last = checkpoint(last)
-    return last.join(last.groupBy("goal").agg(F.min("node").alias("component")), "goal").select("node", "component")
+    out = checkpoint(last.join(last.groupBy("goal").agg(F.min("node").alias("component")), "goal").select("node", "component"))
+    forget(last, *used)
+    return out

@@ -1,9 +1,11 @@
 """Near-duplicates by Order MinHash.
 
 Exact copies are put together first. Each different text is sketched: of its occurrence-labelled five-word shingles every
-sketch takes the ``ELL`` with the least hash and keeps them in text order. Texts that agree in a sketch meet in a bucket; the
-first of a bucket is aligned with the others (word edit distance in a band), and where it doesn't reach them all, every text of
-the bucket is compared with every other. Links between texts are closed to classes by connected components.
+sketch takes the ``ELL`` with the least hash and keeps them in text order. Texts that agree in a sketch meet in a bucket, and
+the first of a bucket is aligned with the others (word edit distance in a band): all that most buckets, which hold copies of
+one text, need. Texts of buckets that their first does not reach whole, such as those of a passage that many texts share, are
+compared by an exact filter: texts within the edit bound share one of their rarest word pairs. Links are closed to classes by
+connected components.
 """
 
 from __future__ import annotations
@@ -17,12 +19,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mixwright.llm.align import banded_distance
-from mixwright.llm.common import checkpoint
+from mixwright.llm.common import checkpoint, forget
 from mixwright.llm.components import components
 
-SHINGLE, ELL, SKETCHES, SIMILARITY = 5, 2, 16, 0.8
+#: At ``SIMILARITY`` two texts with scattered edits share a fifth of their shingles and a sketch with probability 0.04: one
+#: of 64 with 0.92. From 0.84 on it is 0.99 and more.
+SHINGLE, ELL, SKETCHES, SIMILARITY = 5, 2, 64, 0.8
 #: Buckets are compared in blocks of about so many texts and bytes, each pair of blocks in one task; so many words at once.
 BLOCK, BLOCK_BYTES, COLUMNS = 512, 1_000_000, 2048
+#: Counts of word pairs are kept in this many cells, which tell rare ones from common ones; the result is the same with any.
+CELLS = 1 << 18
 #: Pairs that one text takes part in as the first are dealt over tasks in lots of this many.
 LOT = 64
 
@@ -101,15 +107,19 @@ def sketch(labelled: np.ndarray, sketches: int = SKETCHES, ell: int = ELL) -> li
     """Order MinHash: for each of ``sketches`` hashes, the ``ell`` least shingles in text order, as one number."""
     if not labelled.size:
         return []
-    out = []
+    out, narrow = [], (labelled >> np.uint64(32)).astype(np.uint32)
     few = max(1, (1 << 16) // max(1, labelled.size))  # hashes at once, so that a long text takes little memory
     for a in range(0, sketches, few):
-        h = (labelled[None, :] ^ _SEEDS[a : min(a + few, sketches), None]) * _MIX[0]
-        h = (h ^ (h >> np.uint64(29))) * _MIX[1]
-        if ell < labelled.size:
-            places = np.sort(np.argpartition(h, ell - 1, axis=1)[:, :ell], axis=1)
-        else:
-            places = np.broadcast_to(np.arange(labelled.size), h.shape)
+        h = (narrow[None, :] ^ (_SEEDS[a : min(a + few, sketches), None] >> np.uint64(32)).astype(np.uint32)) * np.uint32(0x9E3779B1)
+        h ^= h >> np.uint32(15)
+        h *= np.uint32(0x85EBCA77)
+        h ^= h >> np.uint32(13)
+        row = np.arange(h.shape[0])
+        places = np.empty((h.shape[0], min(ell, labelled.size)), np.int64)
+        for k in range(places.shape[1]):
+            places[:, k] = h.argmin(axis=1)
+            h[row, places[:, k]] = ~np.uint32(0)
+        places.sort(axis=1)
         key = np.zeros(h.shape[0], np.uint64)
         for k in range(places.shape[1]):
             key = key * np.uint64(_B) + labelled[places[:, k]]
@@ -142,8 +152,7 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def similar(a: bytes, b: bytes, least: float = SIMILARITY) -> bool:
     """Whether the word edit distance of two texts is at most (1 - ``least``) of the longer one's words."""
     x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
-    longer = max(x.size, y.size)
-    k = int((1 - least) * longer + 1e-9)
+    k = _budget(max(x.size, y.size), least)
     if abs(x.size - y.size) > k:
         return False
     n = min(x.size, y.size)
@@ -152,15 +161,18 @@ def similar(a: bytes, b: bytes, least: float = SIMILARITY) -> bool:
     n = min(x.size, y.size)
     tail = int(np.argmin(np.append(x[::-1][:n] == y[::-1][:n], False)))
     x, y = x[: x.size - tail], y[: y.size - tail]
-    if not x.size or not y.size:
-        return max(x.size, y.size) <= k
+    n = min(x.size, y.size)
+    # Copies whose words were only replaced.
+    if max(x.size, y.size) - int((x[:n] == y[:n]).sum()) <= k:
+        return True
     # The words that one has and the other lacks have to be edited.
     ux, cx = np.unique(x, return_counts=True)
     uy, cy = np.unique(y, return_counts=True)
     _, ix, iy = np.intersect1d(ux, uy, assume_unique=True, return_indices=True)
-    if max(x.size, y.size) - int(np.minimum(cx[ix], cy[iy]).sum()) > k:
+    lacking = max(x.size, y.size) - int(np.minimum(cx[ix], cy[iy]).sum())
+    if lacking > k:
         return False
-    xs, ys, band = x.tolist(), y.tolist(), min(k, 8)
+    xs, ys, band = x.tolist(), y.tolist(), min(k, max(8, lacking + lacking // 2))
     while True:  # a narrow band first: most copies are near
         if banded_distance(xs, ys, band) is not None:
             return True
@@ -169,6 +181,11 @@ def similar(a: bytes, b: bytes, least: float = SIMILARITY) -> bool:
         band = min(k, 4 * band)
 
 
+def _budget(n: int, least: float = SIMILARITY) -> int:
+    """Edits by which texts, the longer of ``n`` words, may differ."""
+    return int((1 - least) * n + 1e-9)
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         a, b = batch.column("words_a").to_pylist(), batch.column("words_b").to_pylist()
@@ -185,42 +202,47 @@ def _verified(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
 
 
 def _first(buckets: DataFrame) -> DataFrame:
-    """(key, doc_id) -> key, a, b: the least doc_id of each key of several with each of the others."""
-    heads = buckets.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("last")).where("a < last").drop("last")
-    return buckets.join(heads, "key").where("doc_id > a").select("key", "a", F.col("doc_id").alias("b"))
-
-
-def shared(texts: list[np.ndarray], n_left: int) -> np.ndarray:
-    """For each of the first ``n_left`` texts and each of the rest (of all, where there is no rest) the number of words that
-    both have, repeated words as often as in both."""
-    labelled = []
-    for w in texts:
-        w = np.sort(w).astype(np.uint64)
-        at = np.arange(w.size)
-        again = np.concatenate([[False], w[1:] == w[:-1]]) if w.size else np.zeros(0, bool)
-        labelled.append((w << np.uint64(32)) | (at - np.maximum.accumulate(np.where(again, 0, at))).astype(np.uint64) if w.size else w)
-    rows = np.repeat(np.arange(len(texts)), [w.size for w in labelled])
-    _, cols, counts = np.unique(np.concatenate(labelled), return_inverse=True, return_counts=True)
+    """(key, doc_id, n_words) -> key, a, b and their words: the least doc_id of each key of several with each of the others."""
+    heads = buckets.groupBy("key").agg(F.min("doc_id").alias("a"), F.min_by("n_words", "doc_id").alias("n_a"), F.max("doc_id").alias("last")).where("a < last").drop("last")
+    return buckets.join(heads, "key").where("doc_id > a").select("key", "a", F.col("doc_id").alias("b"), "n_a", F.col("n_words").alias("n_b"))
+
+
+def shared(sets: list[np.ndarray], n_left: int) -> np.ndarray:
+    """For each of the first ``n_left`` sets and each of the rest (of all, where there is no rest) the number of members that
+    both have."""
+    rows = np.repeat(np.arange(len(sets)), [x.size for x in sets])
+    _, cols, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     held = counts[cols] > 1
     rows, cols = rows[held], cols[held]
     _, cols = np.unique(cols, return_inverse=True)
     order = np.argsort(cols, kind="stable")
     rows, cols = rows[order], cols[order]
-    right = n_left if n_left < len(texts) else 0
-    out = np.zeros((n_left, len(texts) - right), np.float32)
+    right = n_left if n_left < len(sets) else 0
+    out = np.zeros((n_left, len(sets) - right), np.float32)
     for a in range(0, int(cols[-1]) + 1 if cols.size else 0, COLUMNS):
         part = slice(*np.searchsorted(cols, [a, a + COLUMNS]))
-        has = np.zeros((len(texts), COLUMNS), np.float32)
+        has = np.zeros((len(sets), COLUMNS), np.float32)
         has[rows[part], cols[part] - a] = 1
         out += has[:n_left] @ has[right:].T
     return out
 
 
+def bag(w: np.ndarray) -> np.ndarray:
+    """Words with the numbers of their occurrences: bags share as many as the sets of these."""
+    w = np.sort(w).astype(np.uint64)
+    if not w.size:
+        return w
+    at, again = np.arange(w.size), np.concatenate([[False], w[1:] == w[:-1]])
+    return (w << np.uint64(32)) | (at - np.maximum.accumulate(np.where(again, 0, at))).astype(np.uint64)
+
+
 def _linked(left: list[dict], right: list[dict]) -> list[tuple[int, int]]:
-    """Links between ``left`` and ``right`` (within ``left``, where ``right`` is empty) that join all that are similar. Pairs
-    that share too few words for it, or that links join already, aren't aligned."""
+    """Links between ``left`` and ``right`` (within ``left``, where ``right`` is empty) that join the components of all that
+    are similar. Left out are pairs of one component, those that meet under an earlier key too (they are compared there),
+    those that share too few words, and those that links join already."""
     texts = left + right
-    found, parent = [], list(range(len(texts)))
+    owner: dict[int, int] = {}
+    found, parent = [], [owner.setdefault(t["component"], i) for i, t in enumerate(texts)]
 
     def root(x: int) -> int:
         while parent[x] != x:
@@ -229,15 +251,25 @@ def _linked(left: list[dict], right: list[dict]) -> list[tuple[int, int]]:
         return x
 
     words_ = [np.frombuffer(t["words"], np.uint32) for t in texts]
-    sizes = np.array([w.size for w in words_])
+    sizes, joined = np.array([w.size for w in words_]), np.array(parent)
     start = len(left) if right else 0
-    longer = np.maximum(sizes[: len(left), None], sizes[None, start:])
-    near = shared(words_, len(left)) >= longer - ((1 - SIMILARITY) * longer + 1e-9).astype(np.int64)
-    for i, j in np.argwhere(near).tolist():
-        j += start
-        if i < j and root(i) != root(j) and similar(texts[i]["words"], texts[j]["words"]):
-            parent[root(j)] = root(i)
-            found.append((texts[i]["doc_id"], texts[j]["doc_id"]))
+    longer, shorter = np.maximum(sizes[: len(left), None], sizes[None, start:]), np.minimum(sizes[: len(left), None], sizes[None, start:])
+    least = longer - ((1 - SIMILARITY) * longer + 1e-9).astype(np.int64)
+    open_ = (shorter >= least) & (joined[: len(left), None] != joined[None, start:])
+    if not right:
+        open_ &= np.tri(len(texts), k=-1, dtype=bool).T
+    if open_.any():
+        open_ &= shared([t["before"] for t in texts], len(left)) == 0
+    i, j = np.flatnonzero(open_.any(axis=1)), np.flatnonzero(open_.any(axis=0))
+    if i.size * j.size > 4:
+        bags = {k: bag(words_[k]) for k in {*i.tolist(), *(j + start).tolist()}}
+        enough = shared([bags[k] for k in i.tolist()] + [bags[k] for k in (j + start).tolist()], i.size)
+        open_[np.ix_(i, j)] &= enough >= least[np.ix_(i, j)]
+    for x, y in np.argwhere(open_).tolist():
+        y += start
+        if root(x) != root(y) and similar(texts[x]["words"], texts[y]["words"]):
+            parent[root(y)] = root(x)
+            found.append((texts[x]["component"], texts[y]["component"]))
     return found
 
 
@@ -245,38 +277,116 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(batch.num_rows):
             row = batch.slice(at, 1)
-            first, texts = row.column("i")[0].as_py(), row.column("texts").to_pylist()[0]
+            first, flat = row.column("i")[0].as_py(), row.column("texts").flatten()
+            places, values = flat.field("keys").offsets.to_numpy(), flat.field("keys").values.to_numpy()
+            columns = [flat.field(c).to_pylist() for c in ("block", "component", "words", "rank")]
+            # Of the keys only those before this one are asked for.
+            texts = [{"block": b, "component": c, "words": w, "before": values[p : p + r]} for b, c, w, r, p in zip(*columns, places.tolist(), strict=False)]
             left, right = [t for t in texts if t["block"] == first], [t for t in texts if t["block"] != first]
             found = _linked(left, right) if left and (right or row.column("j")[0].as_py() == first) else []
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
 
-def _within(buckets: DataFrame, tokens: DataFrame) -> DataFrame:
-    """(key, doc_id) -> links (a, b) that join all similar texts of each bucket, whatever its size. Buckets are dealt in
-    blocks, and every block meets every other of its bucket. Buckets of the same texts count once."""
-    sized = buckets.join(tokens.select("doc_id", "bytes"), "doc_id")
-    mark = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), F.col("doc_id")))
-    sums = sized.groupBy("key").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"), mark(1).alias("x"), mark(2).alias("y"))
-    sets = checkpoint(sums.groupBy("n", "bytes", "x", "y").agg(F.min("key").alias("key")).select("key", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("bytes") / BLOCK_BYTES)).cast("int").alias("blocks")))
-    dealt = buckets.join(sets, "key").withColumn("block", F.pmod(F.xxhash64("doc_id", "key"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    texts = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id").join(tokens.select("doc_id", "words"), "doc_id")
-    grouped = texts.groupBy("key", "i", "j").agg(F.collect_list(F.struct("block", "doc_id", "words")).alias("texts"))
+def word_pairs(w: np.ndarray) -> np.ndarray:
+    """Hashes of the pairs of neighbouring words, each with the number of its occurrence."""
+    return shingles(w, 2) if w.size > 1 else np.zeros(0, np.uint64)
+
+
+def _cells(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(20)).astype(np.int64) & (CELLS - 1)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(CELLS, np.int64)
+    for batch in batches:
+        for raw in batch.column("words").to_pylist():
+            counts += np.bincount(_cells(word_pairs(np.frombuffer(raw, np.uint32).astype(np.uint64))), minlength=CELLS)
+    at = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["cell", "n"])
+
+
+def rarest(w: np.ndarray, counts: np.ndarray, least: float = SIMILARITY) -> np.ndarray:
+    """The rarest word pairs of a text, so many that every text within the edit bound has one of them among its own.
+
+    An edit takes at most two pairs from either text. Of the n - 1 pairs of a text the longer one's and so its partners hold
+    all but twice the edits; dropping one less than that leaves a common one, if all texts rank pairs alike.
+    """
+    h = word_pairs(w)
+    # Of m words, m - 1 - 2 * (1 - least) * m pairs stay at least, which grows with m.
+    stay = max(1, int(np.ceil((1 - 2 * (1 - least)) * w.size - 1e-9)) - 1)
+    order = np.lexsort((h, counts[_cells(h)]))
+    return h[order[: max(0, h.size - stay + 1)]].view(np.int64)
+
+
+def _keyed(counts: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                keys = [rarest(np.frombuffer(raw, np.uint32).astype(np.uint64), counts) for raw in part.column("words").to_pylist()]
+                yield part.append_column("keys", pa.array(keys, pa.list_(pa.int64())))
+
+    return run
+
+
+def _by_rarest(tokens: DataFrame) -> DataFrame:
+    """``tokens`` (doc_id, component, bytes, words) with keys: the rarest word pairs, the rarest first."""
+    cells = tokens.select("words").mapInArrow(_counted, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # CELLS rows at most
+    counts = np.zeros(CELLS, np.int64)
+    counts[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
+    return tokens.select("doc_id", "component", "bytes", "words").mapInArrow(_keyed(counts), "doc_id long, component long, bytes int, words binary, keys array<long>")
+
+
+def _buckets(tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``tokens`` (doc_id, component, bytes, keys) -> its texts by key, with the key's rank among the text's; and of the keys
+    under which texts of several components meet, the number of texts and bytes."""
+    each = tokens.select("doc_id", "component", "bytes", F.posexplode("keys").alias("rank", "key"))
+    sums = each.groupBy("key").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.min("component").alias("least"), F.max("component").alias("most"))
+    return each.drop("bytes"), sums.where("least < most").select("key", "n", "bytes")
+
+
+def _within(each: DataFrame, sums: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Links (a, b) of components that join all similar texts of each bucket of ``sums``. Buckets are dealt in blocks, and
+    every block meets every other of its bucket in a task."""
+    blocks = sums.select("key", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))
+    dealt = each.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("doc_id", "key"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    texts = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "rank").join(tokens.select("doc_id", "component", "words", "keys"), "doc_id")
+    grouped = texts.groupBy("key", "i", "j").agg(F.collect_list(F.struct("block", "component", "words", "rank", "keys")).alias("texts"))
     return checkpoint(grouped.select("i", "j", "texts").mapInArrow(_compared, "a long, b long"))
 
 
 def links(texts: DataFrame, docs: DataFrame) -> DataFrame:
-    """``texts`` (doc_id, sketches): one row a different text -> (a, b), the verified links.
+    """``texts`` (doc_id, n_words, sketches): one row a different text -> (node, component) of all texts with a link.
 
-    A bucket's first text is aligned with the rest, which ends most buckets: all are copies of it. In the others each text is
-    compared with each, those that the first has reached among them.
+    A bucket's first text is aligned with the rest, which ends most buckets. Where it isn't similar to all, each text of the
+    bucket is compared with each of another component, those that the first has reached among them; in buckets of more than
+    BLOCK texts only with those that it shares one of its rarest word pairs with, which leaves out no similar one.
     """
-    buckets = texts.select("doc_id", F.explode("sketches").alias("key"))
+    buckets = texts.select("doc_id", "n_words", F.explode("sketches").alias("key"))
     pairs = checkpoint(_first(buckets))
     members = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
     tokens = checkpoint(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(members, "doc_id").mapInArrow(_tokens, "doc_id long, words binary").dropDuplicates(["doc_id"]).withColumn("bytes", F.length("words")))
-    judged = checkpoint(_verified(pairs.select("a", "b").distinct(), tokens))
-    unlike = pairs.join(judged.where("not near").select("a", "b"), ["a", "b"]).select("key").distinct()
-    return judged.where("near").select("a", "b").unionByName(_within(checkpoint(buckets.join(unlike, "key")), tokens))
+    longer, shorter = F.greatest("n_a", "n_b"), F.least("n_a", "n_b")
+    judged = checkpoint(_verified(pairs.where(shorter >= SIMILARITY * longer - 1e-6).select("a", "b").distinct(), tokens).where("near").select("a", "b"))
+    first = components(judged)
+    unlike = checkpoint(pairs.join(judged, ["a", "b"], "left_anti").select("key").distinct())
+    doubtful = pairs.join(unlike, "key")
+    doubtful = doubtful.select(F.col("a").alias("doc_id")).unionByName(doubtful.select(F.col("b").alias("doc_id"))).distinct()
+    named = tokens.join(doubtful, "doc_id").join(texts.select("doc_id", F.col("sketches").alias("keys")), "doc_id").join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    named = checkpoint(named.select("doc_id", "component", "bytes", "words", "keys"))
+    each, sums = _buckets(named)
+    sums = checkpoint(sums)
+    more = _within(each, sums.where(F.col("n") <= BLOCK), named)
+    crowded = each.join(sums.where(F.col("n") > BLOCK), "key").select("doc_id").distinct()
+    rare = checkpoint(_by_rarest(named.join(crowded, "doc_id")))
+    further = _within(*_buckets(rare), rare)
+    second = components(more.unionByName(further))
+    # Components that further links join go under the least of them.
+    moved = first.withColumnRenamed("component", "goal").join(second.select(F.col("node").alias("goal"), "component"), "goal", "left").select("node", F.coalesce("component", "goal").alias("component"))
+    alone = second.join(first.select("node"), "node", "left_anti")
+    out = checkpoint(moved.unionByName(alone))
+    forget(pairs, tokens, judged, unlike, named, sums, rare, more, further, first, second)
+    return out
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -290,9 +400,9 @@ def classes(docs: DataFrame) -> DataFrame:
     """
     base = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     sketched = checkpoint(base.mapInArrow(_sketches, "doc_id long, digest string, n_words long, sketches array<long>"))
-    exact = checkpoint(sketched.groupBy("digest").agg(F.min("doc_id").alias("rep_id"), F.first("sketches").alias("sketches")))
-    found = links(exact.where("rep_id is not null").select(F.col("rep_id").alias("doc_id"), "sketches"), base)
-    grouped = components(found).select(F.col("node").alias("rep_id"), F.col("component").alias("class_id"))
+    exact = checkpoint(sketched.groupBy("digest").agg(F.min("doc_id").alias("rep_id"), F.first("n_words").alias("n_words"), F.first("sketches").alias("sketches")))
+    found = links(exact.where("rep_id is not null").select(F.col("rep_id").alias("doc_id"), "n_words", "sketches"), base)
+    grouped = found.select(F.col("node").alias("rep_id"), F.col("component").alias("class_id"))
     named = exact.select("digest", "rep_id").join(grouped, "rep_id", "left").select("digest", "rep_id", F.coalesce("class_id", "rep_id").alias("class_id"))
     return sketched.select("doc_id", "digest", "n_words").join(named, "digest").select("doc_id", "class_id", "n_words", "rep_id")
 

@@ -159,6 +159,14 @@ def test_a_large_bucket_of_unlike_texts_ends(spark):
     assert len({r.class_id for r in out}) == 63
 
 
+def _edited(rng, base, share, mark):
+    """``base`` with ``share`` of its words replaced, at scattered places."""
+    copy = base[:]
+    for at in rng.sample(range(len(base)), round(share * len(base))):
+        copy[at] = f"{mark}{at}"
+    return copy
+
+
 def test_pairs_in_buckets_of_a_shared_passage_are_found(spark):
     rng = random.Random(11)
     shared = _prose(rng, 150)
@@ -181,18 +189,64 @@ def test_texts_of_a_bucket_are_compared_with_those_its_first_reached():
     second, third = first[:], first[:]
     second[:18] = [f"y{i}" for i in range(18)]
     third[:36] = second[:18] + [f"z{i}" for i in range(18)]
-    texts = [{"doc_id": i, "words": (near_dedup.words(" ".join(t)) >> np.uint64(32)).astype(np.uint32).tobytes()} for i, t in enumerate((first, second, third))]
+    none = np.zeros(0, np.int64)
+    texts = [{"component": i, "before": none, "words": (near_dedup.words(" ".join(t)) >> np.uint64(32)).astype(np.uint32).tobytes()} for i, t in enumerate((first, second, third))]
     assert not near_dedup.similar(texts[0]["words"], texts[2]["words"])
     assert sorted(near_dedup._linked(texts, [])) == [(0, 1), (1, 2)]
     assert near_dedup._linked(texts[:1], texts[1:]) == [(0, 1)] and near_dedup._linked(texts[:1], texts[2:]) == []
+    met = [t | {"before": np.array([7])} for t in texts]
+    assert near_dedup._linked(met, []) == [], "an earlier key's bucket compares them"
 
 
 def test_shared_words_count_repeats():
-    bags = [np.array(x, np.uint32) for x in ([1, 1, 2, 5], [1, 1, 1, 2], [7], [2, 5, 5, 1])]
+    bags = [near_dedup.bag(np.array(x, np.uint32)) for x in ([1, 1, 2, 5], [1, 1, 1, 2], [7], [2, 5, 5, 1])]
     assert near_dedup.shared(bags, 4)[0, 1:].tolist() == [3, 0, 3] and near_dedup.shared(bags, 4)[1, 2:].tolist() == [0, 2]
     assert near_dedup.shared(bags, 2).tolist() == [[0, 3], [0, 2]]
 
 
+def test_similar_texts_share_a_rarest_word_pair():
+    rng = random.Random(13)
+    counts = np.random.default_rng(1).integers(0, 50, near_dedup.CELLS)
+    for _ in range(300):
+        base = [rng.choice("abcdefghij") + rng.choice("xyz") for _ in range(rng.randrange(5, 60))]
+        copy = base[:]
+        for _ in range(near_dedup._budget(len(copy))):
+            at = rng.randrange(len(copy))
+            copy[at : at + rng.randrange(0, 2)] = [f"n{rng.randrange(9)}"] * rng.randrange(0, 2)
+        a, b = (((near_dedup.words(" ".join(t)) >> np.uint64(32)).astype(np.uint32)) for t in (base, copy))
+        if near_dedup.similar(a.tobytes(), b.tobytes()) and a.tobytes() != b.tobytes():
+            assert set(near_dedup.rarest(a.astype(np.uint64), counts).tolist()) & set(near_dedup.rarest(b.astype(np.uint64), counts).tolist())
+
+
+def test_recall_by_similarity(spark):
+    """Pairs that differ in scattered words, the hardest edits for shingles: at the threshold nine in ten are found."""
+    rng = random.Random(14)
+    rows, pairs = [], {}
+    for share, n in ((0.195, 120), (0.15, 60), (0.1, 60)):
+        for _ in range(n):
+            base, i = _prose(rng, 200).split(), len(rows)
+            rows += [(i, " ".join(base)), (i + 1, " ".join(_edited(rng, base, share, "q")))]
+            pairs.setdefault(share, []).append((i, i + 1))
+    got = {r.doc_id: r.class_id for r in near_dedup.classes(docs(spark, rows)).collect()}
+    recall = {share: sum(got[a] == got[b] for a, b in found) / len(found) for share, found in pairs.items()}
+    assert recall[0.195] >= 0.85 and recall[0.15] >= 0.97 and recall[0.1] == 1.0, recall
+    assert len(set(got.values())) >= len(rows) // 2
+
+
+def test_crowded_buckets_find_all_pairs(spark, monkeypatch):
+    """The filter of rarest pairs, which crowded buckets get, against the plain comparison."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    rng = random.Random(15)
+    shared = _prose(rng, 150)
+    rows, pairs = [(i, f"{shared} {_prose(rng, 60)}") for i in range(60)], []
+    for g in range(20):
+        own = _prose(rng, 60).split()
+        pairs.append((1000 + 2 * g, 1001 + 2 * g))
+        rows += [(pairs[-1][0], f"{shared} {' '.join(own)}"), (pairs[-1][1], f"{shared} {' '.join(_edited(rng, own, 0.4, f'z{g}x'))}")]
+    got = {r.doc_id: r.class_id for r in near_dedup.classes(docs(spark, rows)).collect()}
+    assert all(got[a] == got[b] == a for a, b in pairs) and all(got[i] == i for i in range(60))
+
+
 def test_near_duplicates_of_empty_tables(spark):
     assert near_dedup.classes(docs(spark, [])).count() == 0
     assert near_dedup.deduplicated(docs(spark, [])).count() == 0
