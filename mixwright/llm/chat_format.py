@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mixwright.llm.common import let
+from mixwright.llm.common import let, prefix_sums
 
 #: The template: a new or a repeated turn, its role, TEXT, its text, END.
 NEW, AGAIN, TEXT, END = "<|turn|>", "<|again|>", "<|text|>", "<|end|>"
@@ -47,7 +47,7 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
     turns = conversations.select("conv_id", F.struct("turn", text("role").alias("role"), text("text").alias("text")).alias("row")).groupBy("conv_id").agg(F.array_sort(F.collect_list("row")).alias("turns"))
     tokens = F.transform("turns", lambda t: F.ceil((F.length(t["text"]) + F.length(t["role"])) / chars_per_token).cast("long") + 3)
     turns = turns.withColumn("tokens", tokens)
-    turns = turns.withColumn("sums", F.aggregate("tokens", F.array(F.lit(0).cast("long")), lambda a, t: F.concat(a, F.array(F.element_at(a, -1) + t))))
+    turns = turns.withColumn("sums", prefix_sums(F.col("tokens")))
     lead = F.when(F.get("turns", F.lit(0))["role"] == "system", 1).otherwise(0)
     turns = turns.withColumn("lead", lead)
     room = F.greatest(F.lit(budget - history).cast("long") - F.get("sums", F.col("lead")), F.lit(1).cast("long"))
@@ -63,7 +63,8 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
     turns = turns.withColumn("starts", F.aggregate(body, F.array(F.col("lead")), step))
     spans = turns.select("*", F.posexplode("starts").alias("window", "start"))
     spans = spans.withColumn("stop", F.coalesce(F.get("starts", F.col("window") + 1), size))
-    kept = F.when(F.col("start") > F.col("lead"), F.filter(F.sequence(F.col("lead"), F.col("start") - 1), lambda j: F.get("sums", F.col("start")) - F.get("sums", j) <= history)).otherwise(F.array().cast("array<int>"))
+    reach = history // 3 + 1  # a turn has three tokens at least
+    kept = F.when(F.col("start") > F.col("lead"), F.filter(F.sequence(F.greatest(F.col("lead"), F.col("start") - reach), F.col("start") - 1), lambda j: F.get("sums", F.col("start")) - F.get("sums", j) <= history)).otherwise(F.array().cast("array<int>"))
     system = F.when(F.col("lead") == 1, F.array(F.struct(F.when(F.col("window") == 0, NEW).otherwise(AGAIN).alias("marker"), F.lit(0).alias("place")))).otherwise(F.array().cast("array<struct<marker:string,place:int>>"))
     before = F.transform(kept, lambda j: F.struct(F.lit(AGAIN).alias("marker"), j.alias("place")))
     new = F.when(F.col("stop") > F.col("start"), F.transform(F.sequence(F.col("start"), F.col("stop") - 1), lambda j: F.struct(F.lit(NEW).alias("marker"), j.alias("place")))).otherwise(F.array().cast("array<struct<marker:string,place:int>>"))

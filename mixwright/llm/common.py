@@ -62,6 +62,24 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def prefix_sums(values: Column) -> Column:
+    """What stands before each element of an array of numbers, summed up, and behind the last: one element more. A fold that
+    grows an array copies it at every step, so sums are grown in blocks of about the root of the length."""
+    grown = lambda first, part: F.aggregate(part, F.array(first), lambda a, v: F.concat(a, F.array(F.element_at(a, -1) + v.cast("long"))))
+
+    def blocks(v: Column) -> Column:
+        width = F.greatest(F.ceil(F.sqrt(F.size(v).cast("double"))).cast("int"), F.lit(1))
+        starts = F.when(F.size(v) > 0, F.sequence(F.lit(0), F.size(v) - 1, width)).otherwise(F.array().cast("array<int>"))
+        parts = F.transform(starts, lambda s: F.slice(v, s + 1, width))
+        return let(F.struct(parts.alias("parts"), grown(F.lit(0).cast("long"), F.transform(parts, lambda p: F.aggregate(p, F.lit(0).cast("long"), lambda a, x: a + x.cast("long")))).alias("firsts")), joined)
+
+    def joined(s: Column) -> Column:
+        inner = F.transform(s["parts"], lambda p, i: let(grown(F.get(s["firsts"], i), p), lambda g: F.slice(g, 1, F.size(g) - 1)))
+        return F.concat(F.flatten(inner), F.array(F.element_at(s["firsts"], -1)))
+
+    return let(values, blocks)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

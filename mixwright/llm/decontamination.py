@@ -2,14 +2,13 @@
 
 Every text is searched for approximate copies of benchmark items. Shared character q-grams are counted by item and diagonal
 band (bands overlap, so that a copy lies whole in one); a band whose count meets the bound of the q-gram lemma for the item's
-edit budget is verified by alignment. The items are a query set held in blocks of bounded size; texts pass through Arrow
-batches and are never shuffled.
+edit budget is verified by alignment. The items are a query set taken in blocks of bounded size, one at a time; texts pass
+through Arrow batches and are never shuffled.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,9 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mixwright.llm.align import best_occurrence, masks
+from mixwright.llm.common import checkpoint, forget
 
 Q, EDIT_SHARE = 8, 0.08
-#: Characters of items in a block: what a worker holds of the benchmark at once.
+#: Characters of items in a block: what the driver and a worker hold of the benchmark at once.
 BLOCK_CHARS = 4_000_000
 TABLE_BITS = 21
 COMMON = 0.7
@@ -183,16 +183,36 @@ def best_occurrence_from_end(where: dict, n: int, text: list) -> tuple[int, int]
     return best, end
 
 
-def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> list[list[tuple[int, str]]]:
-    """The items in blocks of at most ``block_chars`` characters (a longer item alone), each read by itself."""
+def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
+    """The items in blocks of at most ``block_chars`` characters (a longer item alone), each read when its turn comes."""
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("item_id is not null and length(trim(text)) > 0").dropDuplicates()
-    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = -(-chars // block_chars)
-    out = []
-    for b in range(n):
-        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == b).collect()
-        out.append(sorted((r.item_id, r.text) for r in rows))
-    return [x for x in out if x]
+    whole = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    parts = 16 * -(-whole // block_chars)
+    if not parts:
+        return
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
+    sizes = items.groupBy(part.alias("part")).agg(F.sum(F.length("text")).alias("chars")).orderBy("part").collect()  # 16 rows a block
+    packed: list[list[int]] = []
+    room = 0
+    for row in sizes:
+        if not packed or row.chars > room:
+            packed.append([])
+            room = block_chars
+        packed[-1].append(row.part)
+        room -= row.chars
+    for chosen in packed:
+        yield sorted((r.item_id, r.text) for r in items.where(part.isin(chosen)).toLocalIterator())
+
+
+def indexes(items: list[tuple[int, str]], q: int, edit_share: float) -> list[Index]:
+    """The items by q-grams; those too short for the lemma to leave a common one within their budget by shorter grams."""
+    few = lambda t: len(t) >= q and int(edit_share * len(t)) > (len(t) - q) // q
+    parts = [([i for i in items if not few(i[1])], q), ([i for i in items if few(i[1])], max(1, q // 2))]
+    return [Index(part, size, edit_share) for part, size in parts if part]
+
+
+def _search(found: list[Index], text: str) -> list[tuple[int, int, int, int, int]]:
+    return sorted(hit for index in found for hit in index.search(text))
 
 
 def search(docs: DataFrame, benchmark: DataFrame, q: int = Q, edit_share: float = EDIT_SHARE, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -201,45 +221,64 @@ def search(docs: DataFrame, benchmark: DataFrame, q: int = Q, edit_share: float
     apart. Texts without a copy have no row.
 
     Null, empty and blank items and texts match nothing; an item under ``q`` characters has to stand there exactly. Repeated
-    documents give their rows each, repeated items once. Whole texts are searched; extra columns are ignored.
+    documents give their rows each, repeated items once. Whole texts are searched; extra columns are ignored. Every block of
+    items takes one pass over the texts; with several, the hits of each are written before the next is read.
     """
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    parts = [texts.mapInArrow(_searcher(items, q, edit_share), HIT) for items in blocks(benchmark, block_chars)]
-    return reduce(DataFrame.unionByName, parts) if parts else texts.sparkSession.createDataFrame([], HIT)
-
-
-def _searcher(items: list[tuple[int, str]], q: int, edit_share: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(items, q, edit_share)
-        names = ["doc_id", "item_id", "start", "stop", "distance", "item_chars"]
-        kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 4]
+    out = None
+    for items, last in _with_last(blocks(benchmark, block_chars)):
+        hits = texts.mapInArrow(_searcher(items, q, edit_share), HIT)
+        hits = hits if last and out is None else checkpoint(hits)
+        out = hits if out is None else out.unionByName(hits)
+    return texts.sparkSession.createDataFrame([], HIT) if out is None else out
+
+
+def _with_last(found: Iterator) -> Iterator[tuple[list, bool]]:
+    """Each element and whether it is the last; no more than two are held."""
+    held = next(found, None)
+    while held is not None:
+        following = next(found, None)
+        yield held, following is None
+        held = following
+
+
+def _per_worker(items: list[tuple[int, str]], q: int, edit_share: float, run: Callable) -> Callable:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = indexes(items, q, edit_share)
         for batch in batches:
-            rows = []
             for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
-                for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
-                    rows += [(doc, *hit) for hit in index.search(text)] if text else []
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
+                yield run(found, batch.slice(i, 256))
+
+    return each
+
 
-    return run
+def _searcher(items: list[tuple[int, str]], q: int, edit_share: float) -> Callable:
+    names = ["doc_id", "item_id", "start", "stop", "distance", "item_chars"]
+    kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 4]
 
+    def run(found: list[Index], part: pa.RecordBatch) -> pa.RecordBatch:
+        rows = [(doc, *hit) for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True) if text for hit in _search(found, text)]
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
 
-def clean(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
+    return _per_worker(items, q, edit_share, run)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, q: int = Q, edit_share: float = EDIT_SHARE, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` without the documents that hold a copy of an item. The texts are searched in place and not shuffled; columns,
-    nulls and repeated rows stay."""
-    kept = docs
-    for items in blocks(benchmark, settings.get("block_chars", BLOCK_CHARS)):
-        run = _marker(items, settings.get("q", Q), settings.get("edit_share", EDIT_SHARE))
-        kept = kept.mapInArrow(run, kept.schema)
+    nulls and repeated rows stay. With several blocks of items, what each leaves is written before the next is read."""
+    kept, written = docs, None
+    for items, last in _with_last(blocks(benchmark, block_chars)):
+        kept = kept.mapInArrow(_marker(items, q, edit_share), kept.schema)
+        if not last:
+            before, written = written, checkpoint(kept)
+            kept = written
+            if before is not None:
+                forget(before)
     return kept
 
 
-def _marker(items: list[tuple[int, str]], q: int, edit_share: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(items, q, edit_share)
-        for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
-                yield part.filter(pa.array([not (t and index.search(t)) for t in part.column("text").to_pylist()], pa.bool_()))
+def _marker(items: list[tuple[int, str]], q: int, edit_share: float) -> Callable:
+    def run(found: list[Index], part: pa.RecordBatch) -> pa.RecordBatch:
+        return part.filter(pa.array([not (t and any(index.search(t) for index in found)) for t in part.column("text").to_pylist()], pa.bool_()))
 
-    return run
+    return _per_worker(items, q, edit_share, run)

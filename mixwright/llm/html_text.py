@@ -1,7 +1,8 @@
 """Main text of web pages by site template removal.
 
-A lenient pass turns each page into blocks of text with the hashes of the element subtrees they stand in. Spark counts on how
-many pages of its host every subtree stands; subtrees on many pages are the site's template and are deleted. Elements whose
+A lenient pass turns each page into blocks of text with the hash of the element subtree that each stands in. Spark counts on
+how many pages of its host every subtree stands; subtrees on many pages are the site's template and are deleted. The innermost
+subtree of a block says it all: where one around it recurs, so does the inner one. Elements whose
 role is plain from their tag or class (menus, footers, adverts, comments, scripts) go too, and where a page marks its article,
 that is the text, without the boxes that recur in most articles of the host.
 """
@@ -10,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -53,13 +55,27 @@ _SPACE = re.compile(r"\s+")
 
 
 class _Element:
-    __slots__ = ("tag", "noise", "apart", "main", "parts", "blocks", "digest")
+    """An open element, with what the elements around it say of its text.
 
-    def __init__(self, tag: str, noise: bool, apart: bool, main: bool):
-        self.tag, self.noise, self.apart, self.main = tag, noise, apart, main
+    noise: the text is in a noise role; inside a marked article only roles in it count, and those around it of what holds
+    articles of others. main: it is in a marked article; box: its innermost element in that article that isn't running text.
+    """
+
+    __slots__ = ("tag", "apart", "since", "main", "box", "parts", "digest")
+
+    def __init__(self, tag: str, around: _Element | None = None, noise: bool = False, apart: bool = False, main: bool = False):
+        self.tag = tag
+        self.apart = apart or (around is not None and around.apart)
+        self.since = not main and (noise or (around is not None and around.since))
+        self.main = main or (around is not None and around.main)
+        self.box = None if around is None or not around.main else around.box if tag in RUNNING else self
         self.parts: list[bytes] = []
         self.digest = b""
 
+    @property
+    def noise(self) -> bool:
+        return self.apart or self.since
+
 
 def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(text)} if text else {}
@@ -82,33 +98,29 @@ def _is_apart(tag: str, attributes: dict[str, str]) -> bool:
     return any(APART.search(attributes[k]) for k in ("class", "id") if attributes.get(k))
 
 
-def _in_noise(stack: list[_Element]) -> bool:
-    """Whether the innermost element stands in noise. Inside a marked article only what is in it counts, and what around it
-    holds articles of others."""
-    inner = max((i for i, e in enumerate(stack) if e.main), default=-1)
-    return any(e.noise and (i > inner or e.apart) for i, e in enumerate(stack))
-
-
-def blocks(page: str | None) -> list[tuple[str, bool, bool, list[int]]]:
+def blocks(page: str | None) -> list[tuple[str, bool, bool, int | None]]:
     """The blocks of a page in order: text, whether it stands in an element of a noise role, whether in the marked article,
-    and the hashes of the subtrees it stands in, the innermost first: all of them, or inside the marked article its boxes.
-    Tags may be unclosed, cut off or out of order."""
+    and the hash of the innermost subtree it stands in: of any, or inside the marked article of its boxes; None without one.
+    Tags may be unclosed, cut off or out of order. Time is linear in the page, however deep elements nest."""
     page = page or ""
-    stack = [_Element("", False, False, False)]
-    out: list[tuple[str, bool, bool, list[_Element]]] = []
+    stack = [_Element("")]
+    out: list[tuple[str, bool, bool, _Element | None]] = []
     piece: list[str] = []
+    opened: Counter[str] = Counter()
 
     def flush() -> None:
         if piece:
             text = _SPACE.sub(" ", "".join(piece)).strip()
             piece.clear()
             if text:
-                out.append((text, _in_noise(stack), any(e.main for e in stack), stack[1:]))
+                top = stack[-1]
+                out.append((text, top.noise, top.main, top.box if top.main else top if len(stack) > 1 else None))
                 stack[-1].parts.append(text.encode("utf-8", "surrogatepass"))
 
     def close(depth: int) -> None:
         while len(stack) > depth:
             e = stack.pop()
+            opened[e.tag] -= 1
             h = hashlib.blake2b(e.tag.encode(), digest_size=8)
             for p in e.parts:
                 h.update(b"\0" + p)
@@ -130,9 +142,11 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool, list[int]]]:
                 piece.append(m[0][9:].removesuffix("]]>"))
             continue
         if m[1]:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
-            # An inline end tag doesn't reach over the block that it stands in.
-            if depth and not (tag in INLINE and any(e.tag not in INLINE for e in stack[depth + 1 :])):
+            depth = len(stack) - 1 if opened[tag] else 0
+            while depth and stack[depth].tag != tag:
+                # An inline end tag doesn't reach over the block that it stands in.
+                depth = 0 if tag in INLINE and stack[depth].tag not in INLINE else depth - 1
+            if depth:
                 if any(e.tag not in INLINE for e in stack[depth:]):
                     flush()
                 close(depth)
@@ -161,7 +175,8 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool, list[int]]]:
         if noisy and tag in INLINE:
             flush()
         main = tag in ("article", "main") or attributes.get("role", "").lower() == "main" or attributes.get("itemprop", "") == "articleBody"
-        stack.append(_Element(tag, noisy, noisy and _is_apart(tag, attributes), main))
+        stack.append(_Element(tag, stack[-1], noisy, noisy and _is_apart(tag, attributes), main))
+        opened[tag] += 1
         if m[3].rstrip().endswith("/") and tag not in INLINE and tag in ("svg", "path"):
             close(len(stack) - 1)
         elif tag in RAW:
@@ -171,17 +186,11 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool, list[int]]]:
             at = end.end() if end else size
     flush()
     close(1)
-    return [(text, noise, main, [int.from_bytes(e.digest, "little", signed=True) for e in reversed(_boxes(chain) if main else chain)]) for text, noise, main, chain in out]
-
-
-def _boxes(chain: list[_Element]) -> list[_Element]:
-    """The elements of a block's chain inside its marked article that aren't running text."""
-    first = next(i for i, e in enumerate(chain) if e.main)
-    return [e for e in chain[first + 1 :] if e.tag not in RUNNING]
+    return [(text, noise, main, None if e is None else int.from_bytes(e.digest, "little", signed=True)) for text, noise, main, e in out]
 
 
-_SEGMENTS = pa.list_(pa.struct([("text", pa.string()), ("trees", pa.list_(pa.int64()))]))
-_SEGMENTS_SQL = "array<struct<text:string,trees:array<bigint>>>"
+_SEGMENTS = pa.list_(pa.struct([("text", pa.string()), ("tree", pa.int64())]))
+_SEGMENTS_SQL = "array<struct<text:string,tree:bigint>>"
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,18 +199,18 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(at, 256)
             pages = [blocks(h) for h in part.column("html").to_pylist()]
             wanted = [_wanted(p) for p in pages]
-            outside = [sorted({t for _, _, main, chain in p if not main for t in chain[:-2] or chain[:1]}) for p in pages]
+            outside = [sorted({tree for _, _, main, tree in p if not main and tree is not None}) for p in pages]
             yield pa.RecordBatch.from_arrays(
                 [*(part.column(c) for c in ("page_id", "url", "host")), pa.array([w for w, _ in wanted], _SEGMENTS), pa.array([a for _, a in wanted], pa.int64()), pa.array(outside, pa.list_(pa.int64()))],
                 names=["page_id", "url", "host", "blocks", "article", "outside"],
             )
 
 
-def _wanted(page: list[tuple[str, bool, bool, list[int]]]) -> tuple[list[dict], int | None]:
+def _wanted(page: list[tuple[str, bool, bool, int | None]]) -> tuple[list[dict], int | None]:
     """The blocks that can be text of the page: those in its marked article with its boxes, or, without one, all of no noise
-    role with their trees (the page and its body apart); and a hash of the marked article's text, None without one."""
+    role; and a hash of the marked article's text, None without one."""
     marked = any(main and not noise for _, noise, main, _ in page)
-    kept = [{"text": text, "trees": trees if marked else (trees[:-2] or trees[:1])} for text, noise, main, trees in page if not noise and main == marked]
+    kept = [{"text": text, "tree": tree} for text, noise, main, tree in page if not noise and main == marked]
     if not marked:
         return kept, None
     digest = hashlib.blake2b("\0".join(b["text"] for b in kept).encode("utf-8", "surrogatepass"), digest_size=8).digest()
@@ -223,7 +232,7 @@ def templates(parsed: DataFrame, least_pages: int = LEAST_PAGES, least_share: fl
 
 
 def _trees() -> Column:
-    return F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["trees"])))
+    return F.array_compact(F.array_distinct(F.transform("blocks", lambda b: b["tree"])))
 
 
 def extract(pages: DataFrame, salts: int = 32, **settings) -> DataFrame:
@@ -239,11 +248,11 @@ def extract(pages: DataFrame, salts: int = 32, **settings) -> DataFrame:
     parsed = checkpoint(base.mapInArrow(_parsed, schema).withColumn("row", F.monotonically_increasing_id()))
     # Each tree is looked up among the host's template. Hosts may be large, so a host's trees are dealt over tasks with the
     # template repeated as often. Pages whose text stands in no tree have nothing to look up.
-    open_ = F.exists("blocks", lambda b: F.size(b["trees"]) > 0)
+    open_ = F.exists("blocks", lambda b: b["tree"].isNotNull())
     rest = parsed.where(open_)
     asked = rest.select("row", "host", F.col("article").isNotNull().alias("inside"), F.explode(_trees()).alias("tree"))
     hits = salted_join(asked, templates(parsed, **settings), ["host", "inside", "tree"], F.col("row"), salts).groupBy("row").agg(F.collect_set("tree").alias("gone"))
-    kept = F.filter("blocks", lambda b: F.col("gone").isNull() | ~F.arrays_overlap(b["trees"], F.col("gone")))
+    kept = F.filter("blocks", lambda b: F.col("gone").isNull() | b["tree"].isNull() | ~F.array_contains(F.col("gone"), b["tree"]))
     text = lambda parts: F.array_join(F.transform(parts, lambda b: b["text"]), " ")
     cleared = rest.join(hits, "row", "left").select("page_id", "url", text(kept).alias("text"))
     return parsed.where(~open_).select("page_id", "url", text("blocks").alias("text")).unionByName(cleared).withColumn("n_chars", F.length("text").cast("long"))

@@ -24,6 +24,11 @@ def word_count(name: str = "text") -> Column:
     return F.regexp_count(text_or_empty(name), F.lit(WORD)).cast("long")
 
 
+def document_key() -> Column:
+    """A hash of a row's doc_id and text, by which a source's documents are shuffled: ids may be null or repeated."""
+    return F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(" "), F.md5(text_or_empty().cast("binary"))).cast("binary"))
+
+
 def targets(sizes: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), max_repeat: int = 3) -> DataFrame:
     """(source, source_size, rows): one row a source -> the same with place and target.
 
@@ -62,15 +67,16 @@ def arrival(fraction: Column, knots: tuple[tuple[float, float], ...]) -> Column:
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), max_repeat: int = 3, schedules=SCHEDULES) -> DataFrame:
-    """``docs`` (doc_id, text, source) -> doc_id, size, source, source_size, target, taken, position, sorted by position.
+    """``docs`` (doc_id, text, source) -> doc_id, size, source, source_size, target, taken, positions, sorted by the first of these.
 
     taken counts the words the mix takes of the document, repeats counted: a source whose target exceeds its size is gone
     through again, and the document at which the target ends is taken in part, so a source's words sum to the whole part
-    of its target. position (0 to 1) is the time of the first use; documents that aren't taken have none and come last.
-    Null text counts as empty (size 0, taken 0); null source is a source. Equal doc_ids stand by size; rows that are alike
+    of its target. positions (0 to 1) has the time of each use in order, as the source's demand reaches the document again;
+    documents that aren't taken have none and come last.
+    Null text counts as empty (size 0, taken 0); null source is a source. A source's documents stand by a hash of id and text; rows that are alike
     share their places in any order, with the same result. Empty tables give no rows. Extra columns are ignored.
     """
-    sized = docs.select("doc_id", "source", word_count().alias("size"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("key"))
+    sized = docs.select("doc_id", "source", word_count().alias("size"), document_key().alias("key"))
     sized = checkpoint(sized)
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
     most = sources.agg(F.max("rows")).first()[0] or 0
@@ -87,18 +93,23 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), max_repea
     start = F.col("offset") + F.col("inner")
     goal = F.floor("target")
     taken = sum((F.least(F.greatest(goal - e * F.col("source_size") - start, F.lit(0)), F.col("size")) for e in range(1, max_repeat)), F.least(F.greatest(goal - start, F.lit(0)), F.col("size")))
-    fraction = F.coalesce(F.try_divide(start.cast("double"), F.col("target")), F.lit(0.0))
     kind = F.pmod(F.col("place"), F.lit(len(schedules)))
-    time = F.coalesce(*(F.when(kind == i, arrival(fraction, s)) for i, s in enumerate(schedules)))
-    mixed = placed.withColumn("taken", taken.cast("long")).withColumn("position", F.when(F.col("taken") > 0, time))
+
+    def time(use: int) -> Column:
+        before = start + use * F.col("source_size")
+        fraction = F.coalesce(F.try_divide(before.cast("double"), F.col("target")), F.lit(0.0))
+        return F.when((F.col("size") > 0) & (before < goal), F.coalesce(*(F.when(kind == i, arrival(fraction, s)) for i, s in enumerate(schedules))))
+
+    mixed = placed.withColumn("taken", taken.cast("long")).withColumn("positions", F.array_compact(F.array(*map(time, range(max_repeat)))))
     # Those without a position are spread behind the others, else they'd all be one range.
     last = F.lit(2.0) + F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / float(1 << 32)
-    return mixed.orderBy(F.coalesce("position", last), "doc_id").select("doc_id", "size", "source", "source_size", "target", "taken", "position")
+    return mixed.orderBy(F.coalesce(F.get("positions", F.lit(0)), last), "doc_id").select("doc_id", "size", "source", "source_size", "target", "taken", "positions", "key")
 
 
 def mixture(docs: DataFrame, **settings) -> DataFrame:
-    """``docs`` with n_words, taken and position, range-sorted into training order; rows of which the mix takes nothing are
-    left out. Rows that share a doc_id (null among them) share its earliest position and its largest taken."""
-    mixed = mix(docs, **settings).where("taken > 0").groupBy(F.col("doc_id").alias("_id")).agg(F.max("size").alias("n_words"), F.max("taken").alias("taken"), F.min("position").alias("position"))
-    joined = docs.drop("n_words", "taken", "position").join(mixed, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
-    return joined.repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id")
+    """``docs`` with n_words, taken and positions, range-sorted by the first use into training order; rows of which the mix
+    takes nothing are left out. Rows alike in id and text share the earliest positions and the largest taken of theirs."""
+    mixed = mix(docs, **settings).where("taken > 0").groupBy(F.col("key").alias("_key")).agg(F.max("size").alias("n_words"), F.max("taken").alias("taken"), F.min("positions").alias("positions"))
+    joined = docs.drop("n_words", "taken", "positions").withColumn("_key", document_key()).join(mixed, "_key").drop("_key")
+    first = F.get("positions", F.lit(0))
+    return joined.repartitionByRange(first, "doc_id").sortWithinPartitions(first, "doc_id")

@@ -6,6 +6,7 @@ Texts pass through Arrow batches to a small matcher, a text at a time; nothing i
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -24,6 +25,8 @@ CONTEXT = {
     "iban": ("iban", "account", "bank", "konto", "compte", "cuenta"),
     "ssn": ("ssn", "social security", "social-security"),
 }
+#: Context words count as whole words, in the singular or plural.
+_CONTEXT = {kind: re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, said)) + r")s?(?!\w)") for kind, said in CONTEXT.items()}
 #: Score of a kind as proposed, and what a passed checksum adds; a context word adds CONTEXT_GAIN.
 PROPOSED = {"email": 0.8, "ip": 0.7, "card": 0.5, "phone": 0.7, "iban": 0.4, "card_near": 0.2, "phone_near": 0.5, "ssn": 0.5}
 CHECKED = {"card": 0.4, "iban": 0.5, "card_near": 0.4, "ip": 0.1}
@@ -31,7 +34,8 @@ CONTEXT_GAIN = 0.25
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
+#: A match opens a run of digits: no use in trying further in, which would take the square of a long run's length.
+_IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _GROUP = re.compile(r"[0-9]+")
@@ -147,8 +151,10 @@ def further_spans(text: str) -> Iterator[tuple[str, int, int]]:
 
 
 def score(text: str, kind: str, start: int, end: int) -> float:
-    near = (text[max(0, start - BEFORE) : start] + " " + text[end : end + AFTER]).lower()
-    said = any(w in near for w in CONTEXT.get(kind, ()))
+    said = False
+    if kind in _CONTEXT:
+        near = (text[max(0, start - BEFORE) : start] + " " + text[end : end + AFTER]).lower()
+        said = _CONTEXT[kind].search(near) is not None
     return min(1.0, PROPOSED[kind] + CHECKED.get(kind, 0.0) + CONTEXT_GAIN * said)
 
 
@@ -156,13 +162,20 @@ def spans(text: str | None) -> tuple[list[Span], list[Span]]:
     """Base spans and added ones, scored. An added span needs ACCEPT and overlaps no base span nor an earlier added one."""
     text = text or ""
     base = [(k, a, b, score(text, k, a, b)) for k, a, b, _ in base_spans(text)]
-    taken = sorted((a, b) for _, a, b, _ in base)
+    # Stretches taken already, apart and in order: at most two of them stand next to a new span.
+    taken: list[tuple[int, int]] = []
+    for _, a, b, _ in sorted(base, key=lambda s: s[1]):
+        if taken and a < taken[-1][1]:
+            taken[-1] = taken[-1][0], max(taken[-1][1], b)
+        else:
+            taken.append((a, b))
     added: list[Span] = []
     for kind, a, b in further_spans(text):
-        s = score(text, kind, a, b)
-        if s >= ACCEPT and not any(a < d and c < b for c, d in taken):
+        at = bisect_left(taken, (a, b))
+        free = (at == len(taken) or taken[at][0] >= b) and (at == 0 or taken[at - 1][1] <= a)
+        if free and (s := score(text, kind, a, b)) >= ACCEPT:
             added.append((kind, a, b, s))
-            taken.append((a, b))
+            insort(taken, (a, b))
     return base, added
 
 
@@ -195,7 +208,7 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def find(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text) -> doc_id, base and added spans (kind, start, stop, score), a row for each row of ``docs``.
 
-    Offsets are code points, ends exclusive. Null text counts as empty. Whole texts are searched, however long; repeated rows
+    Offsets are code points, ends exclusive. Runs of digits of any length take linear time. Null text counts as empty. Whole texts are searched, however long; repeated rows
     are searched each by itself; extra columns are ignored; an empty table gives no rows.
     """
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_find, f"doc_id long, base {_SQL_SPANS}, added {_SQL_SPANS}")

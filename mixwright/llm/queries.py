@@ -25,6 +25,7 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     ordered = F.array_sort(F.transform(F.concat("base", "added"), lambda s: F.struct(rank(s["kind"]).alias("rank"), s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"))))
     return found.select(
         "doc_id", *map(count, pii.KINDS), F.sha2(_joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), _joined(ordered).alias("spans"), F.size("added").cast("long").alias("n_added"),
+        F.array_min(F.transform(F.concat("base", "added"), lambda s: s["score"])).alias("least_score"),
     )
 
 
@@ -61,12 +62,32 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", *(F.floor(F.get("positions", F.lit(e)) * 1_000_000).cast("long").alias(f"position_{e + 1}") for e in range(3))
+    )
+
+
+def _arrival_sql(fraction: str, knots) -> str:
+    """The time at which a schedule has spent ``fraction`` of its integral, as in mixing.arrival()."""
+    areas = [(t1 - t0) * (r0 + r1) / 2 for (t0, r0), (t1, r1) in zip(knots, knots[1:], strict=False)]
+    whole, spent, out = sum(areas), 0.0, ""
+    for ((t0, r0), (t1, r1)), area in zip(zip(knots, knots[1:], strict=False), areas, strict=True):
+        part, slope = f"greatest({fraction} * {whole}::double - {spent}::double, 0::double)", (r1 - r0) / (t1 - t0)
+        x = f"{part} / {r0}::double" if slope == 0 else f"2 * {part} / ({r0}::double + sqrt(greatest({r0 * r0}::double + {2 * slope}::double * {part}, 0::double)))"
+        spent += area
+        out += f" when {fraction} * {whole}::double <= {spent}::double then {t0}::double + {x}"
+    return f"case{out} else {knots[-1][0]}::double end"
+
+
+def _position_sql(use: int) -> str:
+    fraction = f"coalesce((start + {use} * source_size)::double / nullif(target, 0), 0)"
+    times = " ".join(f"when {i} then {_arrival_sql(fraction, s)}" for i, s in enumerate(mixing.SCHEDULES))
+    return f"case when size > 0 and start + {use} * source_size < floor(target) then floor((case (place % {len(mixing.SCHEDULES)})::int {times} end) * 1000000)::bigint end as position_{use + 1}"
 
 
 OP7_SQL = """
 with d as (
-  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::bigint as size, md5(coalesce(doc_id::varchar, '')) as k from documents),
+  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::bigint as size, md5(coalesce(doc_id::varchar, '') || ' ' || md5(coalesce(text, ''))) as k from documents),
 s as (select source, sum(size)::bigint as source_size from d group by source),
 p as (select *, row_number() over (order by source nulls last) - 1 as place from s),
 w as (select *, (1 + place % 3)::double as weight, (3 * source_size)::double as cap, (sum(source_size) over ())::double as total from p),
@@ -75,12 +96,12 @@ f as (select *, sum(cap) over o - cap as before, sum(weight) over () - sum(weigh
 l as (select *, (total - before) / remaining as level from f),
 c as (select *, first_value(level) over (order by case when cap > weight * level then rank end nulls last, rank) as final_level,
       bool_or(cap > weight * level) over () as any_free from l),
-t as (select source, source_size, round(least(cap, case when any_free then weight * final_level else cap end), 6) as target from c),
-x as (select d.doc_id, d.size, t.source_size, t.target, sum(d.size) over (partition by d.source order by d.k, d.doc_id nulls first, d.size rows between unbounded preceding and current row) - d.size as start
+t as (select source, source_size, place, round(least(cap, case when any_free then weight * final_level else cap end), 6) as target from c),
+x as (select d.doc_id, d.size, t.source_size, t.target, t.place, sum(d.size) over (partition by d.source order by d.k, d.doc_id nulls first, d.size rows between unbounded preceding and current row) - d.size as start
       from d join t on d.source is not distinct from t.source)
 select doc_id, size, source_size, target,
   (least(greatest(floor(target)::bigint - start, 0), size) + least(greatest(floor(target)::bigint - source_size - start, 0), size)
-   + least(greatest(floor(target)::bigint - 2 * source_size - start, 0), size))::bigint as taken
+   + least(greatest(floor(target)::bigint - 2 * source_size - start, 0), size))::bigint as taken, """ + ", ".join(map(_position_sql, range(3))) + """
 from x
 """
 
@@ -96,13 +117,20 @@ def _op8_sql() -> str:
     key = lambda host, path: f"case when {host} <> '' then regexp_replace({host}, '^(?:www|m)\\.', '') || '/' || regexp_replace(regexp_replace({path}, '(?:/index)?(?:\\.html?)?/*$', ''), '^/+', '') end"
     parse = lambda url, group: f"regexp_extract(coalesce({url}, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', {group})"
     upper, lower = url_filter.UPPER, url_filter.LOWER
+    # Targets against the page's url: folders walked by a list that grows and shrinks.
+    inside = "regexp_extract(url, '(?s)^[^?#]*', 0)"
+    joined = f"case when {inside} = '' then path when starts_with({inside}, '/') then {inside} else (case when contains(path, '/') then regexp_extract(path, '(?s)^.*/', 0) else '/' end) || {inside} end"
+    step = "lambda a, p: case when p = ['..'] then a[1:greatest(len(a) - 1, 0)] when p = ['.'] then a else a || p end"
+    walked = f"array_to_string(list_reduce(list_prepend([]::varchar[], list_transform(string_split(regexp_replace({joined}, '^/', ''), '/'), lambda x: [x])), {step}), '/')"
+    resolved = f"case when regexp_matches(url, '^[A-Za-z][A-Za-z0-9+.-]*:') then url when starts_with(url, '//') then 'http:' || url else 'http://' || host || '/' || {walked} end"
     return f"""
 with recursive u as (select page_id, html, translate({parse("url", 1)}, '{upper}', '{lower}') as host, {parse("url", 2)} as path from pages),
 r as (select page_id, host, path, html, {case(lambda r: r.name)} as rule, {case(lambda r: r.verdict)} as said, {key("host", "path")} as key from u),
-tags as (select key, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\\b[^>]*>')) as tag from r),
-aims as (select key as a, coalesce(nullif(regexp_extract(case when regexp_matches(tag, '(?is)^<link\\b.*\\brel\\s*=\\s*["'']?canonical\\b') then tag else '' end, '(?is)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1), ''),
+tags as (select key, host, path, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\\b[^>]*>')) as tag from r),
+aims as (select key as a, host, path, coalesce(nullif(regexp_extract(case when regexp_matches(tag, '(?is)^<link\\b.*\\brel\\s*=\\s*["'']?canonical\\b') then tag else '' end, '(?is)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1), ''),
       nullif(regexp_extract(case when regexp_matches(tag, '(?is)^<meta\\b.*\\bhttp-equiv\\s*=\\s*["'']?refresh\\b') then tag else '' end, '(?is)\\burl\\s*=\\s*["'']?([^"''\\s>]+)', 1), '')) as url from tags),
-links as (select a, {key(f"translate({parse('url', 1)}, '{upper}', '{lower}')", parse("url", 2))} as b from aims where url is not null),
+full_ as (select a, {resolved} as url from aims where url is not null),
+links as (select a, {key(f"translate({parse('url', 1)}, '{upper}', '{lower}')", parse("url", 2))} as b from full_),
 sides as (select a, b from links where b is not null union select b, a from links where b is not null),
 walk as (select key as origin, key as node from r where key is not null union select walk.origin, sides.b from walk join sides on walk.node = sides.a),
 keys as (select key, bool_or(said = 'block') as blocks, bool_or(said = 'allow') as allows from r where key is not null group by key),

@@ -1,9 +1,10 @@
 """Secret scans: known forms, and a battery of randomness tests for the rest.
 
 Known forms come from regular expressions. Other long tokens are measured against their inferred encoding: chi-squared
-uniformity over its alphabet, a runs test and a serial correlation. A token counts as a secret if it passes for random and
-if text of its length would hardly look so even; that second question is put to all tokens together under a bound on the
-false discovery rate (Benjamini and Hochberg). Everything is DataFrame expressions.
+uniformity over its alphabet, a runs test and a serial correlation. A token counts as a secret if it passes all three for
+random (the least of their probabilities, times three) and if text of its length would hardly have so even a chi-squared
+statistic; that second question is put to all tokens together under a bound on the false discovery rate (Benjamini and
+Hochberg, weighted by the kind of token). Everything is DataFrame expressions, of linear time in a token's length.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mixwright.llm.common import checkpoint, let, text_or_empty
+from mixwright.llm.common import checkpoint, let, prefix_sums, text_or_empty
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -31,14 +32,13 @@ def matches(text: Column, kind: str, pattern: str, least: Column | None = None)
     """All leftmost non-overlapping matches as (kind, start, stop, value) in code points: the text is cut at a mark set
     around every match, and the pieces' lengths are summed up. A text that holds the mark itself loses no place by it."""
     marked = F.split(F.regexp_replace(F.replace(text, F.lit("\u0001"), F.lit("\u0002")), pattern, "\u0001$0\u0001"), "\u0001")
-    start = F.struct(F.lit(0).alias("at"), F.lit(False).alias("match"), F.array().cast(SPAN).alias("out"))
 
-    def step(a: Column, piece: Column) -> Column:
-        end = a["at"] + F.length(piece)
-        span = F.struct(F.lit(kind).alias("kind"), a["at"].alias("start"), end.alias("stop"), piece.alias("value"))
-        return F.struct(end.alias("at"), (~a["match"]).alias("match"), F.when(a["match"], F.concat(a["out"], F.array(span))).otherwise(a["out"]).alias("out"))
+    def spans(s: Column) -> Column:
+        odd = F.when(F.size(s["pieces"]) > 1, F.sequence(F.lit(1), F.size(s["pieces"]) - 1, F.lit(2))).otherwise(F.array().cast("array<int>"))
+        place = lambda i: F.get(s["at"], i).cast("int")
+        return F.transform(odd, lambda i: F.struct(F.lit(kind).alias("kind"), place(i).alias("start"), place(i + 1).alias("stop"), F.get(s["pieces"], i).alias("value")))
 
-    return F.aggregate(marked, start, step)["out"]
+    return let(marked, lambda pieces: let(F.struct(pieces.alias("pieces"), prefix_sums(F.transform(pieces, F.length)).alias("at")), spans))
 
 
 def _tail(z: Column) -> Column:
@@ -56,12 +56,16 @@ def battery(value: Column) -> Column:
 
     def measured(s: Column) -> Column:
         cells = F.length(s["alphabet"])
-        codes = F.transform(F.sequence(F.lit(1), F.length(s["bare"])), lambda i: F.position(F.substring(s["bare"], i, F.lit(1)), s["alphabet"]))
-        return let(F.struct(codes.alias("codes"), cells.alias("cells"), s["which"].alias("which")), tests)
+        codes = F.transform(F.filter(F.split(s["bare"], ""), lambda c: c != ""), lambda c: F.position(c, s["alphabet"]))
+        # How often each letter stands: what the value is shorter without it.
+        times = F.transform(F.filter(F.split(s["alphabet"], ""), lambda c: c != ""), lambda c: (F.length(s["bare"]) - F.length(F.replace(s["bare"], c, F.lit("")))).cast("double"))
+        return let(F.struct(codes.alias("codes"), times.alias("times"), cells.alias("cells"), s["which"].alias("which")), tests)
 
     def tests(s: Column) -> Column:
         n = F.size(s["codes"]).cast("double")
-        squares = F.aggregate(F.array_distinct(s["codes"]), F.lit(0.0), lambda a, c: a + F.pow(F.size(F.filter(s["codes"], lambda x: x == c)).cast("double"), 2))
+        # Letters of other alphabets count as one more.
+        other = n - F.aggregate(s["times"], F.lit(0.0), lambda a, x: a + x)
+        squares = other * other + F.aggregate(s["times"], F.lit(0.0), lambda a, x: a + x * x)
         mean = F.aggregate(s["codes"], F.lit(0.0), lambda a, c: a + c) / n
         high = F.transform(s["codes"], lambda c: c * 2 > s["cells"])
         return let(F.struct(n.alias("n"), squares.alias("squares"), mean.alias("mean"), high.alias("high"), s["codes"].alias("codes"), s["cells"].cast("double").alias("cells"), s["which"].alias("which")), results)
@@ -111,9 +115,11 @@ def scan(docs: DataFrame, false_discoveries: float = FALSE_DISCOVERIES, random:
     agree = min(max(natural or COINCIDENCE, 0.04), 0.2)
     # How rarely natural text of that length agrees so little: the shorter, the less it says.
     rare = lambda n, a: _tail((F.lit(agree) - a) / F.sqrt(F.lit(2 * agree * (1 - agree)) / (n * (n - 1))))
-    # Natural tokens are of one case or open with a capital; what mixes digits or cases further in is rarer by that.
-    mixed = lambda v: F.when(v.rlike("[0-9]") & v.rlike("[A-Za-z]"), 1e-3).when(v.rlike("[a-z][A-Z]") & ~v.rlike("[-_/+]"), 1e-1).otherwise(1.0)
-    p = lambda v, t: F.greatest(rare(t["n"], t["agree"]) * mixed(v), F.lit(1e-30))
+    # Natural tokens are of one case or open with a capital, so what mixes digits or cases further in is weighted up. Weights
+    # of a weighted false-discovery control have the mean 1 over all tokens.
+    weight = lambda v: F.when(v.rlike("[0-9]") & v.rlike("[A-Za-z]"), 1000.0).when(v.rlike("[a-z][A-Z]") & ~v.rlike("[-_/+]"), 10.0).otherwise(1.0)
+    mean = each.agg(F.avg(weight(F.col("value")))).first()[0] or 1.0
+    p = lambda v, t: F.greatest(rare(t["n"], t["agree"]) / weight(v) * mean, F.lit(1e-30))
     steps = each.select(F.floor(-10 * F.log10(p(F.col("value"), {"n": F.col("n"), "agree": F.col("agree")}))).cast("int").alias("step")).groupBy("step").count()
     bound = _bound([(r["step"], r["count"]) for r in steps.collect()], false_discoveries)  # 301 steps at most
     even = lambda t: F.least(F.lit(1.0), 3 * F.least(t["chi"], t["runs"], t["serial"])) >= random

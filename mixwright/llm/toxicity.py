@@ -19,11 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled rows of each class to learn from, and tokens the model keeps: bounds on the model, not on the rows scored.
-SAMPLE_PER_CLASS, MODEL_TOKENS = 8000, 20000
-#: Texts that the prior lends a token, least z-score of a token that counts, least forms of a stem; letters of a stem, of
+#: Labelled rows of each class to learn from: a bound on the sample, and by its words on the model, not on the rows scored.
+SAMPLE_PER_CLASS = 8000
+#: Texts that the prior lends all tokens together by their share of both classes, and texts that it lends each; least z-score of a token that counts, least forms of a stem; letters of a stem, of
 #: which the longest known counts.
-PRIOR, LEAST_Z, FORMS = 1.0, 3.0, 3
+PRIOR, EACH, LEAST_Z, FORMS = 100.0, 0.5, 3.0, 3
 STEMS = (8, 7, 6, 5, 4)
 #: What a token without evidence costs a segment.
 DRIFT = -1.0
@@ -133,15 +133,17 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), *(pa.array([texts[c][w] for w in words], pa.int64()) for c in (0, 1))], names=["word", "clean", "toxic"])
 
 
-def log_odds(toxic: float, clean: float, all_toxic: float, all_clean: float, prior: float = PRIOR) -> tuple[float, float]:
-    """Log-odds under a Dirichlet prior that gives each class ``prior`` texts in proportion to the class's share, and their
-    z-score."""
-    share = all_toxic / (all_toxic + all_clean)
-    value = math.log((toxic + prior * share) / all_toxic) - math.log((clean + prior * (1 - share)) / all_clean)
-    return value, value / math.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
+def log_odds(toxic: float, clean: float, all_toxic: float, all_clean: float, n_words: int, prior: float = PRIOR, each: float = EACH) -> tuple[float, float]:
+    """Log of the ratio of a word's odds in toxic and in clean text, and its z-score. Each class has the same Dirichlet prior:
+    of a word ``each`` and its part of ``prior`` by its share of both classes; of all ``n_words`` words the sum of these."""
+    own = each + prior * (toxic + clean) / (all_toxic + all_clean)
+    whole = each * n_words + prior
+    odds = lambda count, total: math.log((count + own) / (total + whole - count - own))
+    value = odds(toxic, all_toxic) - odds(clean, all_clean)
+    return value, value / math.sqrt(1 / (toxic + own) + 1 / (clean + own))
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, model_tokens: int = MODEL_TOKENS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model:
     """Learn from the labelled rows that aren't held out. Without toxic or without clean rows the model scores all low."""
     every = training_rows(docs, labels, per_class)
     # One row in three calibrates what the others teach, else chance finds would look certain.
@@ -149,14 +151,15 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, m
     counts = every.where(~apart).select("text", "toxic").mapInArrow(_counted, "word string, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     counts = counts.persist()
     try:
-        size = counts.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).first()
+        size = counts.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"), F.count("*").alias("n")).first()
         if not size.clean or not size.toxic:
             return Model()
-        top = lambda d: d.where("toxic >= 2 and toxic * {:f} > clean * {:f}".format(size.clean, size.toxic)).orderBy(F.desc("toxic"), "clean", "word").limit(model_tokens).collect()
-        words = {r.word: log_odds(r.toxic, r.clean, size.toxic, size.clean) for r in top(counts)}
+        # Words that toxic texts of the sample hold more often: no more than the sample has.
+        leaning = lambda d: d.where("toxic >= 2 and toxic * {:f} > clean * {:f}".format(size.clean, size.toxic)).collect()
+        words = {r.word: log_odds(r.toxic, r.clean, size.toxic, size.clean, size.n) for r in leaning(counts)}
         cut = F.explode(F.filter(F.array(*map(F.lit, STEMS)), lambda n: F.length("word") > n))
         stems = counts.select("*", cut.alias("letters")).groupBy(F.expr("substring(word, 1, letters)").alias("word")).agg(*(F.sum(c).alias(c) for c in ("clean", "toxic")), F.count_if(F.col("toxic") > 0).alias("forms"))
-        beginnings = {r.word: log_odds(r.toxic, r.clean, size.toxic, size.clean) for r in top(stems.where(F.col("forms") >= FORMS))}
+        beginnings = {r.word: log_odds(r.toxic, r.clean, size.toxic, size.clean, size.n) for r in leaning(stems.where(F.col("forms") >= FORMS))}
     finally:
         counts.unpersist()
     good = lambda d: {w: min(v, 12.0) for w, (v, z) in d.items() if z >= LEAST_Z and v > 2.0}

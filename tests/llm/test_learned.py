@@ -96,6 +96,33 @@ def test_wrappers_of_an_article_are_no_noise(spark):
     assert got == {0: "Main text", 1: "Top Main text", 2: "Main text", 3: "Main text"}
 
 
+def test_deep_nesting_takes_linear_time():
+    import time
+
+    start = time.perf_counter()
+    n = 100_000
+    for page in ("<div>x" * n, "<div>x" * n + "</span>" * n, "<b>x" * n + "</i>" * n, "<p>x" * n, "<ul><li>x" * n, "<a <b" * n, "<article>" + "<div>x" * n):
+        html_text.blocks(page)
+    assert time.perf_counter() - start < 60
+
+
+def test_templates_match_a_plain_count(spark):
+    """Pages without a marked article: the text is what stands in no subtree that enough pages of the host hold."""
+    rng = random.Random(6)
+    rows, want = [], {}
+    for h in range(3):
+        shared = [f"<div><p>Shared {h} {k}</p></div>" for k in range(6)]
+        chosen = [[k for k in range(6) if rng.random() < (0.05, 0.08, 0.2, 0.4, 0.6, 0.9)[k]] for _ in range(40)]
+        count = [sum(k in c for c in chosen) for k in range(6)]
+        for i, own in enumerate(chosen):
+            parts = [(f"Shared {h} {k}", shared[k], count[k]) for k in own] + [(f"Own {h} {i}", f"<section><p>Own {h} {i}</p></section>", 1)]
+            rng.shuffle(parts)
+            rows.append((len(rows), f"http://h{h}.org/{i}", "<html><body>" + "".join(p for _, p, _ in parts) + "</body></html>"))
+            want[rows[-1][0]] = " ".join(t for t, _, n in parts if n < max(html_text.LEAST_PAGES, html_text.LEAST_SHARE * 40))
+    got = {r.page_id: r.text for r in html_text.extract(_pages(spark, rows)).collect()}
+    assert got == want and any("Shared" in t for t in want.values())
+
+
 def test_query_takes_the_article_of_every_page(spark, sf_dir):
     import re
     from html import unescape

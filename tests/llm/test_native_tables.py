@@ -63,8 +63,10 @@ def test_mix_meets_targets_and_order(spark):
         assert got[0].target <= 3 * got[0].source_size
     assert abs(sum(g[0].target for g in by.values()) - total) < 0.01
     assert by[None][0].target == 3 * 100
-    placed = [r.position for r in out if r.position is not None]
-    assert placed == sorted(placed) and 0 <= placed[0] and placed[-1] <= 1
+    placed = [r.positions[0] for r in out if r.positions]
+    assert placed == sorted(placed) and 0 <= placed[0] and all(0 <= p <= 1 for r in out for p in r.positions)
+    for r in out:
+        assert list(r.positions) == sorted(r.positions) and len(r.positions) == (-(-r.taken // r.size) if r.size else 0)
     again = {(r.doc_id, r.size, r.taken) for r in mixing.mix(docs(spark, rows[::-1])).collect()}
     assert again == {(r.doc_id, r.size, r.taken) for r in out}
 
@@ -77,8 +79,15 @@ def test_mix_of_empty_tables(spark):
 
 def test_mixture_comes_in_training_order(spark):
     out = mixing.mixture(docs(spark, [(i, f"w{i} " * (i % 7 + 1), f"s{i % 4}") for i in range(300)])).collect()
-    assert [r.position for r in out] == sorted(r.position for r in out)
-    assert {"doc_id", "text", "taken", "position"} <= set(out[0].asDict())
+    assert [r.positions[0] for r in out] == sorted(r.positions[0] for r in out)
+    assert {"doc_id", "text", "taken", "positions"} <= set(out[0].asDict())
+
+
+def test_mixture_keeps_rows_apart_that_share_an_id(spark):
+    rows = [(None, "a b c", "s0"), (None, "d " * 50, "s0"), (7, "e " * 20, "s1"), (7, "f " * 5, "s1")]
+    out = mixing.mixture(docs(spark, rows)).collect()
+    assert {(r.doc_id, r.text): r.n_words for r in out} == {(i, t): len(t.split()) for i, t, _ in rows if (i, t) in {(r.doc_id, r.text) for r in out}}
+    assert all(0 < r.taken <= 3 * r.n_words for r in out)
 
 
 def test_schedule_inverts_its_integral(spark):
@@ -119,5 +128,45 @@ def test_relative_targets_and_capital_tags_join(spark):
     assert got == {**{i: "block" if i < 5 else "allow" for i in range(8)}, 100: "block", 101: "block"}
 
 
+def test_chains_of_links_match_the_sql(spark, tmp_path):
+    """Hundreds of chains of redirects and canonical links, relative and absolute, against a recursive walk in SQL."""
+    import random
+
+    import duckdb
+
+    rng = random.Random(3)
+    rows = []
+    for chain in range(150):
+        host, end = f"h{chain}.org", rng.choice(["http://example.com/de/x", f"http://b{chain}.net/z", f"http://h{chain}.org/fr/y", ""])
+        steps = [f"/p{k}" for k in range(rng.randrange(1, 9))]
+        for k, path in enumerate(steps):
+            to = steps[k + 1] if k + 1 < len(steps) else end
+            to = rng.choice([to, f"..{to}", f"http://{host}{to}"]) if to.startswith("/") else to
+            tag = rng.choice(['<link rel=canonical href="{}">', '<LINK HREF="{}" REL=canonical>', '<meta http-equiv=refresh content="0; url={}">'])
+            rows.append((len(rows), f"http://{host}{path}", tag.format(to) if to else ""))
+        if end:
+            rows.append((len(rows), end, ""))
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    got = sorted((r.page_id, r.host, r.path, r.rule, r.verdict) for r in queries.op8_url_filter(spark, str(tmp_path)).collect())
+    db = duckdb.connect()
+    db.execute(f"create view pages as select * from read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    assert got == sorted(db.execute("select page_id, host, path, rule, verdict from (" + queries.ORACLE["op8_url_filter"] + ")").fetchall())
+    assert sum(v == "block" and rule is None for *_, rule, v in got) > 50
+
+
+def test_prefix_sums(spark):
+    from mixwright.llm.common import prefix_sums
+
+    rows = [(list(range(n)),) for n in (0, 1, 2, 3, 4, 5, 17, 1000)]
+    for r in spark.createDataFrame(rows, "v array<int>").select("v", prefix_sums("v").alias("s")).collect():
+        assert r.s == [sum(r.v[:i]) for i in range(len(r.v) + 1)]
+
+
+def test_long_conversation(spark):
+    rows = [(1, i, "assistant" if i % 2 else "user", f"say {i}") for i in range(3000)]
+    got = chat_format.read_back(chat_format.windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).first()
+    assert [t.text for t in got.turns] == [r[3] for r in rows] and got.target == "".join(r[3] for r in rows if r[2] == "assistant")
+
+
 def test_url_filter_of_an_empty_table(spark):
     assert url_filter.judge(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0

@@ -121,5 +121,19 @@ def test_random_values_right_behind_an_equals_sign_are_found(spark):
     assert not any(got[i] for i in range(100, 140))
 
 
+def test_long_tokens_and_many_matches(spark):
+    import random
+    import time
+
+    rng = random.Random(4)
+    blob = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(1_000_000))
+    text = "token=abcdefgh1 " * 20_000
+    start = time.perf_counter()
+    got = {r.doc_id: r for r in secrets.scan(docs(spark, [(1, f"x {blob} y"), (2, text)])).collect()}
+    assert time.perf_counter() - start < 60
+    assert [(m["start"], m["stop"]) for m in got[1].found] == [(2, 1_000_002)]
+    assert [m["start"] for m in got[2].base] == [16 * i for i in range(20_000)]
+
+
 def test_scan_of_an_empty_table(spark):
     assert secrets.scan(docs(spark, [])).count() == 0
