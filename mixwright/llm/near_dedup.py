@@ -26,7 +26,7 @@ from mixwright.llm.components import components
 #: of 64 with 0.92. From 0.84 on it is 0.99 and more.
 SHINGLE, ELL, SKETCHES, SIMILARITY = 5, 2, 64, 0.8
 #: Buckets are compared in blocks of about so many texts and bytes, each pair of blocks in one task; so many words at once.
-BLOCK, BLOCK_BYTES, COLUMNS = 512, 1_000_000, 2048
+BLOCK, BLOCK_BYTES, COLUMNS = 2048, 4_000_000, 1024
 #: Counts of word pairs are kept in this many cells, which tell rare ones from common ones; the result is the same with any.
 CELLS = 1 << 18
 #: Pairs that one text takes part in as the first are dealt over tasks in lots of this many.
@@ -207,23 +207,25 @@ def _first(buckets: DataFrame) -> DataFrame:
     return buckets.join(heads, "key").where("doc_id > a").select("key", "a", F.col("doc_id").alias("b"), "n_a", F.col("n_words").alias("n_b"))
 
 
-def shared(sets: list[np.ndarray], n_left: int) -> np.ndarray:
-    """For each of the first ``n_left`` sets and each of the rest (of all, where there is no rest) the number of members that
-    both have."""
+def shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """For each set of ``left`` and each of ``right`` the number of members that both have."""
+    sets = left + right
     rows = np.repeat(np.arange(len(sets)), [x.size for x in sets])
-    _, cols, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    held = counts[cols] > 1
+    _, cols = np.unique(np.concatenate(sets), return_inverse=True)
+    # What one side alone has doesn't count.
+    both = np.zeros((2, int(cols.max()) + 1 if cols.size else 0), bool)
+    both[(rows >= len(left)).astype(np.int64), cols] = True
+    held = both.all(axis=0)[cols]
     rows, cols = rows[held], cols[held]
     _, cols = np.unique(cols, return_inverse=True)
     order = np.argsort(cols, kind="stable")
     rows, cols = rows[order], cols[order]
-    right = n_left if n_left < len(sets) else 0
-    out = np.zeros((n_left, len(sets) - right), np.float32)
+    out = np.zeros((len(left), len(right)), np.float32)
     for a in range(0, int(cols[-1]) + 1 if cols.size else 0, COLUMNS):
         part = slice(*np.searchsorted(cols, [a, a + COLUMNS]))
         has = np.zeros((len(sets), COLUMNS), np.float32)
         has[rows[part], cols[part] - a] = 1
-        out += has[:n_left] @ has[right:].T
+        out += has[: len(left)] @ has[len(left) :].T
     return out
 
 
@@ -252,21 +254,22 @@ def _linked(left: list[dict], right: list[dict]) -> list[tuple[int, int]]:
 
     words_ = [np.frombuffer(t["words"], np.uint32) for t in texts]
     sizes, joined = np.array([w.size for w in words_]), np.array(parent)
-    start = len(left) if right else 0
-    longer, shorter = np.maximum(sizes[: len(left), None], sizes[None, start:]), np.minimum(sizes[: len(left), None], sizes[None, start:])
+    if right:
+        rows, cols = np.arange(len(left)), np.arange(len(left), len(texts))
+    else:  # all but the texts of the largest component with all
+        rows, cols = np.flatnonzero(joined != np.bincount(joined).argmax()), np.arange(len(texts))
+    longer, shorter = np.maximum(sizes[rows, None], sizes[None, cols]), np.minimum(sizes[rows, None], sizes[None, cols])
     least = longer - ((1 - SIMILARITY) * longer + 1e-9).astype(np.int64)
-    open_ = (shorter >= least) & (joined[: len(left), None] != joined[None, start:])
+    open_ = (shorter >= least) & (joined[rows, None] != joined[None, cols])
     if not right:
-        open_ &= np.tri(len(texts), k=-1, dtype=bool).T
-    if open_.any():
-        open_ &= shared([t["before"] for t in texts], len(left)) == 0
-    i, j = np.flatnonzero(open_.any(axis=1)), np.flatnonzero(open_.any(axis=0))
-    if i.size * j.size > 4:
-        bags = {k: bag(words_[k]) for k in {*i.tolist(), *(j + start).tolist()}}
-        enough = shared([bags[k] for k in i.tolist()] + [bags[k] for k in (j + start).tolist()], i.size)
-        open_[np.ix_(i, j)] &= enough >= least[np.ix_(i, j)]
+        open_ &= (rows[:, None] < cols[None, :]) | ~np.isin(cols, rows)[None, :]
+    for count, enough in ((lambda k: texts[k]["before"], lambda n, _: n == 0), (lambda k: bag(words_[k]), lambda n, bound: n >= bound)):
+        i, j = np.flatnonzero(open_.any(axis=1)), np.flatnonzero(open_.any(axis=0))
+        if i.size:
+            part = np.ix_(i, j)
+            open_[part] &= enough(shared([count(k) for k in rows[i].tolist()], [count(k) for k in cols[j].tolist()]), least[part])
     for x, y in np.argwhere(open_).tolist():
-        y += start
+        x, y = int(rows[x]), int(cols[y])
         if root(x) != root(y) and similar(texts[x]["words"], texts[y]["words"]):
             parent[root(y)] = root(x)
             found.append((texts[x]["component"], texts[y]["component"]))
@@ -278,10 +281,9 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in range(batch.num_rows):
             row = batch.slice(at, 1)
             first, flat = row.column("i")[0].as_py(), row.column("texts").flatten()
-            places, values = flat.field("keys").offsets.to_numpy(), flat.field("keys").values.to_numpy()
-            columns = [flat.field(c).to_pylist() for c in ("block", "component", "words", "rank")]
-            # Of the keys only those before this one are asked for.
-            texts = [{"block": b, "component": c, "words": w, "before": values[p : p + r]} for b, c, w, r, p in zip(*columns, places.tolist(), strict=False)]
+            at_, values = flat.field("before").offsets.to_numpy(), flat.field("before").values.to_numpy()
+            columns = [flat.field(c).to_pylist() for c in ("block", "component", "words")]
+            texts = [{"block": b, "component": c, "words": w, "before": values[at_[n] : at_[n + 1]]} for n, (b, c, w) in enumerate(zip(*columns, strict=True))]
             left, right = [t for t in texts if t["block"] == first], [t for t in texts if t["block"] != first]
             found = _linked(left, right) if left and (right or row.column("j")[0].as_py() == first) else []
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
@@ -351,7 +353,8 @@ def _within(each: DataFrame, sums: DataFrame, tokens: DataFrame) -> DataFrame:
     blocks = sums.select("key", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))
     dealt = each.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("doc_id", "key"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     texts = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "rank").join(tokens.select("doc_id", "component", "words", "keys"), "doc_id")
-    grouped = texts.groupBy("key", "i", "j").agg(F.collect_list(F.struct("block", "component", "words", "rank", "keys")).alias("texts"))
+    before = F.slice("keys", F.lit(1), F.col("rank")).alias("before")  # an earlier key that two texts share has compared them
+    grouped = texts.select("key", "i", "j", F.struct("block", "component", "words", before).alias("text")).groupBy("key", "i", "j").agg(F.collect_list("text").alias("texts"))
     return checkpoint(grouped.select("i", "j", "texts").mapInArrow(_compared, "a long, b long"))
 
 

@@ -224,8 +224,8 @@ def test_texts_of_a_bucket_are_compared_with_those_its_first_reached():
 
 def test_shared_words_count_repeats():
     bags = [near_dedup.bag(np.array(x, np.uint32)) for x in ([1, 1, 2, 5], [1, 1, 1, 2], [7], [2, 5, 5, 1])]
-    assert near_dedup.shared(bags, 4)[0, 1:].tolist() == [3, 0, 3] and near_dedup.shared(bags, 4)[1, 2:].tolist() == [0, 2]
-    assert near_dedup.shared(bags, 2).tolist() == [[0, 3], [0, 2]]
+    assert near_dedup.shared(bags, bags)[0, 1:].tolist() == [3, 0, 3] and near_dedup.shared(bags, bags)[1, 2:].tolist() == [0, 2]
+    assert near_dedup.shared(bags[:2], bags[2:]).tolist() == [[0, 3], [0, 2]] and near_dedup.shared(bags[2:3], bags[:1]).tolist() == [[0]]
 
 
 def test_similar_texts_share_a_rarest_word_pair():
