@@ -25,8 +25,9 @@ from mixwright.llm.components import components
 #: At ``SIMILARITY`` two texts with scattered edits share a fifth of their shingles and a sketch with probability 0.04: one
 #: of 64 with 0.92. From 0.84 on it is 0.99 and more.
 SHINGLE, ELL, SKETCHES, SIMILARITY = 5, 2, 64, 0.8
-#: Buckets are compared in blocks of about so many texts and bytes, each pair of blocks in one task; so many words at once.
-BLOCK, BLOCK_BYTES, COLUMNS = 2048, 4_000_000, 1024
+#: Buckets are compared in blocks of about so many texts and bytes, each pair of blocks in one task; so many texts with
+#: all of the block, and so many words, at once.
+BLOCK, BLOCK_BYTES, ROWS, COLUMNS = 2048, 4_000_000, 512, 512
 #: Counts of word pairs are kept in this many cells, which tell rare ones from common ones; the result is the same with any.
 CELLS = 1 << 18
 #: Pairs that one text takes part in as the first are dealt over tasks in lots of this many.
@@ -253,26 +254,30 @@ def _linked(left: list[dict], right: list[dict]) -> list[tuple[int, int]]:
         return x
 
     words_ = [np.frombuffer(t["words"], np.uint32) for t in texts]
-    sizes, joined = np.array([w.size for w in words_]), np.array(parent)
+    sizes, joined = np.array([w.size for w in words_], np.int32), np.array(parent)
     if right:
         rows, cols = np.arange(len(left)), np.arange(len(left), len(texts))
     else:  # all but the texts of the largest component with all
         rows, cols = np.flatnonzero(joined != np.bincount(joined).argmax()), np.arange(len(texts))
-    longer, shorter = np.maximum(sizes[rows, None], sizes[None, cols]), np.minimum(sizes[rows, None], sizes[None, cols])
-    least = longer - ((1 - SIMILARITY) * longer + 1e-9).astype(np.int64)
-    open_ = (shorter >= least) & (joined[rows, None] != joined[None, cols])
-    if not right:
-        open_ &= (rows[:, None] < cols[None, :]) | ~np.isin(cols, rows)[None, :]
-    for count, enough in ((lambda k: texts[k]["before"], lambda n, _: n == 0), (lambda k: bag(words_[k]), lambda n, bound: n >= bound)):
-        i, j = np.flatnonzero(open_.any(axis=1)), np.flatnonzero(open_.any(axis=0))
-        if i.size:
-            part = np.ix_(i, j)
-            open_[part] &= enough(shared([count(k) for k in rows[i].tolist()], [count(k) for k in cols[j].tolist()]), least[part])
-    for x, y in np.argwhere(open_).tolist():
-        x, y = int(rows[x]), int(cols[y])
-        if root(x) != root(y) and similar(texts[x]["words"], texts[y]["words"]):
-            parent[root(y)] = root(x)
-            found.append((texts[x]["component"], texts[y]["component"]))
+    twice = np.zeros(cols.size, bool) if right else np.isin(cols, rows)
+    for at in range(0, rows.size, ROWS):
+        part = rows[at : at + ROWS]
+        joined = np.array([root(k) for k in range(len(texts))])
+        longer = np.maximum(sizes[part, None], sizes[None, cols])
+        least = longer - ((1 - SIMILARITY) * longer + 1e-9).astype(np.int32)
+        open_ = np.minimum(sizes[part, None], sizes[None, cols]) >= least
+        open_ &= joined[part, None] != joined[None, cols]
+        open_ &= (part[:, None] < cols[None, :]) | ~twice[None, :]
+        for count, enough in ((lambda k: texts[k]["before"], lambda n, _: n == 0), (lambda k: bag(words_[k]), lambda n, bound: n >= bound)):
+            i, j = np.flatnonzero(open_.any(axis=1)), np.flatnonzero(open_.any(axis=0))
+            if i.size:
+                cells = np.ix_(i, j)
+                open_[cells] &= enough(shared([count(k) for k in part[i].tolist()], [count(k) for k in cols[j].tolist()]), least[cells])
+        for x, y in np.argwhere(open_).tolist():
+            x, y = int(part[x]), int(cols[y])
+            if root(x) != root(y) and similar(texts[x]["words"], texts[y]["words"]):
+                parent[root(y)] = root(x)
+                found.append((texts[x]["component"], texts[y]["component"]))
     return found
 
 
