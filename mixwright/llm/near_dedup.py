@@ -205,7 +205,8 @@ def _verified(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
 def _first(buckets: DataFrame) -> DataFrame:
     """(key, doc_id, n_words) -> key, a, b and their words: the least doc_id of each key of several with each of the others."""
     heads = buckets.groupBy("key").agg(F.min("doc_id").alias("a"), F.min_by("n_words", "doc_id").alias("n_a"), F.max("doc_id").alias("last")).where("a < last").drop("last")
-    return buckets.join(heads, "key").where("doc_id > a").select("key", "a", F.col("doc_id").alias("b"), "n_a", F.col("n_words").alias("n_b"))
+    # Merged at any size: a hot key's rows are split among tasks, and no side is sent whole.
+    return buckets.join(heads.hint("merge"), "key").where("doc_id > a").select("key", "a", F.col("doc_id").alias("b"), "n_a", F.col("n_words").alias("n_b"))
 
 
 def shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
