@@ -68,6 +68,15 @@ def holidays(first: int, last: int) -> list[tuple[dt.date, str]]:
     return out
 
 
+#: Holidays by kind, for fewer columns.
+GROUPS = {"shopping": ("black_friday", "cyber_monday"), "winter": ("thanksgiving", "christmas", "new_year"), "spring": ("easter", "good_friday")}
+
+
+def observed(d: dt.date) -> dt.date:
+    """The day a holiday is kept on: Friday for Saturday, Monday for Sunday."""
+    return d + dt.timedelta({5: -1, 6: 1}.get(d.weekday(), 0))
+
+
 def holiday_table(spark: SparkSession, first: int, last: int) -> DataFrame:
     """A row for each holiday: 14 a year, so that it may be broadcast."""
     return spark.createDataFrame(holidays(first, last), "holiday_date date, holiday string")

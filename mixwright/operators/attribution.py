@@ -10,12 +10,16 @@ MODELS = ("first", "last", "linear", "time_decay", "position")
 
 def eligible(touches: DataFrame, conversions: DataFrame, click_days: int = 7, view_days: int = 1, click_first: bool = True) -> DataFrame:
     """Touches of the same user in the window of their type before a conversion, both ends included. Of touches at the same
-    time only those of the type that goes first stay. A touch is joined by user; the time window is the join's condition."""
+    time only those of the type that goes first stay. They are joined by user and day: a conversion asks for each day of its
+    window, so that a busy user's touches are dealt by day."""
     day = 86400
     age = F.unix_timestamp(F.col("c.ts").cast("timestamp")) - F.unix_timestamp(F.col("t.ts").cast("timestamp"))
     window = F.when(F.col("t.interaction_type") == "click", click_days * day).when(F.col("t.interaction_type") == "view", view_days * day)
     inside = (F.col("t.ts") <= F.col("c.ts")) & (age <= window)
-    joined = conversions.alias("c").join(touches.alias("t"), (F.col("c.user_id") == F.col("t.user_id")) & inside)
+    last = F.to_date(F.col("ts").cast("timestamp"))
+    asked = conversions.withColumn("day", F.explode(F.sequence(F.date_sub(last, max(click_days, view_days)), last)))
+    dealt = touches.withColumn("day", last)
+    joined = asked.alias("c").join(dealt.alias("t"), (F.col("c.user_id") == F.col("t.user_id")) & (F.col("c.day") == F.col("t.day")) & inside)
     rows = joined.select("c.conversion_id", "c.conversion_value", F.col("c.ts").alias("conversion_ts"), "t.event_id", "t.ts", "t.channel", "t.interaction_type")
     rank = F.when((F.col("interaction_type") == "click") == F.lit(click_first), 0).otherwise(1)
     return rows.withColumn("_rank", rank).withColumn("_best", F.min("_rank").over(Window.partitionBy("conversion_id", "ts"))).where("_rank = _best").drop("_rank", "_best")
@@ -67,12 +71,12 @@ def metrics(rows: DataFrame, conversions: DataFrame) -> DataFrame:
 
 
 def weekly_features(rows: DataFrame, channels: list[str]) -> DataFrame:
-    """Credit by channel, a column each, and how many channels a conversion meets, by week; 0 where there is nothing."""
+    """Credit, summed as decimals, by channel, a column each, and how many channels a conversion meets, by week; 0 where there is nothing."""
     week = F.to_date(F.date_trunc("week", "conversion_ts"))
     rows = rows.withColumn("week", week)
-    wide = rows.groupBy("week").pivot("channel", channels).agg(F.sum("credit"))
+    wide = rows.groupBy("week").pivot("channel", channels).agg(F.sum(F.col("credit").cast("decimal(28,8)")).cast("double"))
     wide = wide.select("week", *(F.col(c).alias(f"{c}_value") for c in channels))
-    each = rows.groupBy("week", "conversion_id").agg(F.count_distinct("channel").alias("channels"), F.sum("credit").alias("credit"))
+    each = rows.groupBy("week", "conversion_id").agg(F.count_distinct("channel").alias("channels"), F.sum(F.col("credit").cast("decimal(28,8)")).cast("double").alias("credit"))
     cross = each.groupBy("week").agg(F.avg("channels").alias("mean_channels"), F.max("channels").alias("max_channels"), F.avg("credit").alias("mean_credit"))
     return wide.join(cross, "week", "full").fillna(0)
 

@@ -9,17 +9,27 @@ from pyspark.sql import functions as F
 def as_of(left: DataFrame, right: DataFrame, by: list[str], left_day: str, right_day: str, value: str, lag_days: int = 0) -> DataFrame:
     """``left`` with the last ``value`` of ``right`` known ``lag_days`` later on or before its day.
 
-    Both sides are laid into one series by ``by`` and the value carried on: one shuffle and no join. A ``right`` that has no
-    ``by`` columns holds for every group, and is repeated for each group of ``left``.
+    Both sides are laid into one series by ``by`` and the value carried on: one shuffle and no join. Without ``by`` the series
+    has a row for each different day, which the calendar bounds, and its values are joined to ``left`` by day.
     """
-    groups = left.select(*by).distinct()
-    known = right.select(*[c for c in by if c in right.columns], F.date_add(right_day, lag_days).alias("_at"), F.col(value).alias("_v"))
-    if not set(by) <= set(right.columns):
-        known = groups.join(F.broadcast(known)) if not by else groups.crossJoin(known)  # a small series for each group
-    rows = left.select("*", F.col(left_day).alias("_at"), F.lit(None).cast("double").alias("_v"), F.lit(1).alias("_side"))
-    both = rows.unionByName(known.select(*by, "_at", F.col("_v").cast("double").alias("_v"), F.lit(0).alias("_side")), allowMissingColumns=True)
+    known = right.select(*by, F.date_add(right_day, lag_days).alias("_at"), F.col(value).cast("double").alias("_v"), F.lit(0).alias("_side"))
+    asked = left.select("*", F.col(left_day).alias("_at"), F.lit(1).alias("_side")) if by else left.select(left_day).distinct().select(left_day, F.col(left_day).alias("_at"), F.lit(1).alias("_side"))
     carried = F.last("_v", ignorenulls=True).over(Window.partitionBy(*by).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0))
-    return both.withColumn(value, carried).where("_side = 1").drop("_at", "_v", "_side")
+    both = asked.unionByName(known, allowMissingColumns=True).withColumn(value, carried).where("_side = 1").drop("_at", "_v", "_side")
+    return both if by else left.join(both, left_day)
+
+
+def daily(days: DataFrame, known: DataFrame, day: str, value: str) -> DataFrame:
+    """``days`` (different days) with ``value`` of ``known`` laid over them: straight lines between known days, carried on
+    behind the last, carried back before the first. A row a day, so one window."""
+    joined = days.select(F.col(day).alias("_d")).join(known.select(F.col(day).alias("_d"), F.col(value).cast("double").alias("_v")), "_d", "full")
+    order = Window.partitionBy().orderBy("_d")
+    past, rest = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(0, Window.unboundedFollowing)
+    at = F.when(F.col("_v").isNotNull(), F.col("_d"))
+    ends = joined.withColumns({"a": F.last("_v", ignorenulls=True).over(past), "b": F.first("_v", ignorenulls=True).over(rest), "at": F.last(at, ignorenulls=True).over(past), "bt": F.first(at, ignorenulls=True).over(rest)})
+    line = F.col("a") + (F.col("b") - F.col("a")) * F.try_divide(F.datediff("_d", "at").cast("double"), F.datediff("bt", "at"))
+    filled = ends.select(F.col("_d").alias(day), F.coalesce("_v", line, "a", "b").alias(value))
+    return days.join(filled, day)
 
 
 def standardized(x: Column, training: Column, by: list[str]) -> Column:
@@ -45,3 +55,17 @@ def spread(df: DataFrame, columns: list[str], least: float = 1e-6) -> DataFrame:
 
 def most_varied(df: DataFrame, columns: list[str], k: int) -> DataFrame:
     return spread(df, columns).orderBy(F.desc("variance"), "column").limit(k).select("column", "variance")
+
+
+def correlated(df: DataFrame, columns: list[str], most: float = 0.95) -> DataFrame:
+    """Pairs of columns that say nearly the same; of each the first is to go."""
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
+    one = df.agg(*(F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs))
+    long = one.unpivot([], [f"{a}|{b}" for a, b in pairs], "pair", "corr")
+    return long.select(F.split("pair", r"\|")[0].alias("dropped"), F.split("pair", r"\|")[1].alias("kept"), "corr").where(F.abs("corr") > most)
+
+
+def first_of_day(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """One row a key: the first by ``order``."""
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_n", first).where("_n = 1").drop("_n")

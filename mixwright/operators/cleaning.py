@@ -51,5 +51,16 @@ def paused(df: DataFrame, spend: str, impressions: str, value: float = 0.0) -> D
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """Rows, and a number that no order of rows changes."""
-    return df.agg(F.count("*").alias("n_rows"), F.bit_xor(F.xxhash64(*df.columns)).alias("fingerprint"))
+    """Rows, and a number that no order of rows changes: the sum of a digest of each."""
+    row = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in df.columns))
+    return df.agg(F.count("*").alias("n_rows"), F.sum(F.conv(F.substring(F.md5(row.cast("binary")), 1, 8), 16, 10).cast("bigint")).alias("fingerprint"))
+
+
+def clipped(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Telemetry (clicks, impressions, views) is never negative: such values count as 0 and are flagged."""
+    return df.withColumns({f"had_negative_{c}": (F.coalesce(c, F.lit(0)) < 0).cast("int") for c in columns} | {c: F.greatest(F.col(c), F.lit(0)) for c in columns})
+
+
+def with_outcome(df: DataFrame, column: str) -> DataFrame:
+    """Rows whose outcome is known: it is never filled in."""
+    return df.where(F.col(column).isNotNull())

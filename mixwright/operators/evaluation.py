@@ -80,6 +80,38 @@ def incrementality(df: DataFrame, by: list[str], spend: str, revenue: str) -> Da
     return rows.groupBy(*by).agg(F.avg(F.when(F.col(spend) >= F.col("hi"), F.col(revenue))).alias("high"), F.avg(F.when(F.col(spend) <= F.col("lo"), F.col(revenue))).alias("low"))
 
 
+def part_metrics(df: DataFrame, by: list[str], actual: str, guess: str) -> DataFrame:
+    a, p = F.col(actual), F.col(guess)
+    return df.groupBy(*by).agg(F.count("*").alias("n_rows"), F.avg(F.abs(a - p) / F.greatest(F.abs(a), F.lit(1e-8))).alias("mape"), F.sqrt(F.avg(F.pow(a - p, 2))).alias("rmse"))
+
+
+def contributions(df: DataFrame, s: Series, spend: str) -> DataFrame:
+    """Share of all spend, variation and share of days without any, by series."""
+    rows = df.groupBy(*s.by).agg(F.sum(spend).alias("spend"), F.when(F.avg(spend) > 0, F.stddev_samp(spend) / F.avg(spend)).otherwise(0.0).alias("variation"), F.avg((F.col(spend) == 0).cast("int")).alias("zero_share"))
+    return rows.join(F.broadcast(rows.agg(F.sum("spend").alias("all"))), how="cross").select(*s.by, (F.col("spend") / F.col("all")).alias("share"), "variation", "zero_share")  # one row
+
+
+def smoothness(df: DataFrame, s: Series, x: str) -> DataFrame:
+    """Spread of the second differences over that of the series."""
+    before = F.lag(x).over(s.ordered())
+    second = F.col(x) - 2 * before + F.lag(x, 2).over(s.ordered())
+    return df.select(*s.by, F.col(x).alias("x"), second.alias("second")).groupBy(*s.by).agg((F.stddev_pop("second") / (F.stddev_pop("x") + 1e-8)).alias("roughness"))
+
+
+def overall(metrics: DataFrame, trend: DataFrame) -> DataFrame:
+    """Score of up to 0.7: 0.4 for errors under their limits, in parts, and 0.3 by how often the direction is right."""
+    ok = {"mape": (F.col("mape") <= 0.15, 0.15), "smape": (F.col("smape") <= 0.15, 0.15), "coverage": (F.col("coverage") >= 0.8, 0.1)}
+    parts = sum((F.when(good, worth).otherwise(0.0) for good, worth in ok.values()), F.lit(0.0))
+    return metrics.join(F.broadcast(trend.agg(F.avg("same_direction").alias("agreement"))), how="cross").select(parts.alias("errors"), "agreement", F.least(parts + 0.3 * F.col("agreement"), F.lit(1.0)).alias("score"))  # one row each
+
+
+def contribution_shares(model: dict[str, float], channels: dict[str, list[str]]) -> list[tuple[str, float, float]]:
+    """(channel, sum of absolute coefficients of its features, percent of all)."""
+    sums = {c: sum(abs(model.get(f, 0.0)) for f in features) for c, features in channels.items()}
+    whole = sum(sums.values()) or 1.0
+    return [(c, v, 100 * v / whole) for c, v in sums.items()]
+
+
 #: (share, floor of the saturation curve's half, power) by kind of channel, and carry-over.
 SATURATION = {"search": (0.3, 1.2), "shopping": (0.3, 1.2)}
 CARRY = {"search": 0.3, "display": 0.8, "video": 0.8}
@@ -91,6 +123,53 @@ def multiplier(channel: str, roi: float = 2.0) -> float:
     return roi * max(1 / (half**power + 1), 0.1) * (1 + CARRY.get(channel, 0.6))
 
 
+def effect(spend: Column, channel: Column) -> Column:
+    """How much of its return money still has: spend over 1000 counts as full; never under 0.1."""
+    full = spend / F.greatest(spend, F.lit(1000.0))
+    half, power = (F.coalesce(*(F.when(channel == c, F.lit(v[i])) for c, v in SATURATION.items()), F.lit((0.5, 1.0)[i])) for i in (0, 1))
+    return F.greatest(F.pow(full, power) / (F.pow(half, power) + F.pow(full, power)), F.lit(0.1))
+
+
+def carry(channel: Column) -> Column:
+    return 1 + F.coalesce(*(F.when(channel == c, F.lit(v)) for c, v in CARRY.items()), F.lit(0.6))
+
+
+def curves(channels: DataFrame, budgets: list[float], roi: float = 2.0) -> DataFrame:
+    """``channels`` (channel) -> channel, budget, revenue: what each of ``budgets`` brings."""
+    rows = channels.withColumn("budget", F.explode(F.array(*map(F.lit, budgets))))
+    return rows.withColumn("revenue", F.col("budget") * roi * effect(F.col("budget"), F.col("channel")) * carry(F.col("channel")))
+
+
+def latest_spend(daily: DataFrame, day: str, columns: list[str], rows: int = 4) -> DataFrame:
+    """(channel, current): mean spend of the last days."""
+    last = daily.groupBy(day).agg(*(F.sum(c).alias(c) for c in columns)).orderBy(F.desc(day)).limit(rows)
+    return last.agg(*(F.avg(c).alias(c.removesuffix("_spend")) for c in columns)).unpivot([], [c.removesuffix("_spend") for c in columns], "channel", "current")
+
+
+def proportional(current: DataFrame, budget: float) -> DataFrame:
+    """``budget`` dealt as money is spent now, in equal parts where none is."""
+    whole = Window.partitionBy()  # a row a channel
+    total = F.sum("current").over(whole)
+    return current.select("channel", "current", (budget * F.when(total > 0, F.col("current") / F.when(total > 0, total)).otherwise(1 / F.count("*").over(whole))).alias("allocated"))
+
+
+def reallocation(plan: DataFrame) -> DataFrame:
+    """By scenario: channels with over 15 % more or less, with under 5 % of change, and the mean change."""
+    c = F.col("pct_change")
+    return plan.groupBy("scenario").agg(F.count_if(c > 15).alias("increases"), F.count_if(c < -15).alias("decreases"), F.count_if(F.abs(c) < 5).alias("stable"), F.avg(F.abs(c)).alias("mean_change"))
+
+
+def priorities(plan: DataFrame) -> DataFrame:
+    """Channels that several scenarios raise, by over 10 % in the mean."""
+    return plan.groupBy("channel").agg(F.count("pct_change").alias("scenarios"), F.avg("pct_change").alias("mean_change")).where("scenarios > 1 and mean_change > 10")
+
+
+def best_scenarios(sums: DataFrame) -> DataFrame:
+    """The scenario of the best return, and that of the largest gain over the present one."""
+    gain = F.col("roas_best") - F.col("roas_now")
+    return sums.agg(F.max_by("scenario", F.struct(F.round("roas_best", 6), "scenario")).alias("best_roas"), F.max_by("scenario", F.struct(F.round(gain, 6), "scenario")).alias("best_gain"), F.max("roas_best").alias("roas"))
+
+
 def allocation(current: DataFrame, scenarios: DataFrame, channels: list[str], least: float = 0.05, most: float = 0.4) -> DataFrame:
     """``current`` (channel, current) and ``scenarios`` (scenario, budget_multiplier) -> scenario, channel, current, optimised,
     change, pct_change. Returns are linear at full spend, so the optimum gives every channel its least share and fills up the

@@ -30,6 +30,32 @@ def debounced(df: DataFrame, s: Series, candidate: Column, gap: int) -> DataFram
     return days.select(*s.by, F.explode(F.aggregate("days", start, guard)).alias(s.order))
 
 
+def debounced_rows(df: DataFrame, s: Series, candidate: Column, gap: int) -> DataFrame:
+    """As ``debounced``, with the gap counted in rows of the series: its keys and the accepted row numbers."""
+    rows = df.withColumn("_hit", candidate).withColumn("place", s.number()).where("_hit").groupBy(*s.by).agg(F.array_sort(F.collect_list("place")).alias("places"))
+    step = lambda a, p: F.when(F.size(a) == 0, F.array(p)).when(p - F.element_at(a, F.greatest(F.size(a), F.lit(1))) >= gap, F.concat(a, F.array(p))).otherwise(a)
+    return rows.select(*s.by, F.explode(F.aggregate("places", F.array().cast("array<int>"), step)).alias("place"))
+
+
+def guarded(refreshed: Column, s: Series, most: float = 0.4) -> Column:
+    """Refreshes, or where they are more than half as many again as ``most`` of the rows, the first and last row and evenly
+    spaced ones."""
+    n, number = F.count("*").over(s.whole()), s.number() - 1
+    rate = F.avg(refreshed.cast("int")).over(s.whole())
+    slots = F.floor(n * most) - 2
+    step = F.when(slots > 0, F.floor(n / F.greatest(slots, F.lit(1))))
+    even = F.coalesce((F.pmod(number, step) == 0) & (number >= step) & (number < n - step), F.lit(False))
+    return F.when(rate > 1.5 * most, (number == 0) | (number == n - 1) | even).otherwise(refreshed)
+
+
+def wears_off(df: DataFrame, s: Series, factor: str) -> DataFrame:
+    """Of the stretches between refreshes (both included, over two rows) the share that end no higher than they start; a series
+    is consistent from 0.7 on, or without any."""
+    fresh = df.where(F.col(factor) == 1).withColumns({"place": F.col("_place")}) if "_place" in df.columns else df.withColumn("place", s.number()).where(F.col(factor) == 1)
+    stretch = fresh.withColumns({"after": F.lead("place").over(s.ordered()), "end": F.lead(factor).over(s.ordered())}).where("after - place >= 2")
+    return stretch.groupBy(*s.by).agg(F.count("*").alias("stretches"), F.avg((F.col("end") <= F.col(factor)).cast("int")).alias("share")).withColumn("consistent", F.col("share") >= 0.7)
+
+
 def spend_jumps(spend: Column, s: Series, least: float = 0.5) -> Column:
     """Whether the mean of a week moved by more than ``least`` of itself; ``spend`` has to be that mean."""
     return F.coalesce(F.abs(change(spend, s)) > least, F.lit(False))

@@ -61,15 +61,33 @@ def lifecycle(d: Column, s: Series) -> dict[str, Column]:
     return {"years": years, "young": (years <= 1).cast("int"), "growing": ((years > 1) & (years <= 3)).cast("int"), "mature": (years > 3).cast("int")}
 
 
-def cycles(d: Column, s: Series) -> dict[str, Column]:
-    days = F.datediff(d, F.min(d).over(s.whole()))
-    return {"long_cycle": F.sin(days * (2 * math.pi) / (7 * 365.25)), "year_cycle": F.sin(F.dayofyear(d) * (2 * math.pi) / 365.25), "quarter_effect": F.when(F.quarter(d) == 4, 0.3).when(F.quarter(d) == 1, -0.2).when(F.quarter(d) == 2, 0.1).otherwise(0.0)}
+def wear_out(eff: Column, number: Column, s: Series) -> Column:
+    """How fast efficiency falls over a month."""
+    return F.greatest(-F.coalesce(slope(eff, number, s, 30), F.lit(0.0)), F.lit(0.0))
 
 
-def adoption(d: Column, s: Series) -> dict[str, Column]:
+def mean_correlation(x: Column, others: list[Column], s: Series, width: int = 30) -> Column:
+    """Mean of the correlations with the other series over ``width`` rows; 0 where there is none."""
+    each = [F.coalesce(rolling("corr", x, s, width, y=o), F.lit(0.0)) for o in others]
+    return reduce(Column.__add__, each) / len(each)
+
+
+def confidence(order_value: Column, volume: Column, spend: Column, number: Column, s: Series) -> dict[str, Column]:
+    """Trend of volume, swing of order value, steadiness of spend."""
+    return {"volume_trend": slope(volume, number, s, 30), "value_swing": rolling("std", order_value, s, 14), "steadiness": 1 / (rolling("std", spend, s, 14) + TINY)}
+
+
+def background(d: Column, spend: Column, s: Series) -> dict[str, Column]:
+    """A wave of the year, slow growth, and spend of two weeks before."""
     years = F.datediff(d, F.min(d).over(s.whole())) / 365.25
-    curve = lambda k, mid: 1.0 / (1.0 + F.exp(-k * (years - mid)))
-    return {"mobile": curve(2.0, 2.5), "social": curve(3.0, 1.5), "programmatic": curve(2.0, 4.0)}
+    return {"wave": (F.sin(F.dayofyear(d) * (2 * math.pi) / 365.25) + 1) / 2, "growth": 1 + 0.02 * years, "earlier": F.lag(spend, 14).over(s.ordered())}
+
+
+def constrained(x: Column, training: Column, s: Series, sign: int = 1) -> Column:
+    """``x`` of one sign, over the largest of the training rows."""
+    signed = F.greatest(x, F.lit(0.0)) if sign > 0 else F.least(x, F.lit(0.0))
+    top = F.max(F.when(training, F.abs(signed))).over(s.whole())
+    return signed / F.when(top > 0, top).otherwise(1.0)
 
 
 def stages(x: Column, s: Series) -> dict[str, Column]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mixwright.functions.windows import Series, change, rolling
@@ -72,9 +72,14 @@ def unit_costs(df: DataFrame, channels: list[str], tolerance: float = 0.15) -> D
 
 
 def similar_names(names: DataFrame, name: str, least: float = 0.5) -> DataFrame:
-    """Pairs of different names whose sets of words agree. Names meet by a word they share, not all with all."""
+    """Pairs of different names whose sets of words agree. Names meet by one of their rarest words: of n words so many that
+    two names of that likeness can't miss each other in them, which leaves common words out."""
     words = names.select(F.col(name).alias("name")).distinct().withColumn("words", F.array_distinct(F.split(F.lower("name"), r"[^a-z0-9]+")))
     each = words.withColumn("word", F.explode("words"))
+    held = each.join(each.groupBy("word").agg(F.count("*").alias("names")), "word")
+    place = F.row_number().over(Window.partitionBy("name").orderBy("names", "word"))
+    n = F.size("words")
+    each = held.withColumn("place", place).where(F.col("place") <= n - F.ceil(n * least - 1e-9) + 1).select("name", "words", "word")
     pairs = each.alias("x").join(each.alias("y"), (F.col("x.word") == F.col("y.word")) & (F.col("x.name") < F.col("y.name"))).select(F.col("x.name").alias("a"), F.col("y.name").alias("b"), F.col("x.words").alias("p"), F.col("y.words").alias("q")).distinct()
     return pairs.withColumn("jaccard", F.size(F.array_intersect("p", "q")) / F.size(F.array_union("p", "q"))).where(F.col("jaccard") >= least).select("a", "b", "jaccard")
 

@@ -1,9 +1,9 @@
 """Named queries and the same as SQL, gathered from the modules of this folder."""
 
-from mixwright.plans import media_queries, table_queries
+from mixwright.plans import feature_queries, media_queries, model_queries, table_queries
 from mixwright.plans.media_queries import flagship
 
-QUERIES = media_queries.QUERIES | table_queries.QUERIES
-ORACLE = media_queries.ORACLE | table_queries.ORACLE
+QUERIES = media_queries.QUERIES | table_queries.QUERIES | feature_queries.QUERIES | model_queries.QUERIES
+ORACLE = media_queries.ORACLE | table_queries.ORACLE | feature_queries.ORACLE | model_queries.ORACLE
 
 __all__ = ["QUERIES", "ORACLE", "flagship"]

@@ -208,16 +208,34 @@ def calendar_trend(spark, sf_dir):
     return rounded(d.join(F.broadcast(ends)).select("d", trend.alias("trend"), F.try_divide(trend.cast("double"), F.datediff("hi", "lo")).alias("trained")), 6)
 
 
-HOLIDAYS = calendar.holidays(1995, 2001)
+#: Years of the SQL; the query takes those of its days.
+HOLIDAYS = calendar.holidays(1970, 2040)
 _NAMES = sorted({n for _, n in HOLIDAYS})
 _VALUES = "hol as (select * from (values " + ", ".join(f"(date '{d}', '{n}')" for d, n in HOLIDAYS) + ") t(h, n))"
+_KEPT = "kept as (select * from (values " + ", ".join(f"(date '{calendar.observed(d)}', '{n}')" for d, n in HOLIDAYS) + ") t(h, n))"
+
+
+def _near(spark, table: DataFrame) -> DataFrame:
+    """Holidays of the years of ``table``, a row each."""
+    years = table.agg(F.year(F.min("d")).alias("first"), F.year(F.max("d")).alias("last")).first()
+    return calendar.holiday_table(spark, (years.first or 1970) - 1, (years.last or 1970) + 1)
 
 
 @register(f"with {DAYS}, {_VALUES} select d, " + ", ".join(f"coalesce(max(case when h = d and n = '{n}' then 1 end), 0)::int as {n}" for n in _NAMES) + ", coalesce(max(case when h = d + 1 then 1 end), 0)::int as day_before, coalesce(max(case when h = d - 1 then 1 end), 0)::int as day_after from days left join hol on h between d - 1 and d + 1 group by d")
 def calendar_holidays(spark, sf_dir):
     """A column for every holiday, whether it is among the days or not, and the days next to one."""
-    table = F.broadcast(calendar.holiday_table(spark, 1995, 2001))
-    near = table.withColumn("shift", F.explode(F.array(*map(F.lit, (-1, 0, 1))))).withColumn("d", F.date_add("holiday_date", F.col("shift")))
+    table = days(spark, sf_dir)
+    near = _near(spark, table).withColumn("shift", F.explode(F.array(*map(F.lit, (-1, 0, 1))))).withColumn("d", F.date_add("holiday_date", F.col("shift")))
     flag = lambda c: F.coalesce(F.max(F.when(c, 1)), F.lit(0)).cast("int")
     on = F.col("shift") == 0
-    return days(spark, sf_dir).join(F.broadcast(near), "d", "left").groupBy("d").agg(*(flag(on & (F.col("holiday") == n)).alias(n) for n in _NAMES), flag(F.col("shift") == -1).alias("day_before"), flag(F.col("shift") == 1).alias("day_after"))
+    return table.join(near, "d", "left").groupBy("d").agg(*(flag(on & (F.col("holiday") == n)).alias(n) for n in _NAMES), flag(F.col("shift") == -1).alias("day_before"), flag(F.col("shift") == 1).alias("day_after"))
+
+
+@register(f"with {DAYS}, {_KEPT} select d, " + ", ".join(f"coalesce(max(case when n in ({', '.join(repr(x) for x in names)}) then 1 end), 0)::int as holiday_group_{g}" for g, names in calendar.GROUPS.items()) + ", count(n) holidays from days left join kept on h = d group by d")
+def calendar_holiday_groups(spark, sf_dir):
+    """Holidays on the days they are kept on, by group."""
+    table = days(spark, sf_dir)
+    shift = F.when(F.dayofweek("holiday_date") == 7, -1).when(F.dayofweek("holiday_date") == 1, 1).otherwise(0)
+    kept = _near(spark, table).withColumn("d", F.date_add("holiday_date", shift))
+    flag = lambda names: F.coalesce(F.max(F.when(F.col("holiday").isin(*names), 1)), F.lit(0)).cast("int")
+    return table.join(kept, "d", "left").groupBy("d").agg(*(flag(names).alias(f"holiday_group_{g}") for g, names in calendar.GROUPS.items()), F.count("holiday").alias("holidays"))

@@ -28,5 +28,9 @@ def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
     return df.select(*((F.round(c, digits) + 0.0).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes))
 
 
+#: Added before rounding where values are short decimals, whose ties two engines' last bits would round apart.
+OFF_TIES = 1e-7
+
+
 def r(expression: str, name: str, digits: int = 4) -> str:
     return f"round({expression}, {digits}) + 0.0 as {name}"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from mixwright.functions.windows import Series
 from mixwright.operators import attribution, cleaning, quality
 from mixwright.plans.media_queries import ALL, KEYS, K, ORD, S, W, sql
-from mixwright.plans.registry import Registry, r, rounded
+from mixwright.plans.registry import OFF_TIES, Registry, r, rounded
 from mixwright.sources.panel import CHANNELS, DAILY_SQL, MACRO_SQL, PANEL_SQL, SPEND, TOUCH_SQL, brand_daily, conversions, macro, panel, read, touches
 
 register = Registry()
@@ -87,9 +87,9 @@ def dq_value_sanity_cpm_cpc(spark, sf_dir):
     return rounded(quality.unit_costs(panel(spark, sf_dir), list(CHANNELS)), 2)
 
 
-@register("with w as (select p_type, string_split_regex(lower(p_type), '[^a-z0-9]+') ws from (select distinct p_type from part)), j as (select x.p_type a, y.p_type b, len(list_intersect(x.ws, y.ws))::double / len(list_distinct(x.ws || y.ws)) jaccard from w x join w y on x.p_type < y.p_type) select a, b, round(jaccard, 4) jaccard from j where jaccard >= 0.5")
+@register("with w as (select p, string_split_regex(lower(p), '[^a-z0-9]+') ws from (select distinct p_name || ' ' || p_type p from part)), j as (select x.p a, y.p b, len(list_intersect(x.ws, y.ws))::double / len(list_distinct(x.ws || y.ws)) jaccard from w x join w y on x.p < y.p) select a, b, round(jaccard, 4) jaccard from j where jaccard >= 0.5")
 def dq_name_similarity(spark, sf_dir):
-    return rounded(quality.similar_names(read(spark, sf_dir, "part"), "p_type", 0.5))
+    return rounded(quality.similar_names(read(spark, sf_dir, "part").select(F.concat_ws(" ", "p_name", "p_type").alias("p")), "p", 0.5))
 
 
 @register(f"with {PANEL_SQL}, d as (select date_day, sum(revenue) rv, sum({' + '.join(SPEND)}) s, count(case when revenue < 0 then 1 end) n from panel group by 1) select sum(n)::bigint negative_rows, count(case when rv = 0 then 1 end) zero_days, {r('min(rv)', 'least')}, {r('max(rv)', 'most')}, {r('sum(rv) / sum(s)', 'roi')} from d")
@@ -203,9 +203,10 @@ def attr_metrics(spark, sf_dir):
 CH = [f"ch{i}" for i in range(5)]
 
 
-@register(_attribution_sql("1.0::double") + f", {_CREDIT}, y as (select *, cast(date_trunc('week', cts) as date) as week from x), a as (select week, " + ", ".join(f"coalesce(sum(case when channel = '{c}' then credit end), 0) {c}_value" for c in CH) + " from y group by 1), e as (select week, conversion_id, count(distinct channel) c, sum(credit) s from y group by 1, 2), b as (select week, avg(c) mean_channels, max(c) max_channels, avg(s) mean_credit from e group by 1) select week, " + ", ".join(r(f"{c}_value", f"{c}_value") for c in CH) + f", {r('mean_channels', 'mean_channels')}, max_channels, {r('mean_credit', 'mean_credit')} from a full join b using (week)")
+@register(_attribution_sql("1.0::double") + f", {_CREDIT}, y as (select *, cast(date_trunc('week', cts) as date) as week from x), a as (select week, " + ", ".join(f"coalesce(sum(case when channel = '{c}' then credit::decimal(28, 8) end), 0)::double + {OFF_TIES}::double {c}_value" for c in CH) + f" from y group by 1), e as (select week, conversion_id, count(distinct channel) c, sum(credit::decimal(28, 8))::double s from y group by 1, 2), b as (select week, avg(c) mean_channels, max(c) max_channels, avg(s) + {OFF_TIES}::double mean_credit from e group by 1) select week, " + ", ".join(r(f"{c}_value", f"{c}_value") for c in CH) + f", {r('mean_channels', 'mean_channels')}, max_channels, {r('mean_credit', 'mean_credit')} from a full join b using (week)")
 def attr_features_weekly(spark, sf_dir):
-    return rounded(attribution.weekly_features(_credits(spark, sf_dir, "linear"), CH))
+    out = attribution.weekly_features(_credits(spark, sf_dir, "linear"), CH)
+    return rounded(out.withColumns({c: F.col(c) + OFF_TIES for c in (*(f"{c}_value" for c in CH), "mean_credit")}))
 
 
 def _fallback_sql(metric: str) -> str:

@@ -14,27 +14,35 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """date_day, brand, region, revenue, volume and spend, impressions and clicks by channel. Money is summed as decimals, so
-    that sums don't depend on the order of rows."""
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with what their lines sum up to."""
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("date_day"), "o_totalprice", "o_orderpriority")
     lines = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
         F.sum((F.col("l_extendedprice") * F.col("l_discount")).cast("decimal(18,4)")).alias("spend"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("impressions"), F.count("*").alias("clicks")
     )
-    places = read(spark, sf_dir, "nation").join(F.broadcast(read(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name")  # 25 rows
-    customers = read(spark, sf_dir, "customer").join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.col("c_mktsegment").alias("brand"), F.col("r_name").alias("region"))
-    joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    return orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+
+
+def _summed(rows: DataFrame, *keys: str) -> DataFrame:
     of = lambda priority, c: F.sum(F.when(F.col("o_orderpriority") == priority, F.coalesce(c, F.lit(0))).otherwise(0)).cast("double")
-    return joined.groupBy("date_day", "brand", "region").agg(
+    return rows.groupBy(*keys).agg(
         F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("revenue"), F.count("*").alias("volume"),
         *(of(p, F.col(m)).alias(f"{c}_{m}") for c, p in CHANNELS.items() for m in ("spend", "impressions", "clicks")),
     )
 
 
+def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """date_day, brand, region, revenue, volume and spend, impressions and clicks by channel. Money is summed as decimals, so
+    that sums don't depend on the order of rows."""
+    places = read(spark, sf_dir, "nation").join(F.broadcast(read(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name")  # 25 rows
+    customers = read(spark, sf_dir, "customer").join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.col("c_mktsegment").alias("brand"), F.col("r_name").alias("region"))
+    return _summed(_orders(spark, sf_dir).join(customers, F.col("o_custkey") == F.col("c_custkey")), "date_day", "brand", "region")
+
+
 def brand_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The panel summed over regions: one series a brand."""
-    p = panel(spark, sf_dir)
-    return p.groupBy("date_day", "brand").agg(*(F.sum(F.col(c).cast("decimal(28,4)")).cast("double" if c != "volume" else "bigint").alias(c) for c in p.columns if c not in ("date_day", "brand", "region")))
+    """The panel over all regions: one series a brand, summed in one step."""
+    brands = read(spark, sf_dir, "customer").where("c_nationkey is not null").select("c_custkey", F.col("c_mktsegment").alias("brand"))
+    return _summed(_orders(spark, sf_dir).join(brands, F.col("o_custkey") == F.col("c_custkey")), "date_day", "brand")
 
 
 def touches(spark: SparkSession, sf_dir: str) -> DataFrame:
