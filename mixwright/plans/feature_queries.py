@@ -48,10 +48,10 @@ def _worn(spark, sf_dir) -> DataFrame:
     return rows.withColumn("factor", fatigue.worn(F.col(D), F.col("f"), S))
 
 
-@register(sql(_WORN, f"select {K}, f::int as refreshed, {r('factor', 'factor', 6)}, " + ", ".join(r(f"{c}_spend * factor", f"{c}_fatigue_adjusted") for c in CHANNELS) + " from w"))
+@register(sql(_WORN, f"select {K}, f::int as refreshed, {r('factor', 'factor', 6)}, " + ", ".join(r(f"{c}_spend * factor + {OFF_TIES}::double", f"{c}_fatigue_adjusted") for c in CHANNELS) + " from w"))
 def fatigue_adjusted(spark, sf_dir):
     rows = _worn(spark, sf_dir)
-    return rows.select(*KEYS, F.col("f").cast("int").alias("refreshed"), F.round("factor", 6).alias("factor"), *((F.round(F.col(f"{c}_spend") * F.col("factor"), 4) + 0.0).alias(f"{c}_fatigue_adjusted") for c in CHANNELS))
+    return rows.select(*KEYS, F.col("f").cast("int").alias("refreshed"), F.round("factor", 6).alias("factor"), *((F.round(F.col(f"{c}_spend") * F.col("factor") + OFF_TIES, 4) + 0.0).alias(f"{c}_fatigue_adjusted") for c in CHANNELS))
 
 
 @register(sql(_WORN, f"select brand, {r('100 * (1 - sum(search_spend * factor) / nullif(sum(search_spend), 0))', 'impact_pct')}, {r('min(factor)', 'least')}, {r('stddev_samp(factor)', 'spread')}, count(case when factor = 1 then 1 end) fresh_days, count(case when factor <= 0.2 then 1 end) floor_days from w group by brand"))
