@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mixwright.llm import decontamination, mixing, near_dedup, pii, quality_rules
-from mixwright.llm.common import shared_folder, table
+from mixwright.llm.common import remove, shared_folder, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +37,7 @@ def mask(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes words of, with n_words, taken and position, in training order."""
+    """The documents that the mix takes words of, with n_words, taken and the positions of its uses, in training order."""
     return mixing.mixture(docs)
 
 
@@ -47,11 +47,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; what a stage returns is written under the shared checkpoint folder and read again."""
+    """All stages over documents; what a stage returns is written under the shared checkpoint folder and read again, until the
+    next has been written too."""
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for number, (_, stage) in enumerate(STAGES):
         path = f"{folder}/{number}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if number:
+            remove(spark, f"{folder}/{number - 1}")
     return docs

@@ -133,3 +133,18 @@ def test_query_takes_the_article_of_every_page(spark, sf_dir):
         inner = re.search(r"<article>(.*?)</article>", page, re.S)[1]
         plain = unescape(re.sub(r"<[^>]*>", lambda m: "" if m[0].strip("</>") == "b" else " ", inner))
         assert got[i] == " ".join(plain.split())
+
+
+def test_repeated_documents_score_alike(spark):
+    rows = [(i, "fine day in the park " + ("vile foul wretch" if i % 2 else "good kind folk")) for i in range(60)] * 2
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(60)], "doc_id long, quality int, toxic int")
+    d = docs(spark, rows)
+    got = toxicity.score(d, toxicity.fit(d, labels)).collect()
+    assert len(got) == len(rows) and len({(r.doc_id, r.score) for r in got}) == 60
+
+
+def test_log_odds_have_one_prior():
+    value, z = toxicity.log_odds(5, 5, 1000, 1000, 500)
+    assert abs(value) < 1e-12 and abs(z) < 1e-12
+    rare, common = toxicity.log_odds(2, 0, 1000, 10_000, 500), toxicity.log_odds(50, 0, 1000, 10_000, 500)
+    assert 0 < rare[1] < common[1] and rare[0] < common[0]

@@ -137,3 +137,13 @@ def test_long_tokens_and_many_matches(spark):
 
 def test_scan_of_an_empty_table(spark):
     assert secrets.scan(docs(spark, [])).count() == 0
+
+
+def test_rules_hold_for_rows_they_were_not_learned_from(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = table(spark, sf, "labels")
+    apart = "doc_id % 2 = 0"
+    out = quality_rules.judge(table(spark, sf, "documents"), labels.where(f"not ({apart})")).join(labels.where(apart), "doc_id").select("quality", "kept", "base_failed").collect()
+    clean, bad = [r for r in out if r.quality == 1 and not r.base_failed], [r for r in out if r.quality == 0]
+    assert sum(r.kept for r in clean) >= 0.95 * len(clean)
+    assert sum(not r.kept for r in bad) >= 0.75 * len(bad)
