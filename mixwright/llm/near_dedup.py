@@ -373,14 +373,13 @@ def links(texts: DataFrame, docs: DataFrame) -> DataFrame:
     """
     buckets = texts.select("doc_id", "n_words", F.explode("sketches").alias("key"))
     pairs = checkpoint(_first(buckets))
-    members = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    members = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     tokens = checkpoint(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(members, "doc_id").mapInArrow(_tokens, "doc_id long, words binary").dropDuplicates(["doc_id"]).withColumn("bytes", F.length("words")))
     longer, shorter = F.greatest("n_a", "n_b"), F.least("n_a", "n_b")
     judged = checkpoint(_verified(pairs.where(shorter >= SIMILARITY * longer - 1e-6).select("a", "b").distinct(), tokens).where("near").select("a", "b"))
     first = components(judged)
     unlike = checkpoint(pairs.join(judged, ["a", "b"], "left_anti").select("key").distinct())
-    doubtful = pairs.join(unlike, "key")
-    doubtful = doubtful.select(F.col("a").alias("doc_id")).unionByName(doubtful.select(F.col("b").alias("doc_id"))).distinct()
+    doubtful = pairs.join(unlike, "key", "left_semi").select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     named = tokens.join(doubtful, "doc_id").join(texts.select("doc_id", F.col("sketches").alias("keys")), "doc_id").join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     named = checkpoint(named.select("doc_id", "component", "bytes", "words", "keys"))
     each, sums = _buckets(named)
