@@ -85,3 +85,38 @@ def fallback(panel: DataFrame, columns: dict[str, str], keys: list[str]) -> Data
     """Spend or impressions as credit, a row for each channel with any."""
     renamed = panel.select(*keys, *(F.col(c).cast("double").alias(name) for name, c in columns.items()))
     return renamed.unpivot(keys, list(columns), "channel", "credit").where("credit > 0")
+
+
+def conversion_columns(df: DataFrame, keys: list[str], value: float = 100.0) -> DataFrame:
+    """Conversions under their common names: the first of conversion_value, revenue and sales that is there, else a constant;
+    conversion_id and user_id, where missing, from a digest of ``keys`` and a number among rows alike in them, which takes no
+    order of the whole table."""
+    names = {c.lower(): c for c in df.columns}
+    worth = [F.col(names[c]) for c in ("conversion_value", "revenue", "sales") if c in names]
+    day = next((names[c] for c in ("ts", "timestamp", "date", "date_day") if c in names), None)
+    digest = F.md5(F.concat_ws("|", *(F.coalesce(F.col(k).cast("string"), F.lit("-")) for k in keys)).cast("binary"))
+    number = F.concat(digest, F.lit("_"), F.row_number().over(Window.partitionBy(digest).orderBy(*df.columns)).cast("string"))
+    made = {"conversion_value": F.coalesce(*worth, F.lit(value)).cast("double")}
+    if "conversion_id" not in names:
+        made["conversion_id"] = F.concat(F.lit("conv_"), number)
+    if "user_id" not in names:
+        made["user_id"] = number
+    if day and day != "ts":
+        made["ts"] = F.col(day)
+    return df.withColumns(made)
+
+
+def interaction_type(df: DataFrame, metrics: tuple[str, ...] = ("clicks", "impressions", "views")) -> DataFrame:
+    """Rows with one interaction_type for all: that of the first metric with anything in it."""
+    sums = df.agg(*(F.sum(c).alias(c) for c in metrics if c in df.columns))
+    kind = F.coalesce(*(F.when(F.col(f"_s.{c}") > 0, F.lit(c.removesuffix("s"))) for c in metrics if c in df.columns), F.lit("unknown"))
+    return df.join(F.broadcast(sums.select(F.struct("*").alias("_s"))), how="cross").withColumn("interaction_type", kind).drop("_s")  # one row
+
+
+def conservation(rows: DataFrame, conversions: DataFrame) -> DataFrame:
+    """Credit over the value of all conversions, share of conversions with credit, largest share of a channel; one row."""
+    every = conversions.agg(F.sum("conversion_value").alias("value"), F.count("*").alias("n"))
+    given = rows.agg(F.sum("credit").alias("credit"), F.count_distinct("conversion_id").alias("attributed"))
+    top = rows.groupBy("channel").agg(F.sum("credit").alias("c")).agg(F.max("c").alias("most"))
+    one = every.join(F.broadcast(given), how="cross").join(F.broadcast(top), how="cross")
+    return one.select(F.try_divide("credit", "value").alias("conserved"), F.try_divide(F.col("attributed").cast("double"), F.col("n")).alias("covered"), F.try_divide("most", "credit").alias("dominance"))

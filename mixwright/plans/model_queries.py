@@ -321,4 +321,56 @@ def model_return_curves(spark, sf_dir):
     return rounded(evaluation.curves(spark.createDataFrame([(c,) for c in CHANNELS], "channel string"), BUDGETS), 3)
 
 
+# Reports.
+DECAYS = [("search", 0.3), ("display", 0.8), ("facebook", 0.6)]
+
+
+@register(f"select channel, decay, round(ln(0.5) / ln(decay), 4) + 0.0 half_life, round(decay / (1 - decay), 4) + 0.0 carried_over from ({values(DECAYS, 'channel, decay')})")
+def report_adstock_effect(spark, sf_dir):
+    """How long spend of a channel works on: the days until half is gone, and all that is carried over."""
+    rows = spark.createDataFrame(DECAYS, "channel string, decay double")
+    return rounded(rows.select("channel", "decay", (F.log(F.lit(0.5)) / F.log("decay")).alias("half_life"), (F.col("decay") / (1 - F.col("decay"))).alias("carried_over")))
+
+
+@register(sql(f"{_U}, l as (select channel, avg(v / (v + 1000)) level from u group by 1)", f"select channel, {r('level', 'saturation')}, case when level < 0.33 then 'low' when level < 0.66 then 'medium' else 'high' end level from l"))
+def report_saturation_level(spark, sf_dir):
+    """Mean saturation of each channel, and the third it lies in."""
+    rows = _channels(spark, sf_dir).groupBy("channel").agg(F.avg(F.col("v") / (F.col("v") + 1000)).alias("saturation"))
+    return rounded(rows.withColumn("level", F.when(F.col("saturation") < 0.33, "low").when(F.col("saturation") < 0.66, "medium").otherwise("high")))
+
+
+_BOTH = [(a, b) for i, a in enumerate(SPEND) for b in SPEND[i + 1 :]]
+
+
+@register(sql("", " union all ".join(f"select '{a}' a, '{b}' b, round(corr({a}, {b}), 4) + 0.0 as corr, case when corr({a}, {b}) > 0.5 then 'synergy' when corr({a}, {b}) < -0.2 then 'cannibalisation' else 'none' end effect from daily" for a, b in _BOTH)))
+def report_channel_effects(spark, sf_dir):
+    """Which channels rise together, which at the cost of one another."""
+    rows = quality.correlated_pairs(brand_daily(spark, sf_dir), SPEND)
+    return rounded(rows.withColumn("effect", F.when(F.col("corr") > 0.5, "synergy").when(F.col("corr") < -0.2, "cannibalisation").otherwise("none")))
+
+
+@register(sql(f"{_PLAN}, {_CORES.removeprefix('x')}, d as (select min({D}) first_day, max({D}) last_day, sum(revenue) revenue, sum({TOTAL}) spend from daily)", f"select first_day, last_day, {r('revenue', 'revenue', 2)}, {r('spend', 'spend', 2)}, {r('revenue / spend', 'roi')}, {r('mape', 'mape')}, (select arg_max(scenario, (round(roas_best, 6), scenario)) from sums) best_roas from d, core"))
+def report_overview(spark, sf_dir):
+    """The run in one row: period, money, error, best scenario."""
+    rows = brand_daily(spark, sf_dir).withColumn("spend", total())
+    whole = rows.agg(F.min(D).alias("first_day"), F.max(D).alias("last_day"), F.sum("revenue").alias("revenue"), F.sum("spend").alias("spend"))
+    errors = evaluation.core_metrics(_guessed(spark, sf_dir), "a", "p").select("mape")
+    best = evaluation.best_scenarios(evaluation.returns(_plan(spark, sf_dir))).select("best_roas")
+    one = whole.join(F.broadcast(errors), how="cross").join(F.broadcast(best), how="cross")  # one row each
+    return rounded(one.select("first_day", "last_day", F.round("revenue", 2).alias("revenue"), F.round("spend", 2).alias("spend"), (F.col("revenue") / F.col("spend")).alias("roi"), "mape", "best_roas"))
+
+
+_SAT = f"case when max(abs(v)) over (partition by channel, brand) > 0 then pow(greatest(v, 0) / 1, 1.0) / (pow(3000::double, 1.0) + pow(greatest(v, 0), 1.0) + 1e-12) else 0 end"
+
+
+@register(sql(f"{_U}, s as (select *, {_SAT} s from u), o as (select channel, brand, v, s, lag(s) over (partition by channel, brand order by v, {D}) before from s)", "select channel, count(*) points, count(case when s < before then 1 end) falls, count(case when s < 0 or s > 1 then 1 end) outside from o group by 1"))
+def sat_curve_check(spark, sf_dir):
+    """Whether a saturation curve only rises and stays between 0 and 1."""
+    rows = _channels(spark, sf_dir).withColumn("s", media.hill(F.col("v"), LONG, 3000.0, 1.0, "k_in_units"))
+    from pyspark.sql import Window
+
+    before = F.lag("s").over(Window.partitionBy("channel", "brand").orderBy("v", D))
+    return rows.withColumn("before", before).groupBy("channel").agg(F.count("*").alias("points"), F.count_if(F.col("s") < F.col("before")).alias("falls"), F.count_if((F.col("s") < 0) | (F.col("s") > 1)).alias("outside"))
+
+
 __all__ = ["QUERIES", "ORACLE", "frame"]

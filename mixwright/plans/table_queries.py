@@ -209,6 +209,23 @@ def attr_features_weekly(spark, sf_dir):
     return rounded(out.withColumns({c: F.col(c) + OFF_TIES for c in (*(f"{c}_value" for c in CH), "mean_credit")}))
 
 
+@register(_attribution_sql("1.0::double") + f", {_CREDIT} select {r('(select sum(credit) from x) / (select sum(conversion_value) from conversions)', 'conserved')}, {r('(select count(distinct conversion_id) from x)::double / (select count(*) from conversions)', 'covered')}, {r('(select max(c) from (select sum(credit) c from x group by channel)) / (select sum(credit) from x)', 'dominance')}")
+def attr_conservation(spark, sf_dir):
+    return rounded(attribution.conservation(_credits(spark, sf_dir, "linear"), conversions(spark, sf_dir)))
+
+
+@register(sql("select date_day, brand, revenue conversion_value, 'conv_' || md5(date_day::varchar || '|' || brand) || '_1' conversion_id, md5(date_day::varchar || '|' || brand) || '_1' user_id, date_day ts from daily"))
+def attr_conversion_columns(spark, sf_dir):
+    rows = brand_daily(spark, sf_dir).select(*KEYS, "revenue")
+    return attribution.conversion_columns(rows, list(KEYS)).drop("revenue")
+
+
+@register(sql(f"select {K}, case when (select sum(search_clicks) from daily) > 0 then 'click' when (select sum(search_impressions) from daily) > 0 then 'impression' else 'unknown' end interaction_type from daily"))
+def attr_interaction_type(spark, sf_dir):
+    rows = brand_daily(spark, sf_dir).select(*KEYS, F.col("search_clicks").alias("clicks"), F.col("search_impressions").alias("impressions"))
+    return attribution.interaction_type(rows).drop("clicks", "impressions")
+
+
 def _fallback_sql(metric: str) -> str:
     return sql(" union all ".join(f"select {K}, '{c}' channel, round({c}_{metric}, 4) credit from daily where {c}_{metric} > 0" for c in CHANNELS))
 
