@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mixwright.llm.common import WORD, checkpoint, text_or_empty
+from mixwright.llm.common import WORD, checkpoint, let, text_or_empty
 
 #: Weight schedules as (time, rate) knots, joined by straight lines; a source takes the one of its place among the sources.
 SCHEDULES = (((0.0, 1.5), (0.5, 1.0), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (0.5, 1.0), (1.0, 1.5)))
@@ -95,12 +95,11 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), max_repea
     taken = sum((F.least(F.greatest(goal - e * F.col("source_size") - start, F.lit(0)), F.col("size")) for e in range(1, max_repeat)), F.least(F.greatest(goal - start, F.lit(0)), F.col("size")))
     kind = F.pmod(F.col("place"), F.lit(len(schedules)))
 
-    def time(use: int) -> Column:
-        before = start + use * F.col("source_size")
-        fraction = F.coalesce(F.try_divide(before.cast("double"), F.col("target")), F.lit(0.0))
-        return F.when((F.col("size") > 0) & (before < goal), F.coalesce(*(F.when(kind == i, arrival(fraction, s)) for i, s in enumerate(schedules))))
-
-    mixed = placed.withColumn("taken", taken.cast("long")).withColumn("positions", F.array_compact(F.array(*map(time, range(max_repeat)))))
+    # Positions by lambdas, which stay out of generated code: written out for every use and schedule it grows too large.
+    uses = F.filter(F.sequence(F.lit(0), F.lit(max_repeat - 1)), lambda e: (F.col("size") > 0) & (start + e * F.col("source_size") < goal))
+    fraction = lambda e: F.coalesce(F.try_divide((start + e * F.col("source_size")).cast("double"), F.col("target")), F.lit(0.0))
+    time = lambda f: F.coalesce(*(F.when(kind == i, arrival(f, s)) for i, s in enumerate(schedules)))
+    mixed = placed.withColumn("taken", taken.cast("long")).withColumn("positions", F.transform(uses, lambda e: let(fraction(e), time)))
     # Those without a position are spread behind the others, else they'd all be one range.
     last = F.lit(2.0) + F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / float(1 << 32)
     return mixed.orderBy(F.coalesce(F.get("positions", F.lit(0)), last), "doc_id").select("doc_id", "size", "source", "source_size", "target", "taken", "positions", "key")
