@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 SAMPLE_PER_CLASS = 8000
 #: Texts that the prior lends all tokens together by their share of both classes, and texts that it lends each; least z-score of a token that counts, least forms of a stem; letters of a stem, of
 #: which the longest known counts.
-PRIOR, EACH, LEAST_Z, FORMS = 100.0, 0.5, 3.0, 3
+PRIOR, EACH, LEAST_Z, FORMS = 10.0, 0.3, 2.5, 3
 STEMS = (8, 7, 6, 5, 4)
 #: What a token without evidence costs a segment.
 DRIFT = -1.0
