@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 
 #: Labelled rows of each class to learn from: a bound on the sample, and by its words on the model, not on the rows scored.
 SAMPLE_PER_CLASS = 8000
-#: Texts that the prior lends all tokens together by their share of both classes, and texts that it lends each; least z-score of a token that counts, least forms of a stem; letters of a stem, of
+#: Texts that the prior lends a token, least z-score of a token that counts, least forms of a stem; letters of a stem, of
 #: which the longest known counts.
-PRIOR, EACH, LEAST_Z, FORMS = 10.0, 0.3, 2.5, 3
+PRIOR, LEAST_Z, FORMS = 1.0, 3.0, 3
 STEMS = (8, 7, 6, 5, 4)
 #: What a token without evidence costs a segment.
 DRIFT = -1.0
@@ -133,14 +133,14 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), *(pa.array([texts[c][w] for w in words], pa.int64()) for c in (0, 1))], names=["word", "clean", "toxic"])
 
 
-def log_odds(toxic: float, clean: float, all_toxic: float, all_clean: float, n_words: int, prior: float = PRIOR, each: float = EACH) -> tuple[float, float]:
-    """Log of the ratio of a word's odds in toxic and in clean text, and its z-score. Each class has the same Dirichlet prior:
-    of a word ``each`` and its part of ``prior`` by its share of both classes; of all ``n_words`` words the sum of these."""
-    own = each + prior * (toxic + clean) / (all_toxic + all_clean)
-    whole = each * n_words + prior
-    odds = lambda count, total: math.log((count + own) / (total + whole - count - own))
-    value = odds(toxic, all_toxic) - odds(clean, all_clean)
-    return value, value / math.sqrt(1 / (toxic + own) + 1 / (clean + own))
+def log_odds(toxic: float, clean: float, all_toxic: float, all_clean: float, n_words: int, prior: float = PRIOR) -> tuple[float, float]:
+    """Log of the ratio of a word's odds in toxic and in clean text, and its z-score. Both classes have Dirichlet priors that
+    lend each of ``n_words`` words ``prior`` texts, dealt between the classes by their share of all."""
+    share = all_toxic / (all_toxic + all_clean)
+    lent = (prior * share, prior * (1 - share))
+    odds = lambda count, total, own: math.log((count + own) / (total + own * n_words - count - own))
+    value = odds(toxic, all_toxic, lent[0]) - odds(clean, all_clean, lent[1])
+    return value, value / math.sqrt(1 / (toxic + lent[0]) + 1 / (clean + lent[1]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model:

@@ -146,5 +146,6 @@ def test_repeated_documents_score_alike(spark):
 def test_log_odds_have_one_prior():
     value, z = toxicity.log_odds(5, 5, 1000, 1000, 500)
     assert abs(value) < 1e-12 and abs(z) < 1e-12
+    assert toxicity.log_odds(0, 0, 1000, 10_000, 500)[0] < 0.2
     rare, common = toxicity.log_odds(2, 0, 1000, 10_000, 500), toxicity.log_odds(50, 0, 1000, 10_000, 500)
     assert 0 < rare[1] < common[1] and rare[0] < common[0]
