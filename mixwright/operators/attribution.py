@@ -52,6 +52,7 @@ def _weight(model: str, half_life_days: float) -> Column:
         days = F.floor((F.unix_timestamp(F.col("last_ts").cast("timestamp")) - F.unix_timestamp(F.col("ts").cast("timestamp"))) / 86400)
         return F.exp(days * (-0.6931471805599453 / half_life_days))
     n, place = F.col("n"), F.col("place")
+    # Shares of the first, the last and the middle touches.
     middle = 0.2 / F.greatest(n - 2, F.lit(1)) * 0.4
     return F.when(n <= 2, 1.0).when((place == 1) | (place == n), 0.4).otherwise(middle)
 

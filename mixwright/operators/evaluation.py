@@ -112,7 +112,7 @@ def contribution_shares(model: dict[str, float], channels: dict[str, list[str]])
     return [(c, v, 100 * v / whole) for c, v in sums.items()]
 
 
-#: (share, floor of the saturation curve's half, power) by kind of channel, and carry-over.
+# Half and power of the saturation curve, and carry-over, by channel.
 SATURATION = {"search": (0.3, 1.2), "shopping": (0.3, 1.2)}
 CARRY = {"search": 0.3, "display": 0.8, "video": 0.8}
 

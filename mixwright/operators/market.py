@@ -34,6 +34,7 @@ def timing(d: Column) -> dict[str, Column]:
 
 def season(d: Column) -> Column:
     """Weight of the shopping season. Its Thanksgiving is the first Thursday from 22 November on."""
+    # Weights and days.
     m, day = F.month(d), F.day(d)
     thursday = F.next_day(F.make_date(F.year(d), F.lit(11), F.lit(21)), "Thu")
     near = F.abs(F.datediff(d, thursday)) <= 3

@@ -6,6 +6,7 @@ from dataclasses import dataclass, field, fields, is_dataclass
 from pathlib import Path
 from typing import Any
 
+# Names of sections and keys, and their defaults, as existing settings files have them.
 BACKENDS = ("meridian", "pymc")
 
 
