@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mixwright.llm import chat_format, decontamination, html_text, mixing, near_dedup, pii, quality_rules, secrets, toxicity, url_filter
+from mixwright.llm import alignment, chat_format, decontamination, hard_negatives, html_text, mixing, near_dedup, neighbours, pii, quality_rules, secrets, toxicity, url_filter
 from mixwright.llm.common import table
 
 
@@ -147,8 +147,39 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return neighbours.search(rows, rows.where("vec_id % 20 = 0"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
+OP12_SQL = """
+with rows_ as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings where vec_id is not null and label is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+pairs as (select a.vec_id as anchor_id, b.vec_id as vec_id, a.label = b.label as same, list_inner_product(a.v, b.v)::bigint as score
+  from (select * from rows_ where vec_id % 50 = 0) a join rows_ b on a.vec_id <> b.vec_id),
+positives as (select anchor_id, vec_id as positive_id, score as positive_score from pairs where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select p.anchor_id, positive_id, row_number() over (partition by p.anchor_id, positive_id order by n.score desc, n.vec_id)::int as rank, n.vec_id as negative_id, positive_score, n.score as negative_score
+from positives p join pairs n on n.anchor_id = p.anchor_id and not n.same and 50 * positive_score <= 100 * n.score and 100 * n.score <= 95 * positive_score
+qualify row_number() over (partition by p.anchor_id, positive_id order by n.score desc, n.vec_id) <= 3
+"""
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_decontamination, op2_pii, op3_secret_scan, op4_chat_format, op5_near_dedup, op6_toxicity, op7_mixing, op8_url_filter, op9_quality_rules, op10_html_text)
-}
-ORACLE = {"op7_mixing": OP7_SQL, "op8_url_filter": _op8_sql()}
+    for f in (
+        op1_decontamination, op2_pii, op3_secret_scan, op4_chat_format, op5_near_dedup, op6_toxicity, op7_mixing, op8_url_filter, op9_quality_rules, op10_html_text, op11_nearest_neighbours,
+        op12_hard_negatives, op13_token_alignment,
+    )
+}
+ORACLE = {"op7_mixing": OP7_SQL, "op8_url_filter": _op8_sql(), "op12_hard_negatives": OP12_SQL}
