@@ -7,11 +7,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mixwright.functions.windows import Series, rolling
+from mixwright.operators import selection
 
 
 def target_stats(df: DataFrame, y: str) -> DataFrame:
-    q = F.percentile(y, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return df.agg(F.avg(y).alias("mean"), F.stddev_samp(y).alias("std"), F.min(y).alias("least"), F.max(y).alias("most"), q[0].alias("q25"), q[1].alias("median"), q[2].alias("q75"), F.count_if(F.col(y) == 0).alias("zeros"), F.count_if(F.col(y).isNull()).alias("nulls"))
+    q = selection.wide(selection.percentiles(df, [], y, [0.25, 0.5, 0.75]), [], {0.25: "q25", 0.5: "median", 0.75: "q75"})
+    one = df.agg(F.avg(y).alias("mean"), F.stddev_samp(y).alias("std"), F.min(y).alias("least"), F.max(y).alias("most"), F.count_if(F.col(y) == 0).alias("zeros"), F.count_if(F.col(y).isNull()).alias("nulls"))
+    return one.join(F.broadcast(q), how="cross")  # one row each
 
 
 def ridge(df: DataFrame, features: list[str], y: str, prior: float = 1.0, prior0: float = 2.0) -> dict[str, float]:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mixwright.functions.windows import Series, change, rolling
+from mixwright.operators import selection
 
 
 def long(df: DataFrame, keys: list[str], columns: list[str], name: str = "channel", value: str = "value") -> DataFrame:
@@ -23,11 +24,13 @@ def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def outliers(df: DataFrame, columns: list[str], share: float = 0.99) -> DataFrame:
-    """Values strictly outside the outer percentiles."""
-    rows = long(df, [], columns, "column")
-    bounds = rows.groupBy("column").agg(F.percentile("value", F.array(F.lit(1 - share), F.lit(share))).alias("b"))
-    joined = rows.join(F.broadcast(bounds), "column")  # a row a column
-    return joined.groupBy("column").agg(F.first(F.col("b")[0]).alias("low"), F.first(F.col("b")[1]).alias("high"), F.count_if((F.col("value") < F.col("b")[0]) | (F.col("value") > F.col("b")[1])).alias("outside"))
+    """Values strictly outside the outer percentiles. The bounds, two a column, are literals of the second pass."""
+    bounds = {r["column"]: r for r in selection.wide(selection.percentiles(long(df, [], columns, "column"), ["column"], "value", [1 - share, share]), ["column"], {1 - share: "low", share: "high"}).collect()}  # a row a column
+    outside = lambda c: F.count_if((F.col(c) < bounds[c]["low"]) | (F.col(c) > bounds[c]["high"]))
+    known = [c for c in columns if c in bounds]
+    one = df.agg(*(outside(c).alias(c) for c in known)).unpivot([], known, "column", "outside")
+    ends = F.create_map(*(x for c in known for x in (F.lit(c), F.struct(F.lit(bounds[c]["low"]).alias("low"), F.lit(bounds[c]["high"]).alias("high")))))
+    return one.select("column", ends[F.col("column")]["low"].alias("low"), ends[F.col("column")]["high"].alias("high"), "outside")
 
 
 def anomalies(daily: DataFrame, s: Series, revenue: str, spend: str) -> DataFrame:
@@ -50,9 +53,17 @@ def coverage_weeks(df: DataFrame, by: list[str], day: str, least: int = 52, pref
 
 
 def identifiability(df: DataFrame, channels: list[str]) -> DataFrame:
-    rows = long(df, [], channels)
-    bounds = rows.groupBy("channel").agg(F.percentile("value", 0.05).alias("q05"))
-    return rows.join(F.broadcast(bounds), "channel").groupBy("channel").agg((100 * F.avg((F.col("value") <= 1e-9).cast("int"))).alias("zero_pct"), (100 * F.avg((F.col("value") <= F.col("q05")).cast("int"))).alias("near_zero_pct"), F.try_divide(F.stddev_samp("value"), F.avg("value")).alias("variation"))
+    """Of each channel's spend, null taken as 0: shares of zeros and of values up to the 5th percentile, range, mean, variation."""
+    filled = df.select(*(F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in channels))
+    low = {r["channel"]: r["value"] for r in selection.percentiles(long(filled, [], channels), ["channel"], "value", [0.05]).collect()}  # a row a channel
+    parts = [
+        F.struct(
+            F.lit(c).alias("channel"), (100 * F.avg((F.col(c) <= 1e-9).cast("int"))).alias("zero_pct"), (100 * F.avg((F.col(c) <= F.lit(low.get(c))).cast("int"))).alias("near_zero_pct"),
+            F.try_divide(F.stddev_samp(c), F.avg(c)).alias("variation"), F.min(c).alias("least"), F.max(c).alias("most"), F.avg(c).alias("mean"),
+        ).alias(c)
+        for c in channels
+    ]
+    return filled.agg(*parts).select(F.explode(F.array(*channels)).alias("x")).select("x.*")
 
 
 def correlated_pairs(df: DataFrame, columns: list[str]) -> DataFrame:

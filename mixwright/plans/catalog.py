@@ -1,9 +1,10 @@
 """Named queries and the same as SQL, gathered from the modules of this folder."""
 
-from mixwright.plans import feature_queries, media_queries, model_queries, table_queries
+from mixwright.plans import budget_queries, feature_queries, media_queries, model_queries, table_queries
 from mixwright.plans.media_queries import flagship
 
-QUERIES = media_queries.QUERIES | table_queries.QUERIES | feature_queries.QUERIES | model_queries.QUERIES
-ORACLE = media_queries.ORACLE | table_queries.ORACLE | feature_queries.ORACLE | model_queries.ORACLE
+MODULES = (media_queries, table_queries, feature_queries, model_queries, budget_queries)
+QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
+ORACLE = {name: text for m in MODULES for name, text in m.ORACLE.items()}
 
 __all__ = ["QUERIES", "ORACLE", "flagship"]

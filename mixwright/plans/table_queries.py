@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from mixwright.functions.windows import Series
-from mixwright.operators import attribution, cleaning, quality
+from mixwright.operators import attribution, cleaning, quality, selection
 from mixwright.plans.media_queries import ALL, KEYS, K, ORD, S, W, sql
 from mixwright.plans.registry import OFF_TIES, Registry, r, rounded
 from mixwright.sources.panel import CHANNELS, DAILY_SQL, MACRO_SQL, PANEL_SQL, SPEND, TOUCH_SQL, brand_daily, conversions, macro, panel, read, touches
@@ -69,7 +69,7 @@ def dq_coverage_weeks(spark, sf_dir):
     return quality.coverage_weeks(panel(spark, sf_dir), ["brand", "region"], "date_day")
 
 
-@register(f"with {PANEL_SQL}, {LONG}, b as (select \"column\", quantile_cont(v, 0.05) q from long group by 1) select \"column\" channel, {r('100.0 * avg(case when v <= 1e-9 then 1.0 else 0 end)', 'zero_pct')}, {r('100.0 * avg(case when v <= q then 1.0 else 0 end)', 'near_zero_pct')}, {r('stddev_samp(v) / avg(v)', 'variation')} from long join b using (\"column\") where \"column\" <> 'revenue' group by 1")
+@register(f"with {PANEL_SQL}, {LONG}, z as (select \"column\", coalesce(v, 0) v from long), b as (select \"column\", quantile_cont(v, 0.05) q from z group by 1) select \"column\" channel, {r('100.0 * avg(case when v <= 1e-9 then 1.0 else 0 end)', 'zero_pct')}, {r('100.0 * avg(case when v <= q then 1.0 else 0 end)', 'near_zero_pct')}, {r('stddev_samp(v) / avg(v)', 'variation')}, {r('min(v)', 'least')}, {r('max(v)', 'most')}, {r('avg(v)', 'mean')} from z join b using (\"column\") where \"column\" <> 'revenue' group by 1")
 def dq_identifiability(spark, sf_dir):
     return rounded(quality.identifiability(panel(spark, sf_dir), SPEND))
 
@@ -92,6 +92,15 @@ def dq_name_similarity(spark, sf_dir):
     return rounded(quality.similar_names(read(spark, sf_dir, "part").select(F.concat_ws(" ", "p_name", "p_type").alias("p")), "p", 0.5))
 
 
+SHARES = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
+
+
+@register("with l as (select l_returnflag, l_linestatus, unnest(['price', 'quantity']) \"column\", unnest([l_extendedprice, l_quantity]) v from lineitem) " + " union all ".join(f"select l_returnflag, l_linestatus, \"column\", {s}::double share, {r(f'quantile_cont(v, {s})', 'value')} from l group by 1, 2, 3" for s in SHARES))
+def dq_percentiles(spark, sf_dir):
+    rows = read(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", F.col("l_extendedprice").alias("price"), F.col("l_quantity").alias("quantity"))
+    return rounded(selection.percentiles(quality.long(rows, ["l_returnflag", "l_linestatus"], ["price", "quantity"], "column"), ["l_returnflag", "l_linestatus", "column"], "value", SHARES))
+
+
 @register(f"with {PANEL_SQL}, d as (select date_day, sum(revenue) rv, sum({' + '.join(SPEND)}) s, count(case when revenue < 0 then 1 end) n from panel group by 1) select sum(n)::bigint negative_rows, count(case when rv = 0 then 1 end) zero_days, {r('min(rv)', 'least')}, {r('max(rv)', 'most')}, {r('sum(rv) / sum(s)', 'roi')} from d")
 def dq_business_rules(spark, sf_dir):
     return rounded(quality.business_rules(panel(spark, sf_dir), "date_day", "revenue", SPEND))
