@@ -25,8 +25,11 @@ def eligible(touches: DataFrame, conversions: DataFrame, click_days: int = 7, vi
     return rows.withColumn("_rank", rank).withColumn("_best", F.min("_rank").over(Window.partitionBy("conversion_id", "ts"))).where("_rank = _best").drop("_rank", "_best")
 
 
-def credited(rows: DataFrame, model: str, view_weight: float = 1.0, half_life_days: float = 7.0, overlap_penalty: float = 0.0, least_kept: float = 0.1) -> DataFrame:
-    """``rows`` of eligible touches with credit. first and last give all to one touch, the others share the whole value."""
+def credited(rows: DataFrame, model: str, view_weight: float = 1.0, half_life_days: float = 7.0, overlap_penalty: float = 0.0, least_kept: float = 0.1, penalty: str = "linear") -> DataFrame:
+    """``rows`` of eligible touches with credit. first and last give all to one touch, the others share the whole value. Of several touches each loses: ``overlap_penalty`` a further touch, or by ``exponential`` that part of
+    what is left."""
+    if penalty not in ("linear", "exponential"):
+        raise ValueError("a penalty is linear or exponential")
     if model not in MODELS:
         raise ValueError(f"model must be one of {MODELS}")
     of = Window.partitionBy("conversion_id")
@@ -41,7 +44,9 @@ def credited(rows: DataFrame, model: str, view_weight: float = 1.0, half_life_da
         credit = value * F.try_divide(F.col("weight"), F.sum("weight").over(of))
     rows = rows.withColumn("credit", credit)
     if overlap_penalty:
-        rows = rows.withColumn("credit", F.when(F.col("n") > 1, F.col("credit") * F.greatest(1 - overlap_penalty * (F.col("n") - 1), F.lit(least_kept))).otherwise(F.col("credit")))
+        further = overlap_penalty * (F.col("n") - 1)
+        left = 1 - further if penalty == "linear" else F.exp(-further)
+        rows = rows.withColumn("credit", F.when(F.col("n") > 1, F.col("credit") * F.greatest(left, F.lit(least_kept))).otherwise(F.col("credit")))
     return rows.where("credit > 0").select("conversion_id", "conversion_value", "conversion_ts", "event_id", "ts", "channel", "interaction_type", "n", "credit")
 
 
@@ -121,3 +126,14 @@ def conservation(rows: DataFrame, conversions: DataFrame) -> DataFrame:
     top = rows.groupBy("channel").agg(F.sum("credit").alias("c")).agg(F.max("c").alias("most"))
     one = every.join(F.broadcast(given), how="cross").join(F.broadcast(top), how="cross")
     return one.select(F.try_divide("credit", "value").alias("conserved"), F.try_divide(F.col("attributed").cast("double"), F.col("n")).alias("covered"), F.try_divide("most", "credit").alias("dominance"))
+
+
+def reconciled(platform: DataFrame, model: DataFrame, keys: list[str], tolerance: float = 0.3) -> DataFrame:
+    """Credit as two sources have it (``keys``, credit), side by side -> keys, platform, model, difference, difference_pct, side,
+    within_tolerance. What one side lacks is kept, as 0, and named; nothing is within tolerance of a reported 0 but 0."""
+    sums = lambda df, name: df.groupBy(*keys).agg(F.sum("credit").alias(name))
+    both = sums(platform, "platform").join(sums(model, "model"), keys, "full")
+    side = F.when(F.col("platform").isNull(), "model only").when(F.col("model").isNull(), "platform only").otherwise("both")
+    rows = both.withColumn("side", side).fillna(0.0, ["platform", "model"]).withColumn("difference", F.col("model") - F.col("platform"))
+    pct = F.try_divide("difference", F.when(F.col("platform") != 0, F.col("platform")))
+    return rows.withColumn("difference_pct", pct).withColumn("within_tolerance", F.coalesce(F.abs("difference_pct") < tolerance, (F.col("platform") == 0) & (F.col("model") == 0)))
