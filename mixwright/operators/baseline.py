@@ -39,12 +39,13 @@ def standardized(x: Column, training: Column, by: list[str]) -> Column:
     return F.try_divide(x - F.avg(known).over(w), F.when(F.stddev_pop(known).over(w) > 0, F.stddev_pop(known).over(w)))
 
 
-def interval(d: Column, start: str, end: str, kind: str = "step") -> Column:
-    """1 inside the interval, or a rise or fall across it; 0 outside."""
+def event(d: Column, name: str, start: str, end: str, kind: str = "step") -> dict[str, Column]:
+    """Whether a day lies in an event's interval, and for a ramp_up or ramp_down a second column that rises or falls across it."""
     first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
-    share = F.least(F.greatest(F.try_divide(F.datediff(d, first).cast("double"), F.datediff(last, first)), F.lit(0.0)), F.lit(1.0))
-    value = {"step": F.lit(1.0), "ramp_up": share, "ramp_down": 1.0 - share}[kind]
-    return F.when((d >= first) & (d <= last), value).otherwise(0.0)
+    on = (d >= first) & (d <= last)
+    share = F.least(F.greatest(F.datediff(d, first) / (F.datediff(last, first) + 1e-9), F.lit(0.0)), F.lit(1.0))
+    ramps = {"ramp_up": share, "ramp_down": 1 - share}
+    return {f"external_{name}": on.cast("int")} | ({f"external_{name}_ramp": F.when(on, ramps[kind]).otherwise(0.0)} if kind in ramps else {})
 
 
 def spread(df: DataFrame, columns: list[str], least: float = 1e-6) -> DataFrame:

@@ -60,9 +60,11 @@ def trend_consistency(df: DataFrame, s: Series, actual: str, guess: str) -> Data
 
 
 def drift(df: DataFrame, s: Series, actual: str, guess: str) -> DataFrame:
-    error = F.col(actual) - F.col(guess)
-    rows = df.select(*s.by, error.alias("e"), F.sum(error).over(s.so_far()).alias("c"), s.number().alias("n"))
-    return rows.groupBy(*s.by).agg(F.max(F.abs("c")).alias("worst"), F.regr_slope("e", "n").alias("slope"), F.stddev_pop("e").alias("spread"))
+    """Largest sum of errors (guess less actual) so far, their trend and spread; high where that sum exceeds the target's spread."""
+    error = F.col(guess) - F.col(actual)
+    rows = df.select(*s.by, error.alias("e"), F.col(actual).alias("a"), F.sum(error).over(s.so_far()).alias("c"), s.number().alias("n"))
+    out = rows.groupBy(*s.by).agg(F.max(F.abs("c")).alias("worst"), F.coalesce(F.regr_slope("e", "n"), F.lit(0.0)).alias("slope"), F.stddev_pop("e").alias("spread"), F.stddev_pop("a").alias("_of"))
+    return out.withColumn("severity", F.when(F.col("worst") > F.col("_of"), "high").otherwise("low")).drop("_of")
 
 
 def seasonal(df: DataFrame, by: list[str], day: str, actual: str, guess: str) -> DataFrame:
@@ -192,5 +194,6 @@ def returns(plan: DataFrame) -> DataFrame:
     return plan.groupBy("scenario").agg(F.try_divide(F.sum(F.col("current") * F.col("rate")), F.sum("current")).alias("roas_now"), F.try_divide(F.sum(F.col("optimised") * F.col("rate")), F.sum("optimised")).alias("roas_best"))
 
 
-def top_moves(plan: DataFrame, k: int = 5) -> DataFrame:
-    return plan.orderBy(F.desc(F.round(F.abs("change"), 4)), "scenario", "channel").limit(k).select("scenario", "channel", "change", F.when(F.abs("pct_change") > 20, "major").otherwise("minor").alias("size"))
+def top_moves(plan: DataFrame, k: int = 5, least: float = 5.0) -> DataFrame:
+    """The largest changes; moves of at most ``least`` percent are none."""
+    return plan.where(F.abs("pct_change") > least).orderBy(F.desc(F.round(F.abs("change"), 4)), "scenario", "channel").limit(k).select("scenario", "channel", "change", F.when(F.abs("pct_change") > 20, "major").otherwise("minor").alias("size"))

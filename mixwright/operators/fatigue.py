@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from mixwright.functions.windows import Series, change, rolling
 
+EPSILON = 1e-12
+
 
 def worn(day: Column, refreshed: Column, s: Series, half_life: float = 14.0, floor: float = 0.2) -> Column:
     """The share of effect left since the last refresh, or since the first day."""
@@ -56,15 +58,43 @@ def wears_off(df: DataFrame, s: Series, factor: str) -> DataFrame:
     return stretch.groupBy(*s.by).agg(F.count("*").alias("stretches"), F.avg((F.col("end") <= F.col(factor)).cast("int")).alias("share")).withColumn("consistent", F.col("share") >= 0.7)
 
 
-def spend_jumps(spend: Column, s: Series, least: float = 0.5) -> Column:
-    """Whether the mean of a week moved by more than ``least`` of itself; ``spend`` has to be that mean."""
-    return F.coalesce(F.abs(change(spend, s)) > least, F.lit(False))
+def weekly_level(spend: Column, s: Series, width: int = 7) -> Column:
+    """The mean of a week, a little above 0 everywhere, so that a start from nothing is a change."""
+    return rolling("mean", spend + EPSILON, s, width, 1)
+
+
+def spend_jumps(level: Column, s: Series, least: float = 0.5) -> Column:
+    """Whether the weekly level (a column made before) moved by more than ``least`` of itself."""
+    return F.coalesce(F.abs(change(level, s)) > least, F.lit(False))
 
 
 def launches(spend: Column, s: Series, threshold: float) -> Column:
     return F.coalesce((F.lag(spend).over(s.ordered()) <= threshold) & (spend > threshold), F.lit(False))
 
 
+def opened(df: DataFrame, s: Series, spend: str, threshold: float = 0.0) -> DataFrame:
+    """Series whose first row already has spend above ``threshold``, with its day as the order column and 1 as place: such a row is
+    a refresh, whatever follows."""
+    first = df.groupBy(*s.by).agg(F.min_by(F.struct(s.order, spend), s.order).alias("_f"))
+    return first.where(F.col(f"_f.{spend}") > threshold).select(*s.by, F.col(f"_f.{s.order}").alias(s.order), F.lit(1).alias("place"))
+
+
+def refreshes(df: DataFrame, s: Series, spend: str, method: str, **how) -> DataFrame:
+    """``df`` with a column ``refreshed``: by spend_change, campaign_launch or periodic detection, first rows with spend included."""
+    if method == "periodic":
+        return df.withColumn("refreshed", periodic(F.col(s.order), s, how.get("days", 30)))
+    if method == "spend_change":
+        level = df.withColumn("_level", weekly_level(F.col(spend), s, how.get("window", 7)))
+        found = debounced(level.withColumn("_hit", spend_jumps(F.col("_level"), s, how.get("least", 0.5))), s, F.col("_hit"), how.get("gap", 7)).unionByName(opened(df, s, spend, EPSILON).drop("place"))
+        return df.join(found.distinct().withColumn("refreshed", F.lit(True)), [*s.by, s.order], "left").withColumn("refreshed", F.coalesce("refreshed", F.lit(False)))
+    if method == "campaign_launch":
+        threshold = how.get("threshold", 0.1)
+        found = debounced_rows(df, s, launches(F.col(spend), s, threshold), how.get("gap", 7)).unionByName(opened(df, s, spend, threshold).drop(s.order))
+        numbered = df.withColumn("place", s.number())
+        return numbered.join(found.distinct().withColumn("refreshed", F.lit(True)), [*s.by, "place"], "left").withColumn("refreshed", F.coalesce("refreshed", F.lit(False))).drop("place")
+    raise ValueError("a method is periodic, spend_change or campaign_launch")
+
+
 def nearest(days: DataFrame, refreshes: DataFrame, day: str, tolerance: int = 5) -> DataFrame:
     """For each refresh the nearest day within ``tolerance`` (the earlier of two). Each refresh asks for the few days around it."""
     asked = refreshes.withColumn(day, F.explode(F.sequence(F.date_sub("refresh_date", tolerance), F.date_add("refresh_date", tolerance))))
@@ -73,8 +103,11 @@ def nearest(days: DataFrame, refreshes: DataFrame, day: str, tolerance: int = 5)
     return met.withColumn("_n", best).where("_n = 1").select("refresh_date", day, "gap")
 
 
-def wear(df: DataFrame, by: list[str], spend: str, factor: str, floor: float = 0.2) -> DataFrame:
-    return df.groupBy(*by).agg((100 * (1 - F.try_divide(F.sum(F.col(spend) * F.col(factor)), F.sum(spend)))).alias("impact_pct"), F.min(factor).alias("least"), F.stddev_samp(factor).alias("spread"), F.count_if(F.col(factor) == 1).alias("fresh_days"), F.count_if(F.col(factor) <= floor).alias("floor_days"))
+def wear(df: DataFrame, by: list[str], spend: str, factor: str, floor: float = 0.2, refreshed: str | None = None) -> DataFrame:
+    """How much spend loses, spread of the factor, days at either end; with a column of refreshes also their number and the mean
+    days between them, null for fewer than two."""
+    counts = [] if refreshed is None else [F.count_if(F.col(refreshed)).alias("refreshes"), F.try_divide(F.datediff(F.max(F.when(F.col(refreshed), F.col("date_day"))), F.min(F.when(F.col(refreshed), F.col("date_day")))).cast("double"), F.when(F.count_if(F.col(refreshed)) > 1, F.count_if(F.col(refreshed)) - 1)).alias("mean_gap_days")]
+    return df.groupBy(*by).agg((100 * (1 - F.try_divide(F.sum(F.col(spend) * F.col(factor)), F.sum(spend)))).alias("impact_pct"), F.min(factor).alias("least"), F.stddev_samp(factor).alias("spread"), F.count_if(F.col(factor) == 1).alias("fresh_days"), F.count_if(F.col(factor) <= floor).alias("floor_days"), *counts)
 
 
-__all__ = ["worn", "periodic", "debounced", "spend_jumps", "launches", "nearest", "wear", "rolling"]
+__all__ = ["worn", "periodic", "debounced", "spend_jumps", "launches", "nearest", "refreshes", "wear", "rolling"]

@@ -64,22 +64,42 @@ def fatigue_consistency(spark, sf_dir):
     return rounded(fatigue.wears_off(_worn(spark, sf_dir), S, "factor"))
 
 
-_JUMP = f"m as (select {K}, avg(search_spend) over {W(-6)} m from daily), j as (select brand, {D} d from (select *, coalesce(abs({change_sql('m')}) > 0.5, false) hit from m) where hit)"
+_JUMP = f"m as (select {K}, search_spend, {ROWN} place, avg(search_spend + 1e-12::double) over {W(-6)} m from daily), j as (select brand, {D} d from (select *, coalesce(abs({change_sql('m')}) > 0.5, false) hit from m) where hit)"
 
 
-@register(sql(_JUMP + ", c as (select brand, min(d) d from j group by brand union all select c.brand, (select min(j.d) from j where j.brand = c.brand and date_diff('day', c.d, j.d) >= 7) d from c where c.d is not null)", f"select brand, d as {D} from c where d is not null", True))
+@register(sql(_JUMP + ", c as (select brand, min(d) d from j group by brand union all select c.brand, (select min(j.d) from j where j.brand = c.brand and date_diff('day', c.d, j.d) >= 7) d from c where c.d is not null)", f"select brand, d as {D} from c where d is not null union select brand, {D} from m where place = 1 and search_spend > 1e-12", True))
 def fatigue_spend_jumps(spark, sf_dir):
-    rows = brand_daily(spark, sf_dir).withColumn("m", rolling("mean", F.col("search_spend"), S, 7, 1))
-    rows = rows.withColumn("hit", fatigue.spend_jumps(F.col("m"), S))
-    return fatigue.debounced(rows, S, F.col("hit"), 7).select("brand", D)
+    return fatigue.refreshes(brand_daily(spark, sf_dir), S, "search_spend", "spend_change").where("refreshed").select("brand", D)
 
 
-_LAUNCH = f"j as (select brand, place from (select brand, {ROWN} place, coalesce(lag(search_spend) over {ORD} <= 500 and search_spend > 500, false) hit from daily) where hit)"
+_LAUNCH = f"n as (select brand, {D}, search_spend, {ROWN} place from daily), j as (select brand, place from (select brand, place, coalesce(lag(search_spend) over {ORD} <= 500 and search_spend > 500, false) hit from n) where hit)"
 
 
-@register(sql(_LAUNCH + ", c as (select brand, min(place) place from j group by brand union all select c.brand, (select min(j.place) from j where j.brand = c.brand and j.place - c.place >= 7) place from c where c.place is not null)", "select brand, place::int as place from c where place is not null", True))
+@register(sql(_LAUNCH + ", c as (select brand, min(place) place from j group by brand union all select c.brand, (select min(j.place) from j where j.brand = c.brand and j.place - c.place >= 7) place from c where c.place is not null)", f"select brand, {D} from n join (select brand, place from c where place is not null union select brand, place from n where place = 1 and search_spend > 500) using (brand, place)", True))
 def fatigue_launches(spark, sf_dir):
-    return fatigue.debounced_rows(brand_daily(spark, sf_dir), S, fatigue.launches(F.col("search_spend"), S, 500.0), 7).select("brand", F.col("place").cast("int").alias("place"))
+    return fatigue.refreshes(brand_daily(spark, sf_dir), S, "search_spend", "campaign_launch", threshold=500.0).where("refreshed").select("brand", D)
+
+
+_DETECTED = _LAUNCH + f""", c as (select brand, min(place) place from j group by brand union all select c.brand, (select min(j.place) from j where j.brand = c.brand and j.place - c.place >= 7) place from c where c.place is not null),
+hit as (select brand, place from c where place is not null union select brand, place from n where place = 1 and search_spend > 500), p as (select n.*, hit.place is not null f from n left join hit using (brand, place)),
+s as (select *, coalesce(max(case when f then {D} end) over {W("unbounded preceding", 0)}, min({D}) over {ALL}) since from p), w as (select *, greatest(exp(date_diff('day', since, {D}) * {RATE}), 0.2::double) factor from s)"""
+
+
+def _detected(spark, sf_dir) -> DataFrame:
+    rows = fatigue.refreshes(brand_daily(spark, sf_dir), S, "search_spend", "campaign_launch", threshold=500.0)
+    return rows.withColumn("factor", fatigue.worn(F.col(D), F.col("refreshed"), S))
+
+
+@register(sql(_DETECTED, f"select {K}, f::int refreshed, {r('factor', 'factor', 6)}, {r(f'search_spend * factor + {OFF_TIES}::double', 'adjusted')} from w", True))
+def fatigue_detected(spark, sf_dir):
+    """Wear since the launches that spend shows."""
+    rows = _detected(spark, sf_dir)
+    return rows.select(*KEYS, F.col("refreshed").cast("int").alias("refreshed"), (F.round("factor", 6) + 0.0).alias("factor"), (F.round(F.col("search_spend") * F.col("factor") + OFF_TIES, 4) + 0.0).alias("adjusted"))
+
+
+@register(sql(_DETECTED, f"select brand, {r('100 * (1 - sum(search_spend * factor) / nullif(sum(search_spend), 0))', 'impact_pct')}, {r('min(factor)', 'least')}, {r('stddev_samp(factor)', 'spread')}, count(case when factor = 1 then 1 end) fresh_days, count(case when factor <= 0.2 then 1 end) floor_days, count(case when f then 1 end) refreshes, {r(f'date_diff(' + chr(39) + 'day' + chr(39) + f', min(case when f then {D} end), max(case when f then {D} end))::double / nullif(count(case when f then 1 end) - 1, 0)', 'mean_gap_days')} from w group by brand", True))
+def fatigue_detected_metrics(spark, sf_dir):
+    return rounded(fatigue.wear(_detected(spark, sf_dir), ["brand"], "search_spend", "factor", refreshed="refreshed"))
 
 
 @register(f"with {DAYS}, x as (select distinct (date_trunc('quarter', d) + interval 3 day)::date refresh_date from days), k as (select d from days where day(d) % 6 = 0), m as (select refresh_date, d, abs(date_diff('day', refresh_date, d)) gap from x join k on d between refresh_date - 5 and refresh_date + 5) select refresh_date, d, gap::int as gap from (select *, row_number() over (partition by refresh_date order by gap, d) n from m) where n = 1")
@@ -107,7 +127,7 @@ def _numbered(spark, sf_dir) -> DataFrame:
 _MED30 = f"quantile_cont(eff, 0.5) over {W(-29)}"
 
 
-@register(sql(_RN, f"select {K}, {r('eff', 'efficiency')}, {r('greatest(-coalesce(' + frame('regr_slope(eff, rn)', 'eff', 14) + ', 0), 0)', 'decline')}, {r(f'greatest({_MED30} - eff, 0)', 'gap')} from n"))
+@register(sql(_RN, f"select {K}, {r('eff', 'efficiency')}, {r('greatest(-coalesce(' + frame('regr_slope(eff, rn)', 'eff', 14) + ', 0), 0)', 'decline')}, {r(f'greatest(({_MED30} - eff) / ({_MED30} + 1e-8::double), 0)', 'gap')} from n"))
 def competitor_response(spark, sf_dir):
     return shown(_numbered(spark, sf_dir), {"efficiency": F.col("eff"), **market.response(F.col("eff"), F.col("rn"), S)})
 
@@ -118,7 +138,7 @@ def competitor_price_war(spark, sf_dir):
 
 
 _THANKS = "(make_date(year(d), 11, 22) + ((4 - isodow(make_date(year(d), 11, 22)) + 7) % 7)::int)"
-_SEASON = f"case when abs(date_diff('day', {_THANKS}, d)) <= 3 then 1.0 when month(d) = 12 and day(d) >= 15 then 0.8 when month(d) = 2 and day(d) between 10 and 16 then 0.6 when month(d) = 5 and day(d) between 8 and 14 then 0.6 when month(d) in (8, 9) and day(d) <= 15 then 0.5 when month(d) = 5 and day(d) >= 25 then 0.4 else 0 end::double"
+_SEASON = f"case when d between {_THANKS} and {_THANKS} + 6 then 1.0 when month(d) = 12 and day(d) >= 15 then 0.8 when month(d) = 2 and day(d) between 10 and 16 then 0.6 when month(d) = 5 and day(d) between 8 and 14 then 0.6 when month(d) = 8 or (month(d) = 9 and day(d) <= 15) then 0.5 when month(d) = 5 and day(d) >= 25 then 0.4 else 0 end::double"
 
 
 @register(f"with {DAYS} select d, (day(d) <= 7)::int month_start, (month(d) in (1, 4, 7, 10) and day(d) <= 14)::int quarter_start, (day(d) >= 25)::int month_end, (month(d) in (3, 6, 9, 12) and day(d) >= 20)::int quarter_end, {_SEASON} season from days")
@@ -175,23 +195,26 @@ def market_saturation(spark, sf_dir):
     return out.withColumns({"total": F.col("total") + 0.0, "revenue_fall": F.col("revenue_fall") + 0.0})
 
 
-_SHARE = f"coalesce(search_spend / nullif({TOTAL}, 0), 0)"
+_EVOLVED = "n as (select *, " + ROWN + " rn, " + ", ".join(f"coalesce({c} / nullif({TOTAL}, 0), 0) {c}_sh" for c in SPEND) + " from daily)"
 
 
-@register(sql(f"n as (select *, {ROWN} rn, {_SHARE} sh from daily)", f"select {K}, {r('sh', 'share')}, {r(frame('regr_slope(sh, rn)', 'sh', 30), 'trend', 6)}, {r(frame('stddev_samp(sh)', 'sh', 14), 'swing')} from n"))
+@register(sql(_EVOLVED, " union all ".join(f"select {K}, '{c.removesuffix('_spend')}' channel, {r(f'{c}_sh', 'share')}, {r(frame(f'regr_slope({c}_sh, rn)', f'{c}_sh', 30), 'trend', 6)}, {r(frame(f'stddev_samp({c}_sh)', f'{c}_sh', 14), 'swing')} from n" for c in SPEND)))
 def market_channel_evolution(spark, sf_dir):
-    rows = brand_daily(spark, sf_dir).withColumns({"rn": S.number(), "sh": F.coalesce(F.try_divide(F.col("search_spend"), F.when(total() != 0, total())), F.lit(0.0))})
-    out = rows.select(*KEYS, F.round("sh", 4).alias("share"), F.round(slope(F.col("sh"), F.col("rn"), S, 30), 6).alias("trend"), F.round(rolling("std", F.col("sh"), S, 14), 4).alias("swing"))
-    return out.withColumns({c: F.col(c) + 0.0 for c in ("share", "trend", "swing")})
+    """Share of each channel, its trend over a month and its swing over two weeks."""
+    rows = brand_daily(spark, sf_dir).withColumn("_all", total()).select(*KEYS, S.number().alias("rn"), *(F.coalesce(F.try_divide(F.col(c), F.when(F.col("_all") != 0, F.col("_all"))), F.lit(0.0)).alias(c) for c in SPEND))
+    made = rows.select(*KEYS, *(F.struct(F.round(c, 4).alias("share"), F.round(slope(F.col(c), F.col("rn"), S, 30), 6).alias("trend"), F.round(rolling("std", F.col(c), S, 14), 4).alias("swing")).alias(c.removesuffix("_spend")) for c in SPEND))
+    out = made.unpivot(list(KEYS), list(CHANNELS), "channel", "v")
+    return out.select(*KEYS, "channel", *((F.col(f"v.{c}") + 0.0).alias(c) for c in ("share", "trend", "swing")))
 
 
 def _corr(x: str, y: str) -> str:
     return f"coalesce(case when count({x}) over {W(-29)} >= 30 then covar_samp({x}, {y}) over {W(-29)} / nullif(stddev_samp({x}) over {W(-29)} * stddev_samp({y}) over {W(-29)}, 0) end, 0)"
 
 
-@register(sql("", f"select {K}, " + ", ".join(r("(" + " + ".join(_corr(x, y) for y in SPEND if y != x) + ") / 4", x.removesuffix("_spend")) for x in SPEND[:2]) + " from daily"))
+@register(sql("", f"select {K}, " + ", ".join(r("(" + " + ".join(_corr(x, y) for y in SPEND if y != x) + ") / 4", x.removesuffix("_spend")) for x in SPEND) + " from daily"))
 def market_channel_correlations(spark, sf_dir):
-    return shown(brand_daily(spark, sf_dir), {x.removesuffix("_spend"): market.mean_correlation(F.col(x), [F.col(y) for y in SPEND if y != x], S) for x in SPEND[:2]})
+    rows = market.mean_correlations(brand_daily(spark, sf_dir), SPEND, S)
+    return shown(rows, {x.removesuffix("_spend"): F.col(x) for x in SPEND})
 
 
 @register(f"with {DAYS}, e as (select distinct date_trunc('month', d)::date event_date, month(d) / 10.0::double magnitude, 10 + month(d) duration_days from days) select d, round(coalesce(sum(magnitude * exp(-date_diff('day', event_date, d) / (duration_days / 3.0::double))), 0), 4) + 0.0 shock from days left join e on d between event_date and event_date + duration_days::int group by d")
@@ -248,52 +271,80 @@ def _base(x: str) -> str:
     return f"case when count({x}) over {w} >= 7 then quantile_cont({x}, 0.5) over {w} end"
 
 
-_PROMO = f"b as (select *, revenue / nullif({_base('revenue')}, 0) ratio, search_spend / nullif({_base('search_spend')}, 0) paid from daily)"
+_PROMO = f"b as (select *, revenue / ({_base('revenue')} + 1e-8::double) ratio, {TOTAL} / ({_base(TOTAL)} + 1e-8::double) paid from daily), h as (select *, case when ratio is not null then greatest(ratio - 1, 0) end height from b)"
+_FLAGS = "coalesce(ratio > 1.3, false)::int spike, coalesce(ratio > 1.3 and paid < 1.2, false)::int price_promo, coalesce(ratio > 1.3 and paid > 1.5, false)::int media_push"
+
 
+def _over_training(x: str) -> str:
+    top = f"max(case when {D} <= date '{TRAINED}' then {x} end) over {ALL}"
+    return f"{x} / case when {top} > 0 then {top} else 1 end"
 
-@register(sql(_PROMO, f"select {K}, coalesce(ratio > 1.3, false)::int spike, {r('case when coalesce(ratio > 1.3, false) then least(greatest(ratio - 1, 0), 2) else 0 end', 'intensity')}, coalesce(ratio > 1.3 and paid < 1.2, false)::int price_promo, coalesce(ratio > 1.3 and paid > 1.5, false)::int media_push from b"))
+
+@register(sql(_PROMO, f"select {K}, {_FLAGS}, {r('case when height is not null then least(height, 2) end', 'intensity')} from h"))
 def promo_periods(spark, sf_dir):
-    return shown(brand_daily(spark, sf_dir), market.promotions(F.col("revenue"), F.col("search_spend"), S))
+    return shown(brand_daily(spark, sf_dir), market.promotions(F.col("revenue"), total(), S))
+
+
+def _trained():
+    return F.col(D) <= F.lit(TRAINED).cast("date")
+
+
+@register(sql(_PROMO, f"select {K}, {_FLAGS}, {r(_over_training('height'), 'intensity')} from h"))
+def promo_periods_trained(spark, sf_dir):
+    """Heights over the largest of the days up to the end of training."""
+    return shown(brand_daily(spark, sf_dir), market.promotions(F.col("revenue"), total(), S, training=_trained()))
 
 
 _WEEKLY = f"coalesce({change_sql('revenue', 7)}, 0)"
+_INTENSE = f"i as (select {K}, least(greatest({_WEEKLY}, 0), 1) growth, greatest(coalesce(revenue / ({_base('revenue')} + 1e-8::double), 1) - 1, 0) spike, coalesce(case when count(revenue) over {W(-7, -1)} >= 3 then stddev_samp(revenue) over {W(-7, -1)} end, 0) swing from daily)"
 
 
-@register(sql("", f"select {K}, {r(f'least(greatest({_WEEKLY}, 0), 1)', 'growth')}, {r(f'coalesce(case when count(revenue) over {W(-7, -1)} >= 3 then stddev_samp(revenue) over {W(-7, -1)} end, 0)', 'swing', 2)} from daily"))
+@register(sql(_INTENSE, f"select {K}, {r('growth', 'growth')}, {r(_over_training('spike'), 'spike')}, {r(_over_training('swing'), 'swing')} from i"))
 def promo_intensity(spark, sf_dir):
-    c = market.promotion_intensity(F.col("revenue"), S)
-    return brand_daily(spark, sf_dir).select(*KEYS, (F.round(c["growth"], 4) + 0.0).alias("growth"), (F.round(c["swing"], 2) + 0.0).alias("swing"))
+    return shown(brand_daily(spark, sf_dir), market.promotion_intensity(F.col("revenue"), S, _trained()))
+
+
+@register(sql(_INTENSE, f"select {K}, {r('growth', 'growth')}, {r('least(spike, 1)', 'spike')}, {r('least(swing, 1)', 'swing')} from i"))
+def promo_intensity_clipped(spark, sf_dir):
+    return shown(brand_daily(spark, sf_dir), market.promotion_intensity(F.col("revenue"), S))
 
 
 #: Campaigns as a user gives them: name, first and last day, discount.
-CAMPAIGNS = (("spring", "1996-03-10", "1996-03-24", 0.2), ("winter", "1997-12-01", "1997-12-20", 0.35))
+CAMPAIGNS = (("spring", "1996-03-10", "1996-03-24", 0.2, None), ("Winter Sale", "1997-12-01", "1997-12-20", 0.35, 12000.0), ("brief", "1998-05-04", "1998-05-07", None, 500.0))
 
 
-def _ramp_sql(first: str, last: str) -> str:
-    return f"greatest(least((date_diff('day', date '{first}', d) + 3) / 3.0::double, (date_diff('day', d, date '{last}') + 3) / 3.0::double, 1), 0)"
+def _campaign_sql(name: str, a: str, b: str, discount, money) -> str:
+    on, name = f"d between date '{a}' and date '{b}'", f"promo_{name.replace(' ', '_').lower()}"
+    ramp = f"case when {on} then greatest(least(date_diff('day', date '{a}', d) / 3.0::double, date_diff('day', d, date '{b}') / 3.0::double, 1), 0) else 0 end"
+    given = [f"case when {on} then {v}::double else 0 end {name}_{part}" for part, v in (("intensity", discount), ("budget", money)) if v is not None]
+    return ", ".join([f"({on})::int {name}", *given, r(ramp, f"{name}_ramp")])
 
 
-@register(f"with {DAYS} select d, " + ", ".join(f"(d between date '{a}' and date '{b}')::int promo_{n}, case when d between date '{a}' and date '{b}' then {x}::double else 0 end discount_{n}, {r(_ramp_sql(a, b), f'ramp_{n}')}" for n, a, b, x in CAMPAIGNS) + " from days")
+@register(f"with {DAYS} select d, " + ", ".join(_campaign_sql(*c) for c in CAMPAIGNS) + " from days")
 def promo_campaigns(spark, sf_dir):
-    columns = []
-    for n, a, b, x in CAMPAIGNS:
-        on = F.col("d").between(F.lit(a).cast("date"), F.lit(b).cast("date"))
-        columns += [on.cast("int").alias(f"promo_{n}"), F.when(on, x).otherwise(0.0).alias(f"discount_{n}"), market.ramp(F.col("d"), a, b).alias(f"ramp_{n}")]
-    return rounded(days(spark, sf_dir).select("d", *columns))
+    columns = {}
+    for name, a, b, discount, money in CAMPAIGNS:
+        columns |= market.campaign(F.col("d"), name, a, b, discount, money)
+    return rounded(days(spark, sf_dir).select("d", *(c.alias(n) for n, c in columns.items())))
+
+
+_SIGNED = f"g as (select {K}, {_WEEKLY} x from daily), h as (select *, greatest(x, 0) up, least(x, 0) down from g)"
 
 
-@register(sql(f"g as (select {K}, {_WEEKLY} x from daily), h as (select *, greatest(x, 0) up, least(x, 0) down from g)", f"select {K}, " + ", ".join(r(f"{c} / case when max(case when {D} <= date '{TRAINED}' then abs({c}) end) over {ALL} > 0 then max(case when {D} <= date '{TRAINED}' then abs({c}) end) over {ALL} else 1 end", c) for c in ("up", "down")) + " from h"))
+@register(sql(_SIGNED, f"select {K}, {r(_over_training('up'), 'up_intensity')}, {r('up', 'up_plain')}, {r(_over_training('down'), 'down_intensity')}, {r('least(greatest(x, 0), 1)', 'clipped_intensity')}, {r('x', 'free_plain')} from h"))
 def promo_constrained(spark, sf_dir):
     from mixwright.functions.windows import change
 
     rows = brand_daily(spark, sf_dir).withColumn("x", F.coalesce(change(F.col("revenue"), S, 7), F.lit(0.0)))
-    trained = F.col(D) <= F.lit(TRAINED).cast("date")
-    return shown(rows, {"up": market.constrained(F.col("x"), trained, S), "down": market.constrained(F.col("x"), trained, S, -1)})
+    both = {"promo_intensity": F.col("x"), "promo_plain": F.col("x")}
+    up, down = market.constrained(both, S, "positive", _trained()), market.constrained(both, S, "negative", _trained())
+    free = market.constrained(both, S, "none")
+    return shown(rows, {"up_intensity": up["promo_intensity"], "up_plain": up["promo_plain"], "down_intensity": down["promo_intensity"], "clipped_intensity": free["promo_intensity"], "free_plain": free["promo_plain"]})
 
 
-@register(sql("", f"select {K}, {r(f'(sin(dayofyear({D}) * (2 * pi()) / 365.25) + 1) / 2', 'wave')}, {r(f'1 + 0.02::double * {_YEARS}', 'growth')}, {r(f'lag(search_spend, 14) over {ORD}', 'earlier')} from daily"))
+@register(sql("", f"select {K}, {r(f'(sin(dayofyear({D}) * (2 * pi()) / 365.25) + 1) / 2', 'wave')}, {r(f'1 + 0.02::double * {_YEARS}', 'growth')}, {r(f'coalesce(lag({TOTAL}, 14) over {ORD}, 0)', 'earlier')} from daily"))
 def competitive_terms(spark, sf_dir):
-    return shown(brand_daily(spark, sf_dir), market.background(F.col(D), F.col("search_spend"), S))
+    return shown(brand_daily(spark, sf_dir), market.background(F.col(D), total(), S))
 
 
 _MID = f"quantile_cont(aov, 0.5) over {W(-29)}"
@@ -308,9 +359,9 @@ def price_terms(spark, sf_dir):
 _WK = f"coalesce({change_sql('wk')}, 0)"
 
 
-@register(sql(f"{_RN}, w as (select *, {frame('avg(eff)', 'eff', 7)} wk from n)", f"select {K}, {r(f'greatest(-{_WK}, 0)', 'stockout')}, {r(f'greatest({_WK}, 0)', 'recovery')}, (month({D}) = 11 or (month({D}) = 12 and day({D}) <= 15))::int heavy from w"))
+@register(sql(f"{_RN}, w as (select *, avg(volume / ({TOTAL} + 1e-8::double)) over {W(-6)} wk from n)", f"select {K}, {r(f'greatest(-{_WK}, 0)', 'stockout')}, {r(f'greatest({_WK}, 0)', 'recovery')}, (month({D}) = 11 or (month({D}) = 12 and day({D}) <= 15))::int heavy from w"))
 def inventory_terms(spark, sf_dir):
-    rows = _numbered(spark, sf_dir).withColumn("week", rolling("mean", F.col("eff"), S, 7))
+    rows = _numbered(spark, sf_dir).withColumn("week", rolling("mean", market.efficiency(F.col("volume"), total()), S, 7, 1))
     return shown(rows, market.inventory(F.col("week"), F.col(D), S))
 
 
@@ -340,14 +391,18 @@ def macro_standardized(spark, sf_dir):
 EVENTS = (("strike", "1996-05-01", "1996-05-20", "step"), ("launch", "1997-01-10", "1997-03-10", "ramp_up"), ("exit", "1998-02-01", "1998-03-15", "ramp_down"))
 
 
-def _event_sql(a: str, b: str, kind: str) -> str:
-    share = f"least(greatest(date_diff('day', date '{a}', d)::double / date_diff('day', date '{a}', date '{b}'), 0), 1)"
-    return f"case when d between date '{a}' and date '{b}' then {dict(step='1.0', ramp_up=share, ramp_down=f'1.0 - {share}')[kind]} else 0 end::double"
+def _event_sql(name: str, a: str, b: str, kind: str) -> str:
+    on, share = f"d between date '{a}' and date '{b}'", f"least(greatest(date_diff('day', date '{a}', d) / (date_diff('day', date '{a}', date '{b}') + 1e-9), 0), 1)"
+    ramps = {"ramp_up": share, "ramp_down": f"1 - {share}"}
+    return f"({on})::int external_{name}" + (", " + r(f"case when {on} then {ramps[kind]} else 0 end", f"external_{name}_ramp") if kind in ramps else "")
 
 
-@register(f"with {DAYS} select d, " + ", ".join(r(_event_sql(a, b, k), f"external_{n}") for n, a, b, k in EVENTS) + " from days")
+@register(f"with {DAYS} select d, " + ", ".join(_event_sql(*e) for e in EVENTS) + " from days")
 def external_events(spark, sf_dir):
-    return rounded(days(spark, sf_dir).select("d", *(baseline.interval(F.col("d"), a, b, k).alias(f"external_{n}") for n, a, b, k in EVENTS)))
+    columns = {}
+    for e in EVENTS:
+        columns |= baseline.event(F.col("d"), *e)
+    return rounded(days(spark, sf_dir).select("d", *(c.alias(n) for n, c in columns.items())))
 
 
 _QC = ["revenue", *SPEND]

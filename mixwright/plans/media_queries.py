@@ -221,14 +221,18 @@ def _near(spark, table: DataFrame) -> DataFrame:
     return calendar.holiday_table(spark, (years.first or 1970) - 1, (years.last or 1970) + 1)
 
 
-@register(f"with {DAYS}, {_VALUES} select d, " + ", ".join(f"coalesce(max(case when h = d and n = '{n}' then 1 end), 0)::int as {n}" for n in _NAMES) + ", coalesce(max(case when h = d + 1 then 1 end), 0)::int as day_before, coalesce(max(case when h = d - 1 then 1 end), 0)::int as day_after from days left join hol on h between d - 1 and d + 1 group by d")
+_MARKS = "hd as (select h, n from hol join days on h = d)"
+
+
+@register(f"with {DAYS}, {_VALUES}, {_MARKS} select d, " + ", ".join(f"coalesce(max(case when h = d {'+ 1' if e == 'before' else '- 1' if e == 'after' else ''} and n = '{n}' then 1 end), 0)::int as {n}{'_' + e if e else ''}" for n in _NAMES for e in ("", "before", "after")) + " from days left join hd on h between d - 1 and d + 1 group by d")
 def calendar_holidays(spark, sf_dir):
-    """A column for every holiday, whether it is among the days or not, and the days next to one."""
+    """Three columns for every holiday, whether it is among the days or not: the day, the one before and the one after. A
+    holiday that isn't among the days marks none beside it."""
     table = days(spark, sf_dir)
-    near = _near(spark, table).withColumn("shift", F.explode(F.array(*map(F.lit, (-1, 0, 1))))).withColumn("d", F.date_add("holiday_date", F.col("shift")))
-    flag = lambda c: F.coalesce(F.max(F.when(c, 1)), F.lit(0)).cast("int")
-    on = F.col("shift") == 0
-    return table.join(near, "d", "left").groupBy("d").agg(*(flag(on & (F.col("holiday") == n)).alias(n) for n in _NAMES), flag(F.col("shift") == -1).alias("day_before"), flag(F.col("shift") == 1).alias("day_after"))
+    there = _near(spark, table).join(table.select(F.col("d").alias("holiday_date")), "holiday_date")
+    near = there.withColumn("shift", F.explode(F.array(*map(F.lit, (-1, 0, 1))))).withColumn("d", F.date_add("holiday_date", F.col("shift")))
+    flag = lambda n, shift: F.coalesce(F.max(F.when((F.col("shift") == shift) & (F.col("holiday") == n), 1)), F.lit(0)).cast("int")
+    return table.join(near, "d", "left").groupBy("d").agg(*(flag(n, shift).alias(f"{n}{end}") for n in _NAMES for shift, end in ((0, ""), (-1, "_before"), (1, "_after"))))
 
 
 @register(f"with {DAYS}, {_KEPT} select d, " + ", ".join(f"coalesce(max(case when n in ({', '.join(repr(x) for x in names)}) then 1 end), 0)::int as holiday_group_{g}" for g, names in calendar.GROUPS.items()) + ", count(n) holidays from days left join kept on h = d group by d")

@@ -205,7 +205,7 @@ def eval_trend(spark, sf_dir):
     return rounded(evaluation.trend_consistency(_guessed(spark, sf_dir), S, "a", "p"))
 
 
-@register(sql(f"{_E}, c as (select brand, a - p e, sum(a - p) over {ORD} c, rn from e)", f"select brand, {r('max(abs(c))', 'worst', 2)}, {r('regr_slope(e, rn)', 'slope', 2)}, {r('stddev_pop(e)', 'spread', 2)} from c group by 1"))
+@register(sql(f"{_E}, c as (select brand, a, p - a e, sum(p - a) over {ORD} c, rn from e)", f"select brand, {r('max(abs(c))', 'worst', 2)}, {r('regr_slope(e, rn)', 'slope', 2)}, {r('stddev_pop(e)', 'spread', 2)}, case when max(abs(c)) > stddev_pop(a) then 'high' else 'low' end severity from c group by 1"))
 def eval_drift(spark, sf_dir):
     return rounded(evaluation.drift(_guessed(spark, sf_dir), S, "a", "p"), 2)
 
@@ -289,7 +289,7 @@ def budget_best_scenario(spark, sf_dir):
     return rounded(evaluation.best_scenarios(evaluation.returns(_plan(spark, sf_dir))))
 
 
-@register(sql(_PLAN, f"select scenario, channel, {r('change', 'change', 3)}, case when abs(pct_change) > 20 then 'major' else 'minor' end size from plan order by round(abs(change), 4) desc, scenario, channel limit 5"))
+@register(sql(_PLAN, f"select scenario, channel, {r('change', 'change', 3)}, case when abs(pct_change) > 20 then 'major' else 'minor' end size from plan where abs(pct_change) > 5 order by round(abs(change), 4) desc, scenario, channel limit 5"))
 def budget_top_moves(spark, sf_dir):
     return rounded(evaluation.top_moves(_plan(spark, sf_dir)), 3)
 
