@@ -4,8 +4,11 @@ Exact copies are put together first. Each different text is sketched: of its occ
 sketch takes the ``ELL`` with the least hash and keeps them in text order. Texts that agree in a sketch meet in a bucket, and
 the first of a bucket is aligned with the others (word edit distance in a band): all that most buckets, which hold copies of
 one text, need. Texts of buckets that their first does not reach whole, such as those of a passage that many texts share, are
-compared by an exact filter: texts within the edit bound share one of their rarest word pairs. Links are closed to classes by
-connected components.
+compared by an exact filter, whatever the size of the bucket: texts within the edit bound share one of their rarest word pairs.
+Links are closed to classes by connected components. Alignment compares words by 32 bits of a hash of each.
+
+A different text is a node of its own, whatever the doc_id of its rows: rows that share an id, or have none, are neither merged
+nor lost.
 """
 
 from __future__ import annotations
@@ -15,16 +18,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mixwright.llm.align import banded_distance
 from mixwright.llm.common import checkpoint, forget
 from mixwright.llm.components import components
 
-#: At ``SIMILARITY`` two texts whose edits are scattered share a fifth of their shingles; of 64 sketches they were measured to
-#: share one with 0.93 (100 words) to 0.98 (1000 words), at 0.85 with 0.99. At 0.8 it would be 0.87 to 0.90.
-SHINGLE, ELL, SKETCHES, SIMILARITY = 5, 2, 64, 0.81
+#: At ``SIMILARITY`` two texts whose edits are scattered share a fifth of their shingles; the README has the measured share of
+#: such pairs that meet in one of so many sketches.
+SHINGLE, ELL, SKETCHES, SIMILARITY = 5, 2, 96, 0.8
 #: Buckets are compared in blocks of about so many texts and bytes, each pair of blocks in one task; so many texts with
 #: all of the block, and so many words, at once.
 BLOCK, BLOCK_BYTES, ROWS, COLUMNS = 2048, 4_000_000, 512, 512
@@ -128,6 +131,10 @@ def sketch(labelled: np.ndarray, sketches: int = SKETCHES, ell: int = ELL) -> li
     return out
 
 
+def _digest(w: np.ndarray, text: str | None) -> str:
+    return hashlib.blake2b(w.tobytes() if w.size else b"\0" + (text or "").encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+
+
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
@@ -136,18 +143,21 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for text in part.column("text").to_pylist():
                 w = words(text or "")
                 # Texts without letters are copies only where they are alike.
-                digests.append(hashlib.blake2b(w.tobytes() if w.size else b"\0" + (text or "").encode("utf-8", "surrogatepass"), digest_size=16).hexdigest())
+                digests.append(_digest(w, text))
                 counts.append(int(w.size))
                 keys.append(sketch(shingles(w)))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(digests), pa.array(counts, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "digest", "n_words", "sketches"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("raw"), pa.array(digests), pa.array(counts, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "raw", "digest", "n_words", "sketches"])
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of the rows whose text is the one that was asked for; ``raw`` alone may name another by chance."""
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
             part = batch.slice(at, 512)
-            packed = [(words(t or "") >> np.uint64(32)).astype(np.uint32).tobytes() for t in part.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(packed, pa.binary())], names=["doc_id", "words"])
+            hashed = [words(t or "") for t in part.column("text").to_pylist()]
+            right = pa.array([_digest(w, t) == d for w, t, d in zip(hashed, part.column("text").to_pylist(), part.column("digest").to_pylist(), strict=True)], pa.bool_())
+            packed = pa.array([(w >> np.uint64(32)).astype(np.uint32).tobytes() for w in hashed], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), packed], names=["doc_id", "words"]).filter(right)
 
 
 def similar(a: bytes, b: bytes, least: float = SIMILARITY) -> bool:
@@ -365,35 +375,59 @@ def _within(each: DataFrame, sums: DataFrame, tokens: DataFrame) -> DataFrame:
 
 
 def links(texts: DataFrame, docs: DataFrame) -> DataFrame:
-    """``texts`` (doc_id, n_words, sketches): one row a different text -> (node, component) of all texts with a link.
+    """``texts`` (node, digest, own, raw, n_words, sketches): one row a different text, ``own`` and ``raw`` the id of one of its
+    rows and the hash of that row's text; ``docs`` (own, raw, text) -> (node, component) of all texts with a link.
 
-    A bucket's first text is aligned with the rest, which ends most buckets. Where it isn't similar to all, each text of the
-    bucket is compared with each of another component, those that the first has reached among them; in buckets of more than
-    BLOCK texts only with those that it shares one of its rarest word pairs with, which leaves out no similar one.
+    A bucket's first text is aligned with the rest, which ends most buckets. Where it isn't similar to all, the texts of the
+    bucket are doubtful: each is compared with every doubtful text of another component that it shares one of its rarest word
+    pairs with, those that the first has reached among them, which leaves out no similar one.
     """
+    texts = texts.withColumnRenamed("node", "doc_id")
     buckets = texts.select("doc_id", "n_words", F.explode("sketches").alias("key"))
     pairs = checkpoint(_first(buckets))
-    members = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    tokens = checkpoint(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(members, "doc_id").mapInArrow(_tokens, "doc_id long, words binary").dropDuplicates(["doc_id"]).withColumn("bytes", F.length("words")))
+    members = texts.join(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "doc_id").select("doc_id", "digest", F.col("own").alias("_own"), F.col("raw").alias("_raw"))
+    # Of the rows that hold a text one is enough, so that a hot text is read once.
+    one = docs.join(members, (F.col("raw") == F.col("_raw")) & F.col("own").eqNullSafe(F.col("_own"))).select("doc_id", "digest", "text")
+    rows = one.mapInArrow(_tokens, "doc_id long, words binary")
+    tokens = checkpoint(rows.dropDuplicates(["doc_id"]).withColumn("bytes", F.length("words")))
     longer, shorter = F.greatest("n_a", "n_b"), F.least("n_a", "n_b")
     judged = checkpoint(_verified(pairs.where(shorter >= SIMILARITY * longer - 1e-6).select("a", "b").distinct(), tokens).where("near").select("a", "b"))
     first = components(judged)
     unlike = checkpoint(pairs.join(judged, ["a", "b"], "left_anti").select("key").distinct())
     doubtful = pairs.join(unlike, "key", "left_semi").select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    named = tokens.join(doubtful, "doc_id").join(texts.select("doc_id", F.col("sketches").alias("keys")), "doc_id").join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    named = checkpoint(named.select("doc_id", "component", "bytes", "words", "keys"))
-    each, sums = _buckets(named)
-    sums = checkpoint(sums)
-    more = _within(each, sums.where(F.col("n") <= BLOCK), named)
-    crowded = each.join(sums.where(F.col("n") > BLOCK), "key").select("doc_id").distinct()
-    rare = checkpoint(_by_rarest(named.join(crowded, "doc_id")))
+    named = tokens.join(doubtful, "doc_id").join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    held = checkpoint(named.select("doc_id", "component", "bytes", "words"))
+    rare = checkpoint(_by_rarest(held))
     further = _within(*_buckets(rare), rare)
-    second = components(more.unionByName(further))
+    second = components(further)
     # Components that further links join go under the least of them.
     moved = first.withColumnRenamed("component", "goal").join(second.select(F.col("node").alias("goal"), "component"), "goal", "left").select("node", F.coalesce("component", "goal").alias("component"))
     alone = second.join(first.select("node"), "node", "left_anti")
     out = checkpoint(moved.unionByName(alone))
-    forget(pairs, tokens, judged, unlike, named, sums, rare, more, further, first, second)
+    forget(pairs, tokens, judged, unlike, held, rare, further, first, second)
+    return out
+
+
+def _raw(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def _classified(docs: DataFrame) -> DataFrame:
+    """doc_id, raw, digest, n_words, node (the row's text), rep_id, component and class_id of each row of ``docs``."""
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("raw", _raw(F.col("text")))
+    sketched = checkpoint(base.mapInArrow(_sketches, "doc_id long, raw long, digest string, n_words long, sketches array<long>"))
+    exact = sketched.groupBy("digest").agg(F.min("doc_id").alias("rep_id"), F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "raw")).alias("row"), F.first("n_words").alias("n_words"), F.first("sketches").alias("sketches"))
+    exact = checkpoint(exact.select("digest", "rep_id", F.col("row.doc_id").alias("own"), F.col("row.raw").alias("raw"), "n_words", "sketches").withColumn("node", F.monotonically_increasing_id()))
+    found = links(exact.select("node", "digest", "own", "raw", "n_words", "sketches"), base.select(F.col("doc_id").alias("own"), "raw", "text"))
+    named = exact.select("digest", "rep_id", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = named.groupBy("component").agg(F.min("rep_id").alias("least"))
+    # Of classes with one least id, which unlike texts of that id make, the first keeps it; the rest, and those without, count down.
+    place = F.row_number().over(Window.partitionBy("least").orderBy("component"))
+    ids = least.where("least is not null").withColumn("place", place).select("component", F.when(F.col("place") == 1, F.col("least")).otherwise(-1 - F.col("component")).alias("class_id"))
+    ids = ids.unionByName(least.where("least is null").select("component", (-1 - F.col("component")).alias("class_id")))
+    named = named.join(ids, "component").select("digest", "rep_id", "node", "component", "class_id")
+    out = checkpoint(sketched.select("doc_id", "raw", "digest", "n_words").join(named, "digest"))
+    forget(sketched, exact, found)
     return out
 
 
@@ -403,26 +437,28 @@ def classes(docs: DataFrame) -> DataFrame:
     class_id is the least doc_id of all texts joined by links; rep_id the least of the exact copies (same words, whatever the
     letter case and punctuation). Two texts are linked when aligned words agree to ``SIMILARITY`` or more of the longer text.
     Null text counts as empty; empty texts are copies of one another, as are texts of marks only where they are alike. Texts
-    under five words are one shingle: copies or apart. Rows without a doc_id take the class of their copies with one, else
-    null. Repeated rows stay, in one class. Whole texts are used; extra columns are ignored.
+    under five words are one shingle: copies or apart. Repeated rows stay, in one class. Rows are told apart by their texts:
+    unlike texts with one doc_id are classes of their own, of which one keeps the id, and the others have negative numbers, as
+    have classes without any doc_id; such numbers may differ between runs. Whole texts are used; extra columns are ignored. An
+    empty table gives no rows.
     """
-    base = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    sketched = checkpoint(base.mapInArrow(_sketches, "doc_id long, digest string, n_words long, sketches array<long>"))
-    exact = checkpoint(sketched.groupBy("digest").agg(F.min("doc_id").alias("rep_id"), F.first("n_words").alias("n_words"), F.first("sketches").alias("sketches")))
-    found = links(exact.where("rep_id is not null").select(F.col("rep_id").alias("doc_id"), "n_words", "sketches"), base)
-    grouped = found.select(F.col("node").alias("rep_id"), F.col("component").alias("class_id"))
-    named = exact.select("digest", "rep_id").join(grouped, "rep_id", "left").select("digest", "rep_id", F.coalesce("class_id", "rep_id").alias("class_id"))
-    return sketched.select("doc_id", "digest", "n_words").join(named, "digest").select("doc_id", "class_id", "n_words", "rep_id")
+    return _classified(docs).select("doc_id", "class_id", "n_words", "rep_id")
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each class: the one whose doc_id names it, once. Rows without a doc_id stay only where
-    no copy has one, one row a text."""
-    kept = classes(docs).where("class_id is null or doc_id = class_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    unnamed = docs.where("doc_id is null")
-    if unnamed.isEmpty():
-        return named
-    digest = lambda d: d.select("*", F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256).alias("_digest"))
-    alone = digest(unnamed).dropDuplicates(["_digest"]).join(digest(docs.where("doc_id is not null")).select("_digest"), "_digest", "left_anti").drop("_digest")
-    return named.unionByName(alone)
+    """``docs`` with one row of each class: of those with the least doc_id (null last), and among them the least text by its
+    hash, one. Unlike texts of one doc_id both stay. Columns of any name are kept as they are; ties between rows that agree in
+    doc_id and text are settled by all columns."""
+    of = _classified(docs)
+    key = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "raw")
+    chosen = of.groupBy("component").agg(F.min(key).alias("k")).select(F.col("k.doc_id").alias(_OWN[0]), F.col("k.raw").alias(_OWN[1])).distinct()
+    own = docs.withColumns({_OWN[0]: F.col("doc_id").cast("long"), _OWN[1]: _raw(F.col("text").cast("string"))})
+    same = own[_OWN[0]].eqNullSafe(chosen[_OWN[0]]) & (own[_OWN[1]] == chosen[_OWN[1]])
+    kept = own.join(chosen, same, "left_semi")
+    out = checkpoint(kept.dropDuplicates(_OWN).drop(*_OWN))
+    forget(of)
+    return out
+
+
+#: Names of two columns that live within deduplicated() alone.
+_OWN = ["_near_dedup_own_id_", "_near_dedup_own_text_"]
