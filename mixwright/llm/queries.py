@@ -111,29 +111,35 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _op8_sql() -> str:
-    """The rules as a CASE; aliases by a recursive walk over alias keys."""
+    """The rules as a CASE, for pages and for the targets of their links; aliases by a recursive walk over alias keys."""
     ordered = sorted(url_filter.RULES, key=lambda r: (-len(r.name), r.name))
     case = lambda value: "case " + " ".join(f"when (host = '{r.host}' or host like '%.{r.host}') and starts_with(path, '{r.path}') then '{value(r)}'" for r in ordered) + " end"
-    key = lambda host, path: f"case when {host} <> '' then regexp_replace({host}, '^(?:www|m)\\.', '') || '/' || regexp_replace(regexp_replace({path}, '(?:/index)?(?:\\.html?)?/*$', ''), '^/+', '') end"
-    parse = lambda url, group: f"regexp_extract(coalesce({url}, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', {group})"
     upper, lower = url_filter.UPPER, url_filter.LOWER
+    host = f"translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{upper}', '{lower}') as host"
+    path = "regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path"
+    query = "regexp_extract(coalesce(url, ''), '(?s)^.*?://[^?#]*\\?([^#]*)', 1) as query"
+    parsed = f"{host}, {path}, {query}"
+    key = "case when host <> '' then regexp_replace(host, '^(?:www|m)\\.', '') || '/' || regexp_replace(regexp_replace(path, '(?:/index)?(?:\\.html?)?/*$', ''), '^/+', '') || case when query <> '' then '?' || query else '' end end"
     # Targets against the page's url: folders walked by a list that grows and shrinks.
-    inside = "regexp_extract(url, '(?s)^[^?#]*', 0)"
+    inside = "regexp_extract(target, '(?s)^[^?#]*', 0)"
     joined = f"case when {inside} = '' then path when starts_with({inside}, '/') then {inside} else (case when contains(path, '/') then regexp_extract(path, '(?s)^.*/', 0) else '/' end) || {inside} end"
     step = "lambda a, p: case when p = ['..'] then a[1:greatest(len(a) - 1, 0)] when p = ['.'] then a else a || p end"
     walked = f"array_to_string(list_reduce(list_prepend([]::varchar[], list_transform(string_split(regexp_replace({joined}, '^/', ''), '/'), lambda x: [x])), {step}), '/')"
-    resolved = f"case when regexp_matches(url, '^[A-Za-z][A-Za-z0-9+.-]*:') then url when starts_with(url, '//') then 'http:' || url else 'http://' || host || '/' || {walked} end"
+    asked = f"case when regexp_matches(target, '(?s)^[^#]*\\?') then regexp_extract(target, '(?s)^[^?#]*\\?([^#]*)', 1) when {inside} = '' then query else '' end"
+    resolved = f"case when regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*:') then target when starts_with(target, '//') then 'http:' || target else 'http://' || host || '/' || {walked} || case when {asked} <> '' then '?' || {asked} else '' end end"
     return f"""
-with recursive u as (select page_id, html, translate({parse("url", 1)}, '{upper}', '{lower}') as host, {parse("url", 2)} as path from pages),
-r as (select page_id, host, path, html, {case(lambda r: r.name)} as rule, {case(lambda r: r.verdict)} as said, {key("host", "path")} as key from u),
-tags as (select key, host, path, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\\b[^>]*>')) as tag from r),
-aims as (select key as a, host, path, coalesce(nullif(regexp_extract(case when regexp_matches(tag, '(?is)^<link\\b.*\\brel\\s*=\\s*["'']?canonical\\b') then tag else '' end, '(?is)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1), ''),
-      nullif(regexp_extract(case when regexp_matches(tag, '(?is)^<meta\\b.*\\bhttp-equiv\\s*=\\s*["'']?refresh\\b') then tag else '' end, '(?is)\\burl\\s*=\\s*["'']?([^"''\\s>]+)', 1), '')) as url from tags),
-full_ as (select a, {resolved} as url from aims where url is not null),
-links as (select a, {key(f"translate({parse('url', 1)}, '{upper}', '{lower}')", parse("url", 2))} as b from full_),
+with recursive u as (select page_id, html, {parsed} from pages),
+r as (select page_id, host, path, query, html, {case(lambda r: r.name)} as rule, {case(lambda r: r.verdict)} as said, {key} as key from u),
+tags as (select key, host, path, query, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\\b[^>]*>')) as tag from r),
+aims as (select key as a, host, path, query, coalesce(nullif(regexp_extract(case when regexp_matches(tag, '(?is)^<link\\b.*\\brel\\s*=\\s*["'']?canonical\\b') then tag else '' end, '(?is)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1), ''),
+      nullif(regexp_extract(case when regexp_matches(tag, '(?is)^<meta\\b.*\\bhttp-equiv\\s*=\\s*["'']?refresh\\b') then tag else '' end, '(?is)\\burl\\s*=\\s*["'']?([^"''\\s>]+)', 1), '')) as target from tags),
+full_ as (select a, {resolved} as url from aims where target is not null),
+ends as (select a, {parsed} from full_),
+links as (select a, host, path, {key} as b from ends where a is not null),
 sides as (select a, b from links where b is not null union select b, a from links where b is not null),
 walk as (select key as origin, key as node from r where key is not null union select walk.origin, sides.b from walk join sides on walk.node = sides.a),
-keys as (select key, bool_or(said = 'block') as blocks, bool_or(said = 'allow') as allows from r where key is not null group by key),
+spoken as (select key, said from r where key is not null union all select b, {case(lambda r: r.verdict)} from links where b is not null and b <> a),
+keys as (select key, bool_or(said = 'block') as blocks, bool_or(said = 'allow') as allows from spoken group by key),
 decided as (select origin, bool_or(blocks) and not coalesce(bool_or(allows), false) as blocked from walk join keys on walk.node = keys.key group by origin)
 select page_id, host, path, rule, coalesce(said, case when blocked then 'block' end, 'allow') as verdict from r left join decided on r.key = decided.origin
 """

@@ -103,9 +103,11 @@ def test_url_rules_and_aliases(spark):
     page = lambda i, url, html="": (i, url, html, "x", "y")
     rows = [
         page(0, "http://A.Example.NET/en/1?x#y"), page(1, "http://example.net/de/1"), page(2, "https://www.example.com/de/"), page(3, "http://example.com/fr/2", '<link rel="canonical" href="https://example.net/de/1">'),
-        page(4, None), page(5, "no scheme"), page(6, "http://planet.org/fr/"), page(7, "http://notnet/"), page(8, "http://net"), page(9, "x://net/"), page(10, "http://m.example.com/fr/2.html?q=1"),
+        page(4, None), page(5, "no scheme"), page(6, "http://planet.org/fr/"), page(7, "http://notnet/"), page(8, "http://net"), page(9, "x://net/"), page(10, "http://m.example.com/fr/2.html#q"),
         page(11, "http://chain.org/a", '<meta http-equiv="refresh" content="0; url=http://chain.org/b">'), page(12, "http://chain.org/b", "<link href='http://b.net/z' rel='canonical'>"), page(13, "http://b.net/z"),
         page(14, "http://mixed.org/x", '<link rel=canonical href=http://c.net/q><link rel=canonical href=http://mixed.org/fr/ok>'), page(15, "http://c.net/q"), page(16, "http://mixed.org/fr/ok"), page(4, None),
+        page(17, "http://m.example.com/fr/2.html?q=1"), page(18, "http://shop.org/index.php?id=1", "<link rel=canonical href=http://b.net/z>"), page(19, "http://shop.org/index.php?id=2"), page(20, "http://www.shop.org/index.php?id=1#x"),
+        page(21, "http://far.org/a", "<link rel=canonical href=http://never.seen.net/x>"), page(22, "http://far.org/b", "<link rel=canonical href=http://far.org/a><link rel=canonical href=http://good.org/fr/1>"), page(23, "http://far.org/c", "<link rel=canonical href=http://never.seen.org/x>"),
     ]
     out = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string, html string, key string, rule string")).collect()}
     said = {i: (r.rule, r.verdict) for i, r in out.items()}
@@ -115,9 +117,17 @@ def test_url_rules_and_aliases(spark):
     assert said[4] == said[5] == (None, "allow") and (out[4].host, out[4].path) == ("", "")
     assert said[6] == ("org/fr/", "allow") and said[7] == (None, "allow") and said[8] == (None, "block") and said[9] == ("net/", "block")
     assert said[11] == said[12] == (None, "block")
+    assert [said[i][1] for i in (17, 18, 19, 20)] == ["allow", "block", "allow", "block"], "another query is another page"
+    assert [said[i][1] for i in (21, 22, 23)] == ["allow", "allow", "allow"], "a target that is no page is judged too: blocked, but good.org/fr/ in the same component is allowed"
     assert said[14] == (None, "allow") and said[15] == ("net/", "block") and said[16] == ("org/fr/", "allow")
 
 
+def test_targets_that_are_no_pages_are_judged(spark):
+    rows = [(1, "http://a.org/1", "<link rel=canonical href=http://bad.net/x>"), (2, "http://a.org/2", '<meta http-equiv=refresh content="0; url=/1">'), (3, "http://a.org/3", "<link rel=canonical href=http://fine.org/x>")]
+    got = {r.page_id: (r.verdict, r.cause) for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {1: ("block", "alias"), 2: ("block", "alias"), 3: ("allow", "default")}
+
+
 def test_relative_targets_and_capital_tags_join(spark):
     forms = [
         '<link rel=canonical href="/de/x">', '<link rel=canonical href="//example.com/de/x">', '<link rel=canonical href="../de/./x.html?q=1">', '<LINK REL=canonical HREF="http://www.example.com/de/x">',
@@ -142,6 +152,7 @@ def test_chains_of_links_match_the_sql(spark, tmp_path):
         for k, path in enumerate(steps):
             to = steps[k + 1] if k + 1 < len(steps) else end
             to = rng.choice([to, f"..{to}", f"http://{host}{to}"]) if to.startswith("/") else to
+            to += rng.choice(["", "", "", "?x=1", "#y"]) if to else ""
             tag = rng.choice(['<link rel=canonical href="{}">', '<LINK HREF="{}" REL=canonical>', '<meta http-equiv=refresh content="0; url={}">'])
             rows.append((len(rows), f"http://{host}{path}", tag.format(to) if to else ""))
         if end:
