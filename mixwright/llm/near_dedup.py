@@ -31,6 +31,8 @@ SHINGLE, ELL, SKETCHES, SIMILARITY = 5, 2, 96, 0.8
 #: Buckets are compared in blocks of about so many texts and bytes, each pair of blocks in one task; so many texts with
 #: all of the block, and so many words, at once.
 BLOCK, BLOCK_BYTES, ROWS, COLUMNS = 2048, 4_000_000, 512, 512
+#: Of a key with at most so many texts all pairs are formed.
+FEW = 16
 #: Counts of word pairs are kept in this many cells, which tell rare ones from common ones; the result is the same with any.
 CELLS = 1 << 18
 #: Pairs that one text takes part in as the first are dealt over tasks in lots of this many.
@@ -363,6 +365,19 @@ def _buckets(tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
     return each.drop("bytes"), sums.where("least < most").select("key", "n", "bytes")
 
 
+def _paired(each: DataFrame, sums: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Links (a, b) of components between all similar texts of each key of ``sums``, whose keys have few texts."""
+    own = each.join(sums.select("key"), "key").join(tokens.select("doc_id", "bytes"), "doc_id").select("key", "doc_id", "component", "bytes")
+    other = own.select("key", *(F.col(c).alias(f"{c}_b") for c in ("doc_id", "component", "bytes")))
+    shorter, longer = F.least("bytes", "bytes_b"), F.greatest("bytes", "bytes_b")
+    met = own.join(other, "key").where((F.col("doc_id") < F.col("doc_id_b")) & (F.col("component") != F.col("component_b")) & (shorter >= SIMILARITY * longer - 1e-6))
+    pairs = checkpoint(met.select(F.col("doc_id").alias("a"), F.col("doc_id_b").alias("b"), F.col("component").alias("ca"), F.col("component_b").alias("cb")).distinct())
+    near = _verified(pairs.select("a", "b"), tokens).where("near").select("a", "b")
+    out = checkpoint(pairs.join(near, ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    forget(pairs)
+    return out
+
+
 def _within(each: DataFrame, sums: DataFrame, tokens: DataFrame) -> DataFrame:
     """Links (a, b) of components that join all similar texts of each bucket of ``sums``. Buckets are dealt in blocks, and
     every block meets every other of its bucket in a task."""
@@ -398,13 +413,17 @@ def links(texts: DataFrame, docs: DataFrame) -> DataFrame:
     named = tokens.join(doubtful, "doc_id").join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     held = checkpoint(named.select("doc_id", "component", "bytes", "words"))
     rare = checkpoint(_by_rarest(held))
-    further = _within(*_buckets(rare), rare)
-    second = components(further)
+    each, sums = _buckets(rare)
+    sums = checkpoint(sums)
+    # All texts of each key are compared: as pairs where they are few, which ships words once a pair, else in blocks.
+    apart = _paired(each, sums.where(F.col("n") <= FEW), held)
+    further = _within(each, sums.where(F.col("n") > FEW), rare)
+    second = components(apart.unionByName(further))
     # Components that further links join go under the least of them.
     moved = first.withColumnRenamed("component", "goal").join(second.select(F.col("node").alias("goal"), "component"), "goal", "left").select("node", F.coalesce("component", "goal").alias("component"))
     alone = second.join(first.select("node"), "node", "left_anti")
     out = checkpoint(moved.unionByName(alone))
-    forget(pairs, tokens, judged, unlike, held, rare, further, first, second)
+    forget(pairs, tokens, judged, unlike, held, rare, sums, apart, further, first, second)
     return out
 
 

@@ -281,6 +281,7 @@ def test_shared_and_missing_ids_neither_merge_nor_lose_texts(spark):
 def test_crowded_buckets_find_all_pairs(spark, monkeypatch):
     """The filter of rarest pairs against the plain comparison, in several blocks."""
     monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    monkeypatch.setattr(near_dedup, "FEW", 4)
     rng = random.Random(15)
     shared = _prose(rng, 150)
     rows, pairs = [(i, f"{shared} {_prose(rng, 60)}") for i in range(60)], []
