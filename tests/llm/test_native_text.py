@@ -1,5 +1,6 @@
 """Quality rules and secret scans against plain Python."""
 
+import random
 import hashlib
 import re
 
@@ -147,3 +148,73 @@ def test_rules_hold_for_rows_they_were_not_learned_from(spark):
     clean, bad = [r for r in out if r.quality == 1 and not r.base_failed], [r for r in out if r.quality == 0]
     assert sum(r.kept for r in clean) >= 0.95 * len(clean)
     assert sum(not r.kept for r in bad) >= 0.75 * len(bad)
+
+
+def plain_battery(value):
+    """encoding, n, and probabilities of chi-squared, runs and serial correlation, by the standard library."""
+    import math
+    import re
+
+    bare = value.rstrip("=")
+    name, _, alphabet = next((e for e in secrets.ENCODINGS if e[1] and re.search(e[1], value)), secrets.ENCODINGS[-1])
+    n, cells, tail = len(bare), len(alphabet), lambda z: math.erfc(z / math.sqrt(2)) / 2
+    counts = [bare.count(c) for c in alphabet]
+    squares = sum(c * c for c in counts) + (n - sum(counts)) ** 2
+    chi, df = (cells / n * squares - n) * n / (n - 1), (cells - 1) * n / (n - 1)
+    codes = [alphabet.find(c) + 1 for c in bare]
+    high = [2 * c > cells for c in codes]
+    ups, runs = sum(high), 1 + sum(a != b for a, b in zip(high, high[1:], strict=False))
+    mu = 2 * ups * (n - ups) / n + 1
+    var = (mu - 1) * (mu - 2) / (n - 1)
+    z_runs = (runs - mu) / math.sqrt(var) if var > 0 else 9.0
+    mean = sum(codes) / n
+    around, along = sum((c - mean) ** 2 for c in codes), sum((a - mean) * (b - mean) for a, b in zip(codes, codes[1:], strict=False))
+    z_serial = along / around * math.sqrt(n) if around else 9.0
+    z_chi = ((max(chi, 0) / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df))
+    return name, n, tail(z_chi), 2 * tail(abs(z_runs)), 2 * tail(abs(z_serial)), (squares - n) / (n * (n - 1))
+
+
+def test_battery_against_plain(spark):
+    import math
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(21)
+    values = ["".join(rng.choices(a, k=rng.randint(20, 90))) for _, _, a in secrets.ENCODINGS for _ in range(8)] + ["a" * 30, "abababababababababababab", "internationalization", "A1" * 12 + "==", "x" * 19 + "-", "0" * 63 + "1"]
+    rows = spark.createDataFrame([(v,) for v in values], "v string").select("v", secrets.battery(F.col("v")).alias("t")).collect()
+    for r in rows:
+        name, n, *numbers = plain_battery(r.v)
+        assert (r.t.encoding, r.t.n) == (name, n)
+        for got, want in zip((r.t.chi, r.t.runs, r.t.serial, r.t.agree), numbers, strict=True):
+            assert math.isclose(got, want, rel_tol=1e-5, abs_tol=1e-300), (r.v, got, want)
+
+
+def test_normal_tail(spark):
+    import math
+
+    from pyspark.sql import functions as F
+
+    z = [-9.0, -3.0, -0.5, 0.0, 0.5, 1.96, 3.0, 5.0, 8.0, 12.0, 30.0]
+    got = [r.p for r in spark.createDataFrame([(i, x) for i, x in enumerate(z)], "i int, z double").orderBy("i").select(secrets._tail(F.col("z")).alias("p")).collect()]
+    assert all(math.isclose(g, math.erfc(x / math.sqrt(2)) / 2, rel_tol=3e-7) for g, x in zip(got, z, strict=True))
+
+
+def test_bound_holds_the_share_of_false_discoveries():
+    rng = random.Random(22)
+    for _ in range(50):
+        p = sorted([rng.random() for _ in range(400)] + [10 ** -rng.uniform(3, 20) for _ in range(rng.randint(0, 40))])
+        steps = {}
+        for x in p:
+            step = math_floor(x)
+            steps[step] = steps.get(step, 0) + 1
+        bound = secrets._bound(list(steps.items()), 0.01)
+        # Benjamini and Hochberg over probabilities rounded up to their step.
+        rounded = sorted(10 ** (-math_floor(x) / 10) for x in p)
+        passed = [k for k, x in enumerate(rounded, 1) if x <= 0.01 * k / len(p)]
+        assert sum(math_floor(x) >= bound for x in p) == (max(passed) if passed else 0)
+
+
+def math_floor(p):
+    import math
+
+    return math.floor(-10 * math.log10(p))
