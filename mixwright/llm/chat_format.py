@@ -35,13 +35,35 @@ def _rendered(marker: Column, turn: Column) -> Column:
     return F.concat(marker, turn["role"], F.lit(TEXT), turn["text"], F.lit(END))
 
 
+def _starts(size: Column) -> Column:
+    """Where spans start, of a row with sums, lead and room: a turn whose end is more than the room beyond the start of its span
+    opens the next. A fold that grows an array copies it at every step, so starts are grown in blocks of about the root of the
+    turns."""
+
+    def step(a: Column, i: Column) -> Column:
+        over = (F.get("sums", i + 1) - F.get("sums", a["last"]) > F.col("room")) & (i > a["last"])
+        return F.struct(F.when(over, i).otherwise(a["last"]).alias("last"), F.when(over, F.concat(a["grown"], F.array(i))).otherwise(a["grown"]).alias("grown"))
+
+    width = F.greatest(F.ceil(F.sqrt(size.cast("double"))).cast("int"), F.lit(1))
+    blocks = F.when(size > F.col("lead"), F.sequence(F.col("lead"), size - 1, width)).otherwise(F.array().cast("array<int>"))
+
+    def block(a: Column, first: Column) -> Column:
+        inside = F.sequence(first, F.least(first + width, size) - 1)
+        inner = F.aggregate(inside, F.struct(a["last"].alias("last"), F.array().cast("array<int>").alias("grown")), step)
+        return let(inner, lambda x: F.struct(x["last"].alias("last"), F.concat(a["parts"], F.array(x["grown"])).alias("parts")))
+
+    grown = F.aggregate(blocks, F.struct(F.col("lead").alias("last"), F.array(F.array(F.col("lead"))).alias("parts")), block)
+    return F.flatten(grown["parts"])
+
+
 def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY, chars_per_token: int = CHARS_PER_TOKEN) -> DataFrame:
     """``conversations`` (conv_id, turn, role, text) -> conv_id, window, formatted, loss (start, length in code points).
 
     Spans hold as many turns as fit into ``budget`` tokens after the system turn and a reserve of ``history`` tokens, and one
     turn at least: no text is cut. Null roles and texts count as empty; null turns come first; rows of a conversation that
     share a turn number stand by role and text, repeated rows stay. A null conv_id is a conversation. Empty tables give no
-    rows; extra columns are ignored. A conversation's turns meet in one row, as its windows need them in order.
+    rows; extra columns are ignored, whatever their names. A conversation's turns meet in one row, as its windows need them in order;
+    time and memory grow with their number, and no window carries more than its own.
     """
     text = lambda c: escape(F.coalesce(F.col(c).cast("string"), F.lit("")))
     turns = conversations.select("conv_id", F.struct("turn", text("role").alias("role"), text("text").alias("text")).alias("row")).groupBy("conv_id").agg(F.array_sort(F.collect_list("row")).alias("turns"))
@@ -53,23 +75,27 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
     room = F.greatest(F.lit(budget - history).cast("long") - F.get("sums", F.col("lead")), F.lit(1).cast("long"))
     turns = turns.withColumn("room", room)
 
-    # Where spans start: a turn whose end is more than the room beyond the start of its span opens the next.
-    def step(starts: Column, i: Column) -> Column:
-        over = F.get("sums", i + 1) - F.get("sums", F.element_at(starts, -1)) > F.col("room")
-        return F.when(over & (i > F.element_at(starts, -1)), F.concat(starts, F.array(i))).otherwise(starts)
-
     size = F.size("turns")
-    body = F.when(size > F.col("lead"), F.sequence(F.col("lead"), size - 1)).otherwise(F.array().cast("array<int>"))
-    turns = turns.withColumn("starts", F.aggregate(body, F.array(F.col("lead")), step))
-    spans = turns.select("*", F.posexplode("starts").alias("window", "start"))
-    spans = spans.withColumn("stop", F.coalesce(F.get("starts", F.col("window") + 1), size))
+    turns = turns.withColumn("starts", _starts(size))
     reach = history // 3 + 1  # a turn has three tokens at least
-    kept = F.when(F.col("start") > F.col("lead"), F.filter(F.sequence(F.greatest(F.col("lead"), F.col("start") - reach), F.col("start") - 1), lambda j: F.get("sums", F.col("start")) - F.get("sums", j) <= history)).otherwise(F.array().cast("array<int>"))
-    system = F.when(F.col("lead") == 1, F.array(F.struct(F.when(F.col("window") == 0, NEW).otherwise(AGAIN).alias("marker"), F.lit(0).alias("place")))).otherwise(F.array().cast("array<struct<marker:string,place:int>>"))
-    before = F.transform(kept, lambda j: F.struct(F.lit(AGAIN).alias("marker"), j.alias("place")))
-    new = F.when(F.col("stop") > F.col("start"), F.transform(F.sequence(F.col("start"), F.col("stop") - 1), lambda j: F.struct(F.lit(NEW).alias("marker"), j.alias("place")))).otherwise(F.array().cast("array<struct<marker:string,place:int>>"))
-    shown = spans.withColumn("shown", F.concat(system, before, new))
-    pieces = F.transform("shown", lambda s: let(F.get("turns", s["place"]), lambda t: F.struct(_rendered(s["marker"], t).alias("piece"), ((s["marker"] == NEW) & (t["role"] == "assistant")).alias("target"), F.length(t["text"]).alias("chars"))))
+
+    def window(start: Column, number: Column) -> Column:
+        """The turns of a window alone: no window carries the whole conversation."""
+        stop = F.coalesce(F.get("starts", number + 1), size)
+        first = F.greatest(F.col("lead"), start - reach)
+        near = F.when(start > F.col("lead"), F.filter(F.sequence(first, start - 1), lambda j: F.get("sums", start) - F.get("sums", j) <= history)).otherwise(F.array().cast("array<int>"))
+        again = F.size(near)
+        system = F.when(F.col("lead") == 1, F.slice("turns", 1, 1)).otherwise(F.slice("turns", 1, 0))
+        marked = lambda rows, marker: F.transform(rows, lambda t: F.struct(marker.alias("marker"), t["role"].alias("role"), t["text"].alias("text")))
+        return F.struct(
+            number.alias("window"),
+            F.concat(
+                marked(system, F.when(number == 0, NEW).otherwise(AGAIN)), marked(F.slice("turns", start - again + 1, again), F.lit(AGAIN)), marked(F.slice("turns", start + 1, F.greatest(stop - start, F.lit(0))), F.lit(NEW)),
+            ).alias("shown"),
+        )
+
+    shown = turns.select("conv_id", F.explode(F.transform("starts", window)).alias("w")).select("conv_id", "w.window", "w.shown")
+    pieces = F.transform("shown", lambda t: F.struct(_rendered(t["marker"], t).alias("piece"), ((t["marker"] == NEW) & (t["role"] == "assistant")).alias("target"), F.length(t["text"]).alias("chars")))
     shown = shown.withColumn("pieces", pieces)
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("loss"))
 
