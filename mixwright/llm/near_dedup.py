@@ -32,7 +32,7 @@ SHINGLE, ELL, SKETCHES, SIMILARITY = 5, 2, 96, 0.8
 #: all of the block, and so many words, at once.
 BLOCK, BLOCK_BYTES, ROWS, COLUMNS = 2048, 4_000_000, 512, 512
 #: Of a key with at most so many texts all pairs are formed.
-FEW = 16
+FEW = 64
 #: Counts of word pairs are kept in this many cells, which tell rare ones from common ones; the result is the same with any.
 CELLS = 1 << 18
 #: Pairs that one text takes part in as the first are dealt over tasks in lots of this many.
@@ -215,10 +215,10 @@ def _verified(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
 
 
 def _first(buckets: DataFrame) -> DataFrame:
-    """(key, doc_id, n_words) -> key, a, b and their words: the least doc_id of each key of several with each of the others."""
-    heads = buckets.groupBy("key").agg(F.min("doc_id").alias("a"), F.min_by("n_words", "doc_id").alias("n_a"), F.max("doc_id").alias("last")).where("a < last").drop("last")
+    """(key, doc_id) -> key, a, b: the least doc_id of each key of several with each of the others."""
+    heads = buckets.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("last")).where("a < last").drop("last")
     # Merged at any size: a hot key's rows are split among tasks, and no side is sent whole.
-    return buckets.join(heads.hint("merge"), "key").where("doc_id > a").select("key", "a", F.col("doc_id").alias("b"), "n_a", F.col("n_words").alias("n_b"))
+    return buckets.join(heads.hint("merge"), "key").where("doc_id > a").select("key", "a", F.col("doc_id").alias("b"))
 
 
 def shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -398,7 +398,7 @@ def links(texts: DataFrame, docs: DataFrame) -> DataFrame:
     pairs with, those that the first has reached among them, which leaves out no similar one.
     """
     texts = texts.withColumnRenamed("node", "doc_id")
-    buckets = texts.select("doc_id", "n_words", F.explode("sketches").alias("key"))
+    buckets = texts.select("doc_id", F.explode("sketches").alias("key"))
     pairs = checkpoint(_first(buckets))
     members = texts.join(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "doc_id").select("doc_id", "digest", F.col("own").alias("_own"), F.col("raw").alias("_raw"))
     # Of the rows that hold a text one is enough, so that a hot text is read once.
@@ -406,7 +406,9 @@ def links(texts: DataFrame, docs: DataFrame) -> DataFrame:
     rows = one.mapInArrow(_tokens, "doc_id long, words binary")
     tokens = checkpoint(rows.dropDuplicates(["doc_id"]).withColumn("bytes", F.length("words")))
     longer, shorter = F.greatest("n_a", "n_b"), F.least("n_a", "n_b")
-    judged = checkpoint(_verified(pairs.where(shorter >= SIMILARITY * longer - 1e-6).select("a", "b").distinct(), tokens).where("near").select("a", "b"))
+    sizes = lambda end: tokens.select(F.col("doc_id").alias(end), F.col("bytes").alias(f"n_{end}"))
+    met = pairs.select("a", "b").distinct().join(sizes("a"), "a").join(sizes("b"), "b").where(shorter >= SIMILARITY * longer - 1e-6).select("a", "b")
+    judged = checkpoint(_verified(met, tokens).where("near").select("a", "b"))
     first = components(judged)
     unlike = checkpoint(pairs.join(judged, ["a", "b"], "left_anti").select("key").distinct())
     doubtful = pairs.join(unlike, "key", "left_semi").select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
