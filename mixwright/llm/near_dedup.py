@@ -389,17 +389,18 @@ def _within(each: DataFrame, sums: DataFrame, tokens: DataFrame) -> DataFrame:
     return checkpoint(grouped.select("i", "j", "texts").mapInArrow(_compared, "a long, b long"))
 
 
-def links(texts: DataFrame, docs: DataFrame) -> DataFrame:
-    """``texts`` (node, digest, own, raw, n_words, sketches): one row a different text, ``own`` and ``raw`` the id of one of its
-    rows and the hash of that row's text; ``docs`` (own, raw, text) -> (node, component) of all texts with a link.
+def links(texts: DataFrame, sketched: DataFrame, docs: DataFrame) -> DataFrame:
+    """``texts`` (node, digest, own, raw): one row a different text, ``own`` and ``raw`` the id of one of its rows and the hash of
+    that row's text; ``sketched`` (node, sketches), a written table that goes as soon as it is used; ``docs`` (own, raw, text)
+    -> (node, component) of all texts with a link.
 
     A bucket's first text is aligned with the rest, which ends most buckets. Where it isn't similar to all, the texts of the
     bucket are doubtful: each is compared with every doubtful text of another component that it shares one of its rarest word
     pairs with, those that the first has reached among them, which leaves out no similar one.
     """
     texts = texts.withColumnRenamed("node", "doc_id")
-    buckets = texts.select("doc_id", F.explode("sketches").alias("key"))
-    pairs = checkpoint(_first(buckets))
+    pairs = checkpoint(_first(sketched.select(F.col("node").alias("doc_id"), F.explode("sketches").alias("key"))))
+    forget(sketched)
     members = texts.join(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "doc_id").select("doc_id", "digest", F.col("own").alias("_own"), F.col("raw").alias("_raw"))
     # Of the rows that hold a text one is enough, so that a hot text is read once.
     one = docs.join(members, (F.col("raw") == F.col("_raw")) & F.col("own").eqNullSafe(F.col("_own"))).select("doc_id", "digest", "text")
@@ -414,18 +415,20 @@ def links(texts: DataFrame, docs: DataFrame) -> DataFrame:
     doubtful = pairs.join(unlike, "key", "left_semi").select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     named = tokens.join(doubtful, "doc_id").join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     held = checkpoint(named.select("doc_id", "component", "bytes", "words"))
+    forget(tokens)
     rare = checkpoint(_by_rarest(held))
+    forget(held)
     each, sums = _buckets(rare)
     sums = checkpoint(sums)
     # All texts of each key are compared: as pairs where they are few, which ships words once a pair, else in blocks.
-    apart = _paired(each, sums.where(F.col("n") <= FEW), held)
+    apart = _paired(each, sums.where(F.col("n") <= FEW), rare)
     further = _within(each, sums.where(F.col("n") > FEW), rare)
     second = components(apart.unionByName(further))
     # Components that further links join go under the least of them.
     moved = first.withColumnRenamed("component", "goal").join(second.select(F.col("node").alias("goal"), "component"), "goal", "left").select("node", F.coalesce("component", "goal").alias("component"))
     alone = second.join(first.select("node"), "node", "left_anti")
     out = checkpoint(moved.unionByName(alone))
-    forget(pairs, tokens, judged, unlike, held, rare, sums, apart, further, first, second)
+    forget(pairs, judged, unlike, rare, sums, apart, further, first, second)
     return out
 
 
@@ -437,9 +440,12 @@ def _classified(docs: DataFrame) -> DataFrame:
     """doc_id, raw, digest, n_words, node (the row's text), rep_id, component and class_id of each row of ``docs``."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("raw", _raw(F.col("text")))
     sketched = checkpoint(base.mapInArrow(_sketches, "doc_id long, raw long, digest string, n_words long, sketches array<long>"))
-    exact = sketched.groupBy("digest").agg(F.min("doc_id").alias("rep_id"), F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "raw")).alias("row"), F.first("n_words").alias("n_words"), F.first("sketches").alias("sketches"))
-    exact = checkpoint(exact.select("digest", "rep_id", F.col("row.doc_id").alias("own"), F.col("row.raw").alias("raw"), "n_words", "sketches").withColumn("node", F.monotonically_increasing_id()))
-    found = links(exact.select("node", "digest", "own", "raw", "n_words", "sketches"), base.select(F.col("doc_id").alias("own"), "raw", "text"))
+    exact = sketched.groupBy("digest").agg(F.min("doc_id").alias("rep_id"), F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "raw")).alias("row"), F.first("sketches").alias("sketches"))
+    whole = checkpoint(exact.select("digest", "rep_id", F.col("row.doc_id").alias("own"), F.col("row.raw").alias("raw"), "sketches").withColumn("node", F.monotonically_increasing_id()))
+    rows = checkpoint(sketched.drop("sketches"))
+    forget(sketched)
+    exact = checkpoint(whole.drop("sketches"))
+    found = links(exact.drop("rep_id"), whole, base.select(F.col("doc_id").alias("own"), "raw", "text"))
     named = exact.select("digest", "rep_id", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("rep_id").alias("least"))
     # Of classes with one least id, which unlike texts of that id make, the first keeps it; the rest, and those without, count down.
@@ -447,8 +453,8 @@ def _classified(docs: DataFrame) -> DataFrame:
     ids = least.where("least is not null").withColumn("place", place).select("component", F.when(F.col("place") == 1, F.col("least")).otherwise(-1 - F.col("component")).alias("class_id"))
     ids = ids.unionByName(least.where("least is null").select("component", (-1 - F.col("component")).alias("class_id")))
     named = named.join(ids, "component").select("digest", "rep_id", "node", "component", "class_id")
-    out = checkpoint(sketched.select("doc_id", "raw", "digest", "n_words").join(named, "digest"))
-    forget(sketched, exact, found)
+    out = checkpoint(rows.join(named, "digest"))
+    forget(rows, exact, found)
     return out
 
 
