@@ -8,14 +8,15 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mixwright.functions import calendar, media
 from mixwright.functions.windows import Series
-from mixwright.operators import cleaning, evaluation, matrix, quality
-from mixwright.settings import Settings, load
+from mixwright.operators import audit, baseline, budget, cleaning, evaluation, fatigue, fitting, market, matrix, merging, quality, reporting, validation
+from mixwright.settings import Settings, load, problems
 from mixwright.sources import files
 
 
@@ -32,10 +33,16 @@ def _at(settings: Settings, folder: str, name: str) -> str:
     return f"{getattr(settings.paths, folder)}/{name}"
 
 
-def ingest(spark: SparkSession, settings: Settings, schema: str | None = None, days: int | None = None) -> DataFrame:
-    """The raw table (CSV by ``schema``, else Parquet), cut to the last ``days``."""
+def ingest(spark: SparkSession, settings: Settings, schema: str | None = None, days: int | None = None, slice_hint: str | None = None) -> DataFrame:
+    """The raw table (CSV by ``schema``, else Parquet), cut to the last ``days`` or by a hint such as last_12_weeks. A table that
+    lacks its day, keys, revenue or all spend columns is refused."""
     source = settings.paths.raw
     df = files.read_csv(spark, source, schema) if schema else spark.read.parquet(source)
+    named, roles = _resolved(df, settings)
+    missing = [c for c in roles["revenue"] if c not in named.columns] + ([] if roles["spend"] else ["any spend column"])
+    if missing:
+        raise KeyError(f"the raw table lacks {', '.join(missing)}")
+    days = days or (cleaning.hinted_days(slice_hint) if slice_hint else None)
     if days:
         df = cleaning.latest(df, settings.data.date_col, days)
     files.write_features(df, _at(settings, "interim", "ingested"))
@@ -43,40 +50,51 @@ def ingest(spark: SparkSession, settings: Settings, schema: str | None = None, d
 
 
 def validate(spark: SparkSession, settings: Settings) -> DataFrame:
-    """A row a check with its penalty, and the score beside it."""
+    """A row a check with its penalty, and the score beside it. Rows that break a rule are written apart, with what they break."""
     df, roles = _resolved(spark.read.parquet(_at(settings, "interim", "ingested")), settings)
     day, keys, revenue = roles["day"][0], [*roles["brand"], *roles["region"]], roles["revenue"][0]
-    limit = settings.validation.data_quality.get("missing_data_threshold", 0.2)
-    checks = [
-        ("missing", quality.missing(df, [revenue, *roles["spend"]]).agg((F.avg("null_pct") > 100 * limit).alias("failed")), 0.15),
-        ("duplicates", quality.duplicates(df, [day, *keys]).select((100 * F.col("surplus") > 5 * F.col("n_rows")).alias("failed")), 0.05),
-        ("completeness", quality.completeness(df, keys, day).agg((F.min("share") < 0.8).alias("failed")), 0.1),
-        ("coverage", quality.coverage_weeks(df, keys, day).agg((F.avg((F.col("weeks") < settings.validation.min_weeks_per_market).cast("int")) > 0.1).alias("failed")), 0.2),
-        ("negatives", df.agg((F.count_if(F.col(revenue) < 0) > 0).alias("failed")), 0.05),
-    ]
-    one = [rows.select(F.lit(n).alias("check"), "failed", F.lit(p).alias("penalty")) for n, rows, p in checks]
-    report = one[0]
-    for rows in one[1:]:
-        report = report.unionByName(rows)
-    files.write_features(report.coalesce(1), _at(settings, "reports", "checks"))  # five rows
+    limits = {"missing": 100 * settings.validation.data_quality.get("missing_data_threshold", 0.2)}
+    rules = audit.rules_of(day, revenue, roles["spend"])
+    _, bad = audit.routed(df, rules, _at(settings, "interim", "routed"))
+    files.write_json(audit.broken_counts(bad, list(rules)), _at(settings, "reports", "broken_rules"))
+    checks = validation.report(df, day, keys, revenue, roles["spend"], roles["click"], roles["impression"], settings.validation.min_weeks_per_market, limits=limits, rules=rules)
+    files.write_features(checks, _at(settings, "reports", "checks"))
     report = spark.read.parquet(_at(settings, "reports", "checks"))
-    files.write_json(matrix.score(report), _at(settings, "reports", "score"))
+    files.write_json(validation.scored(report), _at(settings, "reports", "score"))
     return report
 
 
 def transform(spark: SparkSession, settings: Settings) -> DataFrame:
-    """Cleaned rows: known outcomes, no negatives, one row a key, caps by month, pauses filled; and their lineage."""
+    """Cleaned rows: negative revenue apart, caps by month that leave promotions and launches alone, one row a key by the roles of
+    columns, pauses filled, known outcomes; with the counts of every step, taken while it is written, and the lineage."""
     df, roles = _resolved(spark.read.parquet(_at(settings, "interim", "ingested")), settings)
+    given = settings.validation.rest.get("enhanced_cleaning") or {}
+    part = lambda name: given.get(name) or {}
     s, revenue = _series(roles), roles["revenue"][0]
-    df = cleaning.negatives(cleaning.with_outcome(df, revenue), revenue, f"{revenue}_returns", f"has_{revenue}_returns")
+    log = audit.Audit(part("documentation").get("document_all_changes", True))
+    df = log.step(df, "read")
+    df = cleaning.negatives(df, revenue, f"{revenue}_returns", f"has_{revenue}_returns")
+    for c in roles["spend"]:
+        df = cleaning.negatives(df, c, f"{c}_adjustments", f"has_{c}_adjustments")
     df = cleaning.clipped(df, roles["impression"] + roles["click"])
-    numbers = [c for c, t in df.dtypes if c not in (*s.by, s.order) and t not in ("string", "date")]
-    df = cleaning.deduplicated(df, [*s.by, s.order], numbers, [], s.order, []).drop("n_rows")
-    for column in roles["spend"]:
-        df = cleaning.exempt(df.withColumn("_month", F.month(s.order)), s, column)
-        capped = cleaning.winsorized(df, [*s.by, "_month"], column, settings.validation.outlier_threshold)
-        df = capped.withColumn(column, F.coalesce("capped", F.lit(0.0))).drop("capped", "cap", "exempt", "_month")
+    df = log.step(df, "negatives moved apart", revenue=F.sum(f"has_{revenue}_returns"), **{c: F.sum(f"has_{c}_adjustments") for c in roles["spend"]})
+    policy = merging.Policy.of(part("duplicates"))
+    policy = replace(policy, also_additive=(revenue, *roles["spend"], *roles["impression"], *roles["click"], f"{revenue}_returns", *(f"{c}_adjustments" for c in roles["spend"])))
+    df = log.step(merging.merged(df, [*s.by, s.order], policy), "one row a key", merged=F.count_if(F.col("_rows") > 1)).drop("_rows")
+    promo = next((c for c in df.columns if "promo" in c), None)
+    for c in roles["spend"]:
+        df = cleaning.exempt(df.withColumn("_month", F.month(s.order)), s, c, promo)
+        df = log.step(df, f"{c}: exempt from caps", "detailed", exempt=F.count_if("exempt"))
+        df = cleaning.winsorized(df, [*s.by, "_month"], c, settings.validation.outlier_threshold)
+        df = log.step(df, f"{c}: capped", capped=F.count_if(F.col("capped") != F.col(c))).withColumn(c, F.col("capped")).drop("capped", "cap", "exempt", "_month")
+    missing = part("missing_data")
+    for c in roles["spend"]:
+        seen = next((i for i in roles["impression"] if i.startswith(c.removesuffix("_spend"))), None)
+        df = audit.pauses(df, s, c, seen, missing.get("pause_detection_method", "zero_impressions"), missing.get("paused_spend_value", 0.0))
+    df = log.step(df, "null spend filled", **{f"{kind}_{c}": F.sum(f"{name}_{c}") for c in roles["spend"] for kind, name in (("pauses", "is_pause"), ("gaps", "adstock_continuity"))})
+    df = log.step(cleaning.with_outcome(df, revenue), "known outcomes")
     files.write_features(df, _at(settings, "interim", "cleaned"))
+    files.write_json(log.rows(spark).coalesce(1), _at(settings, "reports", "cleaning"))
     df = spark.read.parquet(_at(settings, "interim", "cleaned"))
     files.write_json(cleaning.fingerprint(df.select(*s.by, s.order)), _at(settings, "reports", "lineage"))
     return df
@@ -91,81 +109,136 @@ def _response(x: Column, s: Series, carry: dict, curve: dict) -> tuple[Column, C
 
 
 def features(spark: SparkSession, settings: Settings) -> DataFrame:
-    """Carry-over and saturation of each channel, waves, weekends and the trend of each series."""
+    """Wear of creatives where settings ask for it, carry-over and saturation of each channel, waves, weekdays, holidays and trend,
+    external events and campaigns, and the terms of competition and promotion, of each series."""
     df, roles = _resolved(spark.read.parquet(_at(settings, "interim", "cleaned")), settings)
-    s, names = _series(roles), {c.lower(): n for n, c in settings.data.channel_map.items()}
-    made = [(c, *_response(F.col(c), s, settings.features.carry_over(names[c]), settings.features.response(names[c]))) for c in roles["spend"]]
+    s, names, f = _series(roles), {c.lower(): n for n, c in settings.data.channel_map.items()}, settings.features
+    day, revenue, spend = F.col(s.order), F.col(roles["revenue"][0]).cast("double"), roles["spend"]
+    worn = f.creative_fatigue if f.creative_fatigue.get("enabled") else {}
+    if worn:
+        found = worn.get("refresh_detection") or {}
+        method = {"spend_change": "spend_change", "campaign_launch": "campaign_launch"}.get(found.get("method"), "periodic")
+        for c in spend:
+            df = fatigue.refreshes(df, s, c, method, **({"days": found.get("period_days", 30)} if method == "periodic" else {}))
+            df = df.withColumn(c, F.col(c) * fatigue.worn(day, F.col("refreshed"), s, worn.get("half_life_days", 14), worn.get("min_effectiveness", 0.2))).withColumnRenamed("refreshed", f"creative_refresh_{c}")
+    made = [(c, *_response(F.col(c), s, f.carry_over(names[c]), f.response(names[c]))) for c in spend]
     df = df.select("*", *(y.alias(f"{c}_adstocked") for c, y, _ in made))
     df = df.select("*", *(curve(F.col(f"{c}_adstocked")).alias(f"{c}_adstocked_saturated") for c, _, curve in made))
-    day = F.col(s.order)
-    df = df.withColumns(calendar.fourier(day, 1) | {"is_weekend": (F.weekday(day) >= 5).cast("int"), "trend": F.datediff(day, F.min(day).over(s.whole()))})
+    columns = calendar.fourier(day, 1) | {f"dow_{n}": (F.weekday(day) == n).cast("int") for n in range(6)} | {"is_weekend": (F.weekday(day) >= 5).cast("int"), "trend": F.datediff(day, F.min(day).over(s.whole())) / 365.25}
+    for e in f.baseline.get("external_events") or []:
+        columns |= baseline.event(day, e["name"], str(e["start"]), str(e["end"]), e.get("impact_type", "step"))
+    for c in f.custom_terms.get("campaigns") or []:
+        columns |= market.campaign(day, str(c["campaign_name"]), str(c["start_date"]), str(c["end_date"]), c.get("discount_pct"), c.get("budget"))
+    total = sum((F.coalesce(F.col(c), F.lit(0.0)) for c in spend[1:]), F.coalesce(F.col(spend[0]), F.lit(0.0)))
+    if (f.custom_terms.get("promo_flag") or {}).get("enabled"):
+        until = (settings.training.get("train_end") or None) and (day <= F.lit(str(settings.training["train_end"])).cast("date"))
+        found = market.promotions(revenue, total, s, training=until if until is not None else None)
+        columns |= {f"detected_{n}": F.coalesce(c, F.lit(0)) for n, c in found.items()}  # made from the target: no columns of the model
+    if f.competitors.get("enabled"):
+        indices = market.indices(spend)
+        columns |= {f"competitor_{n}": c for n, c in (*indices.items(), *market.background(day, total, s).items())}
+    df = df.withColumns(columns)
+    years = df.agg(F.year(F.min(day)).alias("a"), F.year(F.max(day)).alias("b")).first()
+    if f.seasonality.get("holidays", {}).get("enabled", True) and years.a:
+        near = calendar.holiday_table(spark, years.a, years.b)
+        flags = near.groupBy(F.col("holiday_date").alias(s.order)).agg(*(F.max((F.col("holiday") == n).cast("int")).alias(f"holiday_{n}") for n in sorted({n for _, n in calendar.holidays(years.a, years.a)})))
+        df = df.join(F.broadcast(flags), s.order, "left").fillna(0, [c for c in flags.columns if c != s.order])  # fourteen days a year
     files.write_features(df, _at(settings, "features", "features"))
     return spark.read.parquet(_at(settings, "features", "features"))
 
 
-def selected(df: DataFrame) -> list[str]:
-    """The columns that a model is fitted on."""
-    return [c for c in df.columns if c.endswith("_adstocked_saturated") or c.startswith(("sin_", "cos_")) or c in ("is_weekend", "trend_years")]
+def _chosen(df: DataFrame, roles: dict[str, list[str]], settings: Settings) -> fitting.Selection:
+    return fitting.select(df, roles["revenue"][0], roles["spend"], settings.model.backend_params.get("allow_target_derived", False))
 
 
 def train(spark: SparkSession, settings: Settings) -> DataFrame:
-    """(term, value): the coefficients, from one aggregate of cross products."""
+    """(position, term, value): the coefficients of the likelihood that settings name, without constant columns; and the model
+    itself beside them."""
     df, roles = _resolved(spark.read.parquet(_at(settings, "features", "features")), settings)
-    df = df.withColumn("trend_years", F.col("trend") / 365.25)
-    model = evaluation.ridge(df, selected(df), roles["revenue"][0])
-    out = spark.createDataFrame(list(model.items()), "term string, value double").coalesce(1)
-    files.write_features(out, _at(settings, "models", "coefficients"))
-    return out
+    chosen = _chosen(df, roles, settings)
+    constant = fitting.check_inputs(df, chosen)["constant"]
+    model = fitting.Estimator(settings.model.likelihood).fit(df, [c for c in chosen.features if c not in constant], chosen.target, chosen.channels)
+    model.save(spark, _at(settings, "models", "model"))
+    return spark.read.parquet(_at(settings, "models", "model") + "/coefficients")
 
 
 def evaluate(spark: SparkSession, settings: Settings) -> DataFrame:
-    """Errors of the fitted rows, by series and all together."""
+    """Errors of the fitted rows, by series and all together; of the last fifth of each series; trend, drift and months; score."""
     df, roles = _resolved(spark.read.parquet(_at(settings, "features", "features")), settings)
-    model = {r.term: r.value for r in spark.read.parquet(_at(settings, "models", "coefficients")).collect()}  # a row a term
-    df = df.withColumn("trend_years", F.col("trend") / 365.25)
+    model = fitting.Fitted.load(spark, _at(settings, "models", "model"))
     revenue, s = roles["revenue"][0], _series(roles)
-    rows = df.select(*s.by, s.order, F.col(revenue).cast("double").alias("actual"), evaluation.predicted(selected(df), model).alias("guess"))
+    rows = df.select(*s.by, s.order, F.col(revenue).cast("double").alias("actual"), model.predicted(df).alias("guess"))
+    files.write_features(rows, _at(settings, "interim", "predictions"))
+    rows = spark.read.parquet(_at(settings, "interim", "predictions"))
     out = evaluation.core_metrics(rows, "actual", "guess")
+    trend = evaluation.trend_consistency(rows, s, "actual", "guess")
     files.write_json(out, _at(settings, "reports", "metrics"))
     files.write_json(evaluation.part_metrics(rows, list(s.by), "actual", "guess"), _at(settings, "reports", "metrics_by_series"))
-    return out
+    files.write_json(evaluation.part_metrics(evaluation.holdout(rows, s), ["part"], "actual", "guess"), _at(settings, "reports", "holdout"))
+    files.write_json(trend, _at(settings, "reports", "trend"))
+    files.write_json(evaluation.drift(rows, s, "actual", "guess"), _at(settings, "reports", "drift"))
+    files.write_json(evaluation.seasonal(rows, list(s.by), s.order, "actual", "guess"), _at(settings, "reports", "seasonal"))
+    files.write_json(evaluation.overall(spark.read.json(_at(settings, "reports", "metrics")), spark.read.json(_at(settings, "reports", "trend"))), _at(settings, "reports", "model_score"))
+    return spark.read.json(_at(settings, "reports", "metrics"))
+
+
+def _by_channel(df: DataFrame, roles: dict[str, list[str]]) -> DataFrame:
+    """(channel, spend): a row a day and channel, over all series."""
+    daily = df.groupBy(roles["day"][0]).agg(*(F.sum(c).alias(c.removesuffix("_spend")) for c in roles["spend"]))
+    return quality.long(daily, [], [c.removesuffix("_spend") for c in roles["spend"]], value="spend")
+
+
+def _roi(settings: Settings) -> dict[str, float]:
+    """The middle of each channel's prior, by the name of its spend column."""
+    names = {n: c.lower().removesuffix("_spend") for n, c in settings.data.channel_map.items()}
+    return {names.get(n, n): sum(b) / 2 for n, b in (settings.model.priors.get("roi_bounds") or {}).items()}
 
 
 def optimize(spark: SparkSession, settings: Settings) -> DataFrame:
-    """Budgets by scenario and channel."""
+    """Budgets by scenario and channel, within each channel's bounds, after the scenario's moves; and returns under noise."""
     df, roles = _resolved(spark.read.parquet(_at(settings, "interim", "cleaned")), settings)
-    channels = [c.removesuffix("_spend") for c in roles["spend"]]
-    current = evaluation.latest_spend(df, roles["day"][0], roles["spend"])
-    plan = evaluation.allocation(current, spark.createDataFrame(settings.optimization.multipliers(), "scenario string, budget_multiplier double"), channels)
-    files.write_features(plan.coalesce(1), _at(settings, "reports", "plan"))
+    names = {n: c.lower().removesuffix("_spend") for n, c in settings.data.channel_map.items()}
+    o = settings.optimization
+    shares, rest = o.shares()
+    curves = budget.bounded(budget.response_curves(_by_channel(df, roles), [], _roi(settings)), {names.get(n, n): b for n, b in shares.items()}, rest)
+    scenarios = spark.createDataFrame(o.multipliers(), "scenario string, budget_multiplier double")
+    moves = [(a, names.get(c, c), x) for a, c, x in o.adjustments()]
+    moved = spark.createDataFrame(moves, "scenario string, channel string, factor double") if moves else None
+    files.write_features(budget.allocate(curves, scenarios, [], moved).coalesce(1), _at(settings, "reports", "plan"))
+    files.write_json(budget.robust(curves, scenarios, [], 100, moved).coalesce(1), _at(settings, "reports", "returns"))
     return spark.read.parquet(_at(settings, "reports", "plan"))
 
 
-def report(spark: SparkSession, settings: Settings) -> DataFrame:
-    """The run in one row: period, score, errors, best scenario; and channels with their moves beside it."""
+def report(spark: SparkSession, settings: Settings, run_id: str | None = None) -> DataFrame:
+    """Executive, dashboard, channel and diagnostic documents of the run, published whole under its id."""
     df, roles = _resolved(spark.read.parquet(_at(settings, "interim", "cleaned")), settings)
-    plan = spark.read.parquet(_at(settings, "reports", "plan"))
-    parts = [
-        quality.summary(df, roles["day"][0], roles["revenue"][0], roles["spend"]), spark.read.json(_at(settings, "reports", "score")),
-        spark.read.json(_at(settings, "reports", "metrics")), evaluation.best_scenarios(evaluation.returns(plan)),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.join(F.broadcast(part), how="cross")  # one row each
-    files.write_json(out, _at(settings, "reports", "summary"))
-    files.write_json(evaluation.top_moves(plan), _at(settings, "reports", "moves"))
-    files.write_json(evaluation.reallocation(plan), _at(settings, "reports", "reallocation"))
-    return spark.read.json(_at(settings, "reports", "summary"))
+    plan, run_id = spark.read.parquet(_at(settings, "reports", "plan")), run_id or spark.sparkContext.applicationId
+    read = lambda name: spark.read.json(_at(settings, "reports", name))
+    spend = _by_channel(df, roles)
+    whole = quality.summary(df, roles["day"][0], roles["revenue"][0], roles["spend"])
+    facts = whole.join(F.broadcast(read("metrics")), how="cross")  # one row each
+    credit = spend.select("channel", F.col("spend").alias("credit"))
+    insights = reporting.channel_insights(spend, [], credit, _roi(settings))
+    score = read("score").first().score
+    executive = reporting.executive(facts, [], insights, reporting.moves(plan, []), float(score))
+    model = fitting.Fitted.load(spark, _at(settings, "models", "model"))
+    diagnostics = read("metrics").select(F.struct("*").alias("metrics"), F.to_json(F.create_map(*(F.lit(str(x)) for kv in model.summary().items() for x in kv))).alias("fit"))
+    documents = {
+        "executive": executive, "dashboard": reporting.dashboard(executive, [], run_id), "diagnostics": diagnostics, "moves": evaluation.top_moves(plan), "reallocation": evaluation.reallocation(plan),
+        "contributions": spark.createDataFrame(model.contributions() or [], "channel string, contribution double, share_pct double"),
+    }
+    path = reporting.publish(spark, documents, _at(settings, "reports", "runs"), run_id)
+    return spark.read.json(f"{path}/dashboard")
 
 
 STAGES = {f.__name__: f for f in (ingest, validate, transform, features, train, evaluate, optimize, report)}
 
 
-def run(spark: SparkSession, settings: Settings, **of_ingest) -> DataFrame:
+def run(spark: SparkSession, settings: Settings, run_id: str | None = None, **of_ingest) -> DataFrame:
     ingest(spark, settings, **of_ingest)
     for name in ("validate", "transform", "features", "train", "evaluate", "optimize"):
         STAGES[name](spark, settings)
-    return report(spark, settings)
+    return report(spark, settings, run_id)
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -175,13 +248,19 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--profile")
     parser.add_argument("--schema", help="columns of a raw CSV file, as 'name type, ...'")
     parser.add_argument("--days", type=int)
+    parser.add_argument("--slice", help="such as last_12_weeks, last_6_months or last_90_days")
+    parser.add_argument("--run-id", help="the name that reports are published under")
     given = parser.parse_args(arguments)
     settings = load(given.config, given.profile)
     if given.stage == "config-check":
-        print(settings)
+        found = problems(settings)
+        print("\n".join(found) or "no problem found")
+        if found:
+            raise SystemExit(1)
         return
     spark = SparkSession.builder.appName(f"mixwright {given.stage}").config("spark.sql.session.timeZone", settings.data.timezone).getOrCreate()
-    extra = {"schema": given.schema, "days": given.days} if given.stage in ("ingest", "run") else {}
+    extra = {"schema": given.schema, "days": given.days, "slice_hint": given.slice} if given.stage in ("ingest", "run") else {}
+    extra |= {"run_id": given.run_id} if given.stage in ("report", "run") else {}
     out = run(spark, settings, **extra) if given.stage == "run" else STAGES[given.stage](spark, settings, **extra)
     out.show(truncate=False)
 

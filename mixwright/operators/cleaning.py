@@ -2,22 +2,32 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mixwright.functions.windows import Series, change, rolling
 
 
+def hinted_days(hint: str) -> int | None:
+    """Days of last_<n>_days, last_<n>_weeks or last_<n>_months (of 30 days); None for any other hint, which cuts nothing."""
+    found = re.fullmatch(r"last_(\d+)_(days|weeks|months)", hint)
+    return int(found[1]) * {"days": 1, "weeks": 7, "months": 30}[found[2]] if found else None
+
+
 def latest(df: DataFrame, day: str, days: int) -> DataFrame:
-    """Rows of the last ``days`` days of the table, the border included."""
-    end = df.agg(F.max(day).alias("_end"))
-    return df.join(F.broadcast(end), F.col(day) >= F.date_sub("_end", days)).drop("_end")  # one row
+    """Rows of the last ``days`` days of the table, the border included. The last day is read first, so that the filter reaches
+    the scan as a literal."""
+    end = df.agg(F.max(day)).first()[0]
+    return df.where("false") if end is None else df.where(F.col(day) >= F.date_sub(F.lit(end), days))
 
 
 def negatives(df: DataFrame, column: str, apart: str, flag: str) -> DataFrame:
-    """Negative values moved to a column of their own."""
+    """Negative values moved to a column of their own. Null stays null."""
     x = F.col(column)
-    return df.withColumns({apart: F.least(x, F.lit(0.0)), flag: (x < 0).cast("int"), column: F.greatest(x, F.lit(0.0))})
+    below = F.coalesce(x < 0, F.lit(False))
+    return df.withColumns({apart: F.when(x.isNotNull(), F.when(below, x).otherwise(0.0)), flag: below.cast("int"), column: F.when(below, 0.0).otherwise(x)})
 
 
 def exempt(df: DataFrame, s: Series, column: str, promo: str | None = None, multiple: float = 3.0) -> DataFrame:
@@ -58,7 +68,7 @@ def fingerprint(df: DataFrame) -> DataFrame:
 
 def clipped(df: DataFrame, columns: list[str]) -> DataFrame:
     """Telemetry (clicks, impressions, views) is never negative: such values count as 0 and are flagged."""
-    return df.withColumns({f"had_negative_{c}": (F.coalesce(c, F.lit(0)) < 0).cast("int") for c in columns} | {c: F.greatest(F.col(c), F.lit(0)) for c in columns})
+    return df.withColumns({f"had_negative_{c}": (F.coalesce(c, F.lit(0)) < 0).cast("int") for c in columns} | {c: F.when(F.col(c) < 0, F.lit(0)).otherwise(F.col(c)) for c in columns})
 
 
 def with_outcome(df: DataFrame, column: str) -> DataFrame:

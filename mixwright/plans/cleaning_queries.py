@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mixwright.operators import audit, cleaning, merging
+from mixwright.operators import audit, cleaning, merging, validation
 from mixwright.plans.feature_queries import sql
 from mixwright.plans.media_queries import KEYS, ORD, K, S
 from mixwright.plans.registry import Registry, r, rounded
@@ -146,3 +146,27 @@ _VALUES = ["revenue", *SPEND]
 def dq_outlier_profile(spark, sf_dir):
     out = audit.outlier_profile(panel(spark, sf_dir), [D, "brand", "region"], _VALUES)
     return rounded(out.withColumn("first", F.array_join("first", "; ")))
+
+
+_METRICS = [f"{c}_{m}" for c in CHANNELS for m in ("clicks", "impressions")]
+_CHECKED = f"""p as (select * exclude (search_spend), case when volume % 5 <> 0 then search_spend end search_spend, case when day({D}) = 13 then null else search_clicks end seen_clicks from panel),
+q as ({" union all ".join(f"select greatest(100 - 50.0::double * avg(({c} is null)::int) - case when count(case when {c} < 0 then 1 end) > 0 then 20 else 0 end - case when coalesce(var_samp({c}), 0) = 0 then 30 else 0 end, 0) q from p" for c in (*_METRICS, "seen_clicks"))}),
+w as (select brand, region, count(distinct date_trunc('week', {D})) n from p group by 1, 2), h as (select count(case when n < 52 then 1 end) short, count(case when n >= 52 and n < 104 then 1 end) fair, count(case when 100 * n / (select count(distinct date_trunc('week', {D})) from p)::double < 98 then 1 end) gaps, count(*) n from w),
+z as ({" union all ".join(f"select 100.0::double * avg((coalesce({c}, 0) <= 1e-9)::int) z from p" for c in SPEND)}), c as ({" union all ".join(f"select corr({a}, {b}) c from p" for i, a in enumerate(SPEND) for b in SPEND[i + 1 :])}),
+i as (select (select count(case when z < 5 then 1 end) from z) never, (select count(case when z < 10 then 1 end) from z) always_on, (select count(case when abs(c) > 0.9 then 1 end) from c) near),
+o as (select max(m) - min(m) spread from ({" union all ".join(f"select case when avg({c}) > 0 then log10(avg({c})) else 0 end m from p" for c in SPEND)})),
+n as (select {" + ".join(f"100.0::double * avg(({c} is null)::int)" for c in ("search_spend", "seen_clicks"))} s, 100 * count(distinct {D})::double / (date_diff('day', min({D}), max({D})) + 1) full_ from p),
+rows_ as (select 'schema' as "check", false failed, false warned, 0.15 bad, 0.05 fair, 0::double figure union all select 'rules', false, false, 0, 0, 0 union all select 'missing', s / 21 > 20, s / 21 > 10, 0.15, 0.05, s / 21 from n
+ union all select 'empty_columns', false, false, 0.1, 0, 0 union all select 'business_rules', false, false, 0, 0, 0 union all select 'completeness', full_ < 80, full_ < 90, 0.1, 0.05, full_ from n union all select 'value_sanity', false, spread > 3, 0.15, 0.05, 0 from o
+ union all select 'duplicate_rows', false, false, 0.05, 0, 0 union all select 'keys', false, false, 0.1, 0, 0 union all select 'digital_quality', avg(q) < 75, false, 0.1, 0, avg(q) from q union all select 'coverage', short > 0 or gaps > 0.1 * n, fair > 0, 0.2, 0.05, short from h
+ union all select 'identifiability', never > 0 or near > 0, always_on > 0, 0.2, 0.1, always_on from i)"""
+
+
+@register(f"with {PANEL_SQL}, {_CHECKED} select \"check\", case when failed then 'failed' when warned then 'warning' else 'passed' end status, (case when failed then bad when warned then fair else 0 end)::double penalty, {r('figure', 'figure')} from rows_")
+def dq_report(spark, sf_dir):
+    """All checks of the panel, where some spend and clicks are missing."""
+    rows = panel(spark, sf_dir)
+    rows = rows.withColumns({"search_spend": F.when(F.col("volume") % 5 != 0, F.col("search_spend")), "seen_clicks": F.when(F.day(D) != 13, F.col("search_clicks"))})
+    metrics = [c for c in _METRICS if c.endswith("clicks")]
+    out = validation.report(rows, D, ["brand", "region"], "revenue", SPEND, [*metrics, "seen_clicks"], [c for c in _METRICS if c not in metrics])
+    return rounded(out)

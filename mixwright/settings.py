@@ -8,6 +8,7 @@ from typing import Any
 
 # Names of sections and keys, and their defaults, as existing settings files have them.
 BACKENDS = ("meridian", "pymc")
+LIKELIHOODS = ("lognormal", "normal", "student_t")
 
 
 def _dict(name: str = ""):
@@ -85,8 +86,9 @@ class Features:
         return own or self.adstock.get("default") or {"type": "geometric", "decay": 0.5}
 
     def response(self, channel: str) -> dict[str, Any]:
-        own = (self.saturation.get("platform_overrides") or {}).get(channel)
-        return own or self.saturation.get("default") or {"type": "hill", "k": 0.5, "s": 1.0}
+        """The default parameters, with what the channel has of its own laid over them."""
+        own = (self.saturation.get("platform_overrides") or {}).get(channel) or {}
+        return {**(self.saturation.get("default") or {"type": "hill", "k": 0.5, "s": 1.0}), **own}
 
 
 @dataclass(frozen=True)
@@ -99,6 +101,8 @@ class Model:
     def __post_init__(self):
         if self.backend not in BACKENDS:
             raise ValueError(f"model.backend: one of {BACKENDS} is needed, not {self.backend!r}")
+        if self.likelihood not in LIKELIHOODS:
+            raise ValueError(f"model.likelihood: one of {LIKELIHOODS} is needed, not {self.likelihood!r}")
         for channel, bounds in (self.priors.get("roi_bounds") or {}).items():
             if len(bounds) != 2 or not bounds[0] < bounds[1]:
                 raise ValueError(f"model.priors.roi_bounds.{channel}: a lower and a higher number are needed")
@@ -117,6 +121,26 @@ class Optimization:
                 if isinstance(x, bool) or not isinstance(x, int | float) or x <= 0:
                     raise ValueError(f"optimization.scenario_presets.{name}.{what}: a positive number is needed")
 
+        for name, channel in (self.platform_constraints.get("platform_specific") or {}).items():
+            low, high = self._shares(channel or {})
+            if not 0 <= low <= high <= 1:
+                raise ValueError(f"optimization.platform_constraints.platform_specific.{name}: shares from 0 to 1 are needed, the least first")
+        if self.objective not in ("roas", "revenue"):
+            raise ValueError("optimization.objective: roas or revenue is needed; of one budget both have the same optimum")
+
+    def _shares(self, own: dict[str, Any]) -> tuple[float, float]:
+        given = self.platform_constraints
+        pick = lambda side, rest: float(own.get(f"{side}_spend_pct", given.get(f"{side}_spend_pct", given.get(f"default_{side}_spend_pct", rest))))
+        return pick("min", 0.05), pick("max", 0.4)
+
+    def shares(self) -> tuple[dict[str, tuple[float, float]], tuple[float, float]]:
+        """Least and largest share of the budget by channel, and those of the others."""
+        return {n: self._shares(c or {}) for n, c in (self.platform_constraints.get("platform_specific") or {}).items()}, self._shares({})
+
+    def adjustments(self) -> list[tuple[str, str, float]]:
+        """(scenario, channel, factor): how a scenario moves present spend between channels."""
+        return [(n, c, float(x)) for n, p in self.scenario_presets.items() if isinstance(p, dict) for c, x in (p.get("platform_adjustments") or {}).items()]
+
     def multipliers(self) -> list[tuple[str, float]]:
         """(scenario, factor of the budget); the present budget is always among them."""
         given = {n: float(p["budget_multiplier"] if isinstance(p, dict) else p) for n, p in self.scenario_presets.items()}
@@ -169,6 +193,39 @@ def load(path: str | Path, profile: str | None = None) -> Settings:
     return bound(Settings, given)
 
 
+def problems(settings: Settings) -> list[str]:
+    """What a run would stumble over, all of it: channels without a column, response and carry-over out of range, bounds that
+    leave no allocation, presets for channels that aren't there."""
+    found = []
+    channels = set(settings.data.channel_map)
+    if not channels:
+        found.append("data.channel_map is empty")
+    for channel in sorted(channels):
+        carry, curve = settings.features.carry_over(channel), settings.features.response(channel)
+        decay = carry.get("decay", carry.get("lambda"))
+        if carry.get("type", "geometric") == "geometric" and not (isinstance(decay, int | float) and 0 <= decay < 1):
+            found.append(f"features.adstock of {channel}: a decay from 0 to below 1 is needed, not {decay!r}")
+        if carry.get("type") == "weibull" and not all(isinstance(carry.get(k), int | float) and carry[k] > 0 for k in ("shape", "scale")):
+            found.append(f"features.adstock of {channel}: shape and scale above 0 are needed")
+        if not all(isinstance(curve.get(k, 1.0), int | float) and curve.get(k, 1.0) > 0 for k in ("k", "s")):
+            found.append(f"features.saturation of {channel}: k and s above 0 are needed")
+    shares, rest = settings.optimization.shares()
+    sides = [shares.get(c, rest) for c in sorted(channels)]
+    if channels and (sum(a for a, _ in sides) > 1 or sum(b for _, b in sides) < 1):
+        found.append("optimization.platform_constraints leave no allocation: budgets fall back to present shares")
+    known = channels or {c for _, c, _ in settings.optimization.adjustments()}
+    found += [f"optimization: {c} isn't in data.channel_map" for c in sorted({*shares, *(c for _, c, _ in settings.optimization.adjustments())} - known)]
+    return found
+
+
+def resolved(settings: Settings, base: str | Path) -> Settings:
+    """Settings whose relative folders start at ``base``; absolute ones and those with a scheme stay."""
+    from dataclasses import replace
+
+    own = lambda p: p if "://" in p or Path(p).is_absolute() else str(Path(base) / p)
+    return replace(settings, paths=Paths(**{f.name: own(getattr(settings.paths, f.name)) for f in fields(Paths)}))
+
+
 def require_channels(settings: Settings, channels: tuple[str, ...] = ("google_search", "meta_facebook")) -> None:
     missing = [c for c in channels if c not in settings.data.channel_map]
     if missing:
