@@ -28,9 +28,9 @@ from mixwright.llm.components import components
 #: At ``SIMILARITY`` two texts whose edits are scattered share a fifth of their shingles; the README has the measured share of
 #: such pairs that meet in one of so many sketches.
 SHINGLE, ELL, SKETCHES, SIMILARITY = 5, 2, 96, 0.8
-#: Buckets are compared in blocks of about so many texts and bytes, each pair of blocks in one task; so many texts with
-#: all of the block, and so many words, at once.
-BLOCK, BLOCK_BYTES, ROWS, COLUMNS = 2048, 4_000_000, 512, 512
+#: Texts of a key are compared in blocks of about so many, each pair of blocks in one task; so many texts with all of the block
+#: at once; and classes of words that a text's bag counts.
+BLOCK, ROWS, BAG = 2048, 256, 512
 #: Of a key with at most so many texts all pairs are formed.
 FEW = 64
 #: Counts of word pairs are kept in this many cells, which tell rare ones from common ones; the result is the same with any.
@@ -221,90 +221,54 @@ def _first(buckets: DataFrame) -> DataFrame:
     return buckets.join(heads.hint("merge"), "key").where("doc_id > a").select("key", "a", F.col("doc_id").alias("b"))
 
 
-def shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """For each set of ``left`` and each of ``right`` the number of members that both have."""
-    sets = left + right
-    rows = np.repeat(np.arange(len(sets)), [x.size for x in sets])
-    _, cols = np.unique(np.concatenate(sets), return_inverse=True)
-    # What one side alone has doesn't count.
-    both = np.zeros((2, int(cols.max()) + 1 if cols.size else 0), bool)
-    both[(rows >= len(left)).astype(np.int64), cols] = True
-    held = both.all(axis=0)[cols]
-    rows, cols = rows[held], cols[held]
-    _, cols = np.unique(cols, return_inverse=True)
-    order = np.argsort(cols, kind="stable")
-    rows, cols = rows[order], cols[order]
-    out = np.zeros((len(left), len(right)), np.float32)
-    for a in range(0, int(cols[-1]) + 1 if cols.size else 0, COLUMNS):
-        part = slice(*np.searchsorted(cols, [a, a + COLUMNS]))
-        has = np.zeros((len(sets), COLUMNS), np.float32)
-        has[rows[part], cols[part] - a] = 1
-        out += has[: len(left)] @ has[len(left) :].T
+def bag(w: np.ndarray) -> np.ndarray:
+    """How often the words of each of BAG classes stand in a text, up to 255."""
+    return np.minimum(np.bincount(w.astype(np.int64) % BAG, minlength=BAG), 255).astype(np.uint8)
+
+
+def within_reach(left: np.ndarray, right: np.ndarray, words_left: np.ndarray, words_right: np.ndarray) -> np.ndarray:
+    """For texts by their bags and numbers of words: whether the bags allow that two are similar.
+
+    Of two texts within k edits all words of the longer one but k are matched, so that the bags differ by at most 2 * k less
+    the difference of lengths; classes of words, and counts that end at 255, only bring bags nearer.
+    """
+    longer, shorter = np.maximum(words_left[:, None], words_right[None, :]), np.minimum(words_left[:, None], words_right[None, :])
+    edits = ((1 - SIMILARITY) * longer + 1e-9).astype(np.int64)
+    most = 2 * edits - (longer - shorter)
+    out = longer - shorter <= edits
+    a, b = left.astype(np.int16), right.astype(np.int16)
+    for at in range(0, len(a), ROWS):
+        rows, cols = np.flatnonzero(out[at : at + ROWS].any(axis=1)) + at, np.flatnonzero(out[at : at + ROWS].any(axis=0))
+        # A few classes of words first: they rule most pairs out.
+        for classes in (slice(0, BAG // 8), slice(BAG // 8, BAG)):
+            if not (rows.size and cols.size):
+                break
+            far = np.zeros((rows.size, cols.size), np.int64) if classes.start == 0 else far
+            for r in range(rows.size):
+                open_ = np.flatnonzero(out[rows[r], cols])
+                far[r, open_] += np.abs(b[cols[open_], classes] - a[rows[r], classes]).sum(axis=1, dtype=np.int64)
+            out[np.ix_(rows, cols)] &= far <= most[np.ix_(rows, cols)]
     return out
 
 
-def bag(w: np.ndarray) -> np.ndarray:
-    """Words with the numbers of their occurrences: bags share as many as the sets of these."""
-    w = np.sort(w).astype(np.uint64)
-    if not w.size:
-        return w
-    at, again = np.arange(w.size), np.concatenate([[False], w[1:] == w[:-1]])
-    return (w << np.uint64(32)) | (at - np.maximum.accumulate(np.where(again, 0, at))).astype(np.uint64)
-
-
-def _linked(left: list[dict], right: list[dict]) -> list[tuple[int, int]]:
-    """Links between ``left`` and ``right`` (within ``left``, where ``right`` is empty) that join the components of all that
-    are similar. Left out are pairs of one component, those that meet under an earlier key too (they are compared there),
-    those that share too few words, and those that links join already."""
-    texts = left + right
-    owner: dict[int, int] = {}
-    found, parent = [], [owner.setdefault(t["component"], i) for i, t in enumerate(texts)]
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    words_ = [np.frombuffer(t["words"], np.uint32) for t in texts]
-    sizes, joined = np.array([w.size for w in words_], np.int32), np.array(parent)
-    if right:
-        rows, cols = np.arange(len(left)), np.arange(len(left), len(texts))
-    else:  # all but the texts of the largest component with all
-        rows, cols = np.flatnonzero(joined != np.bincount(joined).argmax()), np.arange(len(texts))
-    twice = np.zeros(cols.size, bool) if right else np.isin(cols, rows)
-    for at in range(0, rows.size, ROWS):
-        part = rows[at : at + ROWS]
-        joined = np.array([root(k) for k in range(len(texts))])
-        longer = np.maximum(sizes[part, None], sizes[None, cols])
-        least = longer - ((1 - SIMILARITY) * longer + 1e-9).astype(np.int32)
-        open_ = np.minimum(sizes[part, None], sizes[None, cols]) >= least
-        open_ &= joined[part, None] != joined[None, cols]
-        open_ &= (part[:, None] < cols[None, :]) | ~twice[None, :]
-        for count, enough in ((lambda k: texts[k]["before"], lambda n, _: n == 0), (lambda k: bag(words_[k]), lambda n, bound: n >= bound)):
-            i, j = np.flatnonzero(open_.any(axis=1)), np.flatnonzero(open_.any(axis=0))
-            if i.size:
-                cells = np.ix_(i, j)
-                open_[cells] &= enough(shared([count(k) for k in part[i].tolist()], [count(k) for k in cols[j].tolist()]), least[cells])
-        for x, y in np.argwhere(open_).tolist():
-            x, y = int(part[x]), int(cols[y])
-            if root(x) != root(y) and similar(texts[x]["words"], texts[y]["words"]):
-                parent[root(y)] = root(x)
-                found.append((texts[x]["component"], texts[y]["component"]))
-    return found
-
-
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(batch.num_rows):
             row = batch.slice(at, 1)
-            first, flat = row.column("i")[0].as_py(), row.column("texts").flatten()
-            at_, values = flat.field("before").offsets.to_numpy(), flat.field("before").values.to_numpy()
-            columns = [flat.field(c).to_pylist() for c in ("block", "component", "words")]
-            texts = [{"block": b, "component": c, "words": w, "before": values[at_[n] : at_[n + 1]]} for n, (b, c, w) in enumerate(zip(*columns, strict=True))]
-            left, right = [t for t in texts if t["block"] == first], [t for t in texts if t["block"] != first]
-            found = _linked(left, right) if left and (right or row.column("j")[0].as_py() == first) else []
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+            i, j, flat = row.column("i")[0].as_py(), row.column("j")[0].as_py(), row.column("texts").flatten()
+            block, node, component, n_bytes = (flat.field(c).to_numpy() for c in ("block", "doc_id", "component", "bytes"))
+            bags, n = np.frombuffer(b"".join(flat.field("bag").to_pylist()), np.uint8).reshape(-1, BAG), n_bytes.astype(np.int64) // 4
+            x, y = np.flatnonzero(block == i), np.flatnonzero(block == j)
+            for start in range(0, x.size, ROWS):
+                part = x[start : start + ROWS]
+                met = within_reach(bags[part], bags[y], n[part], n[y]) & (component[part][:, None] != component[y][None, :])
+                if i == j:
+                    met &= node[part][:, None] < node[y][None, :]
+                r, c = np.nonzero(met)
+                a, b = part[r], y[c]
+                less = node[a] < node[b]
+                a, b = np.where(less, a, b), np.where(less, b, a)
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (node[a], node[b], component[a], component[b])], names=["a", "b", "ca", "cb"])
 
 
 def word_pairs(w: np.ndarray) -> np.ndarray:
@@ -343,8 +307,9 @@ def _keyed(counts: np.ndarray):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                keys = [rarest(np.frombuffer(raw, np.uint32).astype(np.uint64), counts) for raw in part.column("words").to_pylist()]
-                yield part.append_column("keys", pa.array(keys, pa.list_(pa.int64())))
+                each = [np.frombuffer(raw, np.uint32) for raw in part.column("words").to_pylist()]
+                keys = [rarest(w.astype(np.uint64), counts) for w in each]
+                yield part.append_column("keys", pa.array(keys, pa.list_(pa.int64()))).append_column("bag", pa.array([bag(w).tobytes() for w in each], pa.binary()))
 
     return run
 
@@ -354,39 +319,36 @@ def _by_rarest(tokens: DataFrame) -> DataFrame:
     cells = tokens.select("words").mapInArrow(_counted, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # CELLS rows at most
     counts = np.zeros(CELLS, np.int64)
     counts[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
-    return tokens.select("doc_id", "component", "bytes", "words").mapInArrow(_keyed(counts), "doc_id long, component long, bytes int, words binary, keys array<long>")
+    return tokens.select("doc_id", "component", "bytes", "words").mapInArrow(_keyed(counts), "doc_id long, component long, bytes int, words binary, keys array<long>, bag binary")
 
 
 def _buckets(tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``tokens`` (doc_id, component, bytes, keys) -> its texts by key, with the key's rank among the text's; and of the keys
-    under which texts of several components meet, the number of texts and bytes."""
-    each = tokens.select("doc_id", "component", "bytes", F.posexplode("keys").alias("rank", "key"))
-    sums = each.groupBy("key").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.min("component").alias("least"), F.max("component").alias("most"))
-    return each.drop("bytes"), sums.where("least < most").select("key", "n", "bytes")
-
-
-def _paired(each: DataFrame, sums: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Links (a, b) of components between all similar texts of each key of ``sums``, whose keys have few texts."""
-    own = each.join(sums.select("key"), "key").join(tokens.select("doc_id", "bytes"), "doc_id").select("key", "doc_id", "component", "bytes")
+    """``tokens`` (doc_id, component, bytes, keys) -> its texts by key; and of the keys under which texts of several components
+    meet, the number of texts. Of keys that the very same texts hold one stays."""
+    each = tokens.select("doc_id", "component", "bytes", F.explode("keys").alias("key"))
+    held = F.xxhash64("doc_id")
+    sums = each.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("least"), F.max("component").alias("most"), F.bit_xor(held).alias("x"), F.bit_xor(F.xxhash64(held, F.lit(1))).alias("y"), F.min("doc_id").alias("first"))
+    return each, sums.where("least < most").groupBy("n", "x", "y", "first").agg(F.min("key").alias("key")).select("key", "n")
+
+
+def _paired(each: DataFrame, sums: DataFrame) -> DataFrame:
+    """(a, b, ca, cb): pairs of texts of different components, with these, that share one of the keys of ``sums``, which have
+    few texts."""
+    own = each.join(sums.select("key"), "key")
     other = own.select("key", *(F.col(c).alias(f"{c}_b") for c in ("doc_id", "component", "bytes")))
     shorter, longer = F.least("bytes", "bytes_b"), F.greatest("bytes", "bytes_b")
     met = own.join(other, "key").where((F.col("doc_id") < F.col("doc_id_b")) & (F.col("component") != F.col("component_b")) & (shorter >= SIMILARITY * longer - 1e-6))
-    pairs = checkpoint(met.select(F.col("doc_id").alias("a"), F.col("doc_id_b").alias("b"), F.col("component").alias("ca"), F.col("component_b").alias("cb")).distinct())
-    near = _verified(pairs.select("a", "b"), tokens).where("near").select("a", "b")
-    out = checkpoint(pairs.join(near, ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-    forget(pairs)
-    return out
+    return met.select(F.col("doc_id").alias("a"), F.col("doc_id_b").alias("b"), F.col("component").alias("ca"), F.col("component_b").alias("cb"))
 
 
 def _within(each: DataFrame, sums: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Links (a, b) of components that join all similar texts of each bucket of ``sums``. Buckets are dealt in blocks, and
-    every block meets every other of its bucket in a task."""
-    blocks = sums.select("key", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))
+    """The same for keys with many texts, of which the bags of words allow that they are similar. Texts of a key are dealt in
+    blocks, and every block meets every other of its key in a task; what is sent of a text is its bag."""
+    blocks = sums.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     dealt = each.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("doc_id", "key"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    texts = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "rank").join(tokens.select("doc_id", "component", "words", "keys"), "doc_id")
-    before = F.slice("keys", F.lit(1), F.col("rank")).alias("before")  # an earlier key that two texts share has compared them
-    grouped = texts.select("key", "i", "j", F.struct("block", "component", "words", before).alias("text")).groupBy("key", "i", "j").agg(F.collect_list("text").alias("texts"))
-    return checkpoint(grouped.select("i", "j", "texts").mapInArrow(_compared, "a long, b long"))
+    texts = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "component", "bytes").join(tokens.select("doc_id", "bag"), "doc_id")
+    grouped = texts.groupBy("key", "i", "j").agg(F.collect_list(F.struct("block", "doc_id", "component", "bytes", "bag")).alias("texts"))
+    return grouped.select("i", "j", "texts").mapInArrow(_reached, "a long, b long, ca long, cb long")
 
 
 def links(texts: DataFrame, sketched: DataFrame, docs: DataFrame) -> DataFrame:
@@ -420,15 +382,15 @@ def links(texts: DataFrame, sketched: DataFrame, docs: DataFrame) -> DataFrame:
     forget(held)
     each, sums = _buckets(rare)
     sums = checkpoint(sums)
-    # All texts of each key are compared: as pairs where they are few, which ships words once a pair, else in blocks.
-    apart = _paired(each, sums.where(F.col("n") <= FEW), rare)
-    further = _within(each, sums.where(F.col("n") > FEW), rare)
-    second = components(apart.unionByName(further))
+    # All texts of each key are compared: as pairs where they are few, else in blocks. Words are sent once a pair.
+    met = checkpoint(_paired(each, sums.where(F.col("n") <= FEW)).unionByName(_within(each, sums.where(F.col("n") > FEW), rare)).distinct())
+    further = checkpoint(met.join(_verified(met.select("a", "b"), rare).where("near").select("a", "b"), ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    second = components(further)
     # Components that further links join go under the least of them.
     moved = first.withColumnRenamed("component", "goal").join(second.select(F.col("node").alias("goal"), "component"), "goal", "left").select("node", F.coalesce("component", "goal").alias("component"))
     alone = second.join(first.select("node"), "node", "left_anti")
     out = checkpoint(moved.unionByName(alone))
-    forget(pairs, judged, unlike, rare, sums, apart, further, first, second)
+    forget(pairs, judged, unlike, rare, sums, met, further, first, second)
     return out
 
 

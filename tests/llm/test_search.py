@@ -209,25 +209,34 @@ def test_pairs_in_buckets_of_a_shared_passage_are_found(spark):
     assert all(got[i] == i for i in range(40))
 
 
-def test_texts_of_a_bucket_are_compared_with_those_its_first_reached():
+def test_texts_of_a_bucket_are_compared_with_those_its_first_reached(spark):
     rng = random.Random(12)
     first = _prose(rng, 100).split()
     second, third = first[:], first[:]
     second[:18] = [f"y{i}" for i in range(18)]
     third[:36] = second[:18] + [f"z{i}" for i in range(18)]
-    none = np.zeros(0, np.int64)
-    texts = [{"component": i, "before": none, "words": (near_dedup.words(" ".join(t)) >> np.uint64(32)).astype(np.uint32).tobytes()} for i, t in enumerate((first, second, third))]
-    assert not near_dedup.similar(texts[0]["words"], texts[2]["words"])
-    assert {frozenset(x) for x in near_dedup._linked(texts, [])} == {frozenset((0, 1)), frozenset((1, 2))}
-    assert near_dedup._linked(texts[:1], texts[1:]) == [(0, 1)] and near_dedup._linked(texts[:1], texts[2:]) == []
-    met = [t | {"before": np.array([7])} for t in texts]
-    assert near_dedup._linked(met, []) == [], "an earlier key's bucket compares them"
-
-
-def test_shared_words_count_repeats():
-    bags = [near_dedup.bag(np.array(x, np.uint32)) for x in ([1, 1, 2, 5], [1, 1, 1, 2], [7], [2, 5, 5, 1])]
-    assert near_dedup.shared(bags, bags)[0, 1:].tolist() == [3, 0, 3] and near_dedup.shared(bags, bags)[1, 2:].tolist() == [0, 2]
-    assert near_dedup.shared(bags[:2], bags[2:]).tolist() == [[0, 3], [0, 2]] and near_dedup.shared(bags[2:3], bags[:1]).tolist() == [[0]]
+    packed = [(near_dedup.words(" ".join(t)) >> np.uint64(32)).astype(np.uint32).tobytes() for t in (first, second, third)]
+    assert near_dedup.similar(packed[0], packed[1]) and near_dedup.similar(packed[1], packed[2]) and not near_dedup.similar(packed[0], packed[2])
+    got = {r.doc_id: r.class_id for r in near_dedup.classes(docs(spark, [(i, " ".join(t)) for i, t in enumerate((first, second, third))])).collect()}
+    assert set(got.values()) == {0}
+
+
+def test_bags_never_rule_similar_texts_out():
+    rng = random.Random(17)
+    texts = []
+    for _ in range(40):
+        base = [rng.choice("abcdefghij") + rng.choice("xyz") for _ in range(rng.randrange(5, 400))]
+        copy = base[:]
+        for _ in range(rng.randrange(0, near_dedup._budget(len(copy)) + 1)):
+            at = rng.randrange(len(copy))
+            copy[at : at + rng.randrange(0, 2)] = [f"n{rng.randrange(9)}"] * rng.randrange(0, 2)
+        texts += [base, copy]
+    texts += [["same"] * 900, ["same"] * 800, ["same"] * 700]  # counts that end at 255
+    packed = [(near_dedup.words(" ".join(t)) >> np.uint64(32)).astype(np.uint32) for t in texts]
+    bags, n = np.stack([near_dedup.bag(w) for w in packed]), np.array([w.size for w in packed])
+    met = near_dedup.within_reach(bags, bags, n, n)
+    near = np.array([[near_dedup.similar(a.tobytes(), b.tobytes()) for b in packed] for a in packed])
+    assert (met | ~near).all() and near.sum() > len(texts) + 40 and met.mean() < 0.5
 
 
 def test_similar_texts_share_a_rarest_word_pair():
