@@ -226,6 +226,11 @@ def bag(w: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount(w.astype(np.int64) % BAG, minlength=BAG), 255).astype(np.uint8)
 
 
+def coarser(bags: np.ndarray) -> np.ndarray:
+    """Bags of an eighth of the classes, which are only nearer."""
+    return np.minimum(bags.reshape(len(bags), -1, 8).sum(axis=2, dtype=np.int64), 255).astype(np.uint8)
+
+
 def within_reach(left: np.ndarray, right: np.ndarray, words_left: np.ndarray, words_right: np.ndarray) -> np.ndarray:
     """For texts by their bags and numbers of words: whether the bags allow that two are similar.
 
@@ -309,7 +314,11 @@ def _keyed(counts: np.ndarray):
                 part = batch.slice(at, 256)
                 each = [np.frombuffer(raw, np.uint32) for raw in part.column("words").to_pylist()]
                 keys = [rarest(w.astype(np.uint64), counts) for w in each]
-                yield part.append_column("keys", pa.array(keys, pa.list_(pa.int64()))).append_column("bag", pa.array([bag(w).tobytes() for w in each], pa.binary()))
+                bags = np.stack([bag(w) for w in each])
+                packed = {"keys": pa.array(keys, pa.list_(pa.int64())), "bag": pa.array([b.tobytes() for b in bags], pa.binary()), "coarse": pa.array([b.tobytes() for b in coarser(bags)], pa.binary())}
+                for name, column in packed.items():
+                    part = part.append_column(name, column)
+                yield part
 
     return run
 
@@ -319,7 +328,7 @@ def _by_rarest(tokens: DataFrame) -> DataFrame:
     cells = tokens.select("words").mapInArrow(_counted, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # CELLS rows at most
     counts = np.zeros(CELLS, np.int64)
     counts[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
-    return tokens.select("doc_id", "component", "bytes", "words").mapInArrow(_keyed(counts), "doc_id long, component long, bytes int, words binary, keys array<long>, bag binary")
+    return tokens.select("doc_id", "component", "bytes", "words").mapInArrow(_keyed(counts), "doc_id long, component long, bytes int, words binary, keys array<long>, bag binary, coarse binary")
 
 
 def _buckets(tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -341,6 +350,22 @@ def _paired(each: DataFrame, sums: DataFrame) -> DataFrame:
     return met.select(F.col("doc_id").alias("a"), F.col("doc_id_b").alias("b"), F.col("component").alias("ca"), F.col("component_b").alias("cb"))
 
 
+def _plausible(pairs: DataFrame, tokens: DataFrame, bags: str) -> DataFrame:
+    """Those of ``pairs`` (a, b, ca, cb) that their bags (a column of ``tokens``) allow to be similar: what is sent for a pair is
+    far less than words."""
+    side = lambda end: tokens.select(F.col("doc_id").alias(end), (F.col("bytes") / 4).cast("int").alias(f"n_{end}"), F.col(bags).alias(f"bag_{end}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ca", "cb", "n_a", "n_b", "bag_a", "bag_b").mapInArrow(_allowed, "a long, b long, ca long, cb long")
+
+
+def _allowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1).astype(np.int16) for c in ("bag_a", "bag_b"))
+        m, n = (batch.column(c).to_numpy().astype(np.int64) for c in ("n_a", "n_b"))
+        longer, shorter = np.maximum(m, n), np.minimum(m, n)
+        edits = ((1 - SIMILARITY) * longer + 1e-9).astype(np.int64)
+        yield batch.select(["a", "b", "ca", "cb"]).filter(pa.array(np.abs(x - y).sum(axis=1, dtype=np.int64) <= 2 * edits - (longer - shorter)))
+
+
 def _within(each: DataFrame, sums: DataFrame, tokens: DataFrame) -> DataFrame:
     """The same for keys with many texts, of which the bags of words allow that they are similar. Texts of a key are dealt in
     blocks, and every block meets every other of its key in a task; what is sent of a text is its bag."""
@@ -383,7 +408,10 @@ def links(texts: DataFrame, sketched: DataFrame, docs: DataFrame) -> DataFrame:
     each, sums = _buckets(rare)
     sums = checkpoint(sums)
     # All texts of each key are compared: as pairs where they are few, else in blocks. Words are sent once a pair.
-    met = checkpoint(_paired(each, sums.where(F.col("n") <= FEW)).unionByName(_within(each, sums.where(F.col("n") > FEW), rare)).distinct())
+    few = _paired(each, sums.where(F.col("n") <= FEW)).distinct()
+    for bags in ("coarse", "bag"):
+        few = _plausible(few, rare, bags)
+    met = checkpoint(few.unionByName(_within(each, sums.where(F.col("n") > FEW), rare)).distinct())
     further = checkpoint(met.join(_verified(met.select("a", "b"), rare).where("near").select("a", "b"), ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
     second = components(further)
     # Components that further links join go under the least of them.

@@ -236,6 +236,9 @@ def test_bags_never_rule_similar_texts_out():
     bags, n = np.stack([near_dedup.bag(w) for w in packed]), np.array([w.size for w in packed])
     met = near_dedup.within_reach(bags, bags, n, n)
     near = np.array([[near_dedup.similar(a.tobytes(), b.tobytes()) for b in packed] for a in packed])
+    coarse = near_dedup.coarser(bags).astype(int)
+    apart = np.abs(coarse[:, None] - coarse[None]).sum(axis=2)
+    assert (apart <= np.abs(bags[:, None].astype(int) - bags[None]).sum(axis=2)).all()
     assert (met | ~near).all() and near.sum() > len(texts) + 40 and met.mean() < 0.5
 
 
