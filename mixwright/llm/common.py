@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -19,14 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder that all executors share: spark.checkpoint.dir, or what the session has set."""
+    """The folder that all executors share: what the session has set, spark.checkpoint.dir, or the warehouse."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         shared = context.getConf().get("spark.checkpoint.dir")
-        if not shared and context.master.startswith("local["):  # one machine, as in tests
-            shared = tempfile.mkdtemp(prefix="checkpoints_")
-        if not shared:
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if not shared:  # the warehouse is shared by definition
+            shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
         context.setCheckpointDir(shared)
     return context._jsc.sc().getCheckpointDir().get()
 

@@ -107,8 +107,12 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), max_repea
 
 def mixture(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` with n_words, taken and positions, range-sorted by the first use into training order; rows of which the mix
-    takes nothing are left out. Rows alike in id and text share the earliest positions and the largest taken of theirs."""
-    mixed = mix(docs, **settings).where("taken > 0").groupBy(F.col("key").alias("_key")).agg(F.max("size").alias("n_words"), F.max("taken").alias("taken"), F.min("positions").alias("positions"))
-    joined = docs.drop("n_words", "taken", "positions").withColumn("_key", document_key()).join(mixed, "_key").drop("_key")
+    takes nothing are left out. Rows alike in id and text share the earliest positions and the largest taken of theirs. Columns
+    that ``docs`` itself has under these names are kept as given_n_words, given_taken and given_positions; null ids and texts
+    and empty tables are as in mix()."""
+    made, own = ("n_words", "taken", "positions"), "_mixture_own_key_"
+    mixed = mix(docs, **settings).where("taken > 0").groupBy(F.col("key").alias(own)).agg(F.max("size").alias("n_words"), F.max("taken").alias("taken"), F.min("positions").alias("positions"))
+    kept = docs.withColumnsRenamed({c: f"given_{c}" for c in docs.columns if c in made})
+    joined = kept.withColumn(own, document_key()).join(mixed, own).drop(own)
     first = F.get("positions", F.lit(0))
     return joined.repartitionByRange(first, "doc_id").sortWithinPartitions(first, "doc_id")

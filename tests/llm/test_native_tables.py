@@ -90,6 +90,16 @@ def test_mixture_keeps_rows_apart_that_share_an_id(spark):
     assert all(0 < r.taken <= 3 * r.n_words for r in out)
 
 
+def test_mixture_keeps_columns_that_clash(spark):
+    from pyspark.sql import functions as F
+
+    df = docs(spark, [(i, f"some words of text {i}") for i in range(30)]).withColumns({"n_words": F.lit(-1), "taken": F.lit("t"), "positions": F.lit("p"), "_key": F.lit("k"), "size": F.lit(-2), "target": F.lit("x")})
+    out = mixing.mixture(df)
+    assert {"given_n_words", "given_taken", "given_positions", "_key", "size", "target"} <= set(out.columns) and len(set(out.columns)) == len(out.columns)
+    rows = out.collect()
+    assert rows and all((r.given_n_words, r.given_taken, r.given_positions, r["_key"], r.size, r.target) == (-1, "t", "p", "k", -2, "x") and r.n_words == 5 for r in rows)
+
+
 def test_schedule_inverts_its_integral(spark):
     from pyspark.sql import functions as F
 
