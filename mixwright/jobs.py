@@ -114,17 +114,17 @@ def features(spark: SparkSession, settings: Settings) -> DataFrame:
     df, roles = _resolved(spark.read.parquet(_at(settings, "interim", "cleaned")), settings)
     s, names, f = _series(roles), {c.lower(): n for n, c in settings.data.channel_map.items()}, settings.features
     day, revenue, spend = F.col(s.order), F.col(roles["revenue"][0]).cast("double"), roles["spend"]
-    worn = f.creative_fatigue if f.creative_fatigue.get("enabled") else {}
-    if worn:
-        found = worn.get("refresh_detection") or {}
-        method = {"spend_change": "spend_change", "campaign_launch": "campaign_launch"}.get(found.get("method"), "periodic")
-        for c in spend:
-            df = fatigue.refreshes(df, s, c, method, **({"days": found.get("period_days", 30)} if method == "periodic" else {}))
-            df = df.withColumn(c, F.col(c) * fatigue.worn(day, F.col("refreshed"), s, worn.get("half_life_days", 14), worn.get("min_effectiveness", 0.2))).withColumnRenamed("refreshed", f"creative_refresh_{c}")
-    made = [(c, *_response(F.col(c), s, f.carry_over(names[c]), f.response(names[c]))) for c in spend]
+    (wear, _), seasonal = f.wear(), f.seasonal()
+    own = {"least": wear["least"], "window": wear["window"], "gap": wear["gap"]} if wear["method"] == "spend_change" else {"threshold": wear["threshold"], "gap": wear["gap"]} if wear["method"] == "campaign_launch" else {}
+    for c in spend if wear["enabled"] else ():
+        df = fatigue.refreshes(df, s, c, wear["method"], **own)
+        df = df.withColumn(f"creative_fatigue_{c}", fatigue.worn(day, F.col("refreshed"), s, wear["half_life"], wear["floor"])).drop("refreshed")
+    worn = lambda x, c, stage: x * F.col(f"creative_fatigue_{c}") if wear["enabled"] and wear["stage"] == stage else x
+    made = [(c, *_response(worn(F.col(c), c, "raw"), s, f.carry_over(names[c]), f.response(names[c]))) for c in spend]
     df = df.select("*", *(y.alias(f"{c}_adstocked") for c, y, _ in made))
+    df = df.withColumns({f"{c}_adstocked": worn(F.col(f"{c}_adstocked"), c, "adstocked") for c in spend})
     df = df.select("*", *(curve(F.col(f"{c}_adstocked")).alias(f"{c}_adstocked_saturated") for c, _, curve in made))
-    columns = calendar.fourier(day, 1) | {f"dow_{n}": (F.weekday(day) == n).cast("int") for n in range(6)} | {"is_weekend": (F.weekday(day) >= 5).cast("int"), "trend": F.datediff(day, F.min(day).over(s.whole())) / 365.25}
+    columns = calendar.fourier(day, seasonal["fourier_terms"]) | {f"dow_{n}": (F.weekday(day) == n).cast("int") for n in range(6)} | {"is_weekend": (F.weekday(day) >= 5).cast("int"), "trend": F.datediff(day, F.min(day).over(s.whole())) / 365.25}
     for e in f.baseline.get("external_events") or []:
         columns |= baseline.event(day, e["name"], str(e["start"]), str(e["end"]), e.get("impact_type", "step"))
     for c in f.custom_terms.get("campaigns") or []:
@@ -139,10 +139,13 @@ def features(spark: SparkSession, settings: Settings) -> DataFrame:
         columns |= {f"competitor_{n}": c for n, c in (*indices.items(), *market.background(day, total, s).items())}
     df = df.withColumns(columns)
     years = df.agg(F.year(F.min(day)).alias("a"), F.year(F.max(day)).alias("b")).first()
-    if f.seasonality.get("holidays", {}).get("enabled", True) and years.a:
-        near = calendar.holiday_table(spark, years.a, years.b)
-        flags = near.groupBy(F.col("holiday_date").alias(s.order)).agg(*(F.max((F.col("holiday") == n).cast("int")).alias(f"holiday_{n}") for n in sorted({n for _, n in calendar.holidays(years.a, years.a)})))
-        df = df.join(F.broadcast(flags), s.order, "left").fillna(0, [c for c in flags.columns if c != s.order])  # fourteen days a year
+    if seasonal["holiday_calendar"] == "US" and years.a:
+        shifts = {"": 0} | {f"_{e}": {"before": -1, "after": 1}[e] for e in seasonal["holiday_effects"] or []}
+        near = calendar.holiday_table(spark, years.a, years.b).withColumn("end", F.explode(F.array(*map(F.lit, shifts))))
+        shift = F.coalesce(*(F.when(F.col("end") == e, F.lit(n)) for e, n in shifts.items()))
+        kinds = sorted({n for _, n in calendar.holidays(years.a, years.a)})
+        flags = near.groupBy(F.date_add("holiday_date", shift).alias(s.order)).agg(*(F.max(((F.col("holiday") == n) & (F.col("end") == e)).cast("int")).alias(f"holiday_{n}{e}") for n in kinds for e in shifts))
+        df = df.join(F.broadcast(flags), s.order, "left").fillna(0, [c for c in flags.columns if c != s.order])  # some forty days a year
     files.write_features(df, _at(settings, "features", "features"))
     return spark.read.parquet(_at(settings, "features", "features"))
 

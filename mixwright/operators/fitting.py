@@ -9,9 +9,11 @@ from __future__ import annotations
 import json
 import re
 import time
+from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,26 +58,23 @@ def select(df: DataFrame, target: str, spend: list[str] = (), allow_from_target:
     return Selection(target, groups, [c.removesuffix("_adstocked_saturated") for c in groups["media"]])
 
 
-def _corr(a: str, b: str) -> Column:
-    """Null where a column is constant."""
-    spread = F.stddev_samp(a) * F.stddev_samp(b)
-    return F.try_divide(F.covar_samp(a, b), F.when(spread != 0, spread))
-
-
 def check_inputs(df: DataFrame, chosen: Selection, closest: float = 0.99) -> dict[str, list]:
     """Nulls in features or target are an error, all of them named; constant features and pairs over ``closest`` correlation are
-    returned. One aggregate."""
+    returned. One aggregate for nulls, one for cross products."""
     names = [*chosen.features, chosen.target]
     x = df.select(*(F.col(c).cast("double").alias(c) for c in names))
-    pairs = [(a, b) for i, a in enumerate(chosen.features) for b in chosen.features[i + 1 :]]
-    bad = lambda c: F.count_if(F.col(c).isNull() | F.isnan(c))
-    one = x.agg(F.struct(*(bad(c).alias(c) for c in names)).alias("nulls"), F.struct(*(F.var_samp(c).alias(c) for c in names)).alias("variance"), F.array(*(_corr(a, b) for a, b in pairs)).alias("corr")).first()
-    nulls = {c: one.nulls[c] for c in names if one.nulls[c]}
+    one = x.agg(*(F.count_if(F.col(c).isNull() | F.isnan(c)).alias(c) for c in names), *(F.var_samp(c).alias(f"var_{c}") for c in chosen.features), *(F.avg(c).alias(f"mean_{c}") for c in chosen.features)).first()
+    nulls = {c: one[c] for c in names if one[c]}
     if nulls:
         raise ValueError("nulls in " + ", ".join(f"{c} ({n})" for c, n in nulls.items()))
-    flat = [c for c in chosen.features if one.variance[c] is None or one.variance[c] < 1e-8]
-    near = [pair for pair, r in zip(pairs, one["corr"], strict=True) if r is not None and not np.isnan(r) and abs(r) > closest]
-    return {"constant": flat, "correlated": near}
+    flat = [c for c in chosen.features if one[f"var_{c}"] is None or one[f"var_{c}"] < 1e-8]
+    rest = [c for c in chosen.features if c not in flat]
+    # Less their means first, so that cross products lose no digits.
+    near = x.select(*((F.col(c) - F.lit(one[f"mean_{c}"])).alias(c) for c in rest), chosen.target)
+    gram = _moments(near, rest, F.col(chosen.target))[0][1:, 1:] if len(rest) > 1 else np.eye(len(rest))
+    length = np.sqrt(np.diag(gram))
+    alike = [(a, b) for i, a in enumerate(rest) for j, b in enumerate(rest[i + 1 :], i + 1) if abs(gram[i, j]) > closest * length[i] * length[j]]
+    return {"constant": flat, "correlated": alike}
 
 
 def _aligned(df: DataFrame, features: list[str]) -> list[Column]:
@@ -85,21 +84,26 @@ def _aligned(df: DataFrame, features: list[str]) -> list[Column]:
 
 def _moments(df: DataFrame, features: list[str], y: Column, weight=None) -> tuple[np.ndarray, np.ndarray, float, int, float]:
     """Weighted cross products of the columns and a leading one: of each other, with the target, of the target; rows and the sum
-    of weights."""
-    x = [F.lit(1.0), *_aligned(df, features)]
-    rows = df.select(*(c.alias(f"x{i}") for i, c in enumerate(x)), y.alias("y")).where(F.col("y").isNotNull())
-    n = len(x)
-    w = F.lit(1.0) if weight is None else weight([F.col(f"x{i}") for i in range(n)], F.col("y"))
-    rows = rows.withColumn("w", w)
-    upper = [(i, j) for i in range(n) for j in range(i, n)]
-    sums = [F.sum(F.col("w") * F.col(f"x{i}") * F.col(f"x{j}")) for i, j in upper] + [F.sum(F.col("w") * F.col(f"x{i}") * F.col("y")) for i in range(n)]
-    one = rows.agg(F.array(*sums).alias("s"), F.sum(F.col("w") * F.col("y") * F.col("y")).alias("yy"), F.count("*").alias("n"), F.sum("w").alias("w")).first()
-    if not one.n:
+    of weights. A task sums up its own rows as matrices and gives one row; what meets is as large as the features squared.
+    ``weight`` takes a matrix of rows and their targets."""
+    n = len(features) + 1
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(n * n + n + 3)
+        for b in batches:
+            x, t = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, n), b.column(1).to_numpy(zero_copy_only=False)
+            w = np.ones(len(t)) if weight is None else weight(x, t)
+            total += np.concatenate([(x.T @ (w[:, None] * x)).ravel(), x.T @ (w * t), [(w * t * t).sum(), len(t), w.sum()]])
+        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], names=["s"])
+
+    rows = df.select(F.array(F.lit(1.0), *_aligned(df, features)).alias("x"), y.alias("y")).where(F.col("y").isNotNull())
+    cells = rows.mapInArrow(summed, "s array<double>").select(F.posexplode("s").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v")).collect()
+    one = np.zeros(n * n + n + 3)
+    for r in cells:
+        one[r.i] = r.v
+    if not one[-2]:
         raise ValueError("no row has a target")
-    gram = np.zeros((n, n))
-    for (i, j), v in zip(upper, one.s, strict=False):
-        gram[i, j] = gram[j, i] = v
-    return gram, np.array(one.s[len(upper) :], float), float(one.yy), int(one.n), float(one.w)
+    return one[: n * n].reshape(n, n), one[n * n : n * n + n], float(one[-3]), int(one[-2]), float(one[-1])
 
 
 def _solved(gram, moment, sigma2: float, prior: float, prior0: float) -> np.ndarray:
@@ -204,12 +208,7 @@ class Estimator:
             sigma2 = max((yy - 2 * w @ moment + w @ gram @ w) / n, 1e-12)
             rounds += 1
             converged = bool(np.abs(w - last).max() <= self.tolerance * max(1.0, np.abs(w).max()))
-            now, s2 = w.copy(), sigma2
-
-            def weight(x, y, now=now, s2=s2):
-                guess = F.lit(float(now[0]))
-                for c, v in zip(x[1:], now[1:], strict=True):
-                    guess = guess + F.lit(float(v)) * c
-                return (self.freedom + 1) / (self.freedom + F.pow(y - guess, 2) / s2)
+            now, s2, freedom = w.copy(), sigma2, self.freedom
+            weight = lambda x, t, now=now, s2=s2: (freedom + 1) / (freedom + (t - x @ now) ** 2 / s2)
 
         return w, sigma2, rounds, converged

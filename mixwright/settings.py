@@ -91,6 +91,40 @@ class Features:
         return {**(self.saturation.get("default") or {"type": "hill", "k": 0.5, "s": 1.0}), **own}
 
 
+    def wear(self) -> tuple[dict[str, Any], list[str]]:
+        """How creatives wear out, as far as settings say, and what of that was out of range and is taken as usual instead."""
+        given, warned = self.creative_fatigue, []
+        found = given.get("refresh_detection") or {}
+
+        def number(of: dict, key: str, usual: float, fits) -> float:
+            x = of.get(key, usual)
+            if isinstance(x, bool) or not isinstance(x, int | float) or not fits(x):
+                warned.append(f"features.creative_fatigue.{key}: {x!r} is out of range, {usual} is taken")
+                return usual
+            return x
+
+        signal = given.get("refresh_signal", "periodic")
+        out = {
+            "half_life": number(given, "half_life", 14, lambda x: x > 0), "floor": number(given, "fatigue_floor", 0.2, lambda x: 0 <= x < 1), "gap": int(number(found, "min_gap_days", 7, lambda x: x >= 1)),
+            "least": number(found, "spend_change_threshold", 0.5, lambda x: 0 < x <= 5), "window": int(number(found, "rolling_window_days", 7, lambda x: x >= 1)), "threshold": number(found, "campaign_launch_threshold", 0.1, lambda x: x >= 0),
+            "method": {"weekly_creative_change": "spend_change", "campaign_launch": "campaign_launch"}.get(signal, "periodic"), "stage": given.get("apply_to_stage", "adstocked"), "enabled": bool(given.get("enabled")),
+        }
+        if out["half_life"] > 365:
+            warned.append("features.creative_fatigue.half_life is over a year")
+        if out["stage"] not in ("raw", "adstocked"):
+            raise ValueError("features.creative_fatigue.apply_to_stage: raw or adstocked is needed")
+        return out, warned
+
+    def seasonal(self) -> dict[str, Any]:
+        """Terms of the waves, effects of holidays and patterns, with the usual ones where settings say nothing."""
+        given = {"fourier_terms": 4, "yearly_trend": True, "weekly_patterns": True, "monthly_patterns": True, "holiday_calendar": "US", "holiday_effects": ["before", "after"], **self.seasonality}
+        if isinstance(given["fourier_terms"], bool) or not isinstance(given["fourier_terms"], int) or not 1 <= given["fourier_terms"] <= 20:
+            raise ValueError("features.seasonality.fourier_terms: a whole number from 1 to 20 is needed")
+        if not set(given["holiday_effects"] or []) <= {"before", "after"}:
+            raise ValueError("features.seasonality.holiday_effects: before and after are known")
+        return given
+
+
 @dataclass(frozen=True)
 class Model:
     backend: str = "meridian"
@@ -209,6 +243,7 @@ def problems(settings: Settings) -> list[str]:
             found.append(f"features.adstock of {channel}: shape and scale above 0 are needed")
         if not all(isinstance(curve.get(k, 1.0), int | float) and curve.get(k, 1.0) > 0 for k in ("k", "s")):
             found.append(f"features.saturation of {channel}: k and s above 0 are needed")
+    found += settings.features.wear()[1]
     shares, rest = settings.optimization.shares()
     sides = [shares.get(c, rest) for c in sorted(channels)]
     if channels and (sum(a for a, _ in sides) > 1 or sum(b for _, b in sides) < 1):

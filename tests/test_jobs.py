@@ -13,7 +13,7 @@ from mixwright.sources.panel import panel
 CONFIG = """
 paths: {{raw: "{0}/raw", interim: "{0}/interim", models: "{0}/models", features: "{0}/features", reports: "{0}/reports"}}
 data: {{date_col: DATE_DAY, brand_key: brand, region_key: region, revenue_col: revenue, channel_map: {{search: SEARCH_SPEND, tiktok: tiktok_spend, display: display_spend, facebook: facebook_spend}}}}
-features: {{adstock: {{platform_overrides: {{tiktok: {{type: weibull, shape: 2.0, scale: 3.0}}}}}}, saturation: {{platform_overrides: {{display: {{type: logistic, k: 5.0}}}}}}, creative_fatigue: {{enabled: true, refresh_detection: {{method: campaign_launch}}}}, baseline: {{external_events: [{{name: strike, start: 1996-05-01, end: 1996-05-20}}]}}, custom_terms: {{promo_flag: {{enabled: true}}, campaigns: [{{campaign_name: spring, start_date: 1996-03-10, end_date: 1996-03-24, discount_pct: 0.2}}]}}, competitors: {{enabled: true}}}}
+features: {{adstock: {{platform_overrides: {{tiktok: {{type: weibull, shape: 2.0, scale: 3.0}}}}}}, saturation: {{platform_overrides: {{display: {{type: logistic, k: 5.0}}}}}}, seasonality: {{fourier_terms: 2}}, creative_fatigue: {{enabled: true, refresh_signal: campaign_launch}}, baseline: {{external_events: [{{name: strike, start: 1996-05-01, end: 1996-05-20}}]}}, custom_terms: {{promo_flag: {{enabled: true}}, campaigns: [{{campaign_name: spring, start_date: 1996-03-10, end_date: 1996-03-24, discount_pct: 0.2}}]}}, competitors: {{enabled: true}}}}
 model: {{likelihood: student_t, priors: {{roi_bounds: {{search: [1, 5]}}}}}}
 optimization: {{platform_constraints: {{default_max_spend_pct: 0.5, platform_specific: {{display: {{min_spend_pct: 0.3, max_spend_pct: 0.5}}}}}}, scenario_presets: {{low: 0.8, high: {{budget_multiplier: 1.2, platform_adjustments: {{tiktok: 2.0}}}}}}}}
 reports: {{}}
@@ -43,7 +43,7 @@ def test_a_run_from_raw_table_to_report(spark, sf_dir, tmp_path):
     moved = {s: {r.channel: r.current for r in plan if r.scenario == s} for s in ("current", "high")}
     assert moved["high"]["tiktok"] > moved["current"]["tiktok"] and sum(moved["high"].values()) == pytest.approx(sum(moved["current"].values()))
     made = spark.read.parquet(f"{config.paths.features}/features")
-    assert {"search_spend_adstocked_saturated", "holiday_christmas", "external_strike", "promo_spring_ramp", "dow_0", "competitor_hhi", "creative_refresh_search_spend"} <= set(made.columns)
+    assert {"search_spend_adstocked_saturated", "holiday_christmas", "external_strike", "promo_spring_ramp", "dow_0", "competitor_hhi", "creative_fatigue_search_spend", "holiday_easter_after", "sin_year_2"} <= set(made.columns)
     cleaned = spark.read.parquet(f"{config.paths.interim}/cleaned")
     assert cleaned.count() == raw.count() and dict(cleaned.dtypes)["ingestion_ts"] == "timestamp" and dict(cleaned.dtypes)["is_live"] == "boolean"
     assert cleaned.agg(F.max("search_ctr"), F.count_if(F.col("note") == "later")).first() == (0.25, 20), "rates are averaged, strings are the latest"
@@ -86,6 +86,19 @@ def test_settings_are_checked():
     assert settings.merged({"a": {"b": 1, "c": [1]}, "d": 2}, {"a": {"c": [2]}}) == {"a": {"b": 1, "c": [2]}, "d": 2}
 
 
+def test_wear_and_seasons_are_checked():
+    features = lambda **given: settings.bound(settings.Settings, {"features": given}).features
+    wear, warned = features(creative_fatigue={"half_life": -3, "fatigue_floor": 1.5, "refresh_signal": "weekly_creative_change", "refresh_detection": {"min_gap_days": 0, "spend_change_threshold": 9}}).wear()
+    assert (wear["half_life"], wear["floor"], wear["gap"], wear["least"], wear["method"], wear["enabled"]) == (14, 0.2, 7, 0.5, "spend_change", False) and len(warned) == 4
+    assert features(creative_fatigue={"half_life": 30, "enabled": True}).wear() == ({**features(creative_fatigue={"enabled": True}).wear()[0], "half_life": 30}, [])
+    assert features().seasonal()["fourier_terms"] == 4
+    for bad in ({"fourier_terms": 0}, {"fourier_terms": 2.5}, {"holiday_effects": ["during"]}):
+        with pytest.raises(ValueError):
+            features(seasonality=bad).seasonal()
+    with pytest.raises(ValueError):
+        features(creative_fatigue={"apply_to_stage": "later"}).wear()
+
+
 def test_problems_are_all_named(tmp_path):
     given = settings.bound(settings.Settings, {
         "data": {"channel_map": {"a": "a_spend", "b": "b_spend"}}, "features": {"adstock": {"default": {"decay": 1.5}}, "saturation": {"platform_overrides": {"b": {"k": -1}}}},
