@@ -3,9 +3,10 @@
 Exact copies are put together first. Each different text is sketched: of its occurrence-labelled five-word shingles every
 sketch takes the ``ELL`` with the least hash and keeps them in text order. Texts that agree in a sketch meet in a bucket, and
 the first of a bucket is aligned with the others (word edit distance in a band): all that most buckets, which hold copies of
-one text, need. Texts of buckets that their first does not reach whole, such as those of a passage that many texts share, are
-compared by an exact filter, whatever the size of the bucket: texts within the edit bound share one of their rarest word pairs.
-Links are closed to classes by connected components. Alignment compares words by 32 bits of a hash of each.
+one text, need. Of buckets that their first does not reach whole, such as those of a passage that many texts share, each text
+meets each of another component, whatever the size of the bucket: their bags of words rule out what can't be within the edit
+bound, and the rest is aligned. Links are closed to classes by connected components. Alignment compares words by 32 bits of a
+hash of each.
 
 A different text is a node of its own, whatever the doc_id of its rows: rows that share an id, or have none, are neither merged
 nor lost.
@@ -32,9 +33,7 @@ SHINGLE, ELL, SKETCHES, SIMILARITY = 5, 2, 96, 0.8
 #: at once; and classes of words that a text's bag counts.
 BLOCK, ROWS, BAG = 2048, 256, 512
 #: Of a key with at most so many texts all pairs are formed.
-FEW = 64
-#: Counts of word pairs are kept in this many cells, which tell rare ones from common ones; the result is the same with any.
-CELLS = 1 << 18
+FEW = 16
 #: Pairs that one text takes part in as the first are dealt over tasks in lots of this many.
 LOT = 64
 
@@ -276,68 +275,22 @@ def _reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(v) for v in (node[a], node[b], component[a], component[b])], names=["a", "b", "ca", "cb"])
 
 
-def word_pairs(w: np.ndarray) -> np.ndarray:
-    """Hashes of the pairs of neighbouring words, each with the number of its occurrence."""
-    return shingles(w, 2) if w.size > 1 else np.zeros(0, np.uint64)
-
-
-def _cells(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(20)).astype(np.int64) & (CELLS - 1)
-
-
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(CELLS, np.int64)
+def _bagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for raw in batch.column("words").to_pylist():
-            counts += np.bincount(_cells(word_pairs(np.frombuffer(raw, np.uint32).astype(np.uint64))), minlength=CELLS)
-    at = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["cell", "n"])
-
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            bags = np.stack([bag(np.frombuffer(raw, np.uint32)) for raw in part.column("words").to_pylist()])
+            for name, column in (("bag", bags), ("coarse", coarser(bags))):
+                part = part.append_column(name, pa.array([b.tobytes() for b in column], pa.binary()))
+            yield part
 
-def rarest(w: np.ndarray, counts: np.ndarray, least: float = SIMILARITY) -> np.ndarray:
-    """The rarest word pairs of a text, so many that every text within the edit bound has one of them among its own.
 
-    An edit takes at most two pairs from either text. Of the n - 1 pairs of a text the longer one's and so its partners hold
-    all but twice the edits; dropping one less than that leaves a common one, if all texts rank pairs alike.
-    """
-    h = word_pairs(w)
-    # Of m words, m - 1 - 2 * (1 - least) * m pairs stay at least, which grows with m.
-    stay = max(1, int(np.ceil((1 - 2 * (1 - least)) * w.size - 1e-9)) - 1)
-    order = np.lexsort((h, counts[_cells(h)]))
-    return h[order[: max(0, h.size - stay + 1)]].view(np.int64)
-
-
-def _keyed(counts: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                each = [np.frombuffer(raw, np.uint32) for raw in part.column("words").to_pylist()]
-                keys = [rarest(w.astype(np.uint64), counts) for w in each]
-                bags = np.stack([bag(w) for w in each])
-                packed = {"keys": pa.array(keys, pa.list_(pa.int64())), "bag": pa.array([b.tobytes() for b in bags], pa.binary()), "coarse": pa.array([b.tobytes() for b in coarser(bags)], pa.binary())}
-                for name, column in packed.items():
-                    part = part.append_column(name, column)
-                yield part
-
-    return run
-
-
-def _by_rarest(tokens: DataFrame) -> DataFrame:
-    """``tokens`` (doc_id, component, bytes, words) with keys: the rarest word pairs, the rarest first."""
-    cells = tokens.select("words").mapInArrow(_counted, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # CELLS rows at most
-    counts = np.zeros(CELLS, np.int64)
-    counts[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
-    return tokens.select("doc_id", "component", "bytes", "words").mapInArrow(_keyed(counts), "doc_id long, component long, bytes int, words binary, keys array<long>, bag binary, coarse binary")
-
-
-def _buckets(tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``tokens`` (doc_id, component, bytes, keys) -> its texts by key; and of the keys under which texts of several components
-    meet, the number of texts. Of keys that the very same texts hold one stays."""
-    each = tokens.select("doc_id", "component", "bytes", F.explode("keys").alias("key"))
+def _shared_keys(each: DataFrame) -> DataFrame:
+    """Of ``each`` (key, doc_id, component) the keys under which texts of several components meet, with the number of texts. Of
+    keys that the very same texts hold one stays."""
     held = F.xxhash64("doc_id")
     sums = each.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("least"), F.max("component").alias("most"), F.bit_xor(held).alias("x"), F.bit_xor(F.xxhash64(held, F.lit(1))).alias("y"), F.min("doc_id").alias("first"))
-    return each, sums.where("least < most").groupBy("n", "x", "y", "first").agg(F.min("key").alias("key")).select("key", "n")
+    return sums.where("least < most").groupBy("n", "x", "y", "first").agg(F.min("key").alias("key")).select("key", "n")
 
 
 def _paired(each: DataFrame, sums: DataFrame) -> DataFrame:
@@ -381,9 +334,8 @@ def links(texts: DataFrame, sketched: DataFrame, docs: DataFrame) -> DataFrame:
     that row's text; ``sketched`` (node, sketches), a written table that goes as soon as it is used; ``docs`` (own, raw, text)
     -> (node, component) of all texts with a link.
 
-    A bucket's first text is aligned with the rest, which ends most buckets. Where it isn't similar to all, the texts of the
-    bucket are doubtful: each is compared with every doubtful text of another component that it shares one of its rarest word
-    pairs with, those that the first has reached among them, which leaves out no similar one.
+    A bucket's first text is aligned with the rest, which ends most buckets. Where it isn't similar to all, each text of the
+    bucket is compared with each of another component, those that the first has reached among them.
     """
     texts = texts.withColumnRenamed("node", "doc_id")
     pairs = checkpoint(_first(sketched.select(F.col("node").alias("doc_id"), F.explode("sketches").alias("key"))))
@@ -399,26 +351,25 @@ def links(texts: DataFrame, sketched: DataFrame, docs: DataFrame) -> DataFrame:
     judged = checkpoint(_verified(met, tokens).where("near").select("a", "b"))
     first = components(judged)
     unlike = checkpoint(pairs.join(judged, ["a", "b"], "left_anti").select("key").distinct())
-    doubtful = pairs.join(unlike, "key", "left_semi").select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    named = tokens.join(doubtful, "doc_id").join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    held = checkpoint(named.select("doc_id", "component", "bytes", "words"))
+    doubtful = checkpoint(pairs.join(unlike, "key", "left_semi").select("key", F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    forget(pairs)
+    named = tokens.join(doubtful.select("doc_id").distinct(), "doc_id").join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    held = checkpoint(named.select("doc_id", "component", "bytes", "words").mapInArrow(_bagged, "doc_id long, component long, bytes int, words binary, bag binary, coarse binary"))
     forget(tokens)
-    rare = checkpoint(_by_rarest(held))
-    forget(held)
-    each, sums = _buckets(rare)
-    sums = checkpoint(sums)
-    # All texts of each key are compared: as pairs where they are few, else in blocks. Words are sent once a pair.
+    each = checkpoint(doubtful.join(held.select("doc_id", "component", "bytes"), "doc_id"))
+    sums = checkpoint(_shared_keys(each))
+    # All texts of each bucket are compared: as pairs where they are few, else in blocks. Words are sent once a pair.
     few = _paired(each, sums.where(F.col("n") <= FEW)).distinct()
     for bags in ("coarse", "bag"):
-        few = _plausible(few, rare, bags)
-    met = checkpoint(few.unionByName(_within(each, sums.where(F.col("n") > FEW), rare)).distinct())
-    further = checkpoint(met.join(_verified(met.select("a", "b"), rare).where("near").select("a", "b"), ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+        few = _plausible(few, held, bags)
+    met = checkpoint(few.unionByName(_within(each, sums.where(F.col("n") > FEW), held)).distinct())
+    further = checkpoint(met.join(_verified(met.select("a", "b"), held).where("near").select("a", "b"), ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
     second = components(further)
     # Components that further links join go under the least of them.
     moved = first.withColumnRenamed("component", "goal").join(second.select(F.col("node").alias("goal"), "component"), "goal", "left").select("node", F.coalesce("component", "goal").alias("component"))
     alone = second.join(first.select("node"), "node", "left_anti")
     out = checkpoint(moved.unionByName(alone))
-    forget(pairs, judged, unlike, rare, sums, met, further, first, second)
+    forget(judged, unlike, doubtful, held, each, sums, met, further, first, second)
     return out
 
 
