@@ -351,7 +351,9 @@ def links(texts: DataFrame, sketched: DataFrame, docs: DataFrame) -> DataFrame:
     judged = checkpoint(_verified(met, tokens).where("near").select("a", "b"))
     first = components(judged)
     unlike = checkpoint(pairs.join(judged, ["a", "b"], "left_anti").select("key").distinct())
-    doubtful = checkpoint(pairs.join(unlike, "key", "left_semi").select("key", F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    # A bucket's first text stands in all of its pairs, each other in one.
+    within = pairs.join(unlike, "key", "left_semi")
+    doubtful = checkpoint(within.select("key", F.col("b").alias("doc_id")).unionByName(within.select("key", F.col("a").alias("doc_id")).distinct()))
     forget(pairs)
     named = tokens.join(doubtful.select("doc_id").distinct(), "doc_id").join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     held = checkpoint(named.select("doc_id", "component", "bytes", "words").mapInArrow(_bagged, "doc_id long, component long, bytes int, words binary, bag binary, coarse binary"))
