@@ -352,7 +352,7 @@ def links(texts: DataFrame, sketched: DataFrame, docs: DataFrame) -> DataFrame:
     first = components(judged)
     unlike = checkpoint(pairs.join(judged, ["a", "b"], "left_anti").select("key").distinct())
     # A bucket's first text stands in all of its pairs, each other in one.
-    within = pairs.join(unlike, "key", "left_semi")
+    within = checkpoint(pairs.join(unlike, "key", "left_semi"))
     doubtful = checkpoint(within.select("key", F.col("b").alias("doc_id")).unionByName(within.select("key", F.col("a").alias("doc_id")).distinct()))
     forget(pairs)
     named = tokens.join(doubtful.select("doc_id").distinct(), "doc_id").join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
@@ -371,7 +371,7 @@ def links(texts: DataFrame, sketched: DataFrame, docs: DataFrame) -> DataFrame:
     moved = first.withColumnRenamed("component", "goal").join(second.select(F.col("node").alias("goal"), "component"), "goal", "left").select("node", F.coalesce("component", "goal").alias("component"))
     alone = second.join(first.select("node"), "node", "left_anti")
     out = checkpoint(moved.unionByName(alone))
-    forget(judged, unlike, doubtful, held, each, sums, met, further, first, second)
+    forget(judged, unlike, within, doubtful, held, each, sums, met, further, first, second)
     return out
 
 
