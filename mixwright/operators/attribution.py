@@ -11,10 +11,9 @@ MODELS = ("first", "last", "linear", "time_decay", "position")
 def eligible(touches: DataFrame, conversions: DataFrame, click_days: int = 7, view_days: int = 1, click_first: bool = True) -> DataFrame:
     """Touches of the same user in the window of their type before a conversion, both ends included. Of touches at the same
     time only those of the type that goes first stay. They are joined by user and day: a conversion asks for each day of its
-    window, so that a busy user's touches are dealt by day."""
-    day = 86400
-    age = F.unix_timestamp(F.col("c.ts").cast("timestamp")) - F.unix_timestamp(F.col("t.ts").cast("timestamp"))
-    window = F.when(F.col("t.interaction_type") == "click", click_days * day).when(F.col("t.interaction_type") == "view", view_days * day)
+    window, so that a busy user's touches are dealt by day. Ages are exact: a part of a second beyond the window is outside."""
+    window = F.when(F.col("t.interaction_type") == "click", F.make_dt_interval(F.lit(click_days))).when(F.col("t.interaction_type") == "view", F.make_dt_interval(F.lit(view_days)))
+    age = F.col("c.ts") - F.col("t.ts")
     inside = (F.col("t.ts") <= F.col("c.ts")) & (age <= window)
     last = F.to_date(F.col("ts").cast("timestamp"))
     asked = conversions.withColumn("day", F.explode(F.sequence(F.date_sub(last, max(click_days, view_days)), last)))
@@ -54,7 +53,7 @@ def _weight(model: str, half_life_days: float) -> Column:
     if model == "linear":
         return F.lit(1.0)
     if model == "time_decay":
-        days = F.floor((F.unix_timestamp(F.col("last_ts").cast("timestamp")) - F.unix_timestamp(F.col("ts").cast("timestamp"))) / 86400)
+        days = F.date_part(F.lit("days"), F.col("last_ts") - F.col("ts"))  # whole ones
         return F.exp(days * (-0.6931471805599453 / half_life_days))
     n, place = F.col("n"), F.col("place")
     # Shares of the first, the last and the middle touches.
