@@ -28,3 +28,13 @@ def test_decay_counts_whole_days_to_the_last_touch(spark):
     conversions = spark.createDataFrame([(9, 1, AT, 10.0)], CONVERSIONS)
     got = {r.event_id: r.credit for r in attribution.credited(attribution.eligible(touches, conversions), "time_decay", half_life_days=1.0).collect()}
     assert {i: round(c, 9) for i, c in got.items()} == {1: 2.0, 2: 4.0, 3: 4.0}
+
+
+def test_shares_end_on_exact_ties(spark):
+    """Nine clicks before two views, 36.49: a view's share is 1.1403125, which is summed up so whatever comes first."""
+    day = dt.timedelta(1)
+    rows = [(i, AT - 5 * day + dt.timedelta(hours=i), "click") for i in range(9)] + [(9, AT - day / 2, "view"), (10, AT - day / 4, "view")]
+    touches = spark.createDataFrame([(i, 1, ts, kind, "a") for i, ts, kind in rows], TOUCHES)
+    conversions = spark.createDataFrame([(9, 1, AT, 36.49)], CONVERSIONS)
+    shares = attribution.credited(attribution.eligible(touches, conversions), "linear", view_weight=0.3)
+    assert {r.c for r in shares.where("interaction_type = 'view'").select(F.round("credit", 6).alias("c")).collect()} == {1.140313}
