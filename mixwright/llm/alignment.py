@@ -8,7 +8,8 @@ groups and what its links count for.
 equi-join on document and end, groups by a running count of cuts, links by a join on document and group. A corpus has a token
 for about every two and a half bytes on both sides; as rows they cost several times the tokenizers (see the README for figures),
 so ``align`` takes the same steps on arrays inside the task that tokenizes: cumulative sums, a join of ends through a table of
-bytes, running counts. What spans documents stays relational: counts of pairs, the best of an id, and their return to documents.
+bytes, running counts. What spans documents stays relational: counts of pairs, the best of an id, and their return to the
+documents of a block, a row a document.
 """
 
 from __future__ import annotations
@@ -36,8 +37,8 @@ BLOCK = 3_000_000
 WIDE = 1 << 16
 OUT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 _BLOCK = (
-    "block long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, sha array<string>, "
-    "ends array<long>, pairs array<int>, times array<long>, ids array<long>, docs array<long>"
+    "block long, doc_id long, n_a long, n_b long, n_groups long, n_links long, sha string, pairs array<int>, times array<long>, "
+    "ids array<long>, docs array<long>"
 )
 _KINDS = {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}
 
@@ -194,7 +195,12 @@ def align(docs: DataFrame, folder: str = FOLDER) -> DataFrame:
         held = 0
 
         def made() -> pa.RecordBatch:
-            return _batch(_BLOCK, {"block": [number], "doc_id": [ids]} | {k: [v] for k, v in pair.block(texts).items()})
+            found = pair.block(texts)
+            bounds = np.concatenate([[0], found.pop("ends")]).astype(np.int32)
+            lists = {c: pa.ListArray.from_arrays(bounds, pa.array(found[c], t)) for c, t in (("pairs", pa.int32()), ("times", pa.int64()))}
+            # The block's ids go with its first document.
+            lists |= {c: [found[c], *[None] * (len(ids) - 1)] for c in ("ids", "docs")}
+            return _batch(_BLOCK, found | lists | {"block": [number] * len(ids), "doc_id": ids})
 
         for b in batches:
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
@@ -207,28 +213,28 @@ def align(docs: DataFrame, folder: str = FOLDER) -> DataFrame:
         if texts:
             yield made()
 
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in range(b.num_rows):
-                get = lambda c: b.column(c)[r].values.to_numpy(zero_copy_only=False)  # noqa: B023, E731
-                n_docs, best = np.zeros(b.column("size")[r].as_py(), np.int64), np.zeros(b.column("size")[r].as_py(), np.int64)
-                if b.column("at")[r].is_valid:
-                    n_docs[get("at")], best[get("at")] = get("n_docs"), get("best")
-                pairs, times, ends = get("pairs"), get("times"), get("ends")
-                running = lambda v: np.diff(np.concatenate([[0], np.cumsum(v)])[ends], prepend=0)  # noqa: B023, E731
-                out = {c: b.column(c)[r].values for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")}
-                yield _batch(OUT, out | {"n_best": running(times * best[pairs]), "count_sum": running(times * n_docs[pairs]), "groups_sha256": b.column("sha")[r].values})
+    def sums(own: pa.Table, counted: pa.Table) -> pa.Table:
+        """The documents of a block, with the counts of its pairs."""
+        at = counted.column("at").to_numpy()
+        n_docs, best = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        n_docs[at], best[at] = counted.column("n_docs").to_numpy(), counted.column("best").to_numpy()
+        lists = own.column("pairs").combine_chunks()
+        pairs, times = lists.flatten().to_numpy(), own.column("times").combine_chunks().flatten().to_numpy()
+        ends = np.cumsum(lists.value_lengths().to_numpy())
+        running = lambda v: pa.array(np.diff(np.concatenate([[0], np.cumsum(v)])[ends], prepend=0), pa.int64())
+        out = {c: own.column(c) for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")}
+        return pa.table(out | {"n_best": running(times * best[pairs]), "count_sum": running(times * n_docs[pairs]), "groups_sha256": own.column("sha")})
 
     second = _second_size(folder)
     made = checkpoint(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(blocks, _BLOCK))
-    here = made.select("block", F.posexplode(F.arrays_zip("ids", "docs")).alias("at", "one")).select("block", "at", F.col("one.ids").alias("pair"), F.col("one.docs").alias("docs"))
+    here = made.where("ids is not null").select("block", F.posexplode(F.arrays_zip("ids", "docs")).alias("at", "one")).select("block", "at", F.col("one.ids").alias("pair"), F.col("one.docs").alias("docs"))
     counts = here.groupBy("pair").agg(F.sum("docs").alias("n_docs"))
     # A first id has no more pairs than the second vocabulary has entries.
     most = F.max("n_docs").over(Window.partitionBy(F.expr(f"pair div {second}")))
     counts = checkpoint(counts.select("pair", "n_docs", (F.col("n_docs") == most).cast("long").alias("best")))
-    back = here.select("block", "at", "pair").join(counts, "pair").groupBy("block").agg(F.collect_list(F.struct("at", "n_docs", "best")).alias("w"))
-    back = back.select("block", *(F.col("w")[c].alias(c) for c in ("at", "n_docs", "best")))
-    out = checkpoint(made.drop("docs").withColumn("size", F.size("ids")).drop("ids").join(back, "block", "left").mapInArrow(sums, OUT))
+    back = here.select("block", "at", "pair").join(counts, "pair").select(F.col("block").alias("of"), "at", "n_docs", "best")
+    # Documents are rows of their own: as one row a block, all blocks of a task were held at once by the writer and the reader.
+    out = checkpoint(made.drop("ids", "docs").groupBy("block").cogroup(back.groupBy("of")).applyInArrow(sums, OUT))
     forget(made, counts)
     return out
 

@@ -122,3 +122,15 @@ def test_relational_steps(spark):
     block = pair.block(some)
     sizes = np.diff(block["ends"], prepend=0)
     assert found == {(d, int(block["n_links"][d]), int(sizes[d])) for d in range(len(some)) if block["n_a"][d]}
+
+
+def test_no_row_holds_a_block(spark, monkeypatch):
+    """What is written between the steps has a row a document, so that neither writer nor reader holds many blocks at once."""
+    seen = []
+    monkeypatch.setattr(alignment, "checkpoint", lambda df, real=alignment.checkpoint: seen.append(real(df)) or seen[-1])
+    monkeypatch.setattr(alignment, "forget", lambda *tables: None)
+    rows = list(enumerate(texts()))
+    alignment.align(docs(spark, rows).coalesce(1))
+    plain = alignment.Pair.of(FOLDER)
+    held = {r.doc_id: r.n for r in seen[0].select("doc_id", F.size("pairs").alias("n")).collect()}
+    assert held == {i: len(plain.block([t])["pairs"]) for i, t in rows} and seen[0].where("ids is not null").count() == 1
