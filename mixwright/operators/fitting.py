@@ -1,7 +1,8 @@
 """Feature selection, fits by likelihood, and a model that is written and read again.
 
 A fit is the mode of the posterior, coefficients with normal priors. The data are read once a round, for one aggregate of
-(weighted) cross products; the driver solves a system as large as the number of features.
+(weighted) cross products; the driver solves a system as large as the number of features. Where there are several rounds the
+columns are written first, so that what the data are computed from is read once.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mixwright.sources.shared import drop, written
+
 LIKELIHOODS = ("lognormal", "normal", "student_t")
 # Which columns a model is fitted on, and which of them are made from the target.
 SELECTED = {
@@ -182,9 +185,12 @@ class Estimator:
         y = F.col(target).cast("double")
         if self.likelihood == "lognormal":
             y = F.ln(F.greatest(y, F.lit(1e-6)))
+        heavy = self.likelihood == "student_t"
+        df = written(df.select(*dict.fromkeys(c for c in [*features, target] if c in df.columns))) if heavy else df
         gram, moment, yy, n, _ = _moments(df, features, y)
-        if self.likelihood == "student_t":
+        if heavy:
             w, sigma2, rounds, converged = self._heavy(df, features, y, gram, moment, yy, n)
+            drop(df)
         else:
             w, sigma2, rounds, converged = None, 1.0, 0, False
             while rounds < 20:  # on the sums alone

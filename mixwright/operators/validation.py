@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mixwright.operators import audit, matrix, quality
+from mixwright.sources.shared import drop, written
 
 REPORT = ("check", "status", "penalty", "figure")
 # What a failed check and a warning cost.
@@ -24,7 +25,9 @@ def _row(name: str, failed: Column, warned: Column, figure: Column) -> list[Colu
 
 def report(df: DataFrame, day: str, by: list[str], revenue: str, spend: list[str], clicks: list[str] = (), impressions: list[str] = (), min_weeks: int = 52, preferred_weeks: int = 104, limits: dict | None = None, rules: dict[str, Column] | None = None) -> DataFrame:
     """``df`` (by, day, revenue, spend, clicks, impressions) -> check, status, penalty, figure. Each check is an aggregate of the
-    table; counts of rows that share one pass are taken together."""
+    table; counts of rows that share one pass are taken together. The table is written first, so that what it is computed from is
+    read once."""
+    df = written(df)
     given = {"missing": 20.0, "empty_columns": 5, "digital_quality": 75.0, "zero_pct": 10.0, "correlation": 0.9, "orders": 3.0, "weeks_missing_pct": 2.0} | (limits or {})
     no = F.lit(False)
     columns, metrics = df.columns, [*clicks, *impressions]
@@ -73,7 +76,9 @@ def report(df: DataFrame, day: str, by: list[str], revenue: str, spend: list[str
         near = quality.correlated_pairs(df, list(spend)).agg(F.count_if(F.abs("corr") > given["correlation"]).alias("near")) if len(spend) > 1 else df.limit(0).agg(F.lit(0).alias("near"))
         both = rare.join(F.broadcast(near), how="cross")  # one row each
         flat = flat.unionByName(both.select(*_row("identifiability", (F.col("never") > 0) | (F.col("near") > 0), F.col("always_on") > 0, F.col("always_on"))))
-    return flat.orderBy("check").coalesce(1)
+    out = written(flat.orderBy("check").coalesce(1))
+    drop(df)
+    return out
 
 
 def scored(rows: DataFrame) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from mixwright.operators import evaluation, fitting
+from mixwright.operators import evaluation, fitting, validation
 from mixwright.plans.catalog import QUERIES
 from mixwright.sources.panel import CHANNELS, SPEND, brand_daily
 
@@ -89,3 +91,31 @@ def test_contributions_of_all_channels(spark, sf_dir):
     for c, b in zip(CHANNELS, beta[1:], strict=True):
         assert shares[c] == pytest.approx((abs(b), 100 * abs(b) / np.abs(beta[1:]).sum()), abs=2e-4)
     assert evaluation.contribution_shares({"x": -2.0}, {"c": ["x"], "d": ["z"]}) == [("c", 2.0, 100.0), ("d", 0.0, 0.0)]
+
+
+def test_rounds_read_what_the_data_are_computed_from_once(spark, data):
+    """The heavy-tailed fit has many rounds; the rows are computed in one of them."""
+    x, y, df = data
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    model = fitting.Estimator("student_t").fit(df.mapInArrow(counted, df.schema), NAMES, "revenue")
+    assert model.diagnostics["rounds"] > 2 and seen.value == len(y)
+
+
+def test_the_report_computes_its_table_once(spark):
+    """Every check reads what was written."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = spark.createDataFrame([(dt.date(2024, 1, 1) + dt.timedelta(i), "b", float(i), float(i % 7), float(i % 5)) for i in range(60)], "date_day date, brand string, revenue double, x_spend double, y_spend double")
+    out = validation.report(rows.mapInArrow(counted, rows.schema), "date_day", ["brand"], "revenue", ["x_spend", "y_spend"], min_weeks=4, preferred_weeks=8)
+    assert out.count() == 12 and seen.value == 60
