@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,7 +25,14 @@ class Registry:
 
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
     """Doubles rounded: sums in another order differ in the last bits. Adding 0.0 turns -0.0 into 0.0."""
-    return df.select(*((F.round(c, digits) + 0.0).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes))
+    return df.select(*((_nearest(F.col(c), digits) + 0.0).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes))
+
+
+def _nearest(c: Column, digits: int) -> Column:
+    """As the SQL rounds: to the whole number next to the scaled double, halves away from 0. F.round to digits goes by the
+    shortest decimal instead, so that some ties of the last digit end on its other side."""
+    scale = 10.0**digits
+    return F.when(F.abs(c) < 1e300, F.round(c * scale) / scale).otherwise(c)
 
 
 #: Added before rounding where values are short decimals, whose ties two engines' last bits would round apart.

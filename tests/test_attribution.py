@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from mixwright.operators import attribution
+from mixwright.plans.catalog import ORACLE, QUERIES
 
 AT = dt.datetime(2024, 1, 20, 12, 0, 0, 100)
 TOUCHES = "event_id int, user_id int, ts timestamp_ntz, interaction_type string, channel string"
@@ -38,3 +41,23 @@ def test_shares_end_on_exact_ties(spark):
     conversions = spark.createDataFrame([(9, 1, AT, 36.49)], CONVERSIONS)
     shares = attribution.credited(attribution.eligible(touches, conversions), "linear", view_weight=0.3)
     assert {r.c for r in shares.where("interaction_type = 'view'").select(F.round("credit", 6).alias("c")).collect()} == {1.140313}
+
+
+def as_sql(spark, folder, events, name):
+    """Rows of a query and of its SQL on a table of events: event_id, user_id, ts, event_type, value."""
+    schema = "event_id long, user_id long, ts timestamp_ntz, event_type string, value double, props string"
+    spark.createDataFrame([(*e, '{"k": 3}') for e in events], schema).coalesce(1).write.parquet(f"{folder}/events.parquet")
+    found = QUERIES[name](spark, str(folder))
+    db = duckdb.connect()
+    db.execute(f"create view events as select * from '{folder}/events.parquet/*.parquet'")
+    order = lambda rows: sorted(rows, key=str)
+    return order(map(tuple, found.collect())), order(db.execute(f"select {', '.join(found.columns)} from ({ORACLE[name]})").fetchall())
+
+
+@pytest.mark.parametrize("name", ["attr_overlap_exponential"])
+def test_a_tie_of_the_last_digit_ends_where_it_does_in_sql(spark, tmp_path, name):
+    """A tenth of a sixteenth of 0.35 is 0.0021875, as a double a little less; that of 10.21 is 0.0638125."""
+    events = [(100 * u + i, u, AT - dt.timedelta(hours=i + 1), "click", 1.0) for u in (1, 2) for i in range(16)]
+    events += [(1, 1, AT, "purchase", 0.35), (2, 2, AT, "purchase", 10.21)]
+    ours, theirs = as_sql(spark, tmp_path, events, name)
+    assert len(ours) == 32 and ours == theirs
