@@ -54,7 +54,7 @@ def as_sql(spark, folder, events, name):
     return order(map(tuple, found.collect())), order(db.execute(f"select {', '.join(found.columns)} from ({ORACLE[name]})").fetchall())
 
 
-@pytest.mark.parametrize("name", ["attr_overlap_exponential"])
+@pytest.mark.parametrize("name", ["attr_overlap_penalty", "attr_overlap_exponential"])
 def test_a_tie_of_the_last_digit_ends_where_it_does_in_sql(spark, tmp_path, name):
     """A tenth of a sixteenth of 0.35 is 0.0021875, as a double a little less; that of 10.21 is 0.0638125."""
     events = [(100 * u + i, u, AT - dt.timedelta(hours=i + 1), "click", 1.0) for u in (1, 2) for i in range(16)]
