@@ -32,7 +32,7 @@ def credited(rows: DataFrame, model: str, view_weight: float = 1.0, half_life_da
     if model not in MODELS:
         raise ValueError(f"model must be one of {MODELS}")
     of = Window.partitionBy("conversion_id")
-    order = of.orderBy("ts", "event_id")
+    order = of.orderBy("ts", F.asc_nulls_last("event_id"))
     rows = rows.withColumn("place", F.row_number().over(order)).withColumn("n", F.count("*").over(of)).withColumn("last_ts", F.max("ts").over(of))
     seen = F.when(F.col("interaction_type") == "view", view_weight).otherwise(1.0)
     value = F.col("conversion_value")

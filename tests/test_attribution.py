@@ -61,3 +61,15 @@ def test_a_tie_of_the_last_digit_ends_where_it_does_in_sql(spark, tmp_path, name
     events += [(1, 1, AT, "purchase", 0.35), (2, 2, AT, "purchase", 10.21)]
     ours, theirs = as_sql(spark, tmp_path, events, name)
     assert len(ours) == 32 and ours == theirs
+
+
+@pytest.mark.parametrize("name", ["attr_first"])
+def test_ends_of_windows_and_missing_ids_as_in_sql(spark, tmp_path, name):
+    """By whole seconds clicks 10 and 11 and view 30 would be inside; of two clicks at a time the one without an id is the later."""
+    day, part = dt.timedelta(1), dt.timedelta(microseconds=50)
+    events = [(10, 1, AT - 7 * day - part, "click"), (None, 1, AT - 2 * day, "click"), (12, 1, AT - 2 * day, "click"), (13, 1, AT - day, "view")]
+    events += [(11, 2, AT - 7 * day - part, "click"), (30, 3, AT - day - part, "view"), (31, 3, AT - 7 * day, "click")]
+    events += [(40, 4, AT - 3 * day, "click"), (41, 4, AT - 2 * day, "click"), (None, 4, AT - 2 * day, "click")]
+    events = [(*e, 1.0) for e in events] + [(u, u, AT, "purchase", 10.0 + u) for u in (1, 2, 3, 4)]
+    ours, theirs = as_sql(spark, tmp_path, events, name)
+    assert ours and ours == theirs
