@@ -63,7 +63,7 @@ def test_a_tie_of_the_last_digit_ends_where_it_does_in_sql(spark, tmp_path, name
     assert len(ours) == 32 and ours == theirs
 
 
-@pytest.mark.parametrize("name", ["attr_first", "attr_last"])
+@pytest.mark.parametrize("name", ["attr_first", "attr_last", "attr_position"])
 def test_ends_of_windows_and_missing_ids_as_in_sql(spark, tmp_path, name):
     """By whole seconds clicks 10 and 11 and view 30 would be inside; of two clicks at a time the one without an id is the later."""
     day, part = dt.timedelta(1), dt.timedelta(microseconds=50)
