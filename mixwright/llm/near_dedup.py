@@ -321,10 +321,13 @@ def _allowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _within(each: DataFrame, sums: DataFrame, tokens: DataFrame) -> DataFrame:
     """The same for keys with many texts, of which the bags of words allow that they are similar. Texts of a key are dealt in
-    blocks, and every block meets every other of its key in a task; what is sent of a text is its bag."""
+    blocks, and every block meets every other of its key in a task; what is sent of a text is its bag, which a text gets once
+    for all of its keys."""
     blocks = sums.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    dealt = each.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("doc_id", "key"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    texts = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "component", "bytes").join(tokens.select("doc_id", "bag"), "doc_id")
+    held = each.join(blocks, "key").groupBy("doc_id").agg(F.collect_list(F.struct("key", "blocks")).alias("dealt"))  # SKETCHES at most
+    dealt = held.join(tokens.select("doc_id", "component", "bytes", "bag"), "doc_id").select("doc_id", "component", "bytes", "bag", F.inline("dealt"))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("doc_id", "key"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    texts = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "component", "bytes", "bag")
     grouped = texts.groupBy("key", "i", "j").agg(F.collect_list(F.struct("block", "doc_id", "component", "bytes", "bag")).alias("texts"))
     return grouped.select("i", "j", "texts").mapInArrow(_reached, "a long, b long, ca long, cb long")
 
@@ -353,12 +356,14 @@ def links(texts: DataFrame, sketched: DataFrame, docs: DataFrame) -> DataFrame:
     unlike = checkpoint(pairs.join(judged, ["a", "b"], "left_anti").select("key").distinct())
     # A bucket's first text stands in all of its pairs, each other in one.
     within = checkpoint(pairs.join(unlike, "key", "left_semi"))
-    doubtful = checkpoint(within.select("key", F.col("b").alias("doc_id")).unionByName(within.select("key", F.col("a").alias("doc_id")).distinct()))
+    doubtful = within.select("key", F.col("b").alias("doc_id")).unionByName(within.select("key", F.col("a").alias("doc_id")).distinct())
     forget(pairs)
-    named = tokens.join(doubtful.select("doc_id").distinct(), "doc_id").join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    held = checkpoint(named.select("doc_id", "component", "bytes", "words").mapInArrow(_bagged, "doc_id long, component long, bytes int, words binary, bag binary, coarse binary"))
-    forget(tokens)
-    each = checkpoint(doubtful.join(held.select("doc_id", "component", "bytes"), "doc_id"))
+    # A text meets its component and words once, with all of its keys, SKETCHES at most.
+    keyed = doubtful.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
+    named = tokens.join(keyed, "doc_id").join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    held = checkpoint(named.select("doc_id", "component", "bytes", "words", "keys").mapInArrow(_bagged, "doc_id long, component long, bytes int, words binary, keys array<long>, bag binary, coarse binary"))
+    forget(tokens, within)
+    each = checkpoint(held.select(F.explode("keys").alias("key"), "doc_id", "component", "bytes"))
     sums = checkpoint(_shared_keys(each))
     # All texts of each bucket are compared: as pairs where they are few, else in blocks. Words are sent once a pair.
     few = _paired(each, sums.where(F.col("n") <= FEW)).distinct()
@@ -371,7 +376,7 @@ def links(texts: DataFrame, sketched: DataFrame, docs: DataFrame) -> DataFrame:
     moved = first.withColumnRenamed("component", "goal").join(second.select(F.col("node").alias("goal"), "component"), "goal", "left").select("node", F.coalesce("component", "goal").alias("component"))
     alone = second.join(first.select("node"), "node", "left_anti")
     out = checkpoint(moved.unionByName(alone))
-    forget(judged, unlike, within, doubtful, held, each, sums, met, further, first, second)
+    forget(judged, unlike, held, each, sums, met, further, first, second)
     return out
 
 

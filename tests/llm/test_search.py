@@ -221,6 +221,26 @@ def test_texts_of_a_bucket_are_compared_with_those_its_first_reached(spark):
     assert set(got.values()) == {0}
 
 
+def _joined_rows(plan):
+    """Rows that the joins of an executed plan made."""
+    name = plan.nodeName()
+    inner = [plan.executedPlan()] if name == "AdaptiveSparkPlan" else [plan.plan()] if name.endswith("QueryStage") else [plan.children().apply(i) for i in range(plan.children().size())]
+    made = plan.metrics().apply("numOutputRows").value() if "Join" in name else 0
+    return [*([made] if made else []), *(n for p in inner for n in _joined_rows(p))]
+
+
+def test_a_text_meets_its_bag_once_whatever_its_keys_and_the_size_of_groups(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 4)
+    n, keys = 24, 3
+    one = np.zeros(near_dedup.BAG, np.uint8).tobytes()
+    held = spark.createDataFrame([(i, i, 400, bytearray(one)) for i in range(n)], "doc_id long, component long, bytes int, bag binary")
+    each = held.select(F.explode(F.sequence(F.lit(1), F.lit(keys)).cast("array<long>")).alias("key"), "doc_id", "component", "bytes")
+    found = near_dedup._within(each, spark.createDataFrame([(k, n) for k in range(1, keys + 1)], "key long, n long"), held)
+    pairs = {(r.a, r.b) for r in found.collect()}
+    assert pairs == {(a, b) for a in range(n) for b in range(a + 1, n)}
+    assert sorted(_joined_rows(found._jdf.queryExecution().executedPlan())) == [n, n * keys]
+
+
 def test_bags_never_rule_similar_texts_out():
     rng = random.Random(17)
     texts = []
