@@ -40,8 +40,8 @@ def credited(rows: DataFrame, model: str, view_weight: float = 1.0, half_life_da
         credit = F.when(F.col("place") == (1 if model == "first" else F.col("n")), value * seen).otherwise(0.0)
     else:
         rows = rows.withColumn("weight", _weight(model, half_life_days) * seen)
-        # Least weights first, which errs least, so that shares don't depend on the order of rows.
-        whole = of.orderBy("weight").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        # Weights by place are summed by place, others least first, which errs least: shares don't depend on the order of rows.
+        whole = (order if model == "position" else of.orderBy("weight")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         credit = F.try_divide(value * F.col("weight"), F.sum("weight").over(whole))
     rows = rows.withColumn("credit", credit)
     if overlap_penalty:

@@ -73,3 +73,12 @@ def test_ends_of_windows_and_missing_ids_as_in_sql(spark, tmp_path, name):
     events = [(*e, 1.0) for e in events] + [(u, u, AT, "purchase", 10.0 + u) for u in (1, 2, 3, 4)]
     ours, theirs = as_sql(spark, tmp_path, events, name)
     assert ours and ours == theirs
+
+
+def test_shares_by_place_end_where_they_do_in_sql(spark, tmp_path):
+    """Clicks and views by time: a middle click's share of 64.38 and of 0.98 is a tie of the sixth digit, and weights summed least first put it on the other side."""
+    kinds = {1: ("cccccvvvvvv", 64.38), 2: ("cccvvvcvvcv", 0.98)}
+    events = [(100 * u + i, u, AT - dt.timedelta(hours=12 - i), "click" if k == "c" else "view", 1.0) for u, (ks, _) in kinds.items() for i, k in enumerate(ks)]
+    events += [(u, u, AT, "purchase", value) for u, (_, value) in kinds.items()]
+    ours, theirs = as_sql(spark, tmp_path, events, "attr_position")
+    assert len(ours) == 22 and ours == theirs
