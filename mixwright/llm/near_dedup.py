@@ -5,8 +5,9 @@ sketch takes the ``ELL`` with the least hash and keeps them in text order. Texts
 the first of a bucket is aligned with the others (word edit distance in a band): all that most buckets, which hold copies of
 one text, need. Of buckets that their first does not reach whole, such as those of a passage that many texts share, each text
 meets each of another component, whatever the size of the bucket: their bags of words rule out what can't be within the edit
-bound, and the rest is aligned. Links are closed to classes by connected components. Alignment compares words by 32 bits of a
-hash of each.
+bound, and the rest is aligned. Of a large bucket the tasks that compare bags name the texts left with a partner, and those that
+align them the links that join components: neither hands on pairs. Links are closed to classes by connected components.
+Alignment compares words by 32 bits of a hash of each.
 
 A different text is a node of its own, whatever the doc_id of its rows: rows that share an id, or have none, are neither merged
 nor lost.
@@ -19,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +34,8 @@ SHINGLE, ELL, SKETCHES, SIMILARITY = 5, 2, 96, 0.8
 #: Texts of a key are compared in blocks of about so many, each pair of blocks in one task; so many texts with all of the block
 #: at once; and classes of words that a text's bag counts.
 BLOCK, ROWS, BAG = 2048, 256, 512
+#: Texts are aligned in blocks of about so many, of so many bytes each on average at most.
+ALIGNED, ALIGNED_BYTES = 64, 1 << 15
 #: Of a key with at most so many texts all pairs are formed.
 FEW = 16
 #: Pairs that one text takes part in as the first are dealt over tasks in lots of this many.
@@ -230,8 +234,8 @@ def coarser(bags: np.ndarray) -> np.ndarray:
     return np.minimum(bags.reshape(len(bags), -1, 8).sum(axis=2, dtype=np.int64), 255).astype(np.uint8)
 
 
-def within_reach(left: np.ndarray, right: np.ndarray, words_left: np.ndarray, words_right: np.ndarray) -> np.ndarray:
-    """For texts by their bags and numbers of words: whether the bags allow that two are similar.
+def within_reach(left: np.ndarray, right: np.ndarray, words_left: np.ndarray, words_right: np.ndarray, asked: np.ndarray | bool = True) -> np.ndarray:
+    """For texts by their bags and numbers of words: whether the bags allow that two are similar, where it is ``asked``.
 
     Of two texts within k edits all words of the longer one but k are matched, so that the bags differ by at most 2 * k less
     the difference of lengths; classes of words, and counts that end at 255, only bring bags nearer.
@@ -239,7 +243,7 @@ def within_reach(left: np.ndarray, right: np.ndarray, words_left: np.ndarray, wo
     longer, shorter = np.maximum(words_left[:, None], words_right[None, :]), np.minimum(words_left[:, None], words_right[None, :])
     edits = ((1 - SIMILARITY) * longer + 1e-9).astype(np.int64)
     most = 2 * edits - (longer - shorter)
-    out = longer - shorter <= edits
+    out = (longer - shorter <= edits) & asked
     a, b = left.astype(np.int16), right.astype(np.int16)
     for at in range(0, len(a), ROWS):
         rows, cols = np.flatnonzero(out[at : at + ROWS].any(axis=1)) + at, np.flatnonzero(out[at : at + ROWS].any(axis=0))
@@ -255,24 +259,93 @@ def within_reach(left: np.ndarray, right: np.ndarray, words_left: np.ndarray, wo
     return out
 
 
-def _reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _holders(keys: np.ndarray, owner: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of ``keys``, each held by the text at ``owner``: by 64 of those that several hold, which texts hold any, and which as bits."""
+    _, which, times = np.unique(keys, return_inverse=True, return_counts=True)
+    rank = np.empty(times.size, np.int64)
+    rank[np.argsort(-times, kind="stable")] = np.arange(times.size)  # frequent ones together, so that of the rest few texts hold any
+    order = np.argsort(rank[which], kind="stable")
+    rank, owner, out = rank[which][order], owner[order], []
+    for at in range(0, int((times > 1).sum()), 64):
+        here = slice(*np.searchsorted(rank, [at, at + 64]))
+        texts, place = np.unique(owner[here], return_inverse=True)
+        bits = np.zeros(texts.size, np.uint64)
+        np.bitwise_or.at(bits, place, np.uint64(1) << (rank[here] - at).astype(np.uint64))
+        out.append((texts, bits))
+    return out
+
+
+def _together(holders: list[tuple[np.ndarray, np.ndarray]], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether two texts, of ``left`` and ``right`` (ascending places), hold one of the keys of ``holders`` both."""
+    out = np.zeros((left.size, right.size), bool)
+    for texts, bits in holders:
+        _, r, x = np.intersect1d(left, texts, assume_unique=True, return_indices=True)
+        _, c, y = np.intersect1d(right, texts, assume_unique=True, return_indices=True)
+        out[np.ix_(r, c)] |= (bits[x][:, None] & bits[y][None, :]) != 0
+    return out
+
+
+def _met(texts: pa.StructArray, i: int, j: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of the pairs of two blocks that are of different components, share no earlier key, where they meet too, and can be
+    similar by their bags."""
+    block, node, component, n_bytes = (texts.field(c).to_numpy() for c in ("block", "doc_id", "component", "bytes"))
+    bags, n = np.frombuffer(b"".join(texts.field("bag").to_pylist()), np.uint8).reshape(-1, BAG), n_bytes.astype(np.int64) // 4
+    earlier = texts.field("earlier")
+    holders = _holders(earlier.flatten().to_numpy(), np.repeat(np.arange(len(texts)), pc.list_value_length(earlier).to_numpy()))
+    x, y = np.flatnonzero(block == i), np.flatnonzero(block == j)
+    for start in range(0, x.size, ROWS):
+        part = x[start : start + ROWS]
+        asked = (component[part][:, None] != component[y][None, :]) & ~_together(holders, part, y)
+        if i == j:
+            asked &= node[part][:, None] < node[y][None, :]
+        r, c = np.nonzero(within_reach(bags[part], bags[y], n[part], n[y], asked))
+        yield part[r], y[c]
+
+
+def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.StructArray, Iterator[tuple[np.ndarray, np.ndarray]]]]:
     for batch in batches:
         for at in range(batch.num_rows):
             row = batch.slice(at, 1)
-            i, j, flat = row.column("i")[0].as_py(), row.column("j")[0].as_py(), row.column("texts").flatten()
-            block, node, component, n_bytes = (flat.field(c).to_numpy() for c in ("block", "doc_id", "component", "bytes"))
-            bags, n = np.frombuffer(b"".join(flat.field("bag").to_pylist()), np.uint8).reshape(-1, BAG), n_bytes.astype(np.int64) // 4
-            x, y = np.flatnonzero(block == i), np.flatnonzero(block == j)
-            for start in range(0, x.size, ROWS):
-                part = x[start : start + ROWS]
-                met = within_reach(bags[part], bags[y], n[part], n[y]) & (component[part][:, None] != component[y][None, :])
-                if i == j:
-                    met &= node[part][:, None] < node[y][None, :]
-                r, c = np.nonzero(met)
-                a, b = part[r], y[c]
-                less = node[a] < node[b]
-                a, b = np.where(less, a, b), np.where(less, b, a)
-                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (node[a], node[b], component[a], component[b])], names=["a", "b", "ca", "cb"])
+            key, i, j = (row.column(c)[0].as_py() for c in ("key", "i", "j"))
+            texts = row.column("texts").flatten()
+            yield key, texts, _met(texts, i, j)
+
+
+def _partnered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts of two blocks that meet any other."""
+    for key, texts, met in _tiles(batches):
+        some = np.zeros(len(texts), bool)
+        for a, b in met:
+            some[a] = some[b] = True
+        found = texts.filter(pa.array(some))
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), key, np.int64)), found.field("doc_id"), found.field("bytes")], names=["key", "doc_id", "bytes"])
+
+
+def _reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs of two blocks that meet; of texts with their words the similar ones, as far as they join components."""
+    for _, texts, met in _tiles(batches):
+        node, component = (texts.field(c).to_numpy() for c in ("doc_id", "component"))
+        words_ = texts.field("words").to_pylist() if texts.type.get_field_index("words") >= 0 else None
+        joined: dict[int, int] = {}
+        for a, b in met:
+            if words_ is not None:
+                keep = np.array([_join(joined, component[p], component[q], words_[p], words_[q]) for p, q in zip(a, b, strict=True)], bool)
+                a, b = a[keep], b[keep]
+            less = node[a] < node[b]
+            a, b = np.where(less, a, b), np.where(less, b, a)
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in (node[a], node[b], component[a], component[b])], names=["a", "b", "ca", "cb"])
+
+
+def _join(joined: dict[int, int], ca: int, cb: int, a: bytes, b: bytes) -> bool:
+    """Whether two texts are similar and their components not ``joined`` yet, which they are then."""
+    while ca in joined:
+        ca = joined[ca]
+    while cb in joined:
+        cb = joined[cb]
+    if ca == cb or not similar(a, b):
+        return False
+    joined[max(ca, cb)] = min(ca, cb)
+    return True
 
 
 def _bagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,17 +392,30 @@ def _allowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b", "ca", "cb"]).filter(pa.array(np.abs(x - y).sum(axis=1, dtype=np.int64) <= 2 * edits - (longer - shorter)))
 
 
-def _within(each: DataFrame, sums: DataFrame, tokens: DataFrame) -> DataFrame:
-    """The same for keys with many texts, of which the bags of words allow that they are similar. Texts of a key are dealt in
-    blocks, and every block meets every other of its key in a task; what is sent of a text is its bag, which a text gets once
-    for all of its keys."""
-    blocks = sums.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    held = each.join(blocks, "key").groupBy("doc_id").agg(F.collect_list(F.struct("key", "blocks")).alias("dealt"))  # SKETCHES at most
-    dealt = held.join(tokens.select("doc_id", "component", "bytes", "bag"), "doc_id").select("doc_id", "component", "bytes", "bag", F.inline("dealt"))
+def _dealt(each: DataFrame, sums: DataFrame, tokens: DataFrame, size: int) -> DataFrame:
+    """Texts of a key are dealt in blocks of ``size``, and every block meets every other of its key in a row. What is sent of a
+    text is what ``tokens`` have, which a text gets once for all of its keys, and which of these come earlier: those that more
+    texts hold. Two texts are compared under the first that both hold."""
+    blocks = sums.select("key", F.ceil(F.col("n") / size).cast("int").alias("blocks"), "n")
+    held = each.join(blocks, "key").groupBy("doc_id").agg(F.collect_list(F.struct("key", "blocks", "n")).alias("dealt"))  # SKETCHES at most
+    own = [F.col(c) for c in ("doc_id", "component", "bytes", "bag", "words") if c in tokens.columns]
+    dealt = held.join(tokens.select(*own), "doc_id").select(*own, "dealt", F.inline("dealt"))
+    sooner = F.filter("dealt", lambda d: (d["n"] > F.col("n")) | ((d["n"] == F.col("n")) & (d["key"] < F.col("key"))))
+    dealt = dealt.withColumn("earlier", F.transform(sooner, lambda d: d["key"])).drop("dealt", "n")
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("doc_id", "key"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    texts = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "component", "bytes", "bag")
-    grouped = texts.groupBy("key", "i", "j").agg(F.collect_list(F.struct("block", "doc_id", "component", "bytes", "bag")).alias("texts"))
-    return grouped.select("i", "j", "texts").mapInArrow(_reached, "a long, b long, ca long, cb long")
+    texts = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.struct("block", *own, "earlier").alias("text"))
+    return texts.groupBy("key", "i", "j").agg(F.collect_list("text").alias("texts"))
+
+
+def _open(each: DataFrame, sums: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(key, doc_id, bytes): texts that under a key meet one to which they can be similar by their bags."""
+    return _dealt(each, sums, tokens.drop("words"), BLOCK).mapInArrow(_partnered, "key long, doc_id long, bytes int").distinct()
+
+
+def _within(each: DataFrame, sums: DataFrame, tokens: DataFrame) -> DataFrame:
+    """The same as ``_paired`` for keys with many texts, of which the bags of words allow that they are similar; if ``tokens``
+    have words, those alone that are similar and join components that no other pair of the task does."""
+    return _dealt(each, sums, tokens, ALIGNED if "words" in tokens.columns else BLOCK).mapInArrow(_reached, "a long, b long, ca long, cb long")
 
 
 def links(texts: DataFrame, sketched: DataFrame, docs: DataFrame) -> DataFrame:
@@ -365,18 +451,22 @@ def links(texts: DataFrame, sketched: DataFrame, docs: DataFrame) -> DataFrame:
     forget(tokens, within)
     each = checkpoint(held.select(F.explode("keys").alias("key"), "doc_id", "component", "bytes"))
     sums = checkpoint(_shared_keys(each))
-    # All texts of each bucket are compared: as pairs where they are few, else in blocks. Words are sent once a pair.
+    # All texts of each bucket are compared: as pairs where they are few, to which words are sent once a pair, else in blocks, to
+    # which they are sent of texts that bags leave with a partner.
     few = _paired(each, sums.where(F.col("n") <= FEW)).distinct()
     for bags in ("coarse", "bag"):
         few = _plausible(few, held, bags)
-    met = checkpoint(few.unionByName(_within(each, sums.where(F.col("n") > FEW), held)).distinct())
-    further = checkpoint(met.join(_verified(met.select("a", "b"), held).where("near").select("a", "b"), ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    met = checkpoint(few.distinct())
+    left = checkpoint(_open(each, sums.where(F.col("n") > FEW), held))
+    weighed = left.groupBy("key").agg(F.greatest(F.count("*"), F.ceil(F.sum("bytes") / ALIGNED_BYTES)).alias("n"))
+    near = met.join(_verified(met.select("a", "b"), held).where("near").select("a", "b"), ["a", "b"]).unionByName(_within(left, weighed, held))
+    further = checkpoint(near.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
     second = components(further)
     # Components that further links join go under the least of them.
     moved = first.withColumnRenamed("component", "goal").join(second.select(F.col("node").alias("goal"), "component"), "goal", "left").select("node", F.coalesce("component", "goal").alias("component"))
     alone = second.join(first.select("node"), "node", "left_anti")
     out = checkpoint(moved.unionByName(alone))
-    forget(judged, unlike, held, each, sums, met, further, first, second)
+    forget(judged, unlike, held, each, sums, met, left, further, first, second)
     return out
 
 

@@ -241,6 +241,43 @@ def test_a_text_meets_its_bag_once_whatever_its_keys_and_the_size_of_groups(spar
     assert sorted(_joined_rows(found._jdf.queryExecution().executedPlan())) == [n, n * keys]
 
 
+def test_a_large_group_hands_on_links_between_components_and_no_pairs(spark, monkeypatch):
+    """Texts of the same words in other orders: their bags allow every pair, of which few are similar."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    monkeypatch.setattr(near_dedup, "ALIGNED", 8)
+    rng = random.Random(18)
+    vocabulary, packed = np.arange(100, dtype=np.uint32), []
+    for _ in range(20):
+        base = rng.sample(list(vocabulary), 100)
+        moved = base[5:] + base[:5]  # 10 edits
+        packed += [base, moved]
+    packed += [moved[5:] + moved[:5], rng.sample(list(vocabulary), 100)]
+    n, keys = len(packed), 3
+    packed = [np.array(w, np.uint32) for w in packed]
+    rows = [(i, i, 400, bytearray(w.tobytes()), bytearray(near_dedup.bag(w).tobytes())) for i, w in enumerate(packed)]
+    held = spark.createDataFrame(rows, "doc_id long, component long, bytes int, words binary, bag binary")
+    each = held.select(F.explode(F.sequence(F.lit(1), F.lit(keys)).cast("array<long>")).alias("key"), "doc_id", "component", "bytes")
+    sums = spark.createDataFrame([(k, n) for k in range(1, keys + 1)], "key long, n long")
+    links = [(r.a, r.b, r.ca, r.cb) for r in near_dedup._within(each, sums, held).collect()]
+    expected = {(i, j) for i in range(n) for j in range(i + 1, n) if near_dedup.similar(packed[i].tobytes(), packed[j].tobytes())}
+    assert expected == {(2 * g, 2 * g + 1) for g in range(20)} | {(38, 40), (39, 40)}
+    assert {(a, b) for a, b, _, _ in links} <= expected and len(links) == len(set(links)) and all((a, b) == (ca, cb) for a, b, ca, cb in links)
+    assert {r.node: r.component for r in near_dedup.components(spark.createDataFrame([v[:2] for v in links], "a long, b long")).collect()} == {i: 38 if i == 40 else i - i % 2 for i in range(n - 1)}
+    left = near_dedup._open(each, sums, held).collect()
+    assert sorted((r.key, r.doc_id) for r in left) == [(1, i) for i in range(n)], "under one of their keys, once each"
+
+
+def test_pairs_are_asked_for_under_the_first_key_that_both_hold():
+    rng = random.Random(19)
+    held = [rng.sample(range(400), rng.randrange(0, 40)) for _ in range(70)] + [[], [5], [5]]
+    owner = np.array([i for i, keys in enumerate(held) for _ in keys])
+    holders = near_dedup._holders(np.array([k for keys in held for k in keys], np.int64), owner)
+    left, right = np.arange(0, len(held), 2), np.arange(20, len(held))
+    got = near_dedup._together(holders, left, right)
+    assert len(holders) > 3 and got.tolist() == [[bool(set(held[i]) & set(held[j])) for j in right] for i in left]
+    assert near_dedup._holders(np.zeros(0, np.int64), np.zeros(0, np.int64)) == []
+
+
 def test_bags_never_rule_similar_texts_out():
     rng = random.Random(17)
     texts = []
